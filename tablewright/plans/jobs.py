@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 from tablewright.operators.columns import select_by_position, sync_with_table
 from tablewright.plans import metadata as md
 from tablewright.sinks.versioned import TableError, VersionedTable, WriteResult, write_mode
-from tablewright.sources.csv_schema import csv_read_plan
+from tablewright.sources.csv_layout import csv_read_plan
 from tablewright.sources.files import read_files
 
 Step = Callable[[DataFrame], DataFrame]

@@ -22,7 +22,7 @@ from tablewright.plans import metadata as md
 from tablewright.session import scratch_path, unique_table_name
 from tablewright.sinks.versioned import VersionedTable, create_like
 from tablewright.sources import files
-from tablewright.sources.csv_schema import csv_schema as build_csv_schema
+from tablewright.sources.csv_layout import csv_schema as build_csv_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 

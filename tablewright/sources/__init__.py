@@ -1,4 +1,4 @@
-from tablewright.sources.csv_schema import csv_read_plan, csv_schema, header_from_file
+from tablewright.sources.csv_layout import csv_read_plan, csv_schema, header_from_file
 from tablewright.sources.files import (
     SourceUnavailable,
     read_avro,

@@ -1,0 +1,117 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tablewright.session import scratch_path, unique_table_name
+from tablewright.sinks.versioned import TableError, VersionedTable, create_like, write_mode
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture()
+def orders(spark):
+    return spark.createDataFrame(
+        [(1, "01", 10.0), (2, "01", 20.0), (3, "02", 30.0), (4, None, 40.0)], "id bigint, part string, amt double"
+    )
+
+
+def _new(spark, df, parts=()):
+    label = "t"
+    return VersionedTable.create(spark, unique_table_name(label), df, root=scratch_path(spark, label), partition_by=parts)
+
+
+def test_create_read_and_partition_types(spark, orders):
+    t = _new(spark, orders, ["part"])
+    assert t.version == 0 and t.partition_columns == ["part"]
+    assert t.read().columns == ["id", "amt", "part"]  # partition columns last
+    assert _rows(t.read().select(*orders.columns)) == _rows(orders)
+    # string partition values such as '01' keep their type when read by version
+    assert {r.part for r in t.read(0).collect()} == {"01", "02", None}
+    with pytest.raises(TableError):
+        VersionedTable.create(spark, t.name, orders)
+
+
+def test_overwrite_idempotent_and_time_travel(spark, orders):
+    t = _new(spark, orders)
+    new = orders.filter("amt > 15")
+    t.overwrite(new)
+    first = _rows(t.read())
+    t.overwrite(new)
+    assert _rows(t.read()) == first == _rows(new)
+    assert t.version == 2
+    assert _rows(t.read(0)) == _rows(orders)
+    with pytest.raises(TableError):
+        t.read(7)
+
+
+def test_replace_where_rejects_rows_outside(spark, orders):
+    t = _new(spark, orders, ["part"])
+    bad = orders.filter("id = 3").withColumn("amt", F.lit(1.0))
+    with pytest.raises(Exception, match="replaceWhere"):
+        t.replace_where(bad, "part = '01'")
+    assert t.version == 0  # nothing committed
+    ok = orders.filter("part = '01'").withColumn("amt", F.col("amt") + 1)
+    t.replace_where(ok, "part = '01'")
+    assert {r.id: r.amt for r in t.read().collect()} == {1: 11.0, 2: 21.0, 3: 30.0, 4: 40.0}
+
+
+def test_replace_where_empties_matching_rows(spark, orders):
+    t = _new(spark, orders)
+    t.replace_where(orders.limit(0), "amt > 15")
+    assert sorted(r.id for r in t.read().collect()) == [1]
+
+
+def test_dynamic_overwrite_only_touches_present_partitions(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.overwrite_partitions(orders.filter("part = '02'").withColumn("amt", F.lit(0.0)))
+    got = {r.id: r.amt for r in t.read().collect()}
+    assert got == {1: 10.0, 2: 20.0, 3: 0.0, 4: 40.0}
+    t.overwrite_partitions(orders.limit(0))  # empty input changes nothing
+    assert {r.id: r.amt for r in t.read().collect()} == got
+
+
+def test_static_partition_and_errors(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.write_static_partition(orders.filter("id = 1").drop("part"), {"part": "02"})
+    assert sorted((r.id, r.part) for r in t.read().filter("part = '02'").collect()) == [(1, "02")]
+    with pytest.raises(TableError):
+        t.write_static_partition(orders, {"other": "x"})
+    flat = _new(spark, orders)
+    with pytest.raises(TableError):
+        flat.overwrite_partitions(orders)
+
+
+def test_append_keeps_version(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.append(orders.filter("id = 1").withColumn("part", F.lit("03")))
+    assert t.version == 0 and t.read().count() == 5
+    assert t.last_operation == "APPEND" and t.last_metrics == {"num_output_rows": "1"}
+
+
+def test_delete_then_write_non_partition_keys(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.delete_then_write(orders.filter("id IN (1, 3)").withColumn("amt", F.lit(-1.0)), ["id"])
+    assert {r.id: r.amt for r in t.read().collect()} == {1: -1.0, 2: 20.0, 3: -1.0, 4: 40.0}
+    assert t.version == 1
+
+
+def test_merge_update_delete_versions(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.merge(orders.filter("id = 2").withColumn("amt", F.lit(99.0)), "target.id = updates.id", keys=["id"])
+    t.update("id = 1", {"amt": "amt * 10"})
+    t.delete("part IS NULL")
+    assert t.version == 3
+    assert {r.id: r.amt for r in t.read().collect()} == {1: 100.0, 2: 99.0, 3: 30.0}
+    assert {r.id: r.amt for r in t.read(1).collect()} == {1: 10.0, 2: 99.0, 3: 30.0, 4: 40.0}
+
+
+def test_create_like_orders_columns(spark):
+    src = spark.createDataFrame([], "a int, B string, c double, d date")
+    t = create_like(spark, unique_table_name("like"), src, cluster_first=["C", "b"], partition_by=["D"], root=scratch_path(spark, "like"))
+    assert t.read().columns == ["c", "b", "a", "d"] and t.read().count() == 0
+
+
+def test_write_mode_parse():
+    assert write_mode("APPEND") == "append" and write_mode(None) == "overwrite" and write_mode("x") == "overwrite"
+    assert write_mode(" Merge ") == "merge"
