@@ -170,3 +170,8 @@ ORACLES: dict[str, str] = {
         "sha256(CAST(c_custkey AS VARCHAR) || c_mktsegment) AS key_hash FROM customer"
     ),
 }
+
+ORACLES["stream_upsert"] = (
+    "SELECT event_id, ts, user_id, event_type, "
+    "CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END AS value, props FROM events"
+)

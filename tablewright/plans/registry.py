@@ -510,3 +510,31 @@ QUERIES: dict[str, Query] = {
     "load_job_raw": q_load_job_raw,
     "transform_chain": q_transform_chain,
 }
+
+
+# ---------------------------------------------------------------- streaming
+def q_stream_upsert(spark, d):
+    """Two drops land in a folder; each run of the stream merges the new files."""
+    from tablewright.streaming import run_available
+
+    events = table(spark, d, "events")
+    landing = scratch_path(spark, "landing")
+    name = unique_table_name("stream")
+    t = VersionedTable.create(spark, name, events.limit(0), root=scratch_path(spark, "stream_table"))
+    stream_name = f"s_{name}"
+    checkpoint = scratch_path(spark, "stream_ckpt")
+
+    def run():
+        src = spark.readStream.schema(events.schema).parquet(landing)
+        run_available(src, name, stream_name, mode="merge", merge_condition="target.event_id = updates.event_id",
+                      merge_keys=["event_id"], checkpoint=checkpoint)
+
+    events.write.mode("append").parquet(landing)
+    run()
+    corrections = events.filter("event_type = 'purchase'").withColumn("value", F.col("value") * 2)
+    corrections.write.mode("append").parquet(landing)
+    run()
+    return t.read()
+
+
+QUERIES["stream_upsert"] = q_stream_upsert

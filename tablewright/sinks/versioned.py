@@ -187,6 +187,8 @@ class VersionedTable:
         """Current content, or S11 time travel to ``version`` (read by path with
         the stored schema so partition values keep their declared types)."""
         if version is None:
+            # another session (e.g. a stream's foreachBatch) may have written it
+            self.spark.catalog.refreshTable(self.name)
             return self.spark.table(self.name)
         if not 0 <= version <= self.version:
             raise TableError(f"{self.name} has versions 0..{self.version}, not {version}")
