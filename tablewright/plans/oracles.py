@@ -107,6 +107,18 @@ ORACLES: dict[str, str] = {
         "  FROM t JOIN u ON t.c_custkey = u.c_custkey "
         "UNION ALL SELECT c_custkey, c_name, NULL, c_acctbal, NULL FROM u WHERE c_custkey NOT IN (SELECT c_custkey FROM t)"
     ),
+    "merge_partitions": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, "
+        "CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
+        "o_orderdate, o_orderpriority FROM orders "
+        "UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
+        "FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'"
+    ),
+    "update_partitions": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, "
+        "CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN o_totalprice - 1 ELSE o_totalprice END AS o_totalprice, "
+        "o_orderdate, o_orderpriority FROM orders"
+    ),
     "update_where": (
         "SELECT o_orderkey, o_custkey, "
         "CASE WHEN coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH'), false) THEN o_orderpriority ELSE o_orderstatus END AS o_orderstatus, "

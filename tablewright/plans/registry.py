@@ -274,6 +274,27 @@ def q_merge_exprs(spark, d):
     return t.read()
 
 
+def _orders_partition_updates(spark, d):
+    """Urgent 'P' orders re-priced, plus low-priority 'P' orders under new
+    (negative) keys, which are inserts."""
+    o = table(spark, d, "orders")
+    repriced = o.filter("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    new = o.filter("o_orderstatus = 'P' AND o_orderpriority = '5-LOW'").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    return repriced.unionByName(new)
+
+
+def q_merge_partitions(spark, d):
+    t = _orders_table(spark, d, "merge_parts", ["o_orderstatus"])
+    t.merge(_orders_partition_updates(spark, d), "target.o_orderkey = updates.o_orderkey", scope="partitions", keys=["o_orderkey"])
+    return t.read()
+
+
+def q_update_partitions(spark, d):
+    t = _orders_table(spark, d, "update_parts", ["o_orderstatus"])
+    t.update("o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'", {"o_totalprice": "o_totalprice - 1"}, scope="partitions")
+    return t.read()
+
+
 def _orders_null_priority(spark, d):
     return table(spark, d, "orders").withColumn("o_orderpriority", F.expr("nullif(o_orderpriority, '3-MEDIUM')"))
 
@@ -489,7 +510,9 @@ QUERIES: dict[str, Query] = {
     "merge_upsert": q_merge_upsert,
     "merge_delete": q_merge_delete,
     "merge_exprs": q_merge_exprs,
+    "merge_partitions": q_merge_partitions,
     "update_where": q_update_where,
+    "update_partitions": q_update_partitions,
     "delete_where": q_delete_where,
     "write_append": q_write_append,
     "write_append_part": q_write_append_part,

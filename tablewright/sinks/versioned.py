@@ -30,6 +30,7 @@ from pyspark.sql.types import StructType
 
 from tablewright.operators import changes
 from tablewright.operators.columns import with_literals
+from tablewright.operators.keys import prune_target
 from tablewright.session import work_root
 
 PROP_VERSION = "tablewright.version"
@@ -67,6 +68,17 @@ def _ordered(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def _clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Cluster rows by partition value before a partitioned write.
+
+    The ``rebalance`` hint adds one shuffle on the partition columns; AQE then
+    splits a partition value that is too large (a hot value holding a third of
+    the rows is written by many tasks) and merges small ones, so each output
+    partition gets a few right-sized files instead of one file per task.
+    """
+    return df.hint("rebalance", *parts) if parts else df
+
+
 def _observed_write(df: DataFrame, write) -> dict[str, str]:
     """Run ``write(observed_df)`` and return row metrics gathered by the same job."""
     obs = Observation("tablewright_write")
@@ -128,7 +140,7 @@ class VersionedTable:
         data_cols = [c for c in df.columns if c not in parts]
         ordered = _ordered(df, data_cols + parts)
         location = f"{root}/{VERSION_DIR.format(0)}"
-        metrics = _observed_write(ordered, lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
+        metrics = _observed_write(_clustered(ordered, parts), lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
         cls._register(spark, name, ordered.schema, parts, location, root, 0, "CREATE", metrics)
         return cls(spark, name)
 
@@ -203,7 +215,7 @@ class VersionedTable:
         nxt = self.version + 1
         location = self.location(nxt)
         data = _ordered(content, schema.names)
-        metrics = _observed_write(data, lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
+        metrics = _observed_write(_clustered(data, parts), lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
         root = self.root
         if parts:
             # Registered partitions keep their old directories under SET LOCATION,
@@ -244,14 +256,52 @@ class VersionedTable:
         )
         return self._commit(kept.unionByName(checked), "REPLACE WHERE")
 
-    def merge(self, updates: DataFrame, condition: str | Column, **kwargs) -> WriteResult:
-        """Merge ``updates`` (see :func:`tablewright.operators.changes.merge`)."""
-        return self._commit(changes.merge(self.read(), updates, condition, **kwargs), "MERGE")
-
-    def update(self, condition: str | Column, set_values: Mapping[str, str | Column]) -> WriteResult:
-        """M2."""
+    def merge(self, updates: DataFrame, condition: str | Column, scope: str = "table", **kwargs) -> WriteResult:
+        """Merge ``updates`` (see :func:`tablewright.operators.changes.merge`).
+
+        ``scope="table"`` (default) writes the merged content as a new version.
+        ``scope="partitions"`` (partitioned tables) rewrites in place only the
+        partitions the updates can reach: the target is pruned per partition
+        key to the values present in the updates (J5), matches are limited to
+        the same partition (the condition gets ``target.p = updates.p`` for
+        every partition column) and the merged rows replace those partitions
+        by dynamic overwrite.  A merge that could empty a partition (delete
+        clause) or move rows between partitions (update of a partition column)
+        always uses the table scope.
+        """
+        cond = F.expr(condition) if isinstance(condition, str) else condition
+        if self._scoped(scope, kwargs.get("update_set"), kwargs.get("delete_when")):
+            parts = self.partition_columns
+            for p in parts:
+                cond = cond & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
+            affected = prune_target(self.read(), updates, parts)
+            return self._insert(changes.merge(affected, updates, cond, **kwargs), overwrite=True, operation="MERGE PARTITIONS")
+        return self._commit(changes.merge(self.read(), updates, cond, **kwargs), "MERGE")
+
+    def update(self, condition: str | Column, set_values: Mapping[str, str | Column], scope: str = "table") -> WriteResult:
+        """M2.  ``scope="partitions"`` rewrites in place only the partitions that
+        hold a row satisfying the condition (rows never leave a partition, so
+        none can become empty); otherwise a new version."""
+        if self._scoped(scope, set_values, None):
+            cond = F.coalesce(F.expr(condition) if isinstance(condition, str) else condition, F.lit(False))
+            parts = self.partition_columns
+            current = self.read()
+            hit = current.filter(cond).select(*[F.col(f"`{p}`") for p in parts]).distinct()
+            affected = current.join(hit, on=parts, how="left_semi")
+            return self._insert(changes.update_rows(affected, cond, set_values), overwrite=True, operation="UPDATE PARTITIONS")
         return self._commit(changes.update_rows(self.read(), condition, set_values), "UPDATE")
 
+    def _scoped(self, scope: str, set_values, delete_when) -> bool:
+        if scope not in ("table", "partitions"):
+            raise TableError(f"scope must be 'table' or 'partitions', not {scope!r}")
+        if scope == "table":
+            return False
+        parts = self.partition_columns
+        if not parts:
+            raise TableError(f"{self.name} is not partitioned; scope='partitions' needs partitions")
+        touches_parts = bool(set_values) and any(p.lower() in {k.lower() for k in set_values} for p in parts)
+        return delete_when is None and not touches_parts
+
     def delete(self, condition: str | Column) -> WriteResult:
         """M3."""
         return self._commit(changes.delete_rows(self.read(), condition), "DELETE")
@@ -263,7 +313,7 @@ class VersionedTable:
 
     # ------------------------------------------------------- in-place writes
     def _insert(self, df: DataFrame, overwrite: bool, operation: str) -> WriteResult:
-        data = self._conformed(df)
+        data = _clustered(self._conformed(df), self.partition_columns)
         with _session_conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             metrics = _observed_write(data, lambda d: d.write.insertInto(self.name, overwrite=overwrite))
         self._set_props({PROP_OPERATION: operation, PROP_METRICS: json.dumps(metrics, sort_keys=True)})

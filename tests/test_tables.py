@@ -115,3 +115,30 @@ def test_create_like_orders_columns(spark):
 def test_write_mode_parse():
     assert write_mode("APPEND") == "append" and write_mode(None) == "overwrite" and write_mode("x") == "overwrite"
     assert write_mode(" Merge ") == "merge"
+
+
+def test_scoped_merge_matches_table_merge(spark, orders):
+    upd = spark.createDataFrame([(2, "01", 99.0), (9, "03", 9.0), (3, "02", 31.0)], "id bigint, part string, amt double")
+    a, b = _new(spark, orders, ["part"]), _new(spark, orders, ["part"])
+    a.merge(upd, "target.id = updates.id", keys=["id"])
+    b.merge(upd, "target.id = updates.id", keys=["id"], scope="partitions")
+    assert _rows(a.read()) == _rows(b.read())
+    assert b.version == 0 and b.last_operation == "MERGE PARTITIONS"
+    assert b.last_metrics["num_output_rows"] == "4"  # partitions 01, 02 rewritten plus new 03
+
+
+def test_scoped_falls_back_when_partitions_could_change(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.merge(orders.filter("id = 1"), "target.id = updates.id", keys=["id"], delete_when="updates.amt > 5", scope="partitions")
+    assert t.version == 1 and 1 not in {r.id for r in t.read().collect()}
+    t.update("id = 2", {"part": "'09'"}, scope="partitions")
+    assert t.version == 2 and {r.part for r in t.read().filter("id = 2").collect()} == {"09"}
+    with pytest.raises(TableError):
+        _new(spark, orders).merge(orders, "target.id = updates.id", scope="partitions")
+
+
+def test_scoped_update(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.update("amt > 15 AND part = '01'", {"amt": "amt + 1"}, scope="partitions")
+    assert t.version == 0
+    assert {r.id: r.amt for r in t.read().collect()} == {1: 10.0, 2: 21.0, 3: 30.0, 4: 40.0}
