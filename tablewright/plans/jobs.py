@@ -20,7 +20,14 @@ from tablewright.operators.columns import select_by_position, sync_with_table
 from tablewright.plans import metadata as md
 from tablewright.sinks.versioned import TableError, VersionedTable, WriteResult, write_mode
 from tablewright.sources.csv_layout import csv_read_plan
-from tablewright.sources.files import read_files
+from tablewright.sources.files import FORMATS, read_files
+from tablewright.sources.jdbc import read_external
+
+# Fixed values that must equal the reference behaviour: detail keys of an
+# external (table-or-query) source, and the give-up point of a load's retries.
+EXTERNAL_QUERY_KEYS = ("sfQuery", "query")
+EXTERNAL_TABLE_KEYS = ("sfTableName", "dbtable")
+MAX_RETRIES = 3
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -40,6 +47,8 @@ class LoadSpec:
     mode: str | None = None
     replace_where: str | None = None
     merge_condition: str | None = None
+    external_table: str | None = None
+    external_query: str | None = None
 
 
 def chain(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
@@ -48,7 +57,11 @@ def chain(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
 
 
 def read_source(spark: SparkSession, spec: LoadSpec) -> DataFrame:
-    return read_files(spark, spec.source_format, spec.source_path, spec.reader_options, spec.reader_schema)
+    """File formats read ``source_path``; any other format name is a connector
+    given ``reader_options`` and a table or query (S8)."""
+    if spec.source_format in FORMATS or spec.external_table is None and spec.external_query is None:
+        return read_files(spark, spec.source_format, spec.source_path, spec.reader_options, spec.reader_schema)
+    return read_external(spark, spec.source_format, spec.reader_options, spec.external_table, spec.external_query)
 
 
 def write_target(spark: SparkSession, spec: LoadSpec, df: DataFrame) -> WriteResult:
@@ -92,8 +105,18 @@ def spec_from_request(spark: SparkSession, req: md.LoadRequest, conform: bool =
     fmt = (d.get("format") or "parquet").lower()
     options: dict[str, str] = {}
     schema = None
+    ext_table = ext_query = None
     if fmt == "csv":
         options, schema = csv_read_plan(spark, d, od, target_schema, req.source_mount)
+    elif fmt not in FORMATS:
+        merged = {**d, **od}
+        ext_query = next((merged[k] for k in EXTERNAL_QUERY_KEYS if merged.get(k)), None)
+        ext_table = next((merged[k] for k in EXTERNAL_TABLE_KEYS if merged.get(k)), None)
+        if ext_query or ext_table:
+            options = {k: v for k, v in merged.items() if k.startswith("option.")}
+            options = {k[len("option."):]: v for k, v in options.items()}
+        else:
+            fmt = "parquet"  # unknown format without a table or query: default reader
     steps: list[Step] = []
     if d.get("targetCols") and d.get("colMapping"):
         if conform or fmt == "csv":
@@ -114,25 +137,37 @@ def spec_from_request(spark: SparkSession, req: md.LoadRequest, conform: bool =
         partition_by=parts,
         mode=d.get("mode"),
         replace_where=od.get("replaceWhere") if parts else None,
+        external_table=ext_table,
+        external_query=ext_query,
     )
 
 
-def load_from_metadata(spark: SparkSession, metadata_db: str, op_id: str, conform: bool = True) -> WriteResult:
+def load_from_metadata(spark: SparkSession, metadata_db: str, op_id: str, conform: bool = True,
+                       max_attempts: int = 1) -> WriteResult:
     """L1: resolve ``op_id`` (J1), log Started, load, store stats, log Finished.
 
-    A failure is logged as Error with its stack trace and raised again.
+    A failed attempt is logged as Error with its stack trace and the attempt
+    count as ``retry_count`` in the operation details; the load is tried up
+    to ``max_attempts`` times (at most ``MAX_RETRIES`` + 1), then the last
+    error is raised.
     """
     req = md.resolve_load(spark, metadata_db, op_id)
-    md.log_operation(spark, metadata_db, op_id, req.entity_id, md.STARTED, req.op_details)
-    try:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{req.db_name}` LOCATION '{req.target_mount}/data/{req.db_name}'")
-        result = run_spec(spark, spec_from_request(spark, req, conform))
-        md.store_stats(spark, metadata_db, op_id, {**result.metrics, "operation": result.operation, "version": result.version})
-    except Exception as e:
-        md.log_operation(spark, metadata_db, op_id, req.entity_id, md.ERROR, req.op_details, "".join(traceback.format_exception(e)))
-        raise
-    md.log_operation(spark, metadata_db, op_id, req.entity_id, md.FINISHED, req.op_details)
-    return result
+    attempts = max(1, min(max_attempts, MAX_RETRIES + 1))
+    for attempt in range(attempts):
+        details = {**req.op_details, "retry_count": str(attempt)}
+        md.log_operation(spark, metadata_db, op_id, req.entity_id, md.STARTED, details)
+        try:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{req.db_name}` LOCATION '{req.target_mount}/data/{req.db_name}'")
+            result = run_spec(spark, spec_from_request(spark, req, conform))
+            md.store_stats(spark, metadata_db, op_id, {**result.metrics, "operation": result.operation, "version": result.version})
+        except Exception as e:
+            md.log_operation(spark, metadata_db, op_id, req.entity_id, md.ERROR, details, "".join(traceback.format_exception(e)))
+            if attempt + 1 == attempts:
+                raise
+            continue
+        md.log_operation(spark, metadata_db, op_id, req.entity_id, md.FINISHED, details)
+        return result
+    raise AssertionError("unreachable")
 
 
 def options_map(details: Mapping[str, str] | None) -> dict[str, str]:

@@ -73,3 +73,25 @@ def test_chain_order(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/region.parquet")
     out = jobs.chain(df, [lambda d: d.filter("r_regionkey > 1"), lambda d: d.withColumn("x", F.lit(1))])
     assert out.count() == 3 and "x" in out.columns
+
+
+def test_retries_logged(spark, sf_dir):
+    db = unique_table_name("meta")
+    md.create_metadata_tables(spark, db, scratch_path(spark, "meta"))
+    md.add_mount(spark, db, "dwy", sf_dir, scratch_path(spark, "tgt"))
+    md.add_entity(spark, db, "e1", "dwy", "missing_target", {"format": "parquet"})
+    md.log_operation(spark, db, "op-r", "e1", None, {"path": "/orders.parquet"})
+    with pytest.raises(Exception):
+        jobs.load_from_metadata(spark, db, "op-r", max_attempts=10)
+    errors = spark.table(f"`{db}`.`{md.OPERATIONS}`").filter("status = 'Error'").collect()
+    assert sorted(r.details["retry_count"] for r in errors) == ["0", "1", "2", "3"]
+
+
+def test_external_format_spec(spark):
+    req = md.LoadRequest("op", "e", "db", "t", {"format": "jdbc", "sfTableName": "T1", "option.url": "jdbc:x"},
+                         {"sfQuery": " select 1 "}, "", "")
+    spec = jobs.spec_from_request(spark, req, conform=False)
+    assert spec.source_format == "jdbc" and spec.external_query == " select 1 " and spec.external_table == "T1"
+    assert spec.reader_options == {"url": "jdbc:x"}
+    req2 = md.LoadRequest("op", "e", "db", "t", {"format": "snowflake"}, {"path": "/x"}, "/m", "")
+    assert jobs.spec_from_request(spark, req2, conform=False).source_format == "parquet"
