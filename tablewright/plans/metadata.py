@@ -126,10 +126,12 @@ class LoadRequest:
     target_mount: str
 
 
-def resolve_rows(operations: DataFrame, entities: DataFrame, op_id: str) -> DataFrame:
-    """J1 as a plan: the operation ``op_id`` (its ``details`` renamed
-    ``op_details``) joined with its entity on ``id = entity_id``."""
-    ops = operations.filter(F.col("op_id") == F.lit(op_id)).withColumnRenamed("details", "op_details")
+def resolve_rows(operations: DataFrame, entities: DataFrame, op_id: str | None = None) -> DataFrame:
+    """J1 as a plan: operations (their ``details`` renamed ``op_details``)
+    joined with their entity on ``id = entity_id``; one operation when
+    ``op_id`` is given, every operation (batch resolution) when it is None."""
+    ops = operations if op_id is None else operations.filter(F.col("op_id") == F.lit(op_id))
+    ops = ops.withColumnRenamed("details", "op_details")
     return entities.join(ops, entities["id"] == ops["entity_id"], "inner")
 
 

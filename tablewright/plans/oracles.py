@@ -60,8 +60,7 @@ ORACLES: dict[str, str] = {
     "resolve_load": (
         "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(o_orderkey AS VARCHAR) AS op_id, "
         "CAST(o_custkey AS VARCHAR) AS entity_id, o_orderpriority AS priority "
-        "FROM customer JOIN orders ON CAST(c_custkey AS VARCHAR) = CAST(o_custkey AS VARCHAR) "
-        "WHERE CAST(o_orderkey AS VARCHAR) = '42'"
+        "FROM customer JOIN orders ON CAST(c_custkey AS VARCHAR) = CAST(o_custkey AS VARCHAR)"
     ),
     "theta_join": "SELECT c_custkey, n_nationkey FROM customer JOIN nation ON c_nationkey >= n_nationkey",
     "equi_join_extra": (

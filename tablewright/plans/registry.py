@@ -176,7 +176,7 @@ def _ops_and_entities(spark, d):
 
 def q_resolve_load(spark, d):
     ops, ents = _ops_and_entities(spark, d)
-    r = md.resolve_rows(ops, ents, "42")
+    r = md.resolve_rows(ops, ents)
     return r.select("id", "name", "op_id", "entity_id", F.col("op_details")["priority"].alias("priority"))
 
 

@@ -192,7 +192,11 @@ class VersionedTable:
 
     def location(self, version: int | None = None) -> str:
         v = self.version if version is None else version
-        return f"{self.root}/{VERSION_DIR.format(v)}"
+        return self.location_of(self.root, v)
+
+    @staticmethod
+    def location_of(root: str, version: int) -> str:
+        return f"{root}/{VERSION_DIR.format(version)}"
 
     # -------------------------------------------------------------------- read
     def read(self, version: int | None = None) -> DataFrame:
@@ -219,9 +223,19 @@ class VersionedTable:
         root = self.root
         if parts:
             # Registered partitions keep their old directories under SET LOCATION,
-            # so a partitioned table is re-registered at the new version.
+            # so a partitioned table is re-registered at the new version.  The
+            # files of every version stay; if registering the new one fails, the
+            # previous version is registered again before the error propagates.
+            before = self.properties()
             self.spark.sql(f"DROP TABLE {_ident(self.name)}")
-            self._register(self.spark, self.name, schema, parts, location, root, nxt, operation, metrics)
+            try:
+                self._register(self.spark, self.name, schema, parts, location, root, nxt, operation, metrics)
+            except Exception:
+                if self.spark.catalog.tableExists(self.name):
+                    self.spark.sql(f"DROP TABLE {_ident(self.name)}")
+                self._register(self.spark, self.name, schema, parts, self.location_of(root, int(before[PROP_VERSION])), root,
+                               int(before[PROP_VERSION]), before.get(PROP_OPERATION, ""), json.loads(before.get(PROP_METRICS, "{}")))
+                raise
         else:
             self.spark.sql(f"ALTER TABLE {_ident(self.name)} SET LOCATION {_sql_str(location)}")
             self._set_props({PROP_VERSION: str(nxt), PROP_OPERATION: operation, PROP_METRICS: json.dumps(metrics, sort_keys=True)})

@@ -37,13 +37,15 @@ def stream_into_table(
     mode: str = "append",
     merge_condition: str | None = None,
     merge_keys: Sequence[str] | None = None,
+    merge_scope: str = "table",
     checkpoint: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start a stream that writes each micro-batch into an existing table.
 
     ``mode``: ``append``, ``overwrite_partitions`` (dynamic) or ``merge``
-    (upsert on ``merge_condition``; ``merge_keys`` for the duplicate guard).
+    (upsert on ``merge_condition``; ``merge_keys`` for the duplicate guard;
+    ``merge_scope="partitions"`` rewrites only the partitions a batch reaches).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -62,7 +64,7 @@ def stream_into_table(
         elif mode == "overwrite_partitions":
             table.overwrite_partitions(batch)
         else:
-            table.merge(batch, merge_condition, keys=list(merge_keys) if merge_keys else None)
+            table.merge(batch, merge_condition, scope=merge_scope, keys=list(merge_keys) if merge_keys else None)
         table._set_props({PROP_BATCH.format(stream_name): str(batch_id)})
 
     writer = stream_df.writeStream.queryName(stream_name).option("checkpointLocation", checkpoint).foreachBatch(write_batch)

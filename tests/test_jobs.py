@@ -95,3 +95,13 @@ def test_external_format_spec(spark):
     assert spec.reader_options == {"url": "jdbc:x"}
     req2 = md.LoadRequest("op", "e", "db", "t", {"format": "snowflake"}, {"path": "/x"}, "/m", "")
     assert jobs.spec_from_request(spark, req2, conform=False).source_format == "parquet"
+
+
+def test_resolve_rows_single_and_batch(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderkey").cast("string").alias("op_id"), F.col("o_custkey").cast("string").alias("entity_id"),
+        F.create_map(F.lit("p"), F.col("o_orderpriority")).alias("details"))
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").cast("string").alias("id"))
+    one = md.resolve_rows(o, c, "42").collect()
+    assert len(one) == 1 and one[0].op_id == "42" and "op_details" in one[0].asDict()
+    assert md.resolve_rows(o, c).count() == o.join(c, o.entity_id == c.id).count()
