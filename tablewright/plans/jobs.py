@@ -73,7 +73,8 @@ def write_target(spark: SparkSession, spec: LoadSpec, df: DataFrame) -> WriteRes
     table = VersionedTable(spark, spec.target_table)
     mode = write_mode(spec.mode)
     if spec.replace_where:
-        return table.replace_where(df, spec.replace_where)
+        # a partitioned target reloads only the partitions the condition touches
+        return table.replace_where(df, spec.replace_where, scope="partitions" if table.partition_columns else "table")
     if mode == "merge":
         if not spec.merge_condition:
             raise TableError("mode merge needs a merge condition")

@@ -136,6 +136,14 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2, o_orderdate, o_orderpriority "
         "FROM orders WHERE o_orderpriority = '1-URGENT'"
     ),
+    "replace_where_partitions": (
+        "SELECT * FROM orders WHERE o_orderstatus = 'O' "
+        "UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2, o_orderdate, o_orderpriority "
+        "FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
+    ),
+    "delete_partitions": (
+        "SELECT * FROM orders WHERE NOT (o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderpriority = '5-LOW'))"
+    ),
     "write_static_partition": (
         "SELECT * FROM orders WHERE o_orderstatus <> 'P' "
         "UNION ALL SELECT o_orderkey, o_custkey, 'P', o_totalprice, o_orderdate, o_orderpriority "
@@ -156,6 +164,11 @@ ORACLES: dict[str, str] = {
         "SELECT * FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase') "
         "UNION ALL SELECT event_id, ts, user_id, event_type, value * 2, props FROM events WHERE event_type = 'purchase'"
     ),
+    "delete_then_write_scoped": (
+        f"WITH e AS {_EVENTS_DAY} "
+        "SELECT * FROM e WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase') "
+        "UNION ALL SELECT event_id, ts, user_id, event_type, value * 2, props, event_day FROM e WHERE event_type = 'purchase'"
+    ),
     "time_travel": (
         "SELECT *, 0 AS version FROM orders "
         "UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, "

@@ -352,6 +352,21 @@ def q_write_replace_where(spark, d):
     return t.read()
 
 
+def q_replace_where_partitions(spark, d):
+    """Reload statuses F and P with only the re-priced urgent P orders: P is
+    rewritten in place, F is emptied, O is not touched."""
+    t = _orders_table(spark, d, "replace_parts", ["o_orderstatus"])
+    new = table(spark, d, "orders").filter("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
+    t.replace_where(new.withColumn("o_totalprice", F.col("o_totalprice") * 2), "o_orderstatus IN ('F', 'P')", scope="partitions")
+    return t.read()
+
+
+def q_delete_partitions(spark, d):
+    t = _orders_table(spark, d, "delete_parts", ["o_orderstatus"])
+    t.delete("o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderpriority = '5-LOW')", scope="partitions")
+    return t.read()
+
+
 def q_write_static_partition(spark, d):
     t = _orders_table(spark, d, "static_part", ["o_orderstatus"])
     new = table(spark, d, "orders").filter("o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'")
@@ -386,6 +401,16 @@ def q_delete_then_write_rows(spark, d):
     return t.read()
 
 
+def q_delete_then_write_scoped(spark, d):
+    """Reload all purchases by user into events partitioned by day, rewriting
+    only the day partitions that hold a replaced or a new row."""
+    label = "delete_then_write_scoped"
+    t = VersionedTable.create(spark, unique_table_name(label), _events_by_day(spark, d), root=scratch_path(spark, label), partition_by=["event_day"])
+    reload = _events_by_day(spark, d).filter("event_type = 'purchase'").withColumn("value", F.col("value") * 2)
+    t.delete_then_write(reload, ["user_id"], scope="partitions")
+    return t.read()
+
+
 def q_time_travel(spark, d):
     t = _orders_table(spark, d, "time_travel")
     t.update("o_orderpriority = '1-URGENT'", {"o_totalprice": "o_totalprice + 1"})
@@ -519,10 +544,13 @@ QUERIES: dict[str, Query] = {
     "write_create": q_write_create,
     "write_overwrite": q_write_overwrite,
     "write_replace_where": q_write_replace_where,
+    "replace_where_partitions": q_replace_where_partitions,
+    "delete_partitions": q_delete_partitions,
     "write_static_partition": q_write_static_partition,
     "write_dynamic_partition": q_write_dynamic_partition,
     "delete_then_write": q_delete_then_write,
     "delete_then_write_rows": q_delete_then_write_rows,
+    "delete_then_write_scoped": q_delete_then_write_scoped,
     "time_travel": q_time_travel,
     "create_like": q_create_like,
     "distinct_partitions": q_distinct_partitions,

@@ -38,6 +38,9 @@ PROP_ROOT = "tablewright.root"
 PROP_OPERATION = "tablewright.operation"
 PROP_METRICS = "tablewright.metrics"
 VERSION_DIR = "version-{}"
+# Above this many partitions to empty, one whole-table rewrite job is cheaper
+# than one small overwrite job per emptied partition.
+MAX_EMPTIED_PARTITIONS = 256
 
 
 class TableError(RuntimeError):
@@ -56,6 +59,23 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _sql_literal(value: object) -> str:
+    """SQL literal of a partition value (collected from the table itself)."""
+    import datetime as dt
+
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP {_sql_str(value.isoformat(sep=' '))}"
+    if isinstance(value, dt.date):
+        return f"DATE {_sql_str(value.isoformat())}"
+    return _sql_str(str(value))
+
+
 def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -256,18 +276,25 @@ class VersionedTable:
         """Replace the whole content (new version)."""
         return self._commit(self._conformed(df), "OVERWRITE")
 
-    def replace_where(self, df: DataFrame, condition: str | Column) -> WriteResult:
-        """Replace exactly the rows satisfying ``condition`` (new version).
+    def replace_where(self, df: DataFrame, condition: str | Column, scope: str = "table") -> WriteResult:
+        """Replace exactly the rows satisfying ``condition``.
 
         Old rows where the condition is true are removed (NULL keeps them); every
         new row must satisfy the condition, checked inside the write job itself.
+        ``scope="table"`` writes a new version; ``scope="partitions"`` rewrites
+        in place only the partitions holding a removed row or a new row (see
+        :meth:`_rewrite_partitions`).
         """
         cond = F.expr(condition) if isinstance(condition, str) else condition
         holds = F.coalesce(cond, F.lit(False))
-        kept = self.read().filter(~holds)
         checked = self._conformed(df).filter(
             F.when(holds, F.lit(True)).otherwise(F.raise_error(F.lit(f"row outside replaceWhere condition of {self.name}")))
         )
+        if self._scoped(scope, None, None):
+            done = self._rewrite_partitions(holds, checked, "REPLACE WHERE PARTITIONS")
+            if done is not None:
+                return done
+        kept = self.read().filter(~holds)
         return self._commit(kept.unionByName(checked), "REPLACE WHERE")
 
     def merge(self, updates: DataFrame, condition: str | Column, scope: str = "table", **kwargs) -> WriteResult:
@@ -316,10 +343,81 @@ class VersionedTable:
         touches_parts = bool(set_values) and any(p.lower() in {k.lower() for k in set_values} for p in parts)
         return delete_when is None and not touches_parts
 
-    def delete(self, condition: str | Column) -> WriteResult:
-        """M3."""
+    def delete(self, condition: str | Column, scope: str = "table") -> WriteResult:
+        """M3.  ``scope="partitions"`` rewrites in place only the partitions
+        holding a deleted row and empties those where every row goes."""
+        if self._scoped(scope, None, None):
+            cond = F.expr(condition) if isinstance(condition, str) else condition
+            done = self._rewrite_partitions(F.coalesce(cond, F.lit(False)), None, "DELETE PARTITIONS")
+            if done is not None:
+                return done
         return self._commit(changes.delete_rows(self.read(), condition), "DELETE")
 
+    def _rewrite_partitions(self, removed: Column, new_rows: DataFrame | None, operation: str,
+                            current: DataFrame | None = None) -> WriteResult | None:
+        """Remove old rows where ``removed`` (never NULL) and add ``new_rows``,
+        rewriting in place only the partitions that change.
+
+        1. One aggregate over the current rows (partial before the shuffle, one
+           row per partition out) marks partitions with any / only removed rows.
+        2. Touched partitions = those with a removed row or a new row; their
+           kept rows plus the new rows replace them by dynamic overwrite.
+        3. Partitions left with no rows are emptied by a static overwrite from
+           an empty source (their specs are partition metadata, collected).
+        Returns None, so the caller rewrites the table, when more than
+        ``MAX_EMPTIED_PARTITIONS`` partitions would have to be emptied.
+        """
+        parts = self.partition_columns
+        names = self.schema.names
+        current = self.read() if current is None else current  # may carry helper columns for ``removed``
+        keys = [F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)]
+        flag = removed.cast("int")
+        stats = current.groupBy(*keys).agg(F.max(flag).alias("__tw_any"), F.min(flag).alias("__tw_all")).filter("__tw_any = 1")
+        key_names = [f"__tw_p{i}" for i in range(len(parts))]
+        incoming = new_rows.select(*keys).distinct() if new_rows is not None else None
+        emptied = stats.filter("__tw_all = 1").select(*key_names)
+        if incoming is not None:
+            arrived = incoming.select(*[F.col(k).alias(f"{k}_new") for k in key_names])
+            same = None
+            for k in key_names:
+                term = F.col(k).eqNullSafe(F.col(f"{k}_new"))
+                same = term if same is None else same & term
+            emptied = emptied.join(arrived, same, "left_anti")
+        specs = emptied.limit(MAX_EMPTIED_PARTITIONS + 1).collect()  # partition specs only
+        if len(specs) > MAX_EMPTIED_PARTITIONS:
+            return None
+        touched = stats.select(*key_names)
+        if incoming is not None:
+            touched = touched.unionByName(incoming).distinct()
+        on = None
+        for i, p in enumerate(parts):
+            term = F.col(f"`{p}`").eqNullSafe(F.col(f"__tw_p{i}"))
+            on = term if on is None else on & term
+        kept = _ordered(current.join(touched, on, "left_semi").filter(~removed), names)
+        content = kept.unionByName(new_rows) if new_rows is not None else kept
+        result = self._insert(content, overwrite=True, operation=operation)
+        self._empty_partitions([[row[k] for k in key_names] for row in specs])
+        return result
+
+    def _empty_partitions(self, specs: Sequence[Sequence[object]]) -> None:
+        """Delete the files of each partition (static overwrite from an empty
+        source), then drop the partition entries from the catalog."""
+        if not specs:
+            return
+        parts = self.partition_columns
+        data_cols = [f for f in self.schema.fields if f.name not in parts]
+        view = f"__tw_empty_{abs(hash(self.name))}"
+        self.spark.createDataFrame([], StructType(data_cols)).createOrReplaceTempView(view)
+        cols = ", ".join(f"`{f.name}`" for f in data_cols)
+        clauses = []
+        for values in specs:
+            spec = ", ".join(f"`{p}` = {_sql_literal(v)}" for p, v in zip(parts, values))
+            self.spark.sql(f"INSERT OVERWRITE TABLE {_ident(self.name)} PARTITION ({spec}) SELECT {cols} FROM {view}")
+            clauses.append(f"PARTITION ({spec})")
+        self.spark.sql(f"ALTER TABLE {_ident(self.name)} DROP IF EXISTS {', '.join(clauses)}")
+        self.spark.catalog.dropTempView(view)
+        self.spark.catalog.refreshTable(self.name)
+
     def scd2(self, updates: DataFrame, key: str, compare: Sequence[str], load_date: str | Column, **kwargs) -> WriteResult:
         """M4: close changed current rows and add new current rows (see
         :func:`tablewright.operators.changes.scd2_changes`)."""
@@ -355,17 +453,24 @@ class VersionedTable:
             raise TableError(f"static partition needs values for exactly {parts}")
         return self._insert(with_literals(df, dict(values)), overwrite=True, operation="OVERWRITE STATIC PARTITION")
 
-    def delete_then_write(self, df: DataFrame, keys: Sequence[str]) -> WriteResult:
+    def delete_then_write(self, df: DataFrame, keys: Sequence[str], scope: str = "table") -> WriteResult:
         """Drop every old row whose ``keys`` tuple occurs in ``df``, then add ``df``.
 
         Keys that are exactly the partition columns make this a dynamic
-        partition overwrite in place; other keys use a LEFT ANTI join against the
-        distinct incoming keys and write a new version.
+        partition overwrite in place.  Other keys mark old rows by a join with
+        the distinct incoming keys (NULL keys match nothing): with
+        ``scope="partitions"`` only the partitions holding a marked or a new row
+        are rewritten in place, otherwise a new version is written.
         """
         keys = list(keys)
         if keys and sorted(keys) == sorted(self.partition_columns):
             return self._insert(df, overwrite=True, operation="DELETE THEN WRITE")
         incoming = df.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+        if self._scoped(scope, None, None):
+            marked = self.read().join(incoming.withColumn("__tw_hit", F.lit(True)), on=keys, how="left")
+            done = self._rewrite_partitions(F.col("__tw_hit").isNotNull(), self._conformed(df), "DELETE THEN WRITE PARTITIONS", marked)
+            if done is not None:
+                return done
         kept = self.read().join(incoming, on=keys, how="left_anti")
         return self._commit(kept.unionByName(self._conformed(df)), "DELETE THEN WRITE")
 

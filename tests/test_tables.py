@@ -142,3 +142,41 @@ def test_scoped_update(spark, orders):
     t.update("amt > 15 AND part = '01'", {"amt": "amt + 1"}, scope="partitions")
     assert t.version == 0
     assert {r.id: r.amt for r in t.read().collect()} == {1: 10.0, 2: 21.0, 3: 30.0, 4: 40.0}
+
+
+def test_scoped_replace_where_empties_and_keeps(spark, orders):
+    a, b = _new(spark, orders, ["part"]), _new(spark, orders, ["part"])
+    new = spark.createDataFrame([(7, "02", 7.0)], "id bigint, part string, amt double")
+    cond = "part IN ('01', '02') OR part IS NULL"
+    a.replace_where(new, cond)
+    b.replace_where(new, cond, scope="partitions")
+    assert _rows(a.read()) == _rows(b.read()) == [(7, 7.0, "02")]
+    assert b.version == 0
+    assert [r.partition for r in spark.sql(f"SHOW PARTITIONS {b.name}").collect()] == ["part=02"]
+
+
+def test_scoped_replace_where_keeps_rows_of_partitions_with_new_rows(spark, orders):
+    t = _new(spark, orders, ["part"])
+    new = spark.createDataFrame([(8, "01", 8.0)], "id bigint, part string, amt double")
+    t.replace_where(new, "id = 1 OR id = 8", scope="partitions")
+    assert {r.id: r.amt for r in t.read().collect()} == {2: 20.0, 3: 30.0, 4: 40.0, 8: 8.0}
+    with pytest.raises(Exception, match="replaceWhere"):
+        t.replace_where(new, "id = 1", scope="partitions")
+
+
+def test_scoped_delete(spark, orders):
+    a, b = _new(spark, orders, ["part"]), _new(spark, orders, ["part"])
+    for t, scope in ((a, "table"), (b, "partitions")):
+        t.delete("part IS NULL OR id = 1", scope=scope)
+    assert _rows(a.read()) == _rows(b.read()) == sorted([(2, 20.0, "01"), (3, 30.0, "02")], key=str)
+    assert b.version == 0 and a.version == 1
+
+
+def test_scoped_delete_then_write(spark, orders):
+    a, b = _new(spark, orders, ["part"]), _new(spark, orders, ["part"])
+    new = spark.createDataFrame([(1, "02", -1.0), (9, None, 9.0)], "id bigint, part string, amt double")
+    a.delete_then_write(new, ["id"])
+    b.delete_then_write(new, ["id"], scope="partitions")
+    assert _rows(a.read()) == _rows(b.read())
+    assert {r.id: r.amt for r in b.read().collect()} == {1: -1.0, 2: 20.0, 3: 30.0, 4: 40.0, 9: 9.0}
+    assert b.version == 0
