@@ -19,6 +19,7 @@ full target at most once and lets a small update set go to a broadcast join.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,7 +75,23 @@ def _ensure_unique_matches(target: DataFrame, updates: DataFrame, cond: Column,
         raise MergeConflict("several update rows match the same target row; make the updates unique per key")
 
 
-def merge(
+DELETED = "__tw_deleted"
+UPDATED = "__tw_updated"
+
+
+class MergeParts(NamedTuple):
+    """A merge before its last step.
+
+    ``marked`` has one row per target row: target columns with the update
+    applied, plus boolean ``DELETED`` / ``UPDATED`` flags; ``inserted`` holds
+    the rows of unmatched updates.
+    """
+
+    marked: DataFrame
+    inserted: DataFrame
+
+
+def merge_parts(
     target: DataFrame,
     updates: DataFrame,
     condition: str | Column,
@@ -83,19 +100,10 @@ def merge(
     update_when: str | Column | None = None,
     update_set: Mapping[str, str | Column] | None = None,
     insert_values: Mapping[str, str | Column] | None = None,
-    insert: bool = True,
     keys: Sequence[str] | None = None,
     check_unique: bool = True,
-) -> DataFrame:
-    """M1: new content of ``target`` after merging ``updates``.
-
-    Clause order: matched AND ``delete_when`` → delete; matched AND
-    ``update_when`` (default true) → ``update_set`` (default: every target
-    column from the same-named update column); not matched → insert
-    ``insert_values`` (default: every target column by name; columns missing
-    from the map become NULL).  Expressions see ``target.`` and ``updates.``.
-    NULL conditions count as false.  Output has the target's schema.
-    """
+) -> MergeParts:
+    """The two joins of :func:`merge`, with deleted / updated rows flagged."""
     cond = _expr(condition)
     if check_unique:
         _ensure_unique_matches(target, updates, cond, keys)
@@ -122,8 +130,8 @@ def merge(
     joined = t.join(u, cond, "left")
     matched = F.col(f"{UPDATES}.{_HIT}").isNotNull()
     deleted = matched & _when_true(delete_when)
-    updating = matched & (F.lit(True) if update_when is None else _when_true(update_when))
-    kept = joined.filter(~deleted).select(
+    updating = matched & ~deleted & (F.lit(True) if update_when is None else _when_true(update_when))
+    marked = joined.select(
         *[
             (
                 F.when(updating, _expr(update_set[f.name]).cast(f.dataType)).otherwise(F.col(f"{TARGET}.`{f.name}`"))
@@ -131,17 +139,47 @@ def merge(
                 else F.col(f"{TARGET}.`{f.name}`")
             ).alias(f.name)
             for f in fields
-        ]
+        ],
+        deleted.alias(DELETED),
+        updating.alias(UPDATED),
     )
-    if not insert:
-        return kept
     inserted = u.join(t, cond, "left_anti").select(
         *[
             (_expr(insert_values[f.name]) if f.name in insert_values else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in fields
         ]
     )
-    return kept.unionByName(inserted)
+    return MergeParts(marked, inserted)
+
+
+def merge(
+    target: DataFrame,
+    updates: DataFrame,
+    condition: str | Column,
+    *,
+    delete_when: str | Column | None = None,
+    update_when: str | Column | None = None,
+    update_set: Mapping[str, str | Column] | None = None,
+    insert_values: Mapping[str, str | Column] | None = None,
+    insert: bool = True,
+    keys: Sequence[str] | None = None,
+    check_unique: bool = True,
+) -> DataFrame:
+    """M1: new content of ``target`` after merging ``updates``.
+
+    Clause order: matched AND ``delete_when`` → delete; matched AND
+    ``update_when`` (default true) → ``update_set`` (default: every target
+    column from the same-named update column); not matched → insert
+    ``insert_values`` (default: every target column by name; columns missing
+    from the map become NULL).  Expressions see ``target.`` and ``updates.``.
+    NULL conditions count as false.  Output has the target's schema.
+    """
+    marked, inserted = merge_parts(
+        target, updates, condition, delete_when=delete_when, update_when=update_when, update_set=update_set,
+        insert_values=insert_values, keys=keys, check_unique=check_unique,
+    )
+    kept = marked.filter(~F.col(DELETED)).drop(DELETED, UPDATED)
+    return kept.unionByName(inserted) if insert else kept
 
 
 def update_rows(df: DataFrame, condition: str | Column, set_values: Mapping[str, str | Column]) -> DataFrame:

@@ -113,6 +113,13 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
         "FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'"
     ),
+    "merge_delete_partitions": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, "
+        "CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
+        "o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus <> 'P' "
+        "UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
+        "FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW'"
+    ),
     "update_partitions": (
         "SELECT o_orderkey, o_custkey, o_orderstatus, "
         "CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN o_totalprice - 1 ELSE o_totalprice END AS o_totalprice, "

@@ -289,6 +289,20 @@ def q_merge_partitions(spark, d):
     return t.read()
 
 
+def q_merge_delete_partitions(spark, d):
+    """All 'P' orders matched and deleted (the partition empties), urgent 'F'
+    orders re-priced, low-priority 'O' orders inserted under new keys."""
+    o = table(spark, d, "orders")
+    upd = (
+        o.filter("o_orderstatus = 'P'")
+        .unionByName(o.filter("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'").withColumn("o_totalprice", F.col("o_totalprice") + 1))
+        .unionByName(o.filter("o_orderstatus = 'O' AND o_orderpriority = '5-LOW'").withColumn("o_orderkey", -F.col("o_orderkey") - 1))
+    )
+    t = _orders_table(spark, d, "merge_delete_parts", ["o_orderstatus"])
+    t.merge(upd, "target.o_orderkey = updates.o_orderkey", delete_when="updates.o_orderstatus = 'P'", scope="partitions", keys=["o_orderkey"])
+    return t.read()
+
+
 def q_update_partitions(spark, d):
     t = _orders_table(spark, d, "update_parts", ["o_orderstatus"])
     t.update("o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'", {"o_totalprice": "o_totalprice - 1"}, scope="partitions")
@@ -536,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "merge_delete": q_merge_delete,
     "merge_exprs": q_merge_exprs,
     "merge_partitions": q_merge_partitions,
+    "merge_delete_partitions": q_merge_delete_partitions,
     "update_where": q_update_where,
     "update_partitions": q_update_partitions,
     "delete_where": q_delete_where,

@@ -99,6 +99,19 @@ def _clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *parts) if parts else df
 
 
+def _materialized(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    A merge reads its updates in four sub-plans (duplicate guard, pruning,
+    matching join, insert anti-join); checkpointing them first means the
+    source is read once and every sub-plan sees the same rows even when the
+    source is not deterministic.  Reliable checkpoint only: the files live in
+    ``spark.checkpoint.dir`` and survive the loss of executors.
+    """
+    work_root(df.sparkSession)  # makes sure a checkpoint directory is set
+    return df.checkpoint(eager=True)
+
+
 def _observed_write(df: DataFrame, write) -> dict[str, str]:
     """Run ``write(observed_df)`` and return row metrics gathered by the same job."""
     obs = Observation("tablewright_write")
@@ -297,7 +310,8 @@ class VersionedTable:
         kept = self.read().filter(~holds)
         return self._commit(kept.unionByName(checked), "REPLACE WHERE")
 
-    def merge(self, updates: DataFrame, condition: str | Column, scope: str = "table", **kwargs) -> WriteResult:
+    def merge(self, updates: DataFrame, condition: str | Column, scope: str = "table", materialize: bool = True,
+              **kwargs) -> WriteResult:
         """Merge ``updates`` (see :func:`tablewright.operators.changes.merge`).
 
         ``scope="table"`` (default) writes the merged content as a new version.
@@ -306,17 +320,30 @@ class VersionedTable:
         key to the values present in the updates (J5), matches are limited to
         the same partition (the condition gets ``target.p = updates.p`` for
         every partition column) and the merged rows replace those partitions
-        by dynamic overwrite.  A merge that could empty a partition (delete
-        clause) or move rows between partitions (update of a partition column)
-        always uses the table scope.
+        by dynamic overwrite; with a delete clause the partitions are rewritten
+        through :meth:`_rewrite_partitions`, which also empties partitions left
+        without rows.  A merge that could move rows between partitions (update
+        of a partition column) always uses the table scope.  ``materialize``
+        checkpoints the updates first (see :func:`_materialized`).
         """
+        if materialize:
+            updates = _materialized(updates)
         cond = F.expr(condition) if isinstance(condition, str) else condition
-        if self._scoped(scope, kwargs.get("update_set"), kwargs.get("delete_when")):
+        if self._scoped(scope, kwargs.get("update_set"), None):
             parts = self.partition_columns
             for p in parts:
                 cond = cond & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
             affected = prune_target(self.read(), updates, parts)
-            return self._insert(changes.merge(affected, updates, cond, **kwargs), overwrite=True, operation="MERGE PARTITIONS")
+            if kwargs.get("delete_when") is None:
+                # no row can leave a partition: the merged rows replace the pruned partitions
+                return self._insert(changes.merge(affected, updates, cond, **kwargs), overwrite=True, operation="MERGE PARTITIONS")
+            marked, inserted = changes.merge_parts(affected, updates, cond, **kwargs)
+            changed = F.col(changes.DELETED) | F.col(changes.UPDATED)
+            new_rows = marked.filter(F.col(changes.UPDATED)).drop(changes.DELETED, changes.UPDATED).unionByName(inserted)
+            done = self._rewrite_partitions(changed, new_rows, "MERGE PARTITIONS", marked)
+            if done is not None:
+                return done
+            cond = F.expr(condition) if isinstance(condition, str) else condition
         return self._commit(changes.merge(self.read(), updates, cond, **kwargs), "MERGE")
 
     def update(self, condition: str | Column, set_values: Mapping[str, str | Column], scope: str = "table") -> WriteResult:
@@ -418,9 +445,12 @@ class VersionedTable:
         self.spark.catalog.dropTempView(view)
         self.spark.catalog.refreshTable(self.name)
 
-    def scd2(self, updates: DataFrame, key: str, compare: Sequence[str], load_date: str | Column, **kwargs) -> WriteResult:
+    def scd2(self, updates: DataFrame, key: str, compare: Sequence[str], load_date: str | Column,
+             materialize: bool = True, **kwargs) -> WriteResult:
         """M4: close changed current rows and add new current rows (see
         :func:`tablewright.operators.changes.scd2_changes`)."""
+        if materialize:
+            updates = _materialized(updates)
         return self._commit(changes.scd2_changes(self.read(), updates, key, compare, load_date=load_date, **kwargs), "MERGE SCD2")
 
     # ------------------------------------------------------- in-place writes

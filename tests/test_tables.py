@@ -127,12 +127,20 @@ def test_scoped_merge_matches_table_merge(spark, orders):
     assert b.last_metrics["num_output_rows"] == "4"  # partitions 01, 02 rewritten plus new 03
 
 
-def test_scoped_falls_back_when_partitions_could_change(spark, orders):
+def test_scoped_merge_with_delete_empties_partitions(spark, orders):
+    upd = spark.createDataFrame([(3, "02", 1.0), (2, "01", 99.0), (5, "05", 5.0)], "id bigint, part string, amt double")
+    a, b = _new(spark, orders, ["part"]), _new(spark, orders, ["part"])
+    for t, scope in ((a, "table"), (b, "partitions")):
+        t.merge(upd, "target.id = updates.id", keys=["id"], delete_when="updates.amt < 2", scope=scope)
+    assert _rows(a.read()) == _rows(b.read())
+    assert {r.id: r.amt for r in b.read().collect()} == {1: 10.0, 2: 99.0, 4: 40.0, 5: 5.0}
+    assert b.version == 0 and "part=02" not in [r.partition for r in spark.sql(f"SHOW PARTITIONS {b.name}").collect()]
+
+
+def test_scoped_falls_back_when_rows_could_move(spark, orders):
     t = _new(spark, orders, ["part"])
-    t.merge(orders.filter("id = 1"), "target.id = updates.id", keys=["id"], delete_when="updates.amt > 5", scope="partitions")
-    assert t.version == 1 and 1 not in {r.id for r in t.read().collect()}
     t.update("id = 2", {"part": "'09'"}, scope="partitions")
-    assert t.version == 2 and {r.part for r in t.read().filter("id = 2").collect()} == {"09"}
+    assert t.version == 1 and {r.part for r in t.read().filter("id = 2").collect()} == {"09"}
     with pytest.raises(TableError):
         _new(spark, orders).merge(orders, "target.id = updates.id", scope="partitions")
 
