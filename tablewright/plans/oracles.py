@@ -206,3 +206,43 @@ ORACLES["stream_upsert"] = (
     "SELECT event_id, ts, user_id, event_type, "
     "CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END AS value, props FROM events"
 )
+
+
+# ---------------------------------------------------------------------------
+# Spark's hash() (Murmur3 x86_32, seed 42, tail bytes mixed one by one) written
+# in DuckDB SQL, so the bucket query gets a real oracle.  Bytes are taken as
+# code points, which is exact for the ASCII text hashed here.  The constants
+# are the published Murmur3 ones.
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) << {r}) | (({x}) >> {32 - r})) & 4294967295"
+
+
+def _mul32(x: str, c: int) -> str:
+    return f"((({x})::UHUGEINT * {c}) % 4294967296)::UBIGINT"
+
+
+def _mix(h: str, k: str) -> str:
+    k1 = _mul32(_rotl(_mul32(k, 0xCC9E2D51), 15), 0x1B873593)
+    return f"(({_rotl(f'xor(({h}), ({k1}))', 13)}) * 5 + {0xE6546B64}) % 4294967296"
+
+
+def _spark_hash_sql(text_sql: str, source: str, key: str) -> str:
+    word = "(unicode(s[4*i+1]) | (unicode(s[4*i+2]) << 8) | (unicode(s[4*i+3]) << 16) | (unicode(s[4*i+4]) << 24))::UBIGINT"
+    words = f"list_transform(range(0, length(s) // 4), lambda i: {word})"
+    tail = "list_transform(range(4 * (length(s) // 4), length(s)), lambda i: unicode(s[i+1])::UBIGINT)"
+    return (
+        f"WITH t AS (SELECT {key}, {text_sql} AS s FROM {source}), "
+        f"b AS (SELECT {key}, s, list_reduce(list_concat([42::UBIGINT], {words}), lambda h, k: {_mix('h', 'k')}) AS h FROM t), "
+        f"c AS (SELECT {key}, xor(list_reduce(list_concat([h], {tail}), lambda h, k: {_mix('h', 'k')}), length(s)::UBIGINT) AS h FROM b), "
+        f"d AS (SELECT {key}, {_mul32('xor(h, h >> 16)', 0x85EBCA6B)} AS h FROM c), "
+        f"e AS (SELECT {key}, {_mul32('xor(h, h >> 13)', 0xC2B2AE35)} AS h FROM d), "
+        f"f AS (SELECT {key}, xor(h, h >> 16)::BIGINT AS h FROM e) "
+        f"SELECT {key}, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS h FROM f"
+    )
+
+
+ORACLES["hash_bucket"] = (
+    "SELECT c_custkey, abs(h) % 500 AS bucket FROM ("
+    + _spark_hash_sql("CAST(c_custkey AS VARCHAR) || coalesce(nullif(c_mktsegment, 'BUILDING'), 'n/a')", "customer", "c_custkey")
+    + ")"
+)
