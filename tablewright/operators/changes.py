@@ -24,7 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.keys import TARGET, UPDATES, parse_join_keys
+from tablewright.operators.keys import TARGET, UPDATES, inner_join_condition, parse_join_keys
 
 _HIT = "__tw_matched"
 
@@ -94,7 +94,7 @@ class MergeParts(NamedTuple):
 def merge_parts(
     target: DataFrame,
     updates: DataFrame,
-    condition: str | Column,
+    condition: str | Column | None,
     *,
     delete_when: str | Column | None = None,
     update_when: str | Column | None = None,
@@ -104,7 +104,13 @@ def merge_parts(
     check_unique: bool = True,
 ) -> MergeParts:
     """The two joins of :func:`merge`, with deleted / updated rows flagged."""
-    cond = _expr(condition)
+    equi_keys = condition is None
+    if equi_keys:
+        if not keys or any(kp.op != "=" for kp in parse_join_keys(keys)):
+            raise ValueError("a merge without a condition needs equality keys")
+        cond = inner_join_condition(keys)
+    else:
+        cond = _expr(condition)
     if check_unique:
         _ensure_unique_matches(target, updates, cond, keys)
 
@@ -143,7 +149,20 @@ def merge_parts(
         deleted.alias(DELETED),
         updating.alias(UPDATED),
     )
-    inserted = u.join(t, cond, "left_anti").select(
+    if equi_keys:
+        # Only the target's distinct keys are needed to find inserts; the
+        # distinct is pre-aggregated map-side, so a key holding a third of
+        # the target arrives as a handful of rows instead of one huge task.
+        pairs = parse_join_keys(keys)
+        known = target.select(*[F.col(f"`{kp.target}`").alias(f"__tw_t{i}") for i, kp in enumerate(pairs)]).distinct()
+        on = None
+        for i, kp in enumerate(pairs):
+            term = F.col(f"{UPDATES}.`{kp.updates}`") == F.col(f"__tw_t{i}")
+            on = term if on is None else on & term
+        misses = u.join(known, on, "left_anti")
+    else:
+        misses = u.join(t, cond, "left_anti")
+    inserted = misses.select(
         *[
             (_expr(insert_values[f.name]) if f.name in insert_values else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in fields
@@ -155,7 +174,7 @@ def merge_parts(
 def merge(
     target: DataFrame,
     updates: DataFrame,
-    condition: str | Column,
+    condition: str | Column | None,
     *,
     delete_when: str | Column | None = None,
     update_when: str | Column | None = None,
@@ -173,6 +192,9 @@ def merge(
     ``insert_values`` (default: every target column by name; columns missing
     from the map become NULL).  Expressions see ``target.`` and ``updates.``.
     NULL conditions count as false.  Output has the target's schema.
+
+    With ``condition=None`` the match is the equality of ``keys`` (J2 syntax,
+    ``=`` only) and inserts are found against the target's distinct keys.
     """
     marked, inserted = merge_parts(
         target, updates, condition, delete_when=delete_when, update_when=update_when, update_set=update_set,

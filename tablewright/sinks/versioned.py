@@ -310,7 +310,7 @@ class VersionedTable:
         kept = self.read().filter(~holds)
         return self._commit(kept.unionByName(checked), "REPLACE WHERE")
 
-    def merge(self, updates: DataFrame, condition: str | Column, scope: str = "table", materialize: bool = True,
+    def merge(self, updates: DataFrame, condition: str | Column | None, scope: str = "table", materialize: bool = True,
               **kwargs) -> WriteResult:
         """Merge ``updates`` (see :func:`tablewright.operators.changes.merge`).
 
@@ -328,11 +328,17 @@ class VersionedTable:
         """
         if materialize:
             updates = _materialized(updates)
-        cond = F.expr(condition) if isinstance(condition, str) else condition
+        given_keys = kwargs.get("keys")
         if self._scoped(scope, kwargs.get("update_set"), None):
             parts = self.partition_columns
-            for p in parts:
-                cond = cond & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
+            if condition is None:
+                # partition equality joins the key equality; inserts still use distinct keys
+                kwargs["keys"] = list(kwargs.get("keys") or []) + [p for p in parts if p not in (kwargs.get("keys") or [])]
+                cond = None
+            else:
+                cond = F.expr(condition) if isinstance(condition, str) else condition
+                for p in parts:
+                    cond = cond & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
             affected = prune_target(self.read(), updates, parts)
             if kwargs.get("delete_when") is None:
                 # no row can leave a partition: the merged rows replace the pruned partitions
@@ -343,8 +349,8 @@ class VersionedTable:
             done = self._rewrite_partitions(changed, new_rows, "MERGE PARTITIONS", marked)
             if done is not None:
                 return done
-            cond = F.expr(condition) if isinstance(condition, str) else condition
-        return self._commit(changes.merge(self.read(), updates, cond, **kwargs), "MERGE")
+            kwargs["keys"] = given_keys
+        return self._commit(changes.merge(self.read(), updates, condition, **kwargs), "MERGE")
 
     def update(self, condition: str | Column, set_values: Mapping[str, str | Column], scope: str = "table") -> WriteResult:
         """M2.  ``scope="partitions"`` rewrites in place only the partitions that

@@ -114,3 +114,16 @@ def test_update_then_delete_keeps_untouched(spark, rows):
     out = M.delete_rows(M.update_rows(df, "v > 0", {"s": "'pos'"}), "v > 3")
     untouched = {(k, v, "x") for k, v in rows.items() if v <= 0}
     assert untouched <= set(_rows(out))
+
+
+def test_merge_on_keys_equals_condition(spark):
+    t = spark.createDataFrame([(1, 10, "a"), (1, 11, "hot"), (2, 20, "b")], SCHEMA)
+    u = spark.createDataFrame([(2, 21, "B"), (3, 30, "C"), (None, 0, "n")], SCHEMA)
+    by_cond = M.merge(t, u, "target.k = updates.k", keys=["k"])
+    by_keys = M.merge(t, u, None, keys=["k"])
+    assert sorted(map(str, by_cond.collect())) == sorted(map(str, by_keys.collect()))
+    assert len(by_keys.collect()) == 5
+    with pytest.raises(ValueError):
+        M.merge(t, u, None, keys=["k >= k"])
+    with pytest.raises(ValueError):
+        M.merge(t, u, None)

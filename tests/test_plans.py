@@ -65,3 +65,10 @@ def test_hashing_stays_in_codegen(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
     p = _plan(hashing.hash_columns(c, "h", 256, "c_custkey", "c_name"))
     assert "*(1) Project" in p and "PythonUDF" not in p and "BatchEvalPython" not in p
+
+
+def test_keyed_merge_finds_inserts_against_distinct_keys(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    m = changes.merge(o, o.filter("o_totalprice > 1000"), None, keys=["o_custkey"], check_unique=False)
+    p = _plan(m)
+    assert "LeftAnti" in p and "HashAggregate(keys=[__tw_t0" in p
