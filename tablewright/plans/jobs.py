@@ -72,6 +72,8 @@ def write_target(spark: SparkSession, spec: LoadSpec, df: DataFrame) -> WriteRes
         return WriteResult(table.name, 0, "CREATE", table.last_metrics)
     table = VersionedTable(spark, spec.target_table)
     mode = write_mode(spec.mode)
+    if mode == "replacewhere" and not spec.replace_where:
+        raise TableError("mode replaceWhere needs a replaceWhere condition")
     if spec.replace_where:
         # a partitioned target reloads only the partitions the condition touches
         return table.replace_where(df, spec.replace_where, scope="partitions" if table.partition_columns else "table")

@@ -55,6 +55,10 @@ ORACLES: dict[str, str] = {
         "sha256(coalesce(nullif(c_mktsegment, 'BUILDING'), 'n/a')) AS c_mktsegment_hash FROM customer"
     ),
     "hash_text": "SELECT c_custkey, sha256(c_name) AS name_sha256 FROM customer",
+    "hash_bits_default": (
+        "SELECT c_custkey, sha256(CAST(c_custkey AS VARCHAR) || c_name) AS sha0, "
+        "sha256(CAST(c_custkey AS VARCHAR) || c_name) AS sha256 FROM customer"
+    ),
     "epoch_text": ("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '+0' || strftime(ts, '%g') AS ts_text "
                    "FROM events"),
     "resolve_load": (

@@ -158,6 +158,12 @@ def q_hash_bits(spark, d):
     )
 
 
+def q_hash_bits_default(spark, d):
+    """Bit length 0 means 256: both columns must equal SHA-256."""
+    c = table(spark, d, "customer")
+    return c.select("c_custkey", *[hashing.sha2_of(["c_custkey", "c_name"], bits).alias(f"sha{bits}") for bits in (0, 256)])
+
+
 def q_epoch_text(spark, d):
     e = table(spark, d, "events")
     return e.select("event_id", timefmt.epoch_millis_text(timefmt.epoch_millis("ts")).alias("ts_text"))
@@ -539,6 +545,7 @@ QUERIES: dict[str, Query] = {
     "hash_text": q_hash_text,
     "hash_bucket": q_hash_bucket,
     "hash_bits": q_hash_bits,
+    "hash_bits_default": q_hash_bits_default,
     "epoch_text": q_epoch_text,
     "resolve_load": q_resolve_load,
     "theta_join": q_theta_join,
