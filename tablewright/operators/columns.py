@@ -191,6 +191,3 @@ def identify_columns(columns: Sequence[str], wanted: Sequence[tuple[str, bool]])
 def select_matching(df: DataFrame, wanted: Sequence[tuple[str, bool]]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in identify_columns(df.columns, wanted)])
 
-
-def column(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c

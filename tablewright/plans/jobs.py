@@ -9,7 +9,7 @@ logs every status change and the write's metrics.
 from __future__ import annotations
 
 import traceback
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -172,6 +172,3 @@ def load_from_metadata(spark: SparkSession, metadata_db: str, op_id: str, confor
         return result
     raise AssertionError("unreachable")
 
-
-def options_map(details: Mapping[str, str] | None) -> dict[str, str]:
-    return dict(details or {})

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from tablewright.functions import hashing, timefmt
-from tablewright.operators import changes, columns, keys, runlog
+from tablewright.operators import columns, keys, runlog
 from tablewright.plans import jobs
 from tablewright.plans import metadata as md
 from tablewright.session import scratch_path, unique_table_name

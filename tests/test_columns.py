@@ -1,6 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType
+from pyspark.sql.types import IntegerType, StringType
 
 from tablewright.operators import columns as C
 from tablewright.functions.timefmt import filter_year_range

@@ -3,7 +3,6 @@
 import contextlib
 import io
 
-from pyspark.sql import functions as F
 
 from tablewright.operators import changes, columns, keys, runlog
 from tablewright.sinks.versioned import _clustered
