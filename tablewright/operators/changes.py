@@ -77,14 +77,16 @@ def _ensure_unique_matches(target: DataFrame, updates: DataFrame, cond: Column,
 
 DELETED = "__tw_deleted"
 UPDATED = "__tw_updated"
+ORIGINAL = "__tw_was_"  # prefix of carried pre-merge values
 
 
 class MergeParts(NamedTuple):
     """A merge before its last step.
 
     ``marked`` has one row per target row: target columns with the update
-    applied, plus boolean ``DELETED`` / ``UPDATED`` flags; ``inserted`` holds
-    the rows of unmatched updates.
+    applied, boolean ``DELETED`` / ``UPDATED`` flags and, for each column
+    named in ``carry``, its value before the merge as ``ORIGINAL + name``;
+    ``inserted`` holds the rows of unmatched updates.
     """
 
     marked: DataFrame
@@ -102,6 +104,7 @@ def merge_parts(
     insert_values: Mapping[str, str | Column] | None = None,
     keys: Sequence[str] | None = None,
     check_unique: bool = True,
+    carry: Sequence[str] = (),
 ) -> MergeParts:
     """The two joins of :func:`merge`, with deleted / updated rows flagged."""
     equi_keys = condition is None
@@ -148,6 +151,7 @@ def merge_parts(
         ],
         deleted.alias(DELETED),
         updating.alias(UPDATED),
+        *[F.col(f"{TARGET}.`{c}`").alias(f"{ORIGINAL}{c}") for c in carry],
     )
     if equi_keys:
         # Only the target's distinct keys are needed to find inserts; the

@@ -303,7 +303,7 @@ class VersionedTable:
         checked = self._conformed(df).filter(
             F.when(holds, F.lit(True)).otherwise(F.raise_error(F.lit(f"row outside replaceWhere condition of {self.name}")))
         )
-        if self._scoped(scope, None, None):
+        if self._scoped(scope):
             done = self._rewrite_partitions(holds, checked, "REPLACE WHERE PARTITIONS")
             if done is not None:
                 return done
@@ -311,75 +311,92 @@ class VersionedTable:
         return self._commit(kept.unionByName(checked), "REPLACE WHERE")
 
     def merge(self, updates: DataFrame, condition: str | Column | None, scope: str = "table", materialize: bool = True,
-              **kwargs) -> WriteResult:
+              aligned: bool = False, **kwargs) -> WriteResult:
         """Merge ``updates`` (see :func:`tablewright.operators.changes.merge`).
 
         ``scope="table"`` (default) writes the merged content as a new version.
-        ``scope="partitions"`` (partitioned tables) rewrites in place only the
-        partitions the updates can reach: the target is pruned per partition
-        key to the values present in the updates (J5), matches are limited to
-        the same partition (the condition gets ``target.p = updates.p`` for
-        every partition column) and the merged rows replace those partitions
-        by dynamic overwrite; with a delete clause the partitions are rewritten
-        through :meth:`_rewrite_partitions`, which also empties partitions left
-        without rows.  A merge that could move rows between partitions (update
-        of a partition column) always uses the table scope.  ``materialize``
-        checkpoints the updates first (see :func:`_materialized`).
+        ``scope="partitions"`` (partitioned tables) gives the same rows but
+        rewrites in place only the partitions that change: one narrow pass
+        marks matched target rows, the partitions holding a changed row or
+        receiving an updated / inserted row are rewritten, drained ones
+        emptied (:meth:`_rewrite_partitions`).  Rows may move between
+        partitions.
+
+        ``aligned=True`` (with ``scope="partitions"``) is for callers whose keys
+        never change partition: matches are limited to the same partition (the
+        condition gets ``target.p = updates.p``) and the target is pruned to
+        the partition values present in the updates (J5), so untouched
+        partitions are not even read.  It refuses to update a partition column.
+
+        ``materialize`` checkpoints the updates first (see :func:`_materialized`).
         """
         if materialize:
             updates = _materialized(updates)
         given_keys = kwargs.get("keys")
-        if self._scoped(scope, kwargs.get("update_set"), None):
-            parts = self.partition_columns
-            if condition is None:
-                # partition equality joins the key equality; inserts still use distinct keys
-                kwargs["keys"] = list(kwargs.get("keys") or []) + [p for p in parts if p not in (kwargs.get("keys") or [])]
-                cond = None
+        if self._scoped(scope):
+            if aligned:
+                done = self._merge_aligned(updates, condition, **kwargs)
             else:
-                cond = F.expr(condition) if isinstance(condition, str) else condition
-                for p in parts:
-                    cond = cond & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
-            affected = prune_target(self.read(), updates, parts)
-            if kwargs.get("delete_when") is None:
-                # no row can leave a partition: the merged rows replace the pruned partitions
-                return self._insert(changes.merge(affected, updates, cond, **kwargs), overwrite=True, operation="MERGE PARTITIONS")
-            marked, inserted = changes.merge_parts(affected, updates, cond, **kwargs)
-            changed = F.col(changes.DELETED) | F.col(changes.UPDATED)
-            new_rows = marked.filter(F.col(changes.UPDATED)).drop(changes.DELETED, changes.UPDATED).unionByName(inserted)
-            done = self._rewrite_partitions(changed, new_rows, "MERGE PARTITIONS", marked)
+                parts = self.partition_columns
+                marked, inserted = changes.merge_parts(self.read(), updates, condition, carry=parts, **kwargs)
+                new_rows = _ordered(marked.filter(F.col(changes.UPDATED)), self.schema.names).unionByName(inserted)
+                changed = F.col(changes.DELETED) | F.col(changes.UPDATED)
+                # group by where each row is now, not where an update sends it
+                done = self._rewrite_partitions(changed, new_rows, "MERGE PARTITIONS", marked,
+                                                [f"{changes.ORIGINAL}{p}" for p in parts])
             if done is not None:
                 return done
             kwargs["keys"] = given_keys
         return self._commit(changes.merge(self.read(), updates, condition, **kwargs), "MERGE")
 
+    def _merge_aligned(self, updates: DataFrame, condition: str | Column | None, **kwargs) -> WriteResult | None:
+        parts = self.partition_columns
+        update_set = kwargs.get("update_set") or {}
+        if any(p.lower() in {k.lower() for k in update_set} for p in parts):
+            raise TableError("an aligned merge cannot update partition columns; use aligned=False")
+        if condition is None:
+            # partition equality joins the key equality; inserts still use distinct keys
+            kwargs["keys"] = list(kwargs.get("keys") or []) + [p for p in parts if p not in (kwargs.get("keys") or [])]
+            cond = None
+        else:
+            cond = F.expr(condition) if isinstance(condition, str) else condition
+            for p in parts:
+                cond = cond & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
+        affected = prune_target(self.read(), updates, parts)
+        if kwargs.get("delete_when") is None:
+            # no row can leave a partition: the merged rows replace the pruned partitions
+            return self._insert(changes.merge(affected, updates, cond, **kwargs), overwrite=True, operation="MERGE PARTITIONS")
+        marked, inserted = changes.merge_parts(affected, updates, cond, **kwargs)
+        changed = F.col(changes.DELETED) | F.col(changes.UPDATED)
+        new_rows = _ordered(marked.filter(F.col(changes.UPDATED)), self.schema.names).unionByName(inserted)
+        return self._rewrite_partitions(changed, new_rows, "MERGE PARTITIONS", marked)
+
     def update(self, condition: str | Column, set_values: Mapping[str, str | Column], scope: str = "table") -> WriteResult:
-        """M2.  ``scope="partitions"`` rewrites in place only the partitions that
-        hold a row satisfying the condition (rows never leave a partition, so
-        none can become empty); otherwise a new version."""
-        if self._scoped(scope, set_values, None):
+        """M2.  ``scope="partitions"`` rewrites in place only the partitions
+        holding an updated row or receiving one (an update may set a
+        partition column); otherwise a new version."""
+        if self._scoped(scope):
             cond = F.coalesce(F.expr(condition) if isinstance(condition, str) else condition, F.lit(False))
-            parts = self.partition_columns
             current = self.read()
-            hit = current.filter(cond).select(*[F.col(f"`{p}`") for p in parts]).distinct()
-            affected = current.join(hit, on=parts, how="left_semi")
-            return self._insert(changes.update_rows(affected, cond, set_values), overwrite=True, operation="UPDATE PARTITIONS")
+            new_rows = changes.update_rows(current.filter(cond), cond, set_values)
+            done = self._rewrite_partitions(cond, new_rows, "UPDATE PARTITIONS")
+            if done is not None:
+                return done
         return self._commit(changes.update_rows(self.read(), condition, set_values), "UPDATE")
 
-    def _scoped(self, scope: str, set_values, delete_when) -> bool:
+    def _scoped(self, scope: str) -> bool:
         if scope not in ("table", "partitions"):
             raise TableError(f"scope must be 'table' or 'partitions', not {scope!r}")
         if scope == "table":
             return False
-        parts = self.partition_columns
-        if not parts:
+        if not self.partition_columns:
             raise TableError(f"{self.name} is not partitioned; scope='partitions' needs partitions")
-        touches_parts = bool(set_values) and any(p.lower() in {k.lower() for k in set_values} for p in parts)
-        return delete_when is None and not touches_parts
+        return True
 
     def delete(self, condition: str | Column, scope: str = "table") -> WriteResult:
         """M3.  ``scope="partitions"`` rewrites in place only the partitions
         holding a deleted row and empties those where every row goes."""
-        if self._scoped(scope, None, None):
+        if self._scoped(scope):
             cond = F.expr(condition) if isinstance(condition, str) else condition
             done = self._rewrite_partitions(F.coalesce(cond, F.lit(False)), None, "DELETE PARTITIONS")
             if done is not None:
@@ -387,7 +404,7 @@ class VersionedTable:
         return self._commit(changes.delete_rows(self.read(), condition), "DELETE")
 
     def _rewrite_partitions(self, removed: Column, new_rows: DataFrame | None, operation: str,
-                            current: DataFrame | None = None) -> WriteResult | None:
+                            current: DataFrame | None = None, located_by: Sequence[str] | None = None) -> WriteResult | None:
         """Remove old rows where ``removed`` (never NULL) and add ``new_rows``,
         rewriting in place only the partitions that change.
 
@@ -399,15 +416,21 @@ class VersionedTable:
            an empty source (their specs are partition metadata, collected).
         Returns None, so the caller rewrites the table, when more than
         ``MAX_EMPTIED_PARTITIONS`` partitions would have to be emptied.
+
+        ``current`` may carry helper columns for ``removed``; ``located_by``
+        names its columns holding each row's present partition values when
+        the partition columns themselves already show changed values.
         """
         parts = self.partition_columns
         names = self.schema.names
-        current = self.read() if current is None else current  # may carry helper columns for ``removed``
-        keys = [F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)]
+        current = self.read() if current is None else current
+        where = list(located_by) if located_by else parts
+        keys = [F.col(f"`{w}`").alias(f"__tw_p{i}") for i, w in enumerate(where)]
+        new_keys = [F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)]
         flag = removed.cast("int")
         stats = current.groupBy(*keys).agg(F.max(flag).alias("__tw_any"), F.min(flag).alias("__tw_all")).filter("__tw_any = 1")
         key_names = [f"__tw_p{i}" for i in range(len(parts))]
-        incoming = new_rows.select(*keys).distinct() if new_rows is not None else None
+        incoming = new_rows.select(*new_keys).distinct() if new_rows is not None else None
         emptied = stats.filter("__tw_all = 1").select(*key_names)
         if incoming is not None:
             arrived = incoming.select(*[F.col(k).alias(f"{k}_new") for k in key_names])
@@ -423,8 +446,8 @@ class VersionedTable:
         if incoming is not None:
             touched = touched.unionByName(incoming).distinct()
         on = None
-        for i, p in enumerate(parts):
-            term = F.col(f"`{p}`").eqNullSafe(F.col(f"__tw_p{i}"))
+        for i, w in enumerate(where):
+            term = F.col(f"`{w}`").eqNullSafe(F.col(f"__tw_p{i}"))
             on = term if on is None else on & term
         kept = _ordered(current.join(touched, on, "left_semi").filter(~removed), names)
         content = kept.unionByName(new_rows) if new_rows is not None else kept
@@ -502,7 +525,7 @@ class VersionedTable:
         if keys and sorted(keys) == sorted(self.partition_columns):
             return self._insert(df, overwrite=True, operation="DELETE THEN WRITE")
         incoming = df.select(*[F.col(f"`{k}`") for k in keys]).distinct()
-        if self._scoped(scope, None, None):
+        if self._scoped(scope):
             marked = self.read().join(incoming.withColumn("__tw_hit", F.lit(True)), on=keys, how="left")
             done = self._rewrite_partitions(F.col("__tw_hit").isNotNull(), self._conformed(df), "DELETE THEN WRITE PARTITIONS", marked)
             if done is not None:

@@ -137,10 +137,31 @@ def test_scoped_merge_with_delete_empties_partitions(spark, orders):
     assert b.version == 0 and "part=02" not in [r.partition for r in spark.sql(f"SHOW PARTITIONS {b.name}").collect()]
 
 
-def test_scoped_falls_back_when_rows_could_move(spark, orders):
+def test_scoped_update_moves_rows_between_partitions(spark, orders):
     t = _new(spark, orders, ["part"])
-    t.update("id = 2", {"part": "'09'"}, scope="partitions")
-    assert t.version == 1 and {r.part for r in t.read().filter("id = 2").collect()} == {"09"}
+    t.update("id = 2 OR id = 3", {"part": "'01'", "amt": "amt + 1"}, scope="partitions")
+    assert t.version == 0
+    assert {r.id: (r.part, r.amt) for r in t.read().collect()} == {1: ("01", 10.0), 2: ("01", 21.0), 3: ("01", 31.0), 4: (None, 40.0)}
+    assert "part=02" not in [r.partition for r in spark.sql(f"SHOW PARTITIONS {t.name}").collect()]
+
+
+def test_scoped_merge_moves_keys_between_partitions(spark, orders):
+    upd = spark.createDataFrame([(3, "01", 3.5)], "id bigint, part string, amt double")
+    a, b = _new(spark, orders, ["part"]), _new(spark, orders, ["part"])
+    a.merge(upd, None, keys=["id"])
+    b.merge(upd, None, keys=["id"], scope="partitions")
+    assert _rows(a.read()) == _rows(b.read()) and b.version == 0
+    assert {r.id: r.part for r in b.read().collect()}[3] == "01"
+
+
+def test_aligned_merge(spark, orders):
+    upd = spark.createDataFrame([(2, "01", 99.0), (9, "03", 9.0)], "id bigint, part string, amt double")
+    a, b = _new(spark, orders, ["part"]), _new(spark, orders, ["part"])
+    a.merge(upd, "target.id = updates.id", keys=["id"])
+    b.merge(upd, "target.id = updates.id", keys=["id"], scope="partitions", aligned=True)
+    assert _rows(a.read()) == _rows(b.read())
+    with pytest.raises(TableError):
+        b.merge(upd, None, keys=["id"], scope="partitions", aligned=True, update_set={"part": "updates.part"})
     with pytest.raises(TableError):
         _new(spark, orders).merge(orders, "target.id = updates.id", scope="partitions")
 
