@@ -103,10 +103,26 @@ def log_operation(spark: SparkSession, db: str, op_id: str, entity_id: str, stat
 
 def operations_current(spark: SparkSession, db: str) -> DataFrame:
     """Latest row per ``op_id`` of the append-only operation log."""
-    ops = spark.table(_t(db, OPERATIONS)).withColumn("__tw_rank", F.when(F.col("status") == STARTED, 1).when(F.col("status").isNull(), 0).otherwise(2))
+    ops = spark.table(_t(db, OPERATIONS)).withColumn("__tw_rank", _status_rank())
     return latest_per_key(ops, ["op_id"], ["updated_at", "__tw_rank"]).drop("__tw_rank")
 
 
+def _status_rank():
+    """Tie-break for rows logged within the same timestamp: request < Started < end state."""
+    return F.when(F.col("status") == STARTED, 1).when(F.col("status").isNull(), 0).otherwise(2)
+
+
+def entities_current(spark: SparkSession, db: str) -> DataFrame:
+    """Entities with ``latest_status`` / ``updated_at`` from their newest
+    operation row (the log is append-only, so the entity row is not rewritten)."""
+    ops = spark.table(_t(db, OPERATIONS)).filter(F.col("status").isNotNull()).select("entity_id", "status", "updated_at")
+    newest = latest_per_key(ops.withColumn("__tw_rank", _status_rank()), ["entity_id"], ["updated_at", "__tw_rank"])
+    ents = spark.table(_t(db, ENTITY)).drop("latest_status", "updated_at")
+    return ents.join(newest, ents["id"] == newest["entity_id"], "left").select(
+        *[ents[c] for c in ents.columns], newest["status"].alias("latest_status"), newest["updated_at"].alias("updated_at")
+    )
+
+
 def store_stats(spark: SparkSession, db: str, run_id: str, metrics: Mapping[str, object]) -> None:
     """A3: append the metrics of one write to the stats table."""
     stats_rows(spark, run_id, metrics).write.insertInto(_t(db, STATS))

@@ -195,8 +195,8 @@ ORACLES: dict[str, str] = {
         " SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events"
         ") WHERE rn = 1"
     ),
-    "metadata_tables": ("SELECT 'op-1' AS op_id, 'Finished' AS status, CAST(count(*) AS VARCHAR) AS num_output_rows "
-                        "FROM orders"),
+    "metadata_tables": ("SELECT 'op-1' AS op_id, 'Finished' AS status, CAST(count(*) AS VARCHAR) AS num_output_rows, "
+                        "'Finished' AS entity_status FROM orders"),
     "load_job": ("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, 'csv' AS load_src, o_orderstatus "
                  "FROM orders"),
     "load_job_raw": "SELECT * FROM orders",

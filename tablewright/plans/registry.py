@@ -481,8 +481,13 @@ def q_metadata_tables(spark, d):
     md.log_operation(spark, db, "op-1", "e1", None, {"path": "/orders.parquet"})
     jobs.load_from_metadata(spark, db, "op-1", conform=False)
     stats = spark.table(f"`{db}`.`{md.STATS}`").filter("stat_name = 'num_output_rows'").select("stat_id", "stat_value")
-    current = md.operations_current(spark, db).select("op_id", "status")
-    return current.join(stats, current["op_id"] == stats["stat_id"]).select("op_id", "status", F.col("stat_value").alias("num_output_rows"))
+    current = md.operations_current(spark, db).select("op_id", "entity_id", "status")
+    entity = md.entities_current(spark, db).select(F.col("id").alias("entity_key"), F.col("latest_status").alias("entity_status"))
+    return (
+        current.join(stats, current["op_id"] == stats["stat_id"])
+        .join(entity, current["entity_id"] == entity["entity_key"])
+        .select("op_id", "status", F.col("stat_value").alias("num_output_rows"), "entity_status")
+    )
 
 
 def q_load_job(spark, d):

@@ -105,3 +105,14 @@ def test_resolve_rows_single_and_batch(spark, sf_dir):
     one = md.resolve_rows(o, c, "42").collect()
     assert len(one) == 1 and one[0].op_id == "42" and "op_details" in one[0].asDict()
     assert md.resolve_rows(o, c).count() == o.join(c, o.entity_id == c.id).count()
+
+
+def test_entities_current_follows_log(spark, sf_dir):
+    db = unique_table_name("meta")
+    md.create_metadata_tables(spark, db, scratch_path(spark, "meta"))
+    md.add_entity(spark, db, "e1", "x", "t1", {})
+    md.add_entity(spark, db, "e2", "x", "t2", {})
+    md.log_operation(spark, db, "op-1", "e1", md.STARTED)
+    md.log_operation(spark, db, "op-1", "e1", md.FINISHED)
+    got = {r.id: r.latest_status for r in md.entities_current(spark, db).collect()}
+    assert got == {"e1": md.FINISHED, "e2": None}
