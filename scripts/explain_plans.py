@@ -44,8 +44,11 @@ def main() -> None:
          hashing.hash_columns(r.table(spark, d, "customer"), "h", 256, "c_custkey", "c_name").select("c_custkey", "h")),
         ("Merge, table scope (M1): LEFT OUTER join + LEFT ANTI join on target keys only",
          changes.merge(target, updates, "target.c_custkey = updates.c_custkey", check_unique=False)),
-        ("Merge, partition scope: target pruned to the partitions present in the updates (J5 + partition filters)",
+        ("Merge, aligned partition scope: target pruned to the partitions present in the updates (J5 + partition filters)",
          changes.merge(keys.prune_target(t.read(), upd, ["o_orderstatus"]), upd, scoped_cond, check_unique=False)),
+        ("Merge, exact partition scope: the marking pass reads only key / partition columns and aggregates before the shuffle",
+         changes.merge_parts(t.read(), upd, None, keys=["o_orderkey"], carry=["o_orderstatus"], check_unique=False).marked
+         .groupBy(F.col(f"{changes.ORIGINAL}o_orderstatus")).agg(F.max(F.col(changes.UPDATED).cast("int")).alias("any_changed"))),
         ("Partitioned write: rebalance hint (AQE splits hot partition values)",
          _clustered(o, ["o_orderstatus"])),
         ("Target pruning (J5): per-key semi joins against pre-aggregated distinct values",
