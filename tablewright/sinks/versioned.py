@@ -37,6 +37,7 @@ PROP_VERSION = "tablewright.version"
 PROP_ROOT = "tablewright.root"
 PROP_OPERATION = "tablewright.operation"
 PROP_METRICS = "tablewright.metrics"
+PROP_PARTITIONS = "tablewright.partition_columns"
 VERSION_DIR = "version-{}"
 # Above this many partitions to empty, one whole-table rewrite job is cheaper
 # than one small overwrite job per emptied partition.
@@ -146,6 +147,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.name = name
+        self._parts: list[str] | None = None  # fixed at creation, so cached per handle
         if not spark.catalog.tableExists(name):
             raise TableError(f"table {name} does not exist")
 
@@ -184,6 +186,7 @@ class VersionedTable:
             PROP_ROOT: root,
             PROP_OPERATION: operation,
             PROP_METRICS: json.dumps(metrics, sort_keys=True),
+            PROP_PARTITIONS: json.dumps(list(parts)),
         }
         prop_sql = ", ".join(f"{_sql_str(k)}={_sql_str(v)}" for k, v in props.items())
         part_sql = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
@@ -213,7 +216,12 @@ class VersionedTable:
 
     @property
     def partition_columns(self) -> list[str]:
-        return [c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition]
+        if self._parts is None:
+            stored = self.properties().get(PROP_PARTITIONS)
+            self._parts = json.loads(stored) if stored is not None else [
+                c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition
+            ]
+        return list(self._parts)
 
     @property
     def last_metrics(self) -> dict[str, str]:
@@ -224,8 +232,9 @@ class VersionedTable:
         return self.properties().get(PROP_OPERATION, "")
 
     def location(self, version: int | None = None) -> str:
-        v = self.version if version is None else version
-        return self.location_of(self.root, v)
+        props = self.properties()
+        v = int(props[PROP_VERSION]) if version is None else version
+        return self.location_of(props[PROP_ROOT], v)
 
     @staticmethod
     def location_of(root: str, version: int) -> str:
@@ -239,9 +248,11 @@ class VersionedTable:
             # another session (e.g. a stream's foreachBatch) may have written it
             self.spark.catalog.refreshTable(self.name)
             return self.spark.table(self.name)
-        if not 0 <= version <= self.version:
-            raise TableError(f"{self.name} has versions 0..{self.version}, not {version}")
-        path = self.location(version)
+        props = self.properties()
+        latest = int(props[PROP_VERSION])
+        if not 0 <= version <= latest:
+            raise TableError(f"{self.name} has versions 0..{latest}, not {version}")
+        path = self.location_of(props[PROP_ROOT], version)
         return self.spark.read.schema(self.schema).option("basePath", path).parquet(path)
 
     # -------------------------------------------------------- version rewrites
@@ -249,17 +260,17 @@ class VersionedTable:
         """Write ``content`` as the next version and point the catalog at it."""
         schema = self.schema
         parts = self.partition_columns
-        nxt = self.version + 1
-        location = self.location(nxt)
+        before = self.properties()
+        root = before[PROP_ROOT]
+        nxt = int(before[PROP_VERSION]) + 1
+        location = self.location_of(root, nxt)
         data = _ordered(content, schema.names)
         metrics = _observed_write(_clustered(data, parts), lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
-        root = self.root
         if parts:
             # Registered partitions keep their old directories under SET LOCATION,
             # so a partitioned table is re-registered at the new version.  The
             # files of every version stay; if registering the new one fails, the
             # previous version is registered again before the error propagates.
-            before = self.properties()
             self.spark.sql(f"DROP TABLE {_ident(self.name)}")
             try:
                 self._register(self.spark, self.name, schema, parts, location, root, nxt, operation, metrics)
