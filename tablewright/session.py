@@ -51,7 +51,11 @@ def work_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/") + "/tablewright"
     if _local_root is None:
-        # Unset only in local runs: make one and hand it to Spark as well.
+        # Only a local-mode run may fall back to a machine-local folder; on a
+        # cluster every executor must see the same files.
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (tables and checkpoints go there)")
         _local_root = tempfile.mkdtemp(prefix="tablewright-")
         spark.sparkContext.setCheckpointDir(_local_root + "/checkpoints")
     return _local_root + "/tablewright"
