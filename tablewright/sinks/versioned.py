@@ -521,7 +521,11 @@ class VersionedTable:
         parts = self.partition_columns
         if sorted(values) != sorted(parts):
             raise TableError(f"static partition needs values for exactly {parts}")
-        return self._insert(with_literals(df, dict(values)), overwrite=True, operation="OVERWRITE STATIC PARTITION")
+        result = self._insert(with_literals(df, dict(values)), overwrite=True, operation="OVERWRITE STATIC PARTITION")
+        if result.metrics.get("num_output_rows") == "0":
+            # nothing was written, so dynamic overwrite left the partition as it was
+            self._empty_partitions([[values[p] for p in parts]])
+        return result
 
     def delete_then_write(self, df: DataFrame, keys: Sequence[str], scope: str = "table") -> WriteResult:
         """Drop every old row whose ``keys`` tuple occurs in ``df``, then add ``df``.

@@ -65,3 +65,13 @@ def test_read_external_neither_is_empty(spark):
 def test_schema_of_runs_no_rows(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/part.parquet")
     assert files.schema_of(df) == df.schema
+
+
+def test_header_file_with_control_char_delimiter(spark, sf_dir):
+    target = spark.read.parquet(f"{sf_dir}/nation.parquet").schema
+    hdr = scratch_path(spark, "hdr1")
+    spark.createDataFrame([("n_nationkey", "n_name")]).coalesce(1).write.option("delimiter", "\u0001").csv(hdr)
+    _, schema = S.csv_read_plan(spark, {"delimiter": "\u0001"}, {"headerPath": hdr}, target)
+    assert schema.names == ["n_nationkey", "n_name"]
+    _, schema = S.csv_read_plan(spark, {}, {"headerPath": hdr}, target)  # read with ',' the line is one name
+    assert len(schema.names) == 1

@@ -209,3 +209,9 @@ def test_scoped_delete_then_write(spark, orders):
     assert _rows(a.read()) == _rows(b.read())
     assert {r.id: r.amt for r in b.read().collect()} == {1: -1.0, 2: 20.0, 3: 30.0, 4: 40.0, 9: 9.0}
     assert b.version == 0
+
+
+def test_static_partition_with_no_rows_empties_it(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.write_static_partition(orders.limit(0), {"part": "01"})
+    assert sorted(r.id for r in t.read().collect()) == [3, 4]
