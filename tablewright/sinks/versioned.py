@@ -42,6 +42,9 @@ VERSION_DIR = "version-{}"
 # Above this many partitions to empty, one whole-table rewrite job is cheaper
 # than one small overwrite job per emptied partition.
 MAX_EMPTIED_PARTITIONS = 256
+# A change reaching more partitions than this is written as a new version of
+# the whole table instead (the touched list becomes a literal predicate).
+MAX_TOUCHED_PARTITIONS = 10000
 
 
 class TableError(RuntimeError):
@@ -77,6 +80,27 @@ def _sql_literal(value: object) -> str:
     return _sql_str(str(value))
 
 
+def _partition_predicate(columns: Sequence[str], specs: Sequence[Sequence[object]]) -> Column:
+    """``columns`` equal (NULL-safe) to one of the value tuples in ``specs``."""
+    if not specs:
+        return F.lit(False)
+    if len(columns) == 1:
+        col = F.col(f"`{columns[0]}`")
+        values = [v[0] for v in specs if v[0] is not None]
+        pred = col.isin(values) if values else F.lit(False)
+        return pred | col.isNull() if any(v[0] is None for v in specs) else pred
+    terms = []
+    for values in specs:
+        term = None
+        for c, v in zip(columns, values):
+            t = F.col(f"`{c}`").eqNullSafe(F.lit(v))
+            term = t if term is None else term & t
+        terms.append(term)
+    while len(terms) > 1:  # balanced OR: depth log2(n), not n
+        terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -419,14 +443,19 @@ class VersionedTable:
         """Remove old rows where ``removed`` (never NULL) and add ``new_rows``,
         rewriting in place only the partitions that change.
 
-        1. One aggregate over the current rows (partial before the shuffle, one
-           row per partition out) marks partitions with any / only removed rows.
-        2. Touched partitions = those with a removed row or a new row; their
-           kept rows plus the new rows replace them by dynamic overwrite.
+        1. One job summarises the change per partition: an aggregate over the
+           current rows (partial before the shuffle) marks partitions with any /
+           only removed rows, the distinct partitions of the new rows are added,
+           and the result (one row per touched partition: metadata) is
+           collected.
+        2. The touched partitions become a literal partition predicate, so the
+           rewrite job prunes the scan of kept rows at planning time; kept rows
+           plus the new rows replace those partitions by dynamic overwrite.
         3. Partitions left with no rows are emptied by a static overwrite from
-           an empty source (their specs are partition metadata, collected).
-        Returns None, so the caller rewrites the table, when more than
-        ``MAX_EMPTIED_PARTITIONS`` partitions would have to be emptied.
+           an empty source.
+        Returns None, so the caller rewrites the whole table (exact), when more
+        than ``MAX_TOUCHED_PARTITIONS`` partitions change or more than
+        ``MAX_EMPTIED_PARTITIONS`` would have to be emptied.
 
         ``current`` may carry helper columns for ``removed``; ``located_by``
         names its columns holding each row's present partition values when
@@ -436,34 +465,29 @@ class VersionedTable:
         names = self.schema.names
         current = self.read() if current is None else current
         where = list(located_by) if located_by else parts
-        keys = [F.col(f"`{w}`").alias(f"__tw_p{i}") for i, w in enumerate(where)]
-        new_keys = [F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)]
-        flag = removed.cast("int")
-        stats = current.groupBy(*keys).agg(F.max(flag).alias("__tw_any"), F.min(flag).alias("__tw_all")).filter("__tw_any = 1")
         key_names = [f"__tw_p{i}" for i in range(len(parts))]
-        incoming = new_rows.select(*new_keys).distinct() if new_rows is not None else None
-        emptied = stats.filter("__tw_all = 1").select(*key_names)
-        if incoming is not None:
-            arrived = incoming.select(*[F.col(k).alias(f"{k}_new") for k in key_names])
-            same = None
-            for k in key_names:
-                term = F.col(k).eqNullSafe(F.col(f"{k}_new"))
-                same = term if same is None else same & term
-            emptied = emptied.join(arrived, same, "left_anti")
-        specs = emptied.limit(MAX_EMPTIED_PARTITIONS + 1).collect()  # partition specs only
-        if len(specs) > MAX_EMPTIED_PARTITIONS:
+        flag = removed.cast("int")
+        old = (
+            current.groupBy(*[F.col(f"`{w}`").alias(k) for w, k in zip(where, key_names)])
+            .agg(F.max(flag).alias("__tw_any"), F.min(flag).alias("__tw_all"))
+            .filter("__tw_any = 1")
+            .select(*key_names, F.col("__tw_all"), F.lit(0).alias("__tw_new"))
+        )
+        if new_rows is not None:
+            arriving = new_rows.select(*[F.col(f"`{p}`").alias(k) for p, k in zip(parts, key_names)]).distinct()
+            old = old.unionByName(arriving.select(*key_names, F.lit(0).alias("__tw_all"), F.lit(1).alias("__tw_new")))
+        summary = old.groupBy(*key_names).agg(F.max("__tw_all").alias("__tw_all"), F.max("__tw_new").alias("__tw_new"))
+        touched = summary.limit(MAX_TOUCHED_PARTITIONS + 1).collect()  # one row per touched partition
+        if len(touched) > MAX_TOUCHED_PARTITIONS:
+            return None
+        emptied = [[r[k] for k in key_names] for r in touched if r["__tw_all"] == 1 and r["__tw_new"] == 0]
+        if len(emptied) > MAX_EMPTIED_PARTITIONS:
             return None
-        touched = stats.select(*key_names)
-        if incoming is not None:
-            touched = touched.unionByName(incoming).distinct()
-        on = None
-        for i, w in enumerate(where):
-            term = F.col(f"`{w}`").eqNullSafe(F.col(f"__tw_p{i}"))
-            on = term if on is None else on & term
-        kept = _ordered(current.join(touched, on, "left_semi").filter(~removed), names)
+        in_touched = _partition_predicate(where, [[r[k] for k in key_names] for r in touched])
+        kept = _ordered(current.filter(in_touched & ~removed), names)
         content = kept.unionByName(new_rows) if new_rows is not None else kept
         result = self._insert(content, overwrite=True, operation=operation)
-        self._empty_partitions([[row[k] for k in key_names] for row in specs])
+        self._empty_partitions(emptied)
         return result
 
     def _empty_partitions(self, specs: Sequence[Sequence[object]]) -> None:

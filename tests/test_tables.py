@@ -215,3 +215,16 @@ def test_static_partition_with_no_rows_empties_it(spark, orders):
     t = _new(spark, orders, ["part"])
     t.write_static_partition(orders.limit(0), {"part": "01"})
     assert sorted(r.id for r in t.read().collect()) == [3, 4]
+
+
+def test_partition_predicate_shapes(spark):
+    from tablewright.sinks.versioned import _partition_predicate
+
+    df = spark.createDataFrame([(1, "a", 1), (2, None, 2), (3, "b", None), (4, "c", 3)], "id int, p string, q int")
+    one = df.filter(_partition_predicate(["p"], [["a"], [None]]))
+    assert sorted(r.id for r in one.collect()) == [1, 2]
+    two = df.filter(_partition_predicate(["p", "q"], [["a", 1], ["b", None], ["c", 9]]))
+    assert sorted(r.id for r in two.collect()) == [1, 3]
+    many = df.filter(_partition_predicate(["p", "q"], [[f"x{i}", i] for i in range(3000)] + [["c", 3]]))
+    assert [r.id for r in many.collect()] == [4]
+    assert df.filter(_partition_predicate(["p"], [])).count() == 0
