@@ -195,7 +195,11 @@ class VersionedTable:
                 return cls(spark, name)
             raise TableError(f"table {name} already exists")
         root = root or f"{work_root(spark)}/tables/{name.replace('.', '/')}"
-        parts = list(partition_by)
+        by_lower = {c.lower(): c for c in df.columns}
+        missing = [p for p in partition_by if p.lower() not in by_lower]
+        if missing:
+            raise TableError(f"partition columns {missing} are not in the data")
+        parts = [by_lower[p.lower()] for p in partition_by]
         data_cols = [c for c in df.columns if c not in parts]
         ordered = _ordered(df, data_cols + parts)
         location = f"{root}/{VERSION_DIR.format(0)}"

@@ -38,6 +38,7 @@ def stream_into_table(
     merge_condition: str | None = None,
     merge_keys: Sequence[str] | None = None,
     merge_scope: str = "table",
+    merge_aligned: bool = False,
     checkpoint: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
@@ -64,7 +65,8 @@ def stream_into_table(
         elif mode == "overwrite_partitions":
             table.overwrite_partitions(batch)
         else:
-            table.merge(batch, merge_condition, scope=merge_scope, keys=list(merge_keys) if merge_keys else None)
+            table.merge(batch, merge_condition, scope=merge_scope, aligned=merge_aligned,
+                        keys=list(merge_keys) if merge_keys else None)
         table._set_props({PROP_BATCH.format(stream_name): str(batch_id)})
 
     writer = stream_df.writeStream.queryName(stream_name).option("checkpointLocation", checkpoint).foreachBatch(write_batch)

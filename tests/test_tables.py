@@ -228,3 +228,10 @@ def test_partition_predicate_shapes(spark):
     many = df.filter(_partition_predicate(["p", "q"], [[f"x{i}", i] for i in range(3000)] + [["c", 3]]))
     assert [r.id for r in many.collect()] == [4]
     assert df.filter(_partition_predicate(["p"], [])).count() == 0
+
+
+def test_create_partition_names_any_case(spark, orders):
+    t = VersionedTable.create(spark, unique_table_name("case"), orders, root=scratch_path(spark, "case"), partition_by=["PART"])
+    assert t.partition_columns == ["part"] and t.read().columns == ["id", "amt", "part"]
+    with pytest.raises(TableError):
+        VersionedTable.create(spark, unique_table_name("case"), orders, root=scratch_path(spark, "case"), partition_by=["nope"])
