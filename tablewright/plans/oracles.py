@@ -98,6 +98,10 @@ ORACLES: dict[str, str] = {
         f"WITH t AS {_T}, u AS {_U} "
         "SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custkey FROM u) UNION ALL SELECT * FROM u"
     ),
+    "merge_bucketed": (
+        f"WITH t AS {_T}, u AS {_U} "
+        "SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custkey FROM u) UNION ALL SELECT * FROM u"
+    ),
     "merge_delete": (
         f"WITH t AS {_T}, u AS {_U} "
         "SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custkey FROM u) "

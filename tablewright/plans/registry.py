@@ -262,6 +262,16 @@ def q_merge_upsert(spark, d):
     return t.read()
 
 
+def q_merge_bucketed(spark, d):
+    """Upsert into a target stored in buckets of the merge key: the joins read
+    the target without shuffling it."""
+    target, updates = _merge_inputs(spark, d)
+    t = VersionedTable.create(spark, unique_table_name("merge_bucketed"), target, root=scratch_path(spark, "merge_bucketed"),
+                              bucket_by=(8, ["c_custkey"]))
+    t.merge(updates, None, keys=["c_custkey"])
+    return t.read()
+
+
 def q_merge_delete(spark, d):
     t, updates = _customer_table(spark, d, "merge_delete")
     t.merge(updates, "target.c_custkey = updates.c_custkey", delete_when="updates.c_acctbal < 0", keys=["c_custkey"])
@@ -561,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "scd2_merge": q_scd2_merge,
     "prune_target": q_prune_target,
     "merge_upsert": q_merge_upsert,
+    "merge_bucketed": q_merge_bucketed,
     "merge_delete": q_merge_delete,
     "merge_exprs": q_merge_exprs,
     "merge_partitions": q_merge_partitions,

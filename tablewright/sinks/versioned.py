@@ -20,6 +20,7 @@ Single writer per table is assumed: there is no transaction log.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -38,6 +39,7 @@ PROP_ROOT = "tablewright.root"
 PROP_OPERATION = "tablewright.operation"
 PROP_METRICS = "tablewright.metrics"
 PROP_PARTITIONS = "tablewright.partition_columns"
+PROP_BUCKETS = "tablewright.bucket_by"
 VERSION_DIR = "version-{}"
 # Above this many partitions to empty, one whole-table rewrite job is cheaper
 # than one small overwrite job per emptied partition.
@@ -137,6 +139,28 @@ def _materialized(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _write_version(spark: SparkSession, name: str, df: DataFrame, location: str, parts: Sequence[str],
+                   bucket_by: tuple[int, list[str]] | None) -> dict[str, str]:
+    """Write one version directory; returns the write's row metrics.
+
+    Bucketed tables are written through a throwaway external catalog table
+    (bucketed writes need one), dropped right after: its files stay where the
+    version lives.
+    """
+    if bucket_by is None:
+        return _observed_write(_clustered(df, parts), lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
+    n, cols = bucket_by
+    db = name.rsplit(".", 1)[0] + "." if "." in name else ""
+    staging = f"{db}__tw_stage_{uuid.uuid4().hex[:12]}"
+    metrics = _observed_write(
+        df,
+        lambda d: d.write.mode("overwrite").partitionBy(*parts).bucketBy(n, *cols).sortBy(*cols)
+        .option("path", location).saveAsTable(staging),
+    )
+    spark.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
+    return metrics
+
+
 def _observed_write(df: DataFrame, write) -> dict[str, str]:
     """Run ``write(observed_df)`` and return row metrics gathered by the same job."""
     obs = Observation("tablewright_write")
@@ -185,10 +209,15 @@ class VersionedTable:
         root: str | None = None,
         partition_by: Sequence[str] = (),
         if_exists: str = "error",
+        bucket_by: tuple[int, Sequence[str]] | None = None,
     ) -> "VersionedTable":
         """Create the table from ``df`` as version 0.
 
         ``if_exists``: ``error`` or ``ignore`` (keep the existing table).
+        ``bucket_by=(n, columns)`` stores every version in ``n`` buckets of
+        those columns: joins and aggregations on them (a merge on its key, the
+        distinct keys of its insert check) then read the table without a
+        shuffle.  The first version is hash-partitioned into the buckets once.
         """
         if spark.catalog.tableExists(name):
             if if_exists == "ignore":
@@ -203,23 +232,33 @@ class VersionedTable:
         data_cols = [c for c in df.columns if c not in parts]
         ordered = _ordered(df, data_cols + parts)
         location = f"{root}/{VERSION_DIR.format(0)}"
-        metrics = _observed_write(_clustered(ordered, parts), lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
-        cls._register(spark, name, ordered.schema, parts, location, root, 0, "CREATE", metrics)
+        bucket = None
+        if bucket_by is not None:
+            n, cols = bucket_by
+            bucket = (int(n), [by_lower[c.lower()] for c in cols])
+            ordered = ordered.repartition(bucket[0], *[F.col(f"`{c}`") for c in bucket[1]])
+        metrics = _write_version(spark, name, ordered, location, parts, bucket)
+        cls._register(spark, name, ordered.schema, parts, location, root, 0, "CREATE", metrics, bucket)
         return cls(spark, name)
 
     @staticmethod
-    def _register(spark, name, schema, parts, location, root, version, operation, metrics) -> None:
+    def _register(spark, name, schema, parts, location, root, version, operation, metrics, bucket=None) -> None:
         props = {
             PROP_VERSION: str(version),
             PROP_ROOT: root,
             PROP_OPERATION: operation,
             PROP_METRICS: json.dumps(metrics, sort_keys=True),
             PROP_PARTITIONS: json.dumps(list(parts)),
+            PROP_BUCKETS: json.dumps(list(bucket) if bucket else None),
         }
         prop_sql = ", ".join(f"{_sql_str(k)}={_sql_str(v)}" for k, v in props.items())
         part_sql = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+        bucket_sql = ""
+        if bucket:
+            cols = ", ".join(f"`{c}`" for c in bucket[1])
+            bucket_sql = f"CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {bucket[0]} BUCKETS"
         spark.sql(
-            f"CREATE TABLE {_ident(name)} ({_ddl_columns(schema)}) USING parquet {part_sql} "
+            f"CREATE TABLE {_ident(name)} ({_ddl_columns(schema)}) USING parquet {part_sql} {bucket_sql} "
             f"LOCATION {_sql_str(location)} TBLPROPERTIES ({prop_sql})"
         )
         if parts:
@@ -251,6 +290,11 @@ class VersionedTable:
             ]
         return list(self._parts)
 
+    @property
+    def bucket_by(self) -> tuple[int, list[str]] | None:
+        stored = json.loads(self.properties().get(PROP_BUCKETS, "null") or "null")
+        return (int(stored[0]), list(stored[1])) if stored else None
+
     @property
     def last_metrics(self) -> dict[str, str]:
         return json.loads(self.properties().get(PROP_METRICS, "{}"))
@@ -293,7 +337,9 @@ class VersionedTable:
         nxt = int(before[PROP_VERSION]) + 1
         location = self.location_of(root, nxt)
         data = _ordered(content, schema.names)
-        metrics = _observed_write(_clustered(data, parts), lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
+        stored = json.loads(before.get(PROP_BUCKETS, "null") or "null")
+        bucket = (int(stored[0]), list(stored[1])) if stored else None
+        metrics = _write_version(self.spark, self.name, data, location, parts, bucket)
         if parts:
             # Registered partitions keep their old directories under SET LOCATION,
             # so a partitioned table is re-registered at the new version.  The
@@ -301,12 +347,13 @@ class VersionedTable:
             # previous version is registered again before the error propagates.
             self.spark.sql(f"DROP TABLE {_ident(self.name)}")
             try:
-                self._register(self.spark, self.name, schema, parts, location, root, nxt, operation, metrics)
+                self._register(self.spark, self.name, schema, parts, location, root, nxt, operation, metrics, bucket)
             except Exception:
                 if self.spark.catalog.tableExists(self.name):
                     self.spark.sql(f"DROP TABLE {_ident(self.name)}")
                 self._register(self.spark, self.name, schema, parts, self.location_of(root, int(before[PROP_VERSION])), root,
-                               int(before[PROP_VERSION]), before.get(PROP_OPERATION, ""), json.loads(before.get(PROP_METRICS, "{}")))
+                               int(before[PROP_VERSION]), before.get(PROP_OPERATION, ""), json.loads(before.get(PROP_METRICS, "{}")),
+                               bucket)
                 raise
         else:
             self.spark.sql(f"ALTER TABLE {_ident(self.name)} SET LOCATION {_sql_str(location)}")

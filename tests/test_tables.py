@@ -235,3 +235,31 @@ def test_create_partition_names_any_case(spark, orders):
     assert t.partition_columns == ["part"] and t.read().columns == ["id", "amt", "part"]
     with pytest.raises(TableError):
         VersionedTable.create(spark, unique_table_name("case"), orders, root=scratch_path(spark, "case"), partition_by=["nope"])
+
+
+def test_bucketed_table_merge_without_target_shuffle(spark, sf_dir):
+    import contextlib
+    import io
+
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    t = VersionedTable.create(spark, unique_table_name("bkt"), c, root=scratch_path(spark, "bkt"), bucket_by=(4, ["C_CUSTKEY"]))
+    assert t.bucket_by == (4, ["c_custkey"])
+    upd = c.filter("c_acctbal < 0").withColumn("c_acctbal", F.lit(0.0))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from tablewright.operators import changes
+
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            changes.merge(t.read(), upd, None, keys=["c_custkey"], check_unique=False).explain()
+        plan = buf.getvalue()
+        assert "Bucketed: true" in plan
+        # the target side of the sort-merge joins is not shuffled: only the updates are
+        assert plan.count("Exchange hashpartitioning(c_custkey") == 2
+        t.merge(upd, None, keys=["c_custkey"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert t.version == 1 and t.bucket_by == (4, ["c_custkey"])
+    got = {r.c_custkey: r.c_acctbal for r in t.read().collect()}
+    assert len(got) == c.count() and all(got[r.c_custkey] == 0.0 for r in upd.collect())
