@@ -375,6 +375,16 @@ class VersionedTable:
         """Replace the whole content (new version)."""
         return self._commit(self._conformed(df), "OVERWRITE")
 
+    def compact(self) -> WriteResult:
+        """Rewrite the current content as a new version with few, large files.
+
+        In-place appends add files to the current version; reading them back
+        packs small files into splits of ``spark.sql.files.maxPartitionBytes``
+        and the write rebalances (or re-buckets) them, so the new version has
+        about one file per split instead of one per append task.
+        """
+        return self._commit(self.read(), "COMPACT")
+
     def replace_where(self, df: DataFrame, condition: str | Column, scope: str = "table") -> WriteResult:
         """Replace exactly the rows satisfying ``condition``.
 

@@ -263,3 +263,12 @@ def test_bucketed_table_merge_without_target_shuffle(spark, sf_dir):
     assert t.version == 1 and t.bucket_by == (4, ["c_custkey"])
     got = {r.c_custkey: r.c_acctbal for r in t.read().collect()}
     assert len(got) == c.count() and all(got[r.c_custkey] == 0.0 for r in upd.collect())
+
+
+def test_compact_keeps_rows_and_makes_a_version(spark, orders):
+    t = _new(spark, orders, ["part"])
+    for _ in range(3):
+        t.append(orders)
+    before = _rows(t.read())
+    t.compact()
+    assert t.version == 1 and t.last_operation == "COMPACT" and _rows(t.read()) == before
