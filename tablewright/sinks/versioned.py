@@ -10,9 +10,11 @@ the newest one; the version number and root are table properties.
   retried job leaves only an unreferenced directory, which the next attempt
   overwrites; readers of older versions are never disturbed, so time travel
   is reading ``version-n`` with the stored schema.
-* Appends and partition overwrites (dynamic, static, delete-then-write on
-  partition keys) work in place on the current version and rewrite only the
-  partitions they touch.  They do not start a new version.
+* Appends, partition overwrites (dynamic, static, delete-then-write on
+  partition keys) and partition-scoped changes work in place on the current
+  version and rewrite only the partitions they touch.  They do not start a
+  new version: a version directory holds the table as it stood when the next
+  rewriting change started, and older versions are never modified.
 
 Single writer per table is assumed: there is no transaction log.
 """

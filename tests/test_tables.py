@@ -272,3 +272,13 @@ def test_compact_keeps_rows_and_makes_a_version(spark, orders):
     before = _rows(t.read())
     t.compact()
     assert t.version == 1 and t.last_operation == "COMPACT" and _rows(t.read()) == before
+
+
+def test_in_place_changes_touch_only_the_current_version(spark, orders):
+    t = _new(spark, orders, ["part"])
+    t.compact()  # version 1; version 0 is now frozen
+    t.delete("id = 1", scope="partitions")
+    t.append(orders.filter("id = 3"))
+    assert t.version == 1
+    assert sorted(r.id for r in t.read(0).collect()) == [1, 2, 3, 4]
+    assert sorted(r.id for r in t.read(1).collect()) == [2, 3, 3, 4]
