@@ -150,7 +150,12 @@ def _write_version(spark: SparkSession, name: str, df: DataFrame, location: str,
     version lives.
     """
     if bucket_by is None:
-        return _observed_write(_clustered(df, parts), lambda d: d.write.mode("overwrite").partitionBy(*parts).parquet(location))
+        # static overwrite whatever the session default: a retried write must
+        # clear every partition a crashed attempt may have left in the directory
+        return _observed_write(
+            _clustered(df, parts),
+            lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts).parquet(location),
+        )
     n, cols = bucket_by
     db = name.rsplit(".", 1)[0] + "." if "." in name else ""
     staging = f"{db}__tw_stage_{uuid.uuid4().hex[:12]}"

@@ -282,3 +282,15 @@ def test_in_place_changes_touch_only_the_current_version(spark, orders):
     assert t.version == 1
     assert sorted(r.id for r in t.read(0).collect()) == [1, 2, 3, 4]
     assert sorted(r.id for r in t.read(1).collect()) == [2, 3, 3, 4]
+
+
+def test_version_write_clears_leftovers_even_in_dynamic_session(spark, orders):
+    t = _new(spark, orders, ["part"])
+    # a crashed earlier attempt left a partition in the next version's directory
+    orders.filter("id = 1").withColumn("part", F.lit("zz")).write.partitionBy("part").parquet(t.location(1))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        t.overwrite(orders.filter("id = 2"))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.id for r in t.read(1).collect()] == [2]
