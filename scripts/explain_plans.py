@@ -60,12 +60,19 @@ def main() -> None:
         ("Theta join (J2) with a bounded dimension: broadcast nested loop over 25 nation rows",
          keys.theta_join(r.table(spark, d, "customer"), r.table(spark, d, "nation"), ["c_nationkey >= n_nationkey"])),
     ]
+    bucketed = VersionedTable.create(spark, unique_table_name("plans_bkt"), target, root=scratch_path(spark, "plans_bkt"),
+                                     bucket_by=(8, ["c_custkey"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for an update set too large to broadcast
+    bucketed_plan = plan(changes.merge(bucketed.read(), updates, None, keys=["c_custkey"], check_unique=False))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     print("# PLANS\n")
     print(f"Physical plans (`explain()`) of the main operators on `{d}`, Spark 4.1.2, AQE on "
           "(`isFinalPlan=false`: the initial plan, which AQE may still re-plan at runtime). "
           "Generated by `scripts/explain_plans.py`.\n")
     for title, df in cases:
         print(f"## {title}\n\n```\n{plan(df)}\n```\n")
+    print("## Merge into a table bucketed on the key, broadcast disabled: sort-merge joins shuffle only the updates "
+          f"(`Bucketed: true` scans, no exchange on the target side)\n\n```\n{bucketed_plan}\n```\n")
     spark.stop()
 
 
