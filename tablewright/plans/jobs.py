@@ -47,6 +47,7 @@ class LoadSpec:
     mode: str | None = None
     replace_where: str | None = None
     merge_condition: str | None = None
+    merge_keys: list[str] = field(default_factory=list)
     external_table: str | None = None
     external_query: str | None = None
 
@@ -78,9 +79,10 @@ def write_target(spark: SparkSession, spec: LoadSpec, df: DataFrame) -> WriteRes
         # a partitioned target reloads only the partitions the condition touches
         return table.replace_where(df, spec.replace_where, scope="partitions" if table.partition_columns else "table")
     if mode == "merge":
-        if not spec.merge_condition:
-            raise TableError("mode merge needs a merge condition")
-        return table.merge(df, spec.merge_condition)
+        if not spec.merge_condition and not spec.merge_keys:
+            raise TableError("mode merge needs a merge condition or merge keys")
+        scope = "partitions" if table.partition_columns else "table"
+        return table.merge(df, spec.merge_condition, keys=spec.merge_keys or None, scope=scope)
     if mode == "append":
         return table.append(df)
     if table.partition_columns:
@@ -140,6 +142,8 @@ def spec_from_request(spark: SparkSession, req: md.LoadRequest, conform: bool =
         partition_by=parts,
         mode=d.get("mode"),
         replace_where=od.get("replaceWhere") if parts else None,
+        merge_keys=[k.strip() for k in d.get("merge_keys", "").split("|") if k.strip()],
+        merge_condition=d.get("merge_condition"),
         external_table=ext_table,
         external_query=ext_query,
     )

@@ -116,3 +116,18 @@ def test_entities_current_follows_log(spark, sf_dir):
     md.log_operation(spark, db, "op-1", "e1", md.FINISHED)
     got = {r.id: r.latest_status for r in md.entities_current(spark, db).collect()}
     assert got == {"e1": md.FINISHED, "e2": None}
+
+
+def test_metadata_merge_load(spark, sf_dir):
+    db = unique_table_name("meta")
+    md.create_metadata_tables(spark, db, scratch_path(spark, "meta"))
+    tdb = unique_table_name("dw")
+    md.add_mount(spark, db, tdb, sf_dir, scratch_path(spark, "tgt"))
+    details = {"format": "parquet", "partition_column": "n_regionkey", "mode": "merge", "merge_keys": "n_nationkey"}
+    md.add_entity(spark, db, "e1", tdb, "nations", details)
+    md.log_operation(spark, db, "op-1", "e1", None, {"path": "/nation.parquet"})
+    jobs.load_from_metadata(spark, db, "op-1", conform=False)  # creates the table
+    md.log_operation(spark, db, "op-2", "e1", None, {"path": "/nation.parquet"})
+    res = jobs.load_from_metadata(spark, db, "op-2", conform=False)  # merges the same rows again
+    assert res.operation == "MERGE PARTITIONS"
+    assert spark.table(f"`{tdb}`.nations").count() == 25
