@@ -47,8 +47,9 @@ def _when_true(cond: str | Column | None) -> Column:
 def _ensure_unique_matches(target: DataFrame, updates: DataFrame, cond: Column, keys: Sequence[str] | None) -> None:
     """Raise :class:`MergeConflict` when two updates match one target row.
 
-    With equality ``keys`` only the update keys that occur more than once
-    (map-side pre-aggregated) are semi-joined with the target's key columns.
+    With equality ``keys`` the updates are checked for repeated keys first
+    (map-side pre-aggregated); only when some exist are they semi-joined with
+    the target's key columns.
     Without keys the inner join is grouped by the whole target row.
     """
     if keys:
@@ -58,6 +59,8 @@ def _ensure_unique_matches(target: DataFrame, updates: DataFrame, cond: Column,
             .count()
             .filter(F.col("count") > 1)
         )
+        if dup.isEmpty():
+            return  # no repeated key in the updates: the target need not be read
         on = None
         for i, kp in enumerate(pairs):
             term = F.col(f"`{kp.target}`") == F.col(f"__tw_k{i}")
