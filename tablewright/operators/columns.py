@@ -138,7 +138,8 @@ def conform(df: DataFrame, target_schema: StructType) -> DataFrame:
     Extra input columns are dropped; a missing one fails analysis.  Casts use
     ``try_cast`` so malformed text becomes NULL instead of failing the job.
     """
-    missing = [f.name for f in target_schema.fields if not has_column(df, f"`{f.name}`")]
+    present = {c.lower() for c in df.columns}  # names resolve case-insensitively (Spark's default)
+    missing = [f.name for f in target_schema.fields if f.name.lower() not in present]
     if missing:
         raise ProcessorError(f"input lacks target columns {missing}")
     return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in target_schema.fields])

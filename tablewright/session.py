@@ -17,10 +17,14 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_root: str | None = None
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tablewright") -> SparkSession:
-    """Session for tests and the local bench (UI off, UTC, AQE on)."""
+def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "tablewright",
+                  extra: dict[str, str] | None = None) -> SparkSession:
+    """Session for tests and the local bench (UI off, UTC, AQE on); ``extra`` adds configs."""
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -42,6 +42,7 @@ PROP_OPERATION = "tablewright.operation"
 PROP_METRICS = "tablewright.metrics"
 PROP_PARTITIONS = "tablewright.partition_columns"
 PROP_BUCKETS = "tablewright.bucket_by"
+PROP_REBALANCE = "tablewright.rebalance_writes"
 VERSION_DIR = "version-{}"
 # Above this many partitions to empty, one whole-table rewrite job is cheaper
 # than one small overwrite job per emptied partition.
@@ -142,7 +143,7 @@ def _materialized(df: DataFrame) -> DataFrame:
 
 
 def _write_version(spark: SparkSession, name: str, df: DataFrame, location: str, parts: Sequence[str],
-                   bucket_by: tuple[int, list[str]] | None) -> dict[str, str]:
+                   bucket_by: tuple[int, list[str]] | None, rebalance: bool = True) -> dict[str, str]:
     """Write one version directory; returns the write's row metrics.
 
     Bucketed tables are written through a throwaway external catalog table
@@ -153,7 +154,7 @@ def _write_version(spark: SparkSession, name: str, df: DataFrame, location: str,
         # static overwrite whatever the session default: a retried write must
         # clear every partition a crashed attempt may have left in the directory
         return _observed_write(
-            _clustered(df, parts),
+            _clustered(df, parts) if rebalance else df,
             lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts).parquet(location),
         )
     n, cols = bucket_by
@@ -217,6 +218,7 @@ class VersionedTable:
         partition_by: Sequence[str] = (),
         if_exists: str = "error",
         bucket_by: tuple[int, Sequence[str]] | None = None,
+        rebalance_writes: bool = True,
     ) -> "VersionedTable":
         """Create the table from ``df`` as version 0.
 
@@ -225,6 +227,10 @@ class VersionedTable:
         those columns: joins and aggregations on them (a merge on its key, the
         distinct keys of its insert check) then read the table without a
         shuffle.  The first version is hash-partitioned into the buckets once.
+        ``rebalance_writes`` (partitioned tables) adds one shuffle per write
+        that clusters rows by partition value: a few right-sized files per
+        partition and hot values split by AQE.  Turn it off for low-cardinality
+        partitions, where each task writing one file per value is already fine.
         """
         if spark.catalog.tableExists(name):
             if if_exists == "ignore":
@@ -244,12 +250,13 @@ class VersionedTable:
             n, cols = bucket_by
             bucket = (int(n), [by_lower[c.lower()] for c in cols])
             ordered = ordered.repartition(bucket[0], *[F.col(f"`{c}`") for c in bucket[1]])
-        metrics = _write_version(spark, name, ordered, location, parts, bucket)
-        cls._register(spark, name, ordered.schema, parts, location, root, 0, "CREATE", metrics, bucket)
+        metrics = _write_version(spark, name, ordered, location, parts, bucket, rebalance_writes)
+        cls._register(spark, name, ordered.schema, parts, location, root, 0, "CREATE", metrics, bucket, rebalance_writes)
         return cls(spark, name)
 
     @staticmethod
-    def _register(spark, name, schema, parts, location, root, version, operation, metrics, bucket=None) -> None:
+    def _register(spark, name, schema, parts, location, root, version, operation, metrics, bucket=None,
+                  rebalance=True) -> None:
         props = {
             PROP_VERSION: str(version),
             PROP_ROOT: root,
@@ -257,6 +264,7 @@ class VersionedTable:
             PROP_METRICS: json.dumps(metrics, sort_keys=True),
             PROP_PARTITIONS: json.dumps(list(parts)),
             PROP_BUCKETS: json.dumps(list(bucket) if bucket else None),
+            PROP_REBALANCE: "true" if rebalance else "false",
         }
         prop_sql = ", ".join(f"{_sql_str(k)}={_sql_str(v)}" for k, v in props.items())
         part_sql = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
@@ -346,7 +354,8 @@ class VersionedTable:
         data = _ordered(content, schema.names)
         stored = json.loads(before.get(PROP_BUCKETS, "null") or "null")
         bucket = (int(stored[0]), list(stored[1])) if stored else None
-        metrics = _write_version(self.spark, self.name, data, location, parts, bucket)
+        rebalance = before.get(PROP_REBALANCE, "true") == "true"
+        metrics = _write_version(self.spark, self.name, data, location, parts, bucket, rebalance)
         if parts:
             # Registered partitions keep their old directories under SET LOCATION,
             # so a partitioned table is re-registered at the new version.  The
@@ -354,13 +363,13 @@ class VersionedTable:
             # previous version is registered again before the error propagates.
             self.spark.sql(f"DROP TABLE {_ident(self.name)}")
             try:
-                self._register(self.spark, self.name, schema, parts, location, root, nxt, operation, metrics, bucket)
+                self._register(self.spark, self.name, schema, parts, location, root, nxt, operation, metrics, bucket, rebalance)
             except Exception:
                 if self.spark.catalog.tableExists(self.name):
                     self.spark.sql(f"DROP TABLE {_ident(self.name)}")
                 self._register(self.spark, self.name, schema, parts, self.location_of(root, int(before[PROP_VERSION])), root,
                                int(before[PROP_VERSION]), before.get(PROP_OPERATION, ""), json.loads(before.get(PROP_METRICS, "{}")),
-                               bucket)
+                               bucket, rebalance)
                 raise
         else:
             self.spark.sql(f"ALTER TABLE {_ident(self.name)} SET LOCATION {_sql_str(location)}")
@@ -587,7 +596,9 @@ class VersionedTable:
 
     # ------------------------------------------------------- in-place writes
     def _insert(self, df: DataFrame, overwrite: bool, operation: str) -> WriteResult:
-        data = _clustered(self._conformed(df), self.partition_columns)
+        data = self._conformed(df)
+        if self.properties().get(PROP_REBALANCE, "true") == "true":
+            data = _clustered(data, self.partition_columns)
         with _session_conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             metrics = _observed_write(data, lambda d: d.write.insertInto(self.name, overwrite=overwrite))
         self._set_props({PROP_OPERATION: operation, PROP_METRICS: json.dumps(metrics, sort_keys=True)})

@@ -294,3 +294,12 @@ def test_version_write_clears_leftovers_even_in_dynamic_session(spark, orders):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert [r.id for r in t.read(1).collect()] == [2]
+
+
+def test_rebalance_can_be_turned_off(spark, orders):
+    t = VersionedTable.create(spark, unique_table_name("nrb"), orders, root=scratch_path(spark, "nrb"), partition_by=["part"],
+                              rebalance_writes=False)
+    t.update("id = 1", {"amt": "0.0"})
+    t.append(orders.filter("id = 2"))
+    assert t.properties()["tablewright.rebalance_writes"] == "false"
+    assert sorted((r.id, r.amt) for r in t.read().collect()) == [(1, 0.0), (2, 20.0), (2, 20.0), (3, 30.0), (4, 40.0)]
