@@ -71,3 +71,11 @@ def test_keyed_merge_finds_inserts_against_distinct_keys(spark, sf_dir):
     m = changes.merge(o, o.filter("o_totalprice > 1000"), None, keys=["o_custkey"], check_unique=False)
     p = _plan(m)
     assert "LeftAnti" in p and "HashAggregate(keys=[__tw_t0" in p
+
+
+def test_theta_join_on_a_dimension_broadcasts_it(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    p = _plan(keys.theta_join(c, n, ["c_nationkey >= n_nationkey"]))
+    assert "BroadcastNestedLoopJoin" in p and "CartesianProduct" not in p
+    assert "BroadcastExchange" in p and "nation.parquet" in p.split("BroadcastExchange", 1)[1]
