@@ -48,3 +48,17 @@ def test_scoped_changes_equal_table_changes(spark, old, new, cut):
         t.replace_where(fresh, f"v >= {cut}", scope=scope)
         results.append(sorted(map(str, t.read().select("id", "p", "v").collect())))
     assert results[0] == results[1]
+
+
+@settings(max_examples=5, deadline=None, phases=[Phase.explicit, Phase.reuse, Phase.generate],
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=rows, cut=st.integers(-3, 3), dest=st.sampled_from(["a", "b", "d"]))
+def test_scoped_update_equals_table_update(spark, old, cut, dest):
+    old_df = spark.createDataFrame(old, "id int, p string, v int")
+    results = []
+    for scope in ("table", "partitions"):
+        t = VersionedTable.create(spark, unique_table_name("propu"), old_df, root=scratch_path(spark, "propu"), partition_by=["p"])
+        t.update(f"v > {cut}", {"v": "v * 2"}, scope=scope)
+        t.update(f"v < {cut}", {"p": f"'{dest}'"}, scope=scope)  # moves rows between partitions
+        results.append(sorted(map(str, t.read().select("id", "p", "v").collect())))
+    assert results[0] == results[1]
