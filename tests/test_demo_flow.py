@@ -62,3 +62,17 @@ def test_scoped_update_equals_table_update(spark, old, cut, dest):
         t.update(f"v < {cut}", {"p": f"'{dest}'"}, scope=scope)  # moves rows between partitions
         results.append(sorted(map(str, t.read().select("id", "p", "v").collect())))
     assert results[0] == results[1]
+
+
+@settings(max_examples=5, deadline=None, phases=[Phase.explicit, Phase.reuse, Phase.generate],
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=rows, new=rows)
+def test_scoped_delete_then_write_equals_table(spark, old, new):
+    schema = "id int, p string, v int"
+    old_df, new_df = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    results = []
+    for scope in ("table", "partitions"):
+        t = VersionedTable.create(spark, unique_table_name("propd"), old_df, root=scratch_path(spark, "propd"), partition_by=["p"])
+        t.delete_then_write(new_df, ["id"], scope=scope)
+        results.append(sorted(map(str, t.read().select("id", "p", "v").collect())))
+    assert results[0] == results[1]
