@@ -491,7 +491,11 @@ class VersionedTable:
             cond = F.coalesce(F.expr(condition) if isinstance(condition, str) else condition, F.lit(False))
             current = self.read()
             new_rows = changes.update_rows(current.filter(cond), cond, set_values)
-            done = self._rewrite_partitions(cond, new_rows, "UPDATE PARTITIONS")
+            # every updated row comes from a touched partition: rebuild them from those only
+            done = self._rewrite_partitions(
+                cond, new_rows, "UPDATE PARTITIONS",
+                new_rows_in=lambda touched: changes.update_rows(current.filter(touched & cond), cond, set_values),
+            )
             if done is not None:
                 return done
         return self._commit(changes.update_rows(self.read(), condition, set_values), "UPDATE")
@@ -516,7 +520,8 @@ class VersionedTable:
         return self._commit(changes.delete_rows(self.read(), condition), "DELETE")
 
     def _rewrite_partitions(self, removed: Column, new_rows: DataFrame | None, operation: str,
-                            current: DataFrame | None = None, located_by: Sequence[str] | None = None) -> WriteResult | None:
+                            current: DataFrame | None = None, located_by: Sequence[str] | None = None,
+                            new_rows_in=None) -> WriteResult | None:
         """Remove old rows where ``removed`` (never NULL) and add ``new_rows``,
         rewriting in place only the partitions that change.
 
@@ -537,6 +542,9 @@ class VersionedTable:
         ``current`` may carry helper columns for ``removed``; ``located_by``
         names its columns holding each row's present partition values when
         the partition columns themselves already show changed values.
+        ``new_rows_in(predicate)``, when given, rebuilds the new rows for the
+        rewrite from the touched partitions only (for changes whose new rows
+        come from rows of touched partitions).
         """
         parts = self.partition_columns
         names = self.schema.names
@@ -562,6 +570,8 @@ class VersionedTable:
             return None
         in_touched = _partition_predicate(where, [[r[k] for k in key_names] for r in touched])
         kept = _ordered(current.filter(in_touched & ~removed), names)
+        if new_rows_in is not None:
+            new_rows = new_rows_in(in_touched)
         content = kept.unionByName(new_rows) if new_rows is not None else kept
         result = self._insert(content, overwrite=True, operation=operation)
         self._empty_partitions(emptied)
