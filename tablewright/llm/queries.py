@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from tablewright.llm import chat, fingerprints, lines, rules
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from tablewright.llm import chat, fingerprints, jaccard, lines, mixing, packing, rules
 from tablewright.llm.common import table
 
 
+def op1_jaccard_join(spark, d):
+    return jaccard.jaccard_components(table(spark, d, "documents"))
+
+
 def op2_chat_format(spark, d):
     return chat.format_chats(table(spark, d, "conversations"))
 
@@ -14,6 +21,15 @@ def op3_line_dedup(spark, d):
     return lines.dedup_lines(table(spark, d, "documents").select("doc_id", "text"))
 
 
+def op5_source_mix(spark, d):
+    mixed = mixing.mix_sources(table(spark, d, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
+def op8_packing(spark, d):
+    return packing.pack_documents(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op9_fingerprints(spark, d):
     return fingerprints.fingerprint_documents(table(spark, d, "documents").select("doc_id", "text"))
 
@@ -23,13 +39,17 @@ def op10_quality_rules(spark, d):
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_chat_format": op2_chat_format,
     "op3_line_dedup": op3_line_dedup,
+    "op5_source_mix": op5_source_mix,
+    "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES = {
+    "op1_jaccard_join": jaccard.ORACLE,
     "op2_chat_format": chat.ORACLE,
     "op3_line_dedup": lines.ORACLE,
     "op10_quality_rules": rules.ORACLE,
