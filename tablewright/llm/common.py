@@ -13,7 +13,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 def words_of(text: Column) -> Column:
     """Array of the words of ``text``; null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
 def parquet_table(df: DataFrame, label: str) -> DataFrame:

@@ -53,6 +53,7 @@ def _i64(x: np.ndarray) -> np.ndarray:
 def _describe_sets(size: int):
     """Row per document (id, set size, 128-bit set key), and rows of locally common tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "th", "n", "k1", "k2", "df"]
         held: list[np.ndarray] = []
         total = 0
 
@@ -62,12 +63,12 @@ def _describe_sets(size: int):
             toks, counts = np.unique(np.concatenate(held), return_counts=True)
             hot = counts >= max(2, math.ceil(HEAVY_SHARE * len(held)))
             k = int(hot.sum())
-            return pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.array(_i64(toks[hot])),
-                                    pa.nulls(k, pa.int64()), pa.array(counts[hot])], names=["id", "n", "k1", "k2", "df"])
+            return pa.record_batch([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()),
+                                    pa.array(_i64(toks[hot])), pa.nulls(k, pa.int64()), pa.array(counts[hot])], names=names)
 
         for batch in batches:
-            ids, n, k1, k2 = batch.column(0), [], [], []
-            for _, toks in shingle_sets(batch.column(1), size):
+            n, k1, k2 = [], [], []
+            for _, toks in shingle_sets(batch.column(2), size):
                 n.append(len(toks))
                 k1.append(np.add.reduce(toks, dtype=U64))
                 k2.append(np.bitwise_xor.reduce(mix(toks + U64(1)), dtype=U64) if len(toks) else U64(0))
@@ -78,9 +79,8 @@ def _describe_sets(size: int):
                     yield common()
                     held.clear()
                     total = 0
-            yield pa.record_batch([ids, pa.array(n, pa.int32()), pa.array(_i64(mix(np.array(k1, U64)))),
-                                   pa.array(_i64(np.array(k2, U64))), pa.nulls(len(n), pa.int64())],
-                                  names=["id", "n", "k1", "k2", "df"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(_i64(mix(np.array(k1, U64)))),
+                                   pa.array(_i64(np.array(k2, U64))), pa.nulls(len(n), pa.int64())], names=names)
         if held:
             yield common()
     return run
@@ -340,21 +340,24 @@ def _late_links(cells: DataFrame, sets: DataFrame, components: DataFrame, thresh
 
 
 # ------------------------------------------------------------- the join
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.75,
-                       shingle: int = 5) -> DataFrame:
-    """``id_col, n_shingles, component_id`` for every row of ``docs``.
-
-    ``component_id`` is the smallest id reachable by links, itself included.
-    Rows without words have no shingle and are linked with nothing.  Rows that
-    repeat an id are nodes of their own text.  Rows with a null id share the
-    component of equal sets that have an id; otherwise they are linked with
-    nothing and have a null component.  Other columns are
-    ignored; an empty table gives no rows.
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.75,
+                   shingle: int = 5) -> DataFrame:
+    """``id, th, n, grp, component_id`` for every row of ``docs``.
+
+    ``th`` is the text's hash, ``n`` the size of the row's set, ``grp`` a key of
+    its component (null without words) and ``component_id`` the smallest id
+    reachable by links, itself included.  Rows without words have no shingle
+    and are linked with nothing.  Rows that repeat an id are nodes of their own
+    text.  Rows with a null id share the component of equal sets that have an
+    id; otherwise they are linked with nothing and have a null component.
+    Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    described = parquet_table(texts.mapInArrow(_describe_sets(shingle), "id long, n int, k1 long, k2 long, df long"), "sets")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("th"),
+                        F.col(text_col).alias("text"))
+    described = parquet_table(texts.mapInArrow(_describe_sets(shingle), "id long, th long, n int, k1 long, k2 long, df long"),
+                              "sets")
     rows = described.where("n IS NOT NULL").drop("df")
     nodes = parquet_table(rows.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("id")), "nodes")
     totals = nodes.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -385,14 +388,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = connected_components(links.unionByName(late))
 
     named = nodes.join(found.withColumnRenamed("node", "_n"), nodes["k1"] == F.col("_n"), "left").select(
-        "k1", "k2", "id", F.coalesce("component", "k1").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = named.join(smallest, "component").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "component_id")
-    return (rows.join(named, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left")
-            .select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+        "k1", "k2", "id", F.coalesce("component", "k1").alias("grp"))
+    smallest = named.groupBy("grp").agg(F.min("id").alias("component_id"))
+    named = named.join(smallest, "grp").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "grp", "component_id")
+    return (rows.join(named, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("n") > 0), "left")
+            .select("id", "th", F.col("n").cast("long").alias("n"), "grp",
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
 
 
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.75,
+                       shingle: int = 5) -> DataFrame:
+    """``id_col, n_shingles, component_id`` for every row of ``docs`` (see :func:`jaccard_groups`)."""
+    return jaccard_groups(docs, id_col, text_col, threshold, shingle).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.75,
+                      shingle: int = 5) -> DataFrame:
+    """``docs`` with one row of every component, the one with the smallest id (null ids last, then text hash).
+
+    Rows without words all stay.
+    """
+    groups = jaccard_groups(docs, id_col, text_col, threshold, shingle)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "th"))
+    kept = groups.where("n > 0").groupBy("grp").agg(first.alias("_f")).select(F.col("_f.id").alias("_kid"), F.col("_f.th").alias("_kth"))
+    th = F.xxhash64(F.coalesce(text_col, F.lit("")))
+    has_word = F.coalesce(F.rlike(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    with_words, without = docs.where(has_word), docs.where(~has_word)
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_kid")) & (th == F.col("_kth"))
+    return with_words.join(kept, same, "left_semi").dropDuplicates([id_col, text_col]).unionByName(without)
+
+
 ORACLE = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

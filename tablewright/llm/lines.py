@@ -129,15 +129,17 @@ def within_one_word(a: Column, b: Column) -> Column:
         F.slice(short, at + 1, rest) == F.slice(long, at + 2, rest)).otherwise(False)
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
-    """``docs`` with ``text_col`` reduced to its kept lines, plus ``n_lines`` and ``n_removed``.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8,
+                counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` with ``text_col`` reduced to its kept lines, plus the number of its
+    lines with a word and of those removed, named by ``counts``.
 
-    All other columns pass through (input columns of those two names are
-    replaced).  Lines without a word always stay.  Rows that repeat a
+    All other columns pass through (input columns of the names in
+    ``counts`` are replaced).  Lines without a word always stay.  Rows that repeat a
     document (same id and text) are the same document and get the same text.
     Null ids sort first; a null text stays null and counts as empty.
     """
-    docs = docs.drop("n_lines", "n_removed")
+    docs = docs.drop(*counts)
     keyed = _keyed(docs, id_col, text_col)
     halves = F.when(F.col("_n") >= min_words - 1, _half_keys(F.col("_w"), F.col("_n")))
     distinct = parquet_table(
@@ -163,8 +165,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                     lambda i: F.get(F.col("_parts"), i)), "\n")
     n_lines = F.size("_parts") - F.size("_blank")
     return parts.select(*[F.when(F.col(c).isNotNull(), rest).alias(c) if c == text_col else F.col(c) for c in docs.columns],
-                        n_lines.cast("long").alias("n_lines"),
-                        (n_lines - F.size("_kept")).cast("long").alias("n_removed"))
+                        n_lines.cast("long").alias(counts[0]),
+                        (n_lines - F.size("_kept")).cast("long").alias(counts[1]))
 
 
 ORACLE = r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, fingerprints, jaccard, lines, mixing, packing, rules
+from tablewright.llm import chat, fingerprints, html_text, jaccard, langid, lines, mixing, packing, quality, rules
 from tablewright.llm.common import table
 
 
@@ -21,11 +21,28 @@ def op3_line_dedup(spark, d):
     return lines.dedup_lines(table(spark, d, "documents").select("doc_id", "text"))
 
 
+def op4_quality_classifier(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = quality.train_quality(docs, table(spark, d, "labels"))
+    return quality.score_quality(docs, model).select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op5_source_mix(spark, d):
     mixed = mixing.mix_sources(table(spark, d, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
 
 
+def op6_html_extraction(spark, d):
+    return html_text.extract_main_text(table(spark, d, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op7_language_id(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    model = langid.train_languages(docs)
+    return langid.identify_languages(docs.drop("lang"), model).select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op8_packing(spark, d):
     return packing.pack_documents(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -42,7 +59,10 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_chat_format": op2_chat_format,
     "op3_line_dedup": op3_line_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_source_mix": op5_source_mix,
+    "op6_html_extraction": op6_html_extraction,
+    "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality_rules": op10_quality_rules,

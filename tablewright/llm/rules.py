@@ -19,51 +19,44 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import let, parquet_table, words_of
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_WHITE = " \t\n\x0b\x0c\r"
 
 
-def count_of(text: Column, chars: str) -> Column:
-    """Number of characters of ``text`` that are in ``chars``."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def left_after(text: Column, gone: str) -> Column:
+    """Number of characters left when every run of ``gone`` is deleted."""
+    return F.length(F.regexp_replace(text, gone, ""))
 
 
-def matches_of(text: Column, outside: str) -> Column:
-    """Number of characters left when the class ``outside`` is deleted."""
-    return F.length(F.regexp_replace(text, outside, ""))
+def window_hashes(w: Column) -> Column:
+    """Hashes of the 3-word windows."""
+    hashes = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+    return F.slice(hashes, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
 
 
-def repeated_words(w: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more, first occurrences included."""
-    def windows(_: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(w) - 3),
-                           lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
-
+def repeated_words(h: Column) -> Column:
+    """Words inside windows whose hash occurs twice or more, first occurrences included."""
     def covered(s: Column) -> Column:
         def twin(x: Column, j: Column) -> Column:
             return ((F.get(s, j + 1)["h"] == x["h"]) | ((j > 0) & (F.get(s, F.greatest(j - 1, F.lit(0)))["h"] == x["h"])))
         starts = F.transform(F.filter(s, lambda x, j: F.coalesce(twin(x, j), F.lit(False))), lambda x: x["i"])
         return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda i: F.array(i, i + 1, i + 2)))))
 
-    def counted(v: Column) -> Column:
-        hashes = v.getField("h")
-        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(let(F.sort_array(v), covered))
-
-    return F.when(F.size(w) < 3, 0).otherwise(let(windows(w), counted))
+    placed = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+    return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(F.sort_array(placed), covered))
 
 
 def with_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id_col``, the counts, and the working columns ``_text``, ``_w``, ``_lines``."""
+    """``id_col``, the counts, and the working columns ``_text``, ``_w``, ``_lines``, ``_joined`` (the words without gaps)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col), text.alias("_text"), words_of(text).alias("_w"))
     lines = F.filter(F.split("_text", "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    base = base.select("*", lines.alias("_lines"))
+    base = base.select("*", lines.alias("_lines"), F.array_join("_w", "").alias("_joined"), window_hashes(F.col("_w")).alias("_h"))
     return base.select(
-        id_col, "_text", "_w", "_lines",
+        id_col, "_text", "_w", "_lines", "_joined",
         F.size("_w").cast("long").alias("n_words"),
-        F.length(F.translate("_text", _WHITE, "")).cast("long").alias("word_chars"),
-        count_of(F.col("_text"), "#*$%&|<>").cast("long").alias("n_symbols"),
+        F.length("_joined").cast("long").alias("word_chars"),
+        F.regexp_count("_joined", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("_w")).cast("long").alias("n_repeat_words"))
+        repeated_words(F.col("_h")).cast("long").alias("n_repeat_words"))
 
 
 def base_failed() -> Column:
@@ -79,18 +72,30 @@ class Rule:
 def _stutter() -> Column:
     """More than a tenth of the words equal the word before them."""
     w = F.col("_w")
-    same = F.filter(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.get(w, i) == F.get(w, i - 1))
-    return F.when(F.size(w) > 1, 10 * F.size(same) > F.size(w)).otherwise(False)
+    return 10 * F.size(F.filter(w, lambda x, i: F.coalesce(x == F.get(w, i - 1), F.lit(False)))) > F.size(w)
+
+
+def _shouting() -> Column:
+    """More than three tenths of the letters are capitals."""
+    capitals = left_after(F.col("_joined"), r"[^\p{Lu}]+")
+    letters = F.length("_joined") - left_after(F.col("_joined"), r"\p{L}+")
+    return 10 * capitals > 3 * letters
+
+
+def _letterless() -> Column:
+    """More than a fifth of the words have no letter."""
+    with_letter = F.regexp_count("_text", F.lit(r"\p{L}[^\x20\x09-\x0D]*"))
+    return 5 * (F.col("n_words") - with_letter) > F.col("n_words")
 
 
 DEFAULT_RULES = (
     Rule("symbols", lambda: 10 * F.col("n_symbols") > F.col("n_words")),
     Rule("word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 12 * F.col("n_words"))),
     Rule("duplicate_lines", lambda: 10 * F.col("n_dup_lines") > 3 * F.size("_lines")),
-    Rule("exclamation", lambda: 5 * count_of(F.col("_text"), "!") > F.col("n_words")),
-    Rule("digits", lambda: 5 * count_of(F.col("_text"), "0123456789") > F.col("word_chars")),
-    Rule("shouting", lambda: 10 * matches_of(F.col("_text"), r"[^\p{Lu}]") > 3 * matches_of(F.col("_text"), r"[^\p{L}]")),
-    Rule("letterless_words", lambda: 5 * F.size(F.filter("_w", lambda x: ~F.rlike(x, F.lit(r"\p{L}")))) > F.col("n_words")),
+    Rule("exclamation", lambda: 5 * F.regexp_count("_joined", F.lit("!")) > F.col("n_words")),
+    Rule("digits", lambda: 5 * F.regexp_count("_joined", F.lit("[0-9]")) > F.col("word_chars")),
+    Rule("shouting", _shouting),
+    Rule("letterless_words", _letterless),
     Rule("stutter", _stutter),
     Rule("bullets", lambda: 10 * F.size(F.filter("_lines", lambda x: F.rlike(x, F.lit("^[ \t]*[-*•]")))) > 9 * F.size("_lines")),
     Rule("ellipses", lambda: 10 * F.size(F.filter("_lines", lambda x: F.rlike(x, F.lit(r"(\.\.\.|…)[ \t]*$")))) > 3 * F.size("_lines")),
