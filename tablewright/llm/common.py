@@ -31,5 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row: inside ``body`` it is a lambda
-    variable, so nested lambdas can index it without computing it again."""
+    variable, so nested lambdas can index it without computing it again, also after the
+    optimizer has moved the expression into a filter."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

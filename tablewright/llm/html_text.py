@@ -53,7 +53,7 @@ class Weights:
     words: dict[str, float] = field(default_factory=dict)
     tags: dict[str, float] = field(default_factory=dict)
     word: float = 1.0    # elements that were not seen
-    tag: float = -1.0
+    tag: float = -0.25
 
 
 def is_marked(attributes: str) -> bool:

@@ -28,8 +28,10 @@ def left_after(text: Column, gone: str) -> Column:
 
 def window_hashes(w: Column) -> Column:
     """Hashes of the 3-word windows."""
-    hashes = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
-    return F.slice(hashes, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
+    def hashes(v: Column) -> Column:
+        every = F.transform(v, lambda x, i: F.xxhash64(x, F.get(v, i + 1), F.get(v, i + 2)))
+        return F.slice(every, F.lit(1), F.greatest(F.size(v) - 2, F.lit(0)))
+    return let(w, hashes)
 
 
 def repeated_words(h: Column) -> Column:
@@ -71,8 +73,9 @@ class Rule:
 
 def _stutter() -> Column:
     """More than a tenth of the words equal the word before them."""
-    w = F.col("_w")
-    return 10 * F.size(F.filter(w, lambda x, i: F.coalesce(x == F.get(w, i - 1), F.lit(False)))) > F.size(w)
+    def again(w: Column) -> Column:
+        return F.size(F.filter(w, lambda x, i: F.coalesce(x == F.get(w, i - 1), F.lit(False))))
+    return 10 * let(F.col("_w"), again) > F.size("_w")
 
 
 def _shouting() -> Column:
@@ -123,8 +126,9 @@ def measure_rules(docs: DataFrame, id_col: str, text_col: str, rules: tuple[Rule
     spark = docs.sparkSession
     rows = docs.select(text_col).take(sample_rows)
     sample = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "_row long, _sampled string")
-    counted = with_counts(sample, "_row", "_sampled").where(~base_failed())
-    counted = parquet_table(counted.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(repeats)))), "rule-sample")
+    # stored before it is repeated and filtered, so that the counts are made once a row
+    counted = parquet_table(with_counts(sample, "_row", "_sampled").coalesce(1), "rule-sample")
+    counted = counted.where(~base_failed()).withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
 
     def rate(fails: Column) -> tuple[float, float]:
         t0 = time.perf_counter()
