@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import let, parquet_table
 
 K, S = 8, 2
+# A document's key, in ascending order: whether it has an id, the id (0 for none), the text's hash.
+ORDER = ["_some", "_id", "_th"]
 TOKEN = r"[^\x20\x09-\x0D]{1,12}"
 
 
@@ -60,16 +62,16 @@ def _neighbours(keys: DataFrame) -> DataFrame:
     The keys (no texts) are dealt by range; each range numbers its own rows
     and only one row per range is needed to link the ranges.
     """
-    dealt = parquet_table(keys.repartitionByRange("_id", "_th").withColumn("_part", F.spark_partition_id()), "fingerprint-order")
-    order = Window.partitionBy("_part").orderBy("_id", "_th")
-    me = F.struct("_id", "_th", "_n")
+    dealt = parquet_table(keys.repartitionByRange(*ORDER).withColumn("_part", F.spark_partition_id()), "fingerprint-order")
+    order = Window.partitionBy("_part").orderBy(*ORDER)
+    me = F.struct("_some", "_id", "_th", "_n")
     last = dealt.groupBy("_part").agg(F.max(me).alias("_last"))
     every = Window.partitionBy(F.lit(0))
     links = last.select("_part", F.coalesce(F.lag("_last").over(every.orderBy("_part")),
                                             F.last("_last").over(every.orderBy("_part").rowsBetween(
                                                 Window.unboundedPreceding, Window.unboundedFollowing))).alias("_before"))
     return (dealt.withColumn("_prev", F.lag(me).over(order)).join(links, "_part")
-            .select("_id", "_th", "_n", F.coalesce("_prev", "_before").alias("_prev")))
+            .select(*ORDER, "_n", F.coalesce("_prev", "_before").alias("_prev")))
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,19 +86,19 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
-    keys = keyed.groupBy("_id", "_th").agg(F.max(F.length("_text")).alias("_n"))
-    around = _neighbours(keys).withColumnsRenamed({"_id": "_kid", "_th": "_kth"})
-    whole = (keyed.join(around, F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_th") == F.col("_kth")))
-             .select("_id", "_th", "_text", "_n", "_prev", anchors(F.col("_text")).alias("_anchors")))
-    gives = (whole.groupBy("_id", "_th").agg(F.first(F.struct(
-        F.col("_prev._id").alias("_id"), F.col("_prev._th").alias("_th"),
-        F.left("_text", F.floor(F.col("_prev._n") / 2).cast("int")).alias("_tail"), "_anchors")).alias("_g"))
-        .select(F.col("_g._id").alias("_gid"), F.col("_g._th").alias("_gth"), "_g._tail", F.col("_g._anchors").alias("_next")))
+    keyed = docs.select(F.col(id_col).isNotNull().alias("_some"), F.coalesce(id_col, F.lit(0)).cast("long").alias("_id"),
+                        F.xxhash64(text).alias("_th"), text.alias("_text"))
+    around = _neighbours(keyed.groupBy(*ORDER).agg(F.max(F.length("_text")).alias("_n")))
+    whole = keyed.join(around, ORDER).select(*ORDER, "_text", "_n", "_prev", anchors(F.col("_text")).alias("_anchors"))
+    # what each document gives its predecessor; rows that repeat a document give the same
+    gives = whole.select(*[F.col(f"_prev.{k}").alias(k) for k in ORDER],
+                         F.struct(F.left("_text", F.floor(F.col("_prev._n") / 2).cast("int")).alias("tail"),
+                                  F.col("_anchors").alias("next")).alias("_g"))
+    gives = gives.groupBy(*ORDER).agg(F.first("_g").alias("_g"))
     half = F.floor(F.col("_n") / 2).cast("int")
-    edited = (whole.join(gives, F.col("_id").eqNullSafe(F.col("_gid")) & (F.col("_th") == F.col("_gth")))
-              .select("_id", "_n", "_anchors", "_next",
-                      F.concat(F.left("_text", F.col("_n") - half), F.col("_tail")).alias("_edited")))
+    edited = whole.join(gives, ORDER).select(
+        F.when(F.col("_some"), F.col("_id")).alias("_id"), "_n", "_anchors", F.col("_g.next").alias("_next"),
+        F.concat(F.left("_text", F.col("_n") - half), F.col("_g.tail")).alias("_edited"))
     both = edited.select("_id", "_n", "_anchors", "_next", F.sha2("_edited", 256).alias("_sha"),
                          anchors(F.col("_edited")).alias("_after"))
     return both.select(F.col("_id").alias(id_col), F.col("_n").cast("long").alias("n_chars"), F.col("_sha").alias("edited_sha256"),
