@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +20,15 @@ def words_of(text: Column) -> Column:
 
 def parquet_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared work folder and read it back: cuts the lineage and
-    lets the following jobs start from stored rows after an executor is lost."""
+    lets the following jobs start from stored rows after an executor is lost.
+
+    The shuffle files behind the write are of no more use.  Spark deletes them
+    once the driver has collected the plan that made them, so ask for that."""
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")
     df.write.parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

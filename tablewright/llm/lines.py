@@ -22,12 +22,13 @@ line number)``, stays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import parquet_table, words_of
+from tablewright.llm.common import SPACE, let, parquet_table
 
 DOC = ["_id", "_th"]
+_LONGS = "array<bigint>"
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -35,85 +36,104 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
 
 
+def _normal(line: Column) -> Column:
+    """The line's words with one blank between them."""
+    odd = F.rlike(line, F.lit(r"^\x20|\x20$|\x20\x20|[\x09-\x0D]"))
+    return F.when(odd, F.trim(F.regexp_replace(line, SPACE, " "))).otherwise(line)
+
+
 def _lines(keyed: DataFrame) -> DataFrame:
-    """Lines that have a word: document key, position, words, 128-bit key."""
-    each = F.transform(F.split("_text", "\n"), words_of)
-    return (keyed.select(*DOC, F.posexplode(each).alias("_pos", "_w"))
-            .where(F.size("_w") > 0)
-            .select(*DOC, "_pos", "_w", F.size("_w").alias("_n"),
-                    F.xxhash64("_w").alias("_k1"), F.xxhash64(F.lit(7), F.col("_w")).alias("_k2")))
+    """Lines that have a word: document key, position, normal form, number of words."""
+    each = keyed.select(*DOC, F.posexplode(F.split("_text", "\n")).alias("_pos", "_raw")).where(F.length("_raw") > 0)
+    normal = each.select(*DOC, "_pos", _normal(F.col("_raw")).alias("_line")).where(F.length("_line") > 0)
+    return normal.select(*DOC, "_pos", "_line", (F.length("_line") - F.length(F.replace("_line", F.lit(" "), F.lit(""))) + 1).alias("_n"))
 
 
-def _half_keys(w: Column, n: Column) -> Column:
+def _half_keys(line: Column, n: Column) -> Column:
     """Keys of the untouched halves, as the shorter (length n) and as the longer line (n - 1)."""
     def halves(m: Column) -> list[Column]:
         a = F.floor(m / 2).cast("int")
-        b = (m - F.floor(m / 2)).cast("int")
-        return [F.xxhash64(m, F.lit(0), F.slice(w, F.lit(1), a)),
-                F.xxhash64(m, F.lit(1), F.slice(w, n - b + 1, b))]
+        return [F.xxhash64(m, F.lit(0), F.call_function("substring_index", line, F.lit(" "), a)),
+                F.xxhash64(m, F.lit(1), F.call_function("substring_index", line, F.lit(" "), a - m))]
     return F.array(*halves(n), *halves(n - 1))
 
 
 def _candidate_lines(keyed: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Words of the candidates, fetched at their first occurrence: ``_k1, _k2, _first, _w, _n``."""
-    where = (candidates.groupBy(*DOC).agg(F.collect_list(F.struct("_pos", "_k1", "_k2", "_n")).alias("_at"))
+    """Words of the candidates, fetched at their first occurrence and numbered in order of occurrence.
+
+    ``_o, _k1, _k2, _w``: ``_o`` grows with the first occurrence, because the
+    rows are dealt by range and numbered partition by partition.
+    """
+    where = (candidates.groupBy(*DOC).agg(F.collect_list(F.struct("_pos", "_k1", "_k2")).alias("_at"))
              .withColumnsRenamed({"_id": "_cid", "_th": "_cth"}))
     docs = keyed.join(where, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_th") == F.col("_cth")))
     # through a generator, so that the text is split once and not again for every position
     docs = docs.select(*DOC, "_at", F.explode(F.array(F.split("_text", "\n"))).alias("_parts"))
     found = docs.select(*DOC, F.explode(F.transform(
         "_at", lambda c: F.struct(c.alias("c"), F.get(F.col("_parts"), c["_pos"]).alias("line")))).alias("_c"))
-    return (found.select(F.col("_c.c._k1").alias("_k1"), F.col("_c.c._k2").alias("_k2"),
-                         F.struct("_id", "_th", F.col("_c.c._pos").alias("_pos")).alias("_first"),
-                         words_of(F.col("_c.line")).alias("_w"), F.col("_c.c._n").alias("_n"))
-            .dropDuplicates(["_k1", "_k2"]))
+    once = found.select(*DOC, F.col("_c.c._pos").alias("_pos"), F.col("_c.c._k1").alias("_k1"), F.col("_c.c._k2").alias("_k2"),
+                        F.split(_normal(F.col("_c.line")), " ").alias("_w")).dropDuplicates(["_k1", "_k2"])
+    order = ["_id", "_th", "_pos"]
+    return once.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        F.monotonically_increasing_id().alias("_o"), "_k1", "_k2", "_w")
+
+
+def _xor(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+
+
+def _running_xor(values: Column) -> Column:
+    """XOR of each value with all before it, by doubling: as many rounds as the length has bits."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
+    return F.aggregate(rounds, values, lambda acc, r: F.transform(
+        acc, lambda x, i: x.bitwiseXOR(F.coalesce(F.get(acc, i - F.call_function("shiftleft", F.lit(1), r)), F.lit(0).cast("long")))))
+
+
+def _variants(words: Column, min_words: int) -> Column:
+    """Keys of a line and of its variants with one word deleted, as ``(h1, h2, kind)``.
+
+    A line's hash is the XOR of its words' hashes with their places.  Deleting
+    word ``i`` and closing the gap moves the later words one place down: the
+    hash is that of all words one place down, XOR word ``i`` in its place, XOR
+    the running XOR of both placings up to ``i``.
+    Kind 0: the whole line; 1: the line without one word; 2: the line with one
+    word left open, its place being part of the key.
+    """
+    n = F.size(words)
+
+    def keys(seed: int) -> Column:
+        def of(pair: Column) -> Column:
+            here, down = pair["here"], pair["down"]
+            both = F.zip_with(here, down, lambda a, b: a.bitwiseXOR(b))
+            def done(x: Column) -> Column:
+                whole, shift = x["whole"], x["shift"]
+                deleted = F.zip_with(here, x["run"], lambda a, r: F.xxhash64(n - 1, F.lit(-1), shift.bitwiseXOR(a).bitwiseXOR(r)))
+                opened = F.transform(here, lambda a, i: F.xxhash64(n, i, whole.bitwiseXOR(a)))
+                return F.concat(F.array(F.xxhash64(n, F.lit(-1), whole)),
+                                F.when(n >= min_words, F.concat(deleted, opened)).otherwise(F.array().cast(_LONGS)))
+            return let(F.struct(_xor(here).alias("whole"), _xor(down).alias("shift"), _running_xor(both).alias("run")), done)
+        return let(F.struct(F.transform(words, lambda w, i: F.xxhash64(F.lit(seed), w, i)).alias("here"),
+                            F.transform(words, lambda w, i: F.xxhash64(F.lit(seed), w, i - 1)).alias("down")), of)
+
+    return let(F.struct(keys(1).alias("a"), keys(2).alias("b")), lambda k: F.transform(
+        k["a"], lambda h, i: F.struct(h.alias("h1"), F.get(k["b"], i).alias("h2"),
+                                      F.when(i == 0, 0).when(i <= n, 1).otherwise(2).alias("kind"))))
 
 
 def near_removed(own: DataFrame, min_words: int) -> DataFrame:
     """Keys of lines in ``own`` that have a neighbour one word edit away which occurs earlier."""
-    words = own.select("_k1", "_k2", "_first", "_n", F.posexplode("_w").alias("_i", "_word"))
-    order = Window.partitionBy("_k1", "_k2").orderBy("_i")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    every = Window.partitionBy("_k1", "_k2")
-    out = words
-    for s in ("1", "2"):
-        here, left = F.xxhash64(F.lit(s), "_word", "_i"), F.xxhash64(F.lit(s), "_word", F.col("_i") - 1)
-        out = (out.withColumn("_here" + s, here)
-               .withColumn("_all" + s, F.bit_xor(here).over(every))
-               .withColumn("_pre" + s, F.coalesce(F.bit_xor(here).over(before), F.lit(0)))
-               .withColumn("_post" + s, F.bit_xor(left).over(every).bitwiseXOR(F.bit_xor(left).over(upto))))
-
-    def variant(length: Column, place: Column, kind: str, h1: Column, h2: Column) -> Column:
-        return F.struct(length.alias("l"), place.alias("p"), h1.alias("h1"), h2.alias("h2"), F.lit(kind).alias("kind"))
-
-    def x(a: str, b: str, s: str) -> Column:
-        return F.col(a + s).bitwiseXOR(F.col(b + s))
-
-    n, none = F.col("_n"), F.lit(-1)
-    keys = F.array(variant(n, F.col("_i"), "replace", x("_all", "_here", "1"), x("_all", "_here", "2")),
-                   variant(n - 1, none, "delete", x("_pre", "_post", "1"), x("_pre", "_post", "2")))
-    whole = F.array(variant(n, none, "whole", F.col("_all1"), F.col("_all2")))
-    nothing = F.array().cast("array<struct<l:int,p:int,h1:bigint,h2:bigint,kind:string>>")
-    emitted = F.concat(F.when(n >= min_words, keys).otherwise(nothing),
-                       F.when(F.col("_i") == 0, whole).otherwise(nothing))
-    variants = out.select("_k1", "_k2", "_first", F.explode(emitted).alias("v")).select("_k1", "_k2", "_first", "v.*")
-    line = F.struct("_first", "_k1", "_k2")
-    met = (variants.groupBy("l", "p", "h1", "h2")
-           .agg(F.min(line).alias("_any"), F.count(F.lit(1)).alias("_rows"),
-                F.min(F.when(F.col("kind") == "whole", line)).alias("_whole"),
-                F.min(F.when(F.col("kind") == "delete", line)).alias("_delete"))
-           .where("_rows > 1"))
-    other = (F.when(F.col("kind") == "replace", F.col("_any")).when(F.col("kind") == "delete", F.col("_whole"))
-             .otherwise(F.col("_delete")))
-    near = (variants.join(met, ["l", "p", "h1", "h2"])
-            .withColumn("_o", other)
-            .where(F.col("_o._first") < F.col("_first"))
-            .groupBy("_k1", "_k2").agg(F.min("_o").alias("_o")))
-    mine = own.select("_k1", "_k2", F.col("_w").alias("_mine"))
-    theirs = own.select(F.col("_k1").alias("_o1"), F.col("_k2").alias("_o2"), F.col("_w").alias("_theirs"))
-    pairs = (near.join(mine, ["_k1", "_k2"])
-             .join(theirs, (F.col("_o._k1") == F.col("_o1")) & (F.col("_o._k2") == F.col("_o2"))))
+    emitted = own.select("_o", F.explode(_variants(F.col("_w"), min_words)).alias("v"))
+    variants = parquet_table(emitted.select("_o", "v.*"), "line-variants")
+    kind = F.col("kind")
+    met = (variants.groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("_o").alias("any"), F.min(F.when(kind == 0, F.col("_o"))).alias("whole"),
+        F.min(F.when(kind == 1, F.col("_o"))).alias("deleted")).where("rows > 1").drop("rows"))
+    other = F.when(kind == 2, F.col("any")).when(kind == 1, F.col("whole")).otherwise(F.col("deleted"))
+    near = (variants.join(met, ["h1", "h2"]).select("_o", other.alias("_p")).where("_p < _o")
+            .groupBy("_o").agg(F.min("_p").alias("_p")))
+    mine = own.select("_o", "_k1", "_k2", F.col("_w").alias("_mine"))
+    theirs = own.select(F.col("_o").alias("_p"), F.col("_w").alias("_theirs"))
+    pairs = near.join(mine, "_o").join(theirs, "_p")
     return pairs.where(within_one_word(F.col("_mine"), F.col("_theirs"))).select("_k1", "_k2")
 
 
@@ -141,16 +161,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     docs = docs.drop(*counts)
     keyed = _keyed(docs, id_col, text_col)
-    halves = F.when(F.col("_n") >= min_words - 1, _half_keys(F.col("_w"), F.col("_n")))
-    distinct = parquet_table(
-        _lines(keyed).withColumn("_h", halves)
-        .groupBy("_k1", "_k2").agg(F.min(F.struct(*DOC, "_pos")).alias("_f"), F.first("_n").alias("_n"),
-                                   F.first("_h").alias("_h"))
-        .select("_k1", "_k2", "_f.*", "_n", "_h"), "distinct-lines")
+    line = F.col("_line")
+    halves = F.when(F.col("_n") >= min_words - 1, _half_keys(line, F.col("_n")))
+    hashed = _lines(keyed).select(*DOC, "_pos", halves.alias("_h"), F.xxhash64(line).alias("_k1"),
+                                  F.xxhash64(F.lit(7), line).alias("_k2"))
+    distinct = parquet_table(hashed.groupBy("_k1", "_k2").agg(F.min(F.struct(*DOC, "_pos")).alias("_f"), F.first("_h").alias("_h"))
+                             .select("_k1", "_k2", "_f.*", "_h"), "distinct-lines")
     keys = distinct.select("_k1", F.explode("_h").alias("_half"))
     shared = keys.groupBy("_half").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_half")
-    candidates = distinct.join(keys.join(shared, "_half", "left_semi").select("_k1").distinct(), "_k1", "left_semi")
-    near = near_removed(parquet_table(_candidate_lines(keyed, candidates), "candidate-lines"), min_words)
+    candidates = parquet_table(
+        distinct.join(keys.join(shared, "_half", "left_semi").select("_k1").distinct(), "_k1", "left_semi").drop("_h"), "candidates")
+    own = parquet_table(_candidate_lines(keyed, candidates), "candidate-lines")
+    near = parquet_table(near_removed(own, min_words), "near-lines")
     kept = (distinct.join(near, ["_k1", "_k2"], "left_anti")
             .groupBy(*DOC).agg(F.collect_list("_pos").alias("_kept"))
             .withColumnsRenamed({"_id": "_kid", "_th": "_kth"}))
