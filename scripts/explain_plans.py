@@ -58,7 +58,7 @@ def main() -> None:
         ("Delete-then-write on row keys (W10): LEFT ANTI against distinct incoming keys",
          o.join(o.filter("o_orderpriority = '1-URGENT'").select("o_custkey").distinct(), "o_custkey", "left_anti")),
         ("Theta join (J2) with a bounded dimension: broadcast nested loop over 25 nation rows",
-         keys.theta_join(r.table(spark, d, "customer"), r.table(spark, d, "nation"), ["c_nationkey >= n_nationkey"])),
+         keys.theta_join(r.table(spark, d, "customer"), r.table(spark, d, "nation"), ["c_nationkey >= n_nationkey"], nested_loop=True)),
     ]
     bucketed = VersionedTable.create(spark, unique_table_name("plans_bkt"), target, root=scratch_path(spark, "plans_bkt"),
                                      bucket_by=(8, ["c_custkey"]))

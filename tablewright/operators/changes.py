@@ -24,7 +24,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.keys import TARGET, UPDATES, inner_join_condition, parse_join_keys
+from tablewright.operators.keys import TARGET, UPDATES, inner_join_condition, merge_key_rows, parse_join_keys, update_key_columns
 
 _HIT = "__tw_matched"
 
@@ -44,58 +44,72 @@ def _when_true(cond: str | Column | None) -> Column:
     return F.coalesce(_expr(cond), F.lit(False))
 
 
+def nested_loops(df: DataFrame) -> int:
+    """Joins in the physical plan of ``df`` that compare all pairs of rows (nothing runs)."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return plan.count("NestedLoopJoin") + plan.count("CartesianProduct")
+
+
+def _need_equality(target: DataFrame, updates: DataFrame, cond: Column) -> None:
+    """Refuse a match without any equality: it compares all pairs, and its outer
+    and anti joins broadcast the updates whole, whatever their size."""
+    t, u = target.alias(TARGET), updates.alias(UPDATES)
+    if nested_loops(t.join(u, cond, "left")) > nested_loops(target) + nested_loops(updates):
+        raise ValueError("the merge condition has no equality, so it would compare all pairs of rows; add an equality, or "
+                         "pass nested_loop=True when the updates are known to be small")
+
+
 def _ensure_unique_matches(target: DataFrame, updates: DataFrame, cond: Column, keys: Sequence[str] | None) -> None:
     """Raise :class:`MergeConflict` when two updates match one target row.
 
-    With equality ``keys`` the updates are checked for repeated keys first
-    (map-side pre-aggregated); only when some exist are they semi-joined with
-    the target's key columns.
-    Without keys the inner join is grouped by the whole target row.
+    With equality ``keys`` only updates whose key is repeated (pre-aggregated)
+    can conflict; without such, the target is not read.  For those the full
+    condition decides: each is numbered, target rows are told apart by place
+    or, in a frame without files, by a row number, and a target row that two
+    updates match is a conflict.  Without keys all updates are looked at.
     """
-    if keys:
-        pairs = parse_join_keys(keys)
-        dup = (
-            updates.groupBy(*[F.col(f"`{kp.updates}`").alias(f"__tw_k{i}") for i, kp in enumerate(pairs)])
-            .count()
-            .filter(F.col("count") > 1)
-        )
-        if dup.isEmpty():
+    some = updates
+    if keys and all(kp.op == "=" for kp in parse_join_keys(keys)):
+        columns = update_key_columns(keys)
+        names = [f"__tw_k{i}" for i in range(len(columns))]
+        repeated = updates.groupBy(*[c.alias(n) for c, n in zip(columns, names)]).count().filter("count > 1").select(*names)
+        if repeated.isEmpty():
             return  # no repeated key in the updates: the target need not be read
         on = None
-        for i, kp in enumerate(pairs):
-            term = F.col(f"`{kp.target}`") == F.col(f"__tw_k{i}")
-            on = term if on is None else on & term
-        hits = dup.join(target, on, "left_semi")
-    else:
-        t, u = target.alias(TARGET), updates.alias(UPDATES)
-        hits = (
-            t.join(u, cond, "inner")
-            .groupBy(*[F.col(f"{TARGET}.`{c}`") for c in target.columns])
-            .count()
-            .filter(F.col("count") > 1)
-        )
+        for c, n in zip(columns, names):
+            on = c == F.col(n) if on is None else on & (c == F.col(n))
+        some = updates.join(repeated, on, "left_semi")
+    numbered = target.withColumn("__tw_row_id", F.monotonically_increasing_id())
+    hits = numbered.alias(TARGET).join(some.alias(UPDATES), cond).groupBy(F.col(f"{TARGET}.__tw_row_id")).count().filter("count > 1")
     if not hits.isEmpty():
         raise MergeConflict("several update rows match the same target row; make the updates unique per key")
 
 
 DELETED = "__tw_deleted"
 UPDATED = "__tw_updated"
-ORIGINAL = "__tw_was_"  # prefix of carried pre-merge values
 
 
 class MergeParts(NamedTuple):
     """A merge before its last step.
 
     ``marked`` has one row per target row: target columns with the update
-    applied, boolean ``DELETED`` / ``UPDATED`` flags and, for each column
-    named in ``carry``, its value before the merge as ``ORIGINAL + name``;
-    ``inserted`` holds the rows of unmatched updates.
+    applied, boolean ``DELETED`` / ``UPDATED`` flags and the ``places``
+    columns as they were; ``inserted`` holds the rows of unmatched updates.
     """
 
     marked: DataFrame
     inserted: DataFrame
 
 
+def _named(sets: Mapping[str, str | Column], fields: Sequence, what: str) -> dict[str, str | Column]:
+    """``sets`` with the target's own spelling of each column name."""
+    own = {f.name.lower(): f.name for f in fields}
+    unknown = sorted(k for k in sets if k.lower() not in own)
+    if unknown:
+        raise ValueError(f"{what} sets unknown columns {unknown}")
+    return {own[k.lower()]: v for k, v in sets.items()}
+
+
 def merge_parts(
     target: DataFrame,
     updates: DataFrame,
@@ -107,37 +121,38 @@ def merge_parts(
     insert_values: Mapping[str, str | Column] | None = None,
     keys: Sequence[str] | None = None,
     check_unique: bool = True,
-    carry: Sequence[str] = (),
+    places: Sequence[str] = (),
+    nested_loop: bool = False,
 ) -> MergeParts:
-    """The two joins of :func:`merge`, with deleted / updated rows flagged."""
-    equi_keys = condition is None
-    if equi_keys:
-        if not keys or any(kp.op != "=" for kp in parse_join_keys(keys)):
+    """The two joins of :func:`merge`, with deleted / updated rows flagged.
+
+    ``places`` names columns of ``target`` that say where a row is stored and
+    are no columns of the table.
+    """
+    equi_keys = bool(keys) and all(kp.op == "=" for kp in parse_join_keys(keys))
+    if condition is None:
+        if not equi_keys:
             raise ValueError("a merge without a condition needs equality keys")
         cond = inner_join_condition(keys)
     else:
         cond = _expr(condition)
+        if not nested_loop:
+            _need_equality(target, updates, cond)
     if check_unique:
         _ensure_unique_matches(target, updates, cond, keys)
 
     t = target.alias(TARGET)
     u = updates.withColumn(_HIT, F.lit(True)).alias(UPDATES)
-    fields = target.schema.fields
-    upd_cols = set(updates.columns)
-
-    if update_set is None:
-        missing = [f.name for f in fields if f.name not in upd_cols]
-        if missing:
-            raise ValueError(f"update-all needs update columns {missing}")
-        update_set = {f.name: F.col(f"{UPDATES}.`{f.name}`") for f in fields}
-    if insert_values is None:
-        missing = [f.name for f in fields if f.name not in upd_cols]
-        if missing:
-            raise ValueError(f"insert-all needs update columns {missing}")
-        insert_values = {f.name: F.col(f"{UPDATES}.`{f.name}`") for f in fields}
-    unknown = (set(update_set) | set(insert_values)) - {f.name for f in fields}
-    if unknown:
-        raise ValueError(f"merge sets unknown target columns {sorted(unknown)}")
+    fields = [f for f in target.schema.fields if f.name not in places]
+    upd_cols = {c.lower() for c in updates.columns}
+
+    missing = [f.name for f in fields if f.name.lower() not in upd_cols]
+    for sets, what in ((update_set, "update-all"), (insert_values, "insert-all")):
+        if sets is None and missing:
+            raise ValueError(f"{what} needs update columns {missing}")
+    every = {f.name: F.col(f"{UPDATES}.`{f.name}`") for f in fields}
+    update_set = every if update_set is None else _named(update_set, fields, "merge")
+    insert_values = every if insert_values is None else _named(insert_values, fields, "merge")
 
     joined = t.join(u, cond, "left")
     matched = F.col(f"{UPDATES}.{_HIT}").isNotNull()
@@ -154,9 +169,9 @@ def merge_parts(
         ],
         deleted.alias(DELETED),
         updating.alias(UPDATED),
-        *[F.col(f"{TARGET}.`{c}`").alias(f"{ORIGINAL}{c}") for c in carry],
+        *[F.col(f"{TARGET}.`{c}`") for c in places],
     )
-    if equi_keys:
+    if condition is None:
         # Only the target's distinct keys are needed to find inserts; the
         # distinct is pre-aggregated map-side, so a key holding a third of
         # the target arrives as a handful of rows instead of one huge task.
@@ -168,6 +183,9 @@ def merge_parts(
             on = term if on is None else on & term
         misses = u.join(known, on, "left_anti")
     else:
+        # The rest of the condition decides too, so whole rows are compared; the
+        # updates are the left side, whose hot keys AQE splits, and of the
+        # target only the columns of the condition are read.
         misses = u.join(t, cond, "left_anti")
     inserted = misses.select(
         *[
@@ -190,6 +208,7 @@ def merge(
     insert: bool = True,
     keys: Sequence[str] | None = None,
     check_unique: bool = True,
+    nested_loop: bool = False,
 ) -> DataFrame:
     """M1: new content of ``target`` after merging ``updates``.
 
@@ -202,10 +221,12 @@ def merge(
 
     With ``condition=None`` the match is the equality of ``keys`` (J2 syntax,
     ``=`` only) and inserts are found against the target's distinct keys.
+    A condition without any equality compares all pairs of rows and is refused
+    unless ``nested_loop=True``: the caller then vouches for small updates.
     """
     marked, inserted = merge_parts(
         target, updates, condition, delete_when=delete_when, update_when=update_when, update_set=update_set,
-        insert_values=insert_values, keys=keys, check_unique=check_unique,
+        insert_values=insert_values, keys=keys, check_unique=check_unique, nested_loop=nested_loop,
     )
     kept = marked.filter(~F.col(DELETED)).drop(DELETED, UPDATED)
     return kept.unionByName(inserted) if insert else kept
@@ -218,9 +239,7 @@ def update_rows(df: DataFrame, condition: str | Column, set_values: Mapping[str,
     """
     cond = _when_true(condition)
     types = {f.name: f.dataType for f in df.schema.fields}
-    unknown = set(set_values) - set(types)
-    if unknown:
-        raise ValueError(f"update sets unknown columns {sorted(unknown)}")
+    set_values = _named(set_values, df.schema.fields, "update")
     return df.select(
         *[
             (F.when(cond, _expr(set_values[c]).cast(types[c])).otherwise(F.col(f"`{c}`")) if c in set_values else F.col(f"`{c}`")).alias(c)
@@ -234,8 +253,16 @@ def delete_rows(df: DataFrame, condition: str | Column) -> DataFrame:
     return df.filter(~_when_true(condition))
 
 
-def scd2_changes(
-    current: DataFrame,
+class Scd2Stage(NamedTuple):
+    """Staged update rows (J3) and the merge that applies them to the current rows."""
+
+    staged: DataFrame
+    condition: Column
+    clauses: dict
+
+
+def scd2_stage(
+    history: DataFrame,
     updates: DataFrame,
     key: str,
     compare: Sequence[str],
@@ -244,46 +271,37 @@ def scd2_changes(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     load_date: str | Column,
-) -> DataFrame:
+) -> Scd2Stage:
+    """M4 up to its merge: every update keyed by its merge key, plus the changed ones without key (they insert)."""
+    load = _expr(load_date)
+    differs = None
+    for c in compare:
+        term = ~F.col(f"{UPDATES}.`{c}`").eqNullSafe(F.col(f"{TARGET}.`{c}`"))
+        differs = term if differs is None else differs | term
+    current = history.filter(_when_true(F.col(f"`{current_flag}`")))
+    same_key = F.col(f"{UPDATES}.`{key}`") == F.col(f"{TARGET}.`{key}`")
+    changed = updates.alias(UPDATES).join(current.alias(TARGET), same_key & differs, "left_semi")
+    insert_values: dict[str, Column] = {c: F.col(f"{UPDATES}.`{c}`") for c in updates.columns}
+    insert_values |= {current_flag: F.lit(True), valid_from: load, valid_to: F.lit(None)}
+    return Scd2Stage(
+        merge_key_rows(updates, changed, [key]),
+        F.col(f"{TARGET}.`{key}`") == F.col(f"{UPDATES}.mergekey0"),
+        {"update_when": differs, "update_set": {current_flag: F.lit(False), valid_to: load}, "insert_values": insert_values,
+         "keys": [f"{key} = mergekey0"]},
+    )
+
+
+def scd2_changes(current: DataFrame, updates: DataFrame, key: str, compare: Sequence[str], *, current_flag: str = "is_current",
+                 **kwargs) -> DataFrame:
     """M4: slowly-changing dimension, type 2, as J3 staging + :func:`merge`.
 
     ``current`` holds history rows (``key``, attributes, ``current_flag``,
     ``valid_from``, ``valid_to``); ``updates`` holds ``key`` and attributes.
     A key whose current row differs in any ``compare`` column gets that row
     closed (flag false, ``valid_to`` = load date) and a new current row; a new
-    key gets a current row; unchanged keys are left as they are.
+    key gets a current row; unchanged keys are left as they are.  Only current
+    rows are joined.
     """
-    from tablewright.operators.keys import merge_key_rows
-
-    load = _expr(load_date) if not isinstance(load_date, Column) else load_date
-    differs = None
-    for c in compare:
-        term = ~F.col(f"{UPDATES}.`{c}`").eqNullSafe(F.col(f"{TARGET}.`{c}`"))
-        differs = term if differs is None else differs | term
-    changed = (
-        updates.alias(UPDATES)
-        .join(
-            current.alias(TARGET),
-            (F.col(f"{UPDATES}.`{key}`") == F.col(f"{TARGET}.`{key}`")) & F.col(f"{TARGET}.`{current_flag}`") & differs,
-            "left_semi",
-        )
-    )
-    staged = merge_key_rows(updates, changed, [key])
-    attrs = [c for c in updates.columns]
-    insert_values: dict[str, Column] = {c: F.col(f"{UPDATES}.`{c}`") for c in attrs}
-    insert_values[current_flag] = F.lit(True)
-    insert_values[valid_from] = load
-    insert_values[valid_to] = F.lit(None)
-    differs_staged = None
-    for c in compare:
-        term = ~F.col(f"{UPDATES}.`{c}`").eqNullSafe(F.col(f"{TARGET}.`{c}`"))
-        differs_staged = term if differs_staged is None else differs_staged | term
-    return merge(
-        current,
-        staged,
-        (F.col(f"{TARGET}.`{key}`") == F.col(f"{UPDATES}.mergekey0")) & F.col(f"{TARGET}.`{current_flag}`"),
-        update_when=differs_staged,
-        update_set={current_flag: F.lit(False), valid_to: load},
-        insert_values=insert_values,
-        keys=[f"{key} = mergekey0"],
-    )
+    stage = scd2_stage(current, updates, key, compare, current_flag=current_flag, **kwargs)
+    is_current = _when_true(F.col(f"`{current_flag}`"))
+    return merge(current.filter(is_current), stage.staged, stage.condition, **stage.clauses).unionByName(current.filter(~is_current))

@@ -76,8 +76,15 @@ def inner_join_condition(
 
 
 def theta_join(target: DataFrame, updates: DataFrame, keys: Sequence[str], extra: str | Column | None = None,
-               how: str = "inner") -> DataFrame:
-    """Join ``target`` and ``updates`` (aliased) on :func:`inner_join_condition`."""
+               how: str = "inner", nested_loop: bool = False) -> DataFrame:
+    """Join ``target`` and ``updates`` (aliased) on :func:`inner_join_condition`.
+
+    Keys without any equality compare all pairs of rows.  That needs
+    ``nested_loop=True``, by which the caller says that one side is small (a
+    dimension table); no size is guessed here.
+    """
+    if not nested_loop and all(kp.op != "=" for kp in parse_join_keys(keys)):
+        raise ValueError("a join without an equality key compares all pairs of rows; pass nested_loop=True when one side is small")
     return target.alias(TARGET).join(updates.alias(UPDATES), inner_join_condition(keys, extra), how)
 
 

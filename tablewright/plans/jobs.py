@@ -24,10 +24,9 @@ from tablewright.sources.files import FORMATS, read_files
 from tablewright.sources.jdbc import read_external
 
 # Fixed values that must equal the reference behaviour: detail keys of an
-# external (table-or-query) source, and the give-up point of a load's retries.
+# external (table-or-query) source.
 EXTERNAL_QUERY_KEYS = ("sfQuery", "query")
 EXTERNAL_TABLE_KEYS = ("sfTableName", "dbtable")
-MAX_RETRIES = 3
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -67,7 +66,13 @@ def read_source(spark: SparkSession, spec: LoadSpec) -> DataFrame:
 
 def write_target(spark: SparkSession, spec: LoadSpec, df: DataFrame) -> WriteResult:
     """Writer: create when absent; else replaceWhere, merge, append, partition
-    overwrite (partitioned) or full overwrite (unpartitioned)."""
+    overwrite (partitioned) or full overwrite (unpartitioned).
+
+    A target root left by a session without a persistent catalog is opened,
+    never overwritten."""
+    write_mode(spec.mode)  # an unknown mode fails before anything is read
+    if not spark.catalog.tableExists(spec.target_table) and spec.target_root and VersionedTable.exists_at(spark, spec.target_root):
+        VersionedTable.open(spark, spec.target_table, spec.target_root)
     if not spark.catalog.tableExists(spec.target_table):
         table = VersionedTable.create(spark, spec.target_table, df, root=spec.target_root, partition_by=spec.partition_by)
         return WriteResult(table.name, 0, "CREATE", table.last_metrics)
@@ -141,7 +146,7 @@ def spec_from_request(spark: SparkSession, req: md.LoadRequest, conform: bool =
         steps=steps,
         partition_by=parts,
         mode=d.get("mode"),
-        replace_where=od.get("replaceWhere") if parts else None,
+        replace_where=od.get("replaceWhere"),
         merge_keys=[k.strip() for k in d.get("merge_keys", "").split("|") if k.strip()],
         merge_condition=d.get("merge_condition"),
         external_table=ext_table,
@@ -151,28 +156,26 @@ def spec_from_request(spark: SparkSession, req: md.LoadRequest, conform: bool =
 
 def load_from_metadata(spark: SparkSession, metadata_db: str, op_id: str, conform: bool = True,
                        max_attempts: int = 1) -> WriteResult:
-    """L1: resolve ``op_id`` (J1), log Started, load, store stats, log Finished.
+    """L1: resolve ``op_id`` (J1), log Started, load, log Finished, store stats.
 
     A failed attempt is logged as Error with its stack trace and the attempt
-    count as ``retry_count`` in the operation details; the load is tried up
-    to ``max_attempts`` times (at most ``MAX_RETRIES`` + 1), then the last
-    error is raised.
+    count as ``retry_count`` in the operation details; the load is tried up to
+    ``max_attempts`` times, then the last error is raised.  Only the load
+    itself is tried again: once its write has committed, a failure to log or
+    to store the metrics is raised and never repeats the write.
     """
     req = md.resolve_load(spark, metadata_db, op_id)
-    attempts = max(1, min(max_attempts, MAX_RETRIES + 1))
-    for attempt in range(attempts):
+    for attempt in range(max(1, max_attempts)):
         details = {**req.op_details, "retry_count": str(attempt)}
         md.log_operation(spark, metadata_db, op_id, req.entity_id, md.STARTED, details)
         try:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{req.db_name}` LOCATION '{req.target_mount}/data/{req.db_name}'")
             result = run_spec(spark, spec_from_request(spark, req, conform))
-            md.store_stats(spark, metadata_db, op_id, {**result.metrics, "operation": result.operation, "version": result.version})
+            break
         except Exception as e:
             md.log_operation(spark, metadata_db, op_id, req.entity_id, md.ERROR, details, "".join(traceback.format_exception(e)))
-            if attempt + 1 == attempts:
+            if attempt + 1 >= max_attempts:
                 raise
-            continue
-        md.log_operation(spark, metadata_db, op_id, req.entity_id, md.FINISHED, details)
-        return result
-    raise AssertionError("unreachable")
-
+    md.log_operation(spark, metadata_db, op_id, req.entity_id, md.FINISHED, details)
+    md.store_stats(spark, metadata_db, op_id, {**result.metrics, "operation": result.operation, "version": result.version})
+    return result

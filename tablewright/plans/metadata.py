@@ -157,8 +157,11 @@ def resolve_load(spark: SparkSession, db: str, op_id: str) -> LoadRequest:
     if len(rows) != 1:
         raise LookupError(f"operation {op_id!r} resolves to {len(rows)} entity rows, expected 1")
     r: Row = rows[0]
-    mounts = spark.table(_t(db, MOUNTS)).filter(F.col("dbName") == F.lit(r["db_name"])).take(1)
-    src, tgt = (mounts[0]["source_mount"], mounts[0]["target_mount"]) if mounts else ("", "")
+    mounts = (spark.table(_t(db, MOUNTS)).filter(F.col("dbName") == F.lit(r["db_name"]))
+              .select("source_mount", "target_mount").distinct().take(2))
+    if len(mounts) != 1 or not mounts[0]["target_mount"]:
+        raise LookupError(f"database {r['db_name']!r} has {len(mounts)} mounts with a target, expected 1")
+    src, tgt = mounts[0]["source_mount"], mounts[0]["target_mount"]
     return LoadRequest(
         op_id=r["op_id"],
         entity_id=r["entity_id"],

@@ -187,7 +187,7 @@ def q_resolve_load(spark, d):
 
 
 def q_theta_join(spark, d):
-    j = keys.theta_join(table(spark, d, "customer"), table(spark, d, "nation"), ["c_nationkey >= n_nationkey"])
+    j = keys.theta_join(table(spark, d, "customer"), table(spark, d, "nation"), ["c_nationkey >= n_nationkey"], nested_loop=True)
     return j.select("target.c_custkey", "updates.n_nationkey")
 
 

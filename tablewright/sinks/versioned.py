@@ -1,20 +1,25 @@
 """Versioned parquet catalog tables and their write modes.
 
-A table is a catalog table ``name`` stored as parquet directories
-``<root>/version-0``, ``<root>/version-1``, ...  The catalog LOCATION points at
-the newest one; the version number and root are table properties.
-
-* Rewriting changes (overwrite, replaceWhere, merge, update, delete) compute
-  the new content as one DataFrame from the current version, write it to the
-  next, never-read directory and then point the catalog at it.  A failed or
-  retried job leaves only an unreferenced directory, which the next attempt
-  overwrites; readers of older versions are never disturbed, so time travel
-  is reading ``version-n`` with the stored schema.
-* Appends, partition overwrites (dynamic, static, delete-then-write on
-  partition keys) and partition-scoped changes work in place on the current
-  version and rewrite only the partitions they touch.  They do not start a
-  new version: a version directory holds the table as it stood when the next
-  rewriting change started, and older versions are never modified.
+A table is a catalog table whose LOCATION is one directory
+``<root>/version-<n>-<id>``; the directory's name carries the version, and a
+manifest in it lists the directories of all earlier versions.
+
+* Rewriting changes (overwrite, replaceWhere, merge, update, delete, SCD2)
+  compute the new content as one DataFrame from the current version, write it
+  to a fresh directory that no other attempt shares, write its manifest, and
+  then move LOCATION: one catalog statement is the commit.  Whatever fails
+  before it, the table stays as it was; whatever fails after it only loses
+  informational properties.  Older versions are never modified, so time travel
+  reads the directory of that version.
+* Appends, partition overwrites and partition-scoped changes work in place on
+  the current version and rewrite only the partitions they touch.  They start
+  no new version.  Replacing partitions is Spark's dynamic overwrite: deleting
+  and renaming directories at job commit is not atomic, and a driver lost in
+  that step can leave some of the touched partitions missing.
+
+Partitions are found by listing the version directory, not registered in the
+catalog, so a commit never lists or repairs partitions, and a partition is
+always addressed by the directory string that Spark itself wrote.
 
 Single writer per table is assumed: there is no transaction log.
 """
@@ -23,9 +28,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,21 +40,19 @@ from tablewright.operators import changes
 from tablewright.operators.columns import with_literals
 from tablewright.operators.keys import prune_target
 from tablewright.session import work_root
+from tablewright.sinks import store
 
-PROP_VERSION = "tablewright.version"
 PROP_ROOT = "tablewright.root"
 PROP_OPERATION = "tablewright.operation"
 PROP_METRICS = "tablewright.metrics"
 PROP_PARTITIONS = "tablewright.partition_columns"
 PROP_BUCKETS = "tablewright.bucket_by"
 PROP_REBALANCE = "tablewright.rebalance_writes"
-VERSION_DIR = "version-{}"
-# Above this many partitions to empty, one whole-table rewrite job is cheaper
-# than one small overwrite job per emptied partition.
-MAX_EMPTIED_PARTITIONS = 256
-# A change reaching more partitions than this is written as a new version of
-# the whole table instead (the touched list becomes a literal predicate).
-MAX_TOUCHED_PARTITIONS = 10000
+VERSION_DIR = "version-{}-{}"
+MANIFEST = "_tablewright.json"
+
+# Helper columns of located rows: partition directory, file and row number in it.
+DIR, FILE, ROW = "__tw_dir", "__tw_file", "__tw_row"
 
 
 class TableError(RuntimeError):
@@ -68,44 +71,6 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _sql_literal(value: object) -> str:
-    """SQL literal of a partition value (collected from the table itself)."""
-    import datetime as dt
-
-    if value is None:
-        return "NULL"
-    if isinstance(value, bool):
-        return "TRUE" if value else "FALSE"
-    if isinstance(value, (int, float)):
-        return repr(value)
-    if isinstance(value, dt.datetime):
-        return f"TIMESTAMP {_sql_str(value.isoformat(sep=' '))}"
-    if isinstance(value, dt.date):
-        return f"DATE {_sql_str(value.isoformat())}"
-    return _sql_str(str(value))
-
-
-def _partition_predicate(columns: Sequence[str], specs: Sequence[Sequence[object]]) -> Column:
-    """``columns`` equal (NULL-safe) to one of the value tuples in ``specs``."""
-    if not specs:
-        return F.lit(False)
-    if len(columns) == 1:
-        col = F.col(f"`{columns[0]}`")
-        values = [v[0] for v in specs if v[0] is not None]
-        pred = col.isin(values) if values else F.lit(False)
-        return pred | col.isNull() if any(v[0] is None for v in specs) else pred
-    terms = []
-    for values in specs:
-        term = None
-        for c, v in zip(columns, values):
-            t = F.col(f"`{c}`").eqNullSafe(F.lit(v))
-            term = t if term is None else term & t
-        terms.append(term)
-    while len(terms) > 1:  # balanced OR: depth log2(n), not n
-        terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
-    return terms[0]
-
-
 def _ident(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -115,7 +80,16 @@ def _ddl_columns(schema: StructType) -> str:
 
 
 def _ordered(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(f"`{n}`") for n in names])
+    """Columns ``names`` of ``df``, found in any case, named as given."""
+    return df.select(*[F.col(f"`{n}`").alias(n) for n in names])
+
+
+def _expr(e: str | Column) -> Column:
+    return F.expr(e) if isinstance(e, str) else e
+
+
+def _true(cond: str | Column) -> Column:
+    return F.coalesce(_expr(cond), F.lit(False))
 
 
 def _clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -129,72 +103,45 @@ def _clustered(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *parts) if parts else df
 
 
-def _materialized(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+def _observation(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    obs = Observation(f"tablewright_{name}_{uuid.uuid4().hex[:8]}")
+    return df.observe(obs, *[c.alias(k) for k, c in metrics.items()]), obs
 
-    A merge reads its updates in four sub-plans (duplicate guard, pruning,
-    matching join, insert anti-join); checkpointing them first means the
-    source is read once and every sub-plan sees the same rows even when the
-    source is not deterministic.  Reliable checkpoint only: the files live in
-    ``spark.checkpoint.dir`` and survive the loss of executors.
-    """
-    work_root(df.sparkSession)  # makes sure a checkpoint directory is set
-    return df.checkpoint(eager=True)
 
+def _observed(*observations: Observation) -> dict[str, str]:
+    """Row counts gathered by the write job.  A count whose plan was pruned away as
+    empty is left out: nothing may be concluded from its absence."""
+    out: dict[str, str] = {}
+    for obs in observations:
+        try:
+            out |= {k: str(v or 0) for k, v in obs.get.items()}
+        except Exception:  # the observed plan did not run
+            continue
+    return out
 
-def _write_version(spark: SparkSession, name: str, df: DataFrame, location: str, parts: Sequence[str],
-                   bucket_by: tuple[int, list[str]] | None, rebalance: bool = True) -> dict[str, str]:
-    """Write one version directory; returns the write's row metrics.
 
-    Bucketed tables are written through a throwaway external catalog table
-    (bucketed writes need one), dropped right after: its files stay where the
-    version lives.
-    """
+def _write_version(name: str, df: DataFrame, location: str, parts: Sequence[str],
+                   bucket_by: tuple[int, list[str]] | None, rebalance: bool = True) -> dict[str, str]:
+    """Write one fresh version directory; returns the write's row metrics."""
+    observed, obs = _observation(df, "write", num_output_rows=F.count(F.lit(1)))
     if bucket_by is None:
-        # static overwrite whatever the session default: a retried write must
-        # clear every partition a crashed attempt may have left in the directory
-        return _observed_write(
-            _clustered(df, parts) if rebalance else df,
-            lambda d: d.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts).parquet(location),
-        )
+        writer = (_clustered(observed, parts) if rebalance else observed).write.mode("errorifexists")
+        writer.partitionBy(*parts).parquet(location)
+    else:
+        _write_bucketed(name, observed, location, parts, bucket_by, "static")
+    return _observed(obs)
+
+
+def _write_bucketed(name: str, df: DataFrame, location: str, parts: Sequence[str], bucket_by: tuple[int, list[str]],
+                    overwrite: str) -> None:
+    """Bucketed writes need a catalog table: a throwaway external one, dropped
+    right after; its files stay where the version lives."""
     n, cols = bucket_by
     db = name.rsplit(".", 1)[0] + "." if "." in name else ""
     staging = f"{db}__tw_stage_{uuid.uuid4().hex[:12]}"
-    metrics = _observed_write(
-        df,
-        lambda d: d.write.mode("overwrite").partitionBy(*parts).bucketBy(n, *cols).sortBy(*cols)
-        .option("path", location).saveAsTable(staging),
-    )
-    spark.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
-    return metrics
-
-
-def _observed_write(df: DataFrame, write) -> dict[str, str]:
-    """Run ``write(observed_df)`` and return row metrics gathered by the same job."""
-    obs = Observation("tablewright_write")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("num_output_rows"))
-    write(observed)
-    try:
-        return {k: str(v) for k, v in obs.get.items()}
-    except Exception:  # no rows reached the observer (empty plan pruned away)
-        return {"num_output_rows": "0"}
-
-
-@contextmanager
-def _session_conf(spark: SparkSession, key: str, value: str):
-    """Set a SQL conf for the duration of one write, then restore it.
-
-    ``insertInto`` reads the partition overwrite mode from the session only.
-    """
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(*parts).bucketBy(n, *cols).sortBy(*cols)
+     .option("path", location).saveAsTable(staging))
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
 
 
 class VersionedTable:
@@ -203,7 +150,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.name = name
-        self._parts: list[str] | None = None  # fixed at creation, so cached per handle
+        self._fixed: dict | None = None  # layout fixed at creation, so cached per handle
         if not spark.catalog.tableExists(name):
             raise TableError(f"table {name} does not exist")
 
@@ -223,48 +170,85 @@ class VersionedTable:
         """Create the table from ``df`` as version 0.
 
         ``if_exists``: ``error`` or ``ignore`` (keep the existing table).
+        A ``root`` that holds a table already is refused: use :meth:`open`.
         ``bucket_by=(n, columns)`` stores every version in ``n`` buckets of
         those columns: joins and aggregations on them (a merge on its key, the
         distinct keys of its insert check) then read the table without a
-        shuffle.  The first version is hash-partitioned into the buckets once.
-        ``rebalance_writes`` (partitioned tables) adds one shuffle per write
-        that clusters rows by partition value: a few right-sized files per
-        partition and hot values split by AQE.  Turn it off for low-cardinality
-        partitions, where each task writing one file per value is already fine.
+        shuffle.  ``rebalance_writes`` (partitioned tables) adds one shuffle per
+        write that clusters rows by partition value: a few right-sized files
+        per partition and hot values split by AQE.  Turn it off for
+        low-cardinality partitions, where each task writing one file per value
+        is already fine.
         """
         if spark.catalog.tableExists(name):
             if if_exists == "ignore":
                 return cls(spark, name)
             raise TableError(f"table {name} already exists")
-        root = root or f"{work_root(spark)}/tables/{name.replace('.', '/')}"
+        root = root or cls.default_root(spark, name)
+        if cls.exists_at(spark, root):
+            raise TableError(f"{root} holds a table already; open it instead")
         by_lower = {c.lower(): c for c in df.columns}
         missing = [p for p in partition_by if p.lower() not in by_lower]
         if missing:
             raise TableError(f"partition columns {missing} are not in the data")
         parts = [by_lower[p.lower()] for p in partition_by]
-        data_cols = [c for c in df.columns if c not in parts]
-        ordered = _ordered(df, data_cols + parts)
-        location = f"{root}/{VERSION_DIR.format(0)}"
+        ordered = _ordered(df, [c for c in df.columns if c not in parts] + parts)
         bucket = None
         if bucket_by is not None:
-            n, cols = bucket_by
-            bucket = (int(n), [by_lower[c.lower()] for c in cols])
+            bucket = (int(bucket_by[0]), [by_lower[c.lower()] for c in bucket_by[1]])
             ordered = ordered.repartition(bucket[0], *[F.col(f"`{c}`") for c in bucket[1]])
-        metrics = _write_version(spark, name, ordered, location, parts, bucket, rebalance_writes)
-        cls._register(spark, name, ordered.schema, parts, location, root, 0, "CREATE", metrics, bucket, rebalance_writes)
+        directory = cls._fresh_dir(0)
+        metrics = _write_version(name, ordered, f"{root}/{directory}", parts, bucket, rebalance_writes)
+        manifest = {"version": 0, "history": [directory], "schema": ordered.schema.jsonValue(), "partitions": parts,
+                    "buckets": list(bucket) if bucket else None, "rebalance": rebalance_writes, "operation": "CREATE",
+                    "metrics": metrics, "marks": {}}
+        store.write_text(spark, f"{root}/{directory}/{MANIFEST}", json.dumps(manifest))
+        cls._register(spark, name, root, manifest)
+        return cls(spark, name)
+
+    @classmethod
+    def open(cls, spark: SparkSession, name: str, root: str) -> "VersionedTable":
+        """Register the table stored under ``root`` as ``name``, at its newest complete version.
+
+        For tables of an earlier session without a persistent catalog, or of
+        another application.  A directory without a manifest (a write that
+        failed) is not a version.
+        """
+        newest = None
+        for d in store.names(spark, root):
+            text = store.read_text(spark, f"{root}/{d}/{MANIFEST}") if d.startswith("version-") else None
+            if text is not None:
+                found = json.loads(text)
+                if newest is None or found["version"] > newest["version"]:
+                    newest = found
+        if newest is None:
+            raise TableError(f"{root} holds no table")
+        cls._register(spark, name, root, newest)
         return cls(spark, name)
 
     @staticmethod
-    def _register(spark, name, schema, parts, location, root, version, operation, metrics, bucket=None,
-                  rebalance=True) -> None:
+    def exists_at(spark: SparkSession, root: str) -> bool:
+        return any(store.read_text(spark, f"{root}/{d}/{MANIFEST}") is not None
+                   for d in store.names(spark, root) if d.startswith("version-"))
+
+    @staticmethod
+    def default_root(spark: SparkSession, name: str) -> str:
+        return f"{work_root(spark)}/tables/{name.replace('.', '/')}"
+
+    @staticmethod
+    def _fresh_dir(version: int) -> str:
+        return VERSION_DIR.format(version, uuid.uuid4().hex[:12])
+
+    @staticmethod
+    def _register(spark: SparkSession, name: str, root: str, manifest: Mapping) -> None:
+        parts, bucket = manifest["partitions"], manifest["buckets"]
         props = {
-            PROP_VERSION: str(version),
             PROP_ROOT: root,
-            PROP_OPERATION: operation,
-            PROP_METRICS: json.dumps(metrics, sort_keys=True),
-            PROP_PARTITIONS: json.dumps(list(parts)),
-            PROP_BUCKETS: json.dumps(list(bucket) if bucket else None),
-            PROP_REBALANCE: "true" if rebalance else "false",
+            PROP_OPERATION: manifest["operation"],
+            PROP_METRICS: json.dumps(manifest["metrics"], sort_keys=True),
+            PROP_PARTITIONS: json.dumps(parts),
+            PROP_BUCKETS: json.dumps(bucket),
+            PROP_REBALANCE: "true" if manifest["rebalance"] else "false",
         }
         prop_sql = ", ".join(f"{_sql_str(k)}={_sql_str(v)}" for k, v in props.items())
         part_sql = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
@@ -272,25 +256,48 @@ class VersionedTable:
         if bucket:
             cols = ", ".join(f"`{c}`" for c in bucket[1])
             bucket_sql = f"CLUSTERED BY ({cols}) SORTED BY ({cols}) INTO {bucket[0]} BUCKETS"
-        spark.sql(
+        if "." not in name:
+            name = f"{spark.catalog.currentDatabase()}.{name}"
+        # a session of its own: partitions are listed from the directory, whatever the caller's settings
+        side = spark.newSession()
+        side.conf.set("spark.sql.hive.manageFilesourcePartitions", "false")
+        schema = StructType.fromJson(manifest["schema"])
+        side.sql(
             f"CREATE TABLE {_ident(name)} ({_ddl_columns(schema)}) USING parquet {part_sql} {bucket_sql} "
-            f"LOCATION {_sql_str(location)} TBLPROPERTIES ({prop_sql})"
+            f"LOCATION {_sql_str(root + '/' + manifest['history'][-1])} TBLPROPERTIES ({prop_sql})"
         )
-        if parts:
-            spark.sql(f"MSCK REPAIR TABLE {_ident(name)}")
 
     # ---------------------------------------------------------------- metadata
     def properties(self) -> dict[str, str]:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {_ident(self.name)}").collect()  # catalog metadata, a few rows
         return {r["key"]: r["value"] for r in rows}
 
+    def _current_dir(self) -> str:
+        """Name of the directory LOCATION points at: the one source of the current version."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(self.name)}").collect()  # catalog metadata
+        return [r["data_type"] for r in rows if r["col_name"] == "Location"][-1].rstrip("/").rsplit("/", 1)[-1]
+
+    def _manifest(self) -> dict:
+        text = store.read_text(self.spark, f"{self.root}/{self._current_dir()}/{MANIFEST}")
+        if text is None:
+            raise TableError(f"{self.name} is no versioned table")
+        return json.loads(text)
+
+    def _layout(self) -> dict:
+        if self._fixed is None:
+            props = self.properties()
+            self._fixed = {"root": props[PROP_ROOT], "parts": json.loads(props[PROP_PARTITIONS]),
+                           "buckets": json.loads(props.get(PROP_BUCKETS, "null") or "null"),
+                           "rebalance": props.get(PROP_REBALANCE, "true") == "true"}
+        return self._fixed
+
     @property
     def version(self) -> int:
-        return int(self.properties()[PROP_VERSION])
+        return int(self._current_dir().split("-")[1])
 
     @property
     def root(self) -> str:
-        return self.properties()[PROP_ROOT]
+        return self._layout()["root"]
 
     @property
     def schema(self) -> StructType:
@@ -298,16 +305,11 @@ class VersionedTable:
 
     @property
     def partition_columns(self) -> list[str]:
-        if self._parts is None:
-            stored = self.properties().get(PROP_PARTITIONS)
-            self._parts = json.loads(stored) if stored is not None else [
-                c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition
-            ]
-        return list(self._parts)
+        return list(self._layout()["parts"])
 
     @property
     def bucket_by(self) -> tuple[int, list[str]] | None:
-        stored = json.loads(self.properties().get(PROP_BUCKETS, "null") or "null")
+        stored = self._layout()["buckets"]
         return (int(stored[0]), list(stored[1])) if stored else None
 
     @property
@@ -319,13 +321,14 @@ class VersionedTable:
         return self.properties().get(PROP_OPERATION, "")
 
     def location(self, version: int | None = None) -> str:
-        props = self.properties()
-        v = int(props[PROP_VERSION]) if version is None else version
-        return self.location_of(props[PROP_ROOT], v)
-
-    @staticmethod
-    def location_of(root: str, version: int) -> str:
-        return f"{root}/{VERSION_DIR.format(version)}"
+        if version is None:
+            return f"{self.root}/{self._current_dir()}"
+        history = self._manifest()["history"]
+        if not 0 <= version < len(history):
+            raise TableError(f"{self.name} has versions 0..{len(history) - 1}, not {version}")
+        if history[version] is None:
+            raise TableError(f"version {version} of {self.name} was dropped")
+        return f"{self.root}/{history[version]}"
 
     # -------------------------------------------------------------------- read
     def read(self, version: int | None = None) -> DataFrame:
@@ -335,58 +338,70 @@ class VersionedTable:
             # another session (e.g. a stream's foreachBatch) may have written it
             self.spark.catalog.refreshTable(self.name)
             return self.spark.table(self.name)
-        props = self.properties()
-        latest = int(props[PROP_VERSION])
-        if not 0 <= version <= latest:
-            raise TableError(f"{self.name} has versions 0..{latest}, not {version}")
-        path = self.location_of(props[PROP_ROOT], version)
+        path = self.location(version)
         return self.spark.read.schema(self.schema).option("basePath", path).parquet(path)
 
+    def drop_versions(self, before: int) -> None:
+        """Delete the files of versions below ``before`` (never the current one); they can't be read any more."""
+        manifest = self._manifest()
+        for v in range(min(before, manifest["version"])):
+            if manifest["history"][v] is not None:
+                store.delete(self.spark, f"{self.root}/{manifest['history'][v]}")
+                manifest["history"][v] = None
+        store.write_text(self.spark, f"{self.location()}/{MANIFEST}", json.dumps(manifest))
+
     # -------------------------------------------------------- version rewrites
-    def _commit(self, content: DataFrame, operation: str) -> WriteResult:
+    def _commit(self, content: DataFrame, operation: str, *observations: Observation,
+                marks: Mapping[str, str] | None = None) -> WriteResult:
         """Write ``content`` as the next version and point the catalog at it."""
-        schema = self.schema
-        parts = self.partition_columns
-        before = self.properties()
-        root = before[PROP_ROOT]
-        nxt = int(before[PROP_VERSION]) + 1
-        location = self.location_of(root, nxt)
-        data = _ordered(content, schema.names)
-        stored = json.loads(before.get(PROP_BUCKETS, "null") or "null")
-        bucket = (int(stored[0]), list(stored[1])) if stored else None
-        rebalance = before.get(PROP_REBALANCE, "true") == "true"
-        metrics = _write_version(self.spark, self.name, data, location, parts, bucket, rebalance)
-        if parts:
-            # Registered partitions keep their old directories under SET LOCATION,
-            # so a partitioned table is re-registered at the new version.  The
-            # files of every version stay; if registering the new one fails, the
-            # previous version is registered again before the error propagates.
-            self.spark.sql(f"DROP TABLE {_ident(self.name)}")
-            try:
-                self._register(self.spark, self.name, schema, parts, location, root, nxt, operation, metrics, bucket, rebalance)
-            except Exception:
-                if self.spark.catalog.tableExists(self.name):
-                    self.spark.sql(f"DROP TABLE {_ident(self.name)}")
-                self._register(self.spark, self.name, schema, parts, self.location_of(root, int(before[PROP_VERSION])), root,
-                               int(before[PROP_VERSION]), before.get(PROP_OPERATION, ""), json.loads(before.get(PROP_METRICS, "{}")),
-                               bucket, rebalance)
-                raise
-        else:
-            self.spark.sql(f"ALTER TABLE {_ident(self.name)} SET LOCATION {_sql_str(location)}")
-            self._set_props({PROP_VERSION: str(nxt), PROP_OPERATION: operation, PROP_METRICS: json.dumps(metrics, sort_keys=True)})
+        before = self._manifest()
+        nxt = before["version"] + 1
+        directory = self._fresh_dir(nxt)
+        data = _ordered(content, self.schema.names)
+        bucket = self.bucket_by
+        if bucket:
+            data = data.repartition(bucket[0], *[F.col(f"`{c}`") for c in bucket[1]])
+        metrics = _write_version(self.name, data, f"{self.root}/{directory}", self.partition_columns, bucket,
+                                 self._layout()["rebalance"])
+        metrics |= _observed(*observations)
+        manifest = before | {"version": nxt, "history": [*before["history"], directory], "operation": operation,
+                             "metrics": metrics, "marks": before["marks"] | dict(marks or {})}
+        store.write_text(self.spark, f"{self.root}/{directory}/{MANIFEST}", json.dumps(manifest))
+        self.spark.sql(f"ALTER TABLE {_ident(self.name)} SET LOCATION {_sql_str(self.root + '/' + directory)}")  # the commit
+        return self._noted(operation, metrics)
+
+    def _noted(self, operation: str, metrics: Mapping[str, str]) -> WriteResult:
+        """Store what the last write did; informational, no decision rests on it."""
+        self._set_props({PROP_OPERATION: operation, PROP_METRICS: json.dumps(dict(metrics), sort_keys=True)})
         self.spark.catalog.refreshTable(self.name)
-        return WriteResult(self.name, nxt, operation, metrics)
+        return WriteResult(self.name, self.version, operation, dict(metrics))
 
     def _set_props(self, props: Mapping[str, str]) -> None:
         prop_sql = ", ".join(f"{_sql_str(k)}={_sql_str(v)}" for k, v in props.items())
         self.spark.sql(f"ALTER TABLE {_ident(self.name)} SET TBLPROPERTIES ({prop_sql})")
 
+    def mark(self, name: str) -> str | None:
+        """A mark committed together with a version (see ``marks`` of :meth:`merge`)."""
+        return self._manifest()["marks"].get(name)
+
     def _conformed(self, df: DataFrame) -> DataFrame:
-        missing = [c for c in self.schema.names if c not in df.columns]
+        """Columns of the table, found in any case."""
+        have = {c.lower() for c in df.columns}
+        missing = [c for c in self.schema.names if c.lower() not in have]
         if missing:
             raise TableError(f"rows for {self.name} lack columns {missing}")
         return _ordered(df, self.schema.names)
 
+    def _stored(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """``df`` computed once into the table's shared folder; the caller deletes it after the write.
+
+        Sub-plans of a change then read the same rows even when the source is
+        not deterministic, and lost executors restart from stored files.
+        """
+        path = f"{self.root}/_scratch-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
     def overwrite(self, df: DataFrame) -> WriteResult:
         """Replace the whole content (new version)."""
         return self._commit(self._conformed(df), "OVERWRITE")
@@ -407,97 +422,118 @@ class VersionedTable:
         Old rows where the condition is true are removed (NULL keeps them); every
         new row must satisfy the condition, checked inside the write job itself.
         ``scope="table"`` writes a new version; ``scope="partitions"`` rewrites
-        in place only the partitions holding a removed row or a new row (see
-        :meth:`_rewrite_partitions`).
+        in place only the partitions holding a removed row or a new row.
         """
-        cond = F.expr(condition) if isinstance(condition, str) else condition
-        holds = F.coalesce(cond, F.lit(False))
+        holds = _true(condition)
         checked = self._conformed(df).filter(
             F.when(holds, F.lit(True)).otherwise(F.raise_error(F.lit(f"row outside replaceWhere condition of {self.name}")))
         )
         if self._scoped(scope):
-            done = self._rewrite_partitions(holds, checked, "REPLACE WHERE PARTITIONS")
-            if done is not None:
-                return done
-        kept = self.read().filter(~holds)
-        return self._commit(kept.unionByName(checked), "REPLACE WHERE")
+            new, scratch = self._stored(checked)
+            try:
+                return self._rewrite(self._per_dir(holds), new, lambda rows: rows.filter(~holds), "REPLACE WHERE PARTITIONS")
+            finally:
+                store.delete(self.spark, scratch)
+        return self._commit(self.read().filter(~holds).unionByName(checked), "REPLACE WHERE")
 
     def merge(self, updates: DataFrame, condition: str | Column | None, scope: str = "table", materialize: bool = True,
-              aligned: bool = False, **kwargs) -> WriteResult:
+              aligned: bool = False, insert: bool = True, among: str | Column | None = None, operation: str = "MERGE",
+              marks: Mapping[str, str] | None = None, **kwargs) -> WriteResult:
         """Merge ``updates`` (see :func:`tablewright.operators.changes.merge`).
 
         ``scope="table"`` (default) writes the merged content as a new version.
         ``scope="partitions"`` (partitioned tables) gives the same rows but
-        rewrites in place only the partitions that change: one narrow pass
-        marks matched target rows, the partitions holding a changed row or
-        receiving an updated / inserted row are rewritten, drained ones
-        emptied (:meth:`_rewrite_partitions`).  Rows may move between
-        partitions.
+        rewrites in place only the partitions that change: the matched rows,
+        with their new values and their place (file and row number), and the
+        inserts are computed once and stored; then the touched partitions are
+        read by their directories, the matched rows left out by place, and the
+        new rows added.  Rows may move between partitions.
 
         ``aligned=True`` (with ``scope="partitions"``) is for callers whose keys
-        never change partition: matches are limited to the same partition (the
-        condition gets ``target.p = updates.p``) and the target is pruned to
-        the partition values present in the updates (J5), so untouched
-        partitions are not even read.  It refuses to update a partition column.
-
-        ``materialize`` checkpoints the updates first (see :func:`_materialized`).
+        never change partition: matches are limited to the same partition and
+        the target is pruned to the partition values present in the updates
+        (J5), so untouched partitions are not even read.  It refuses to update
+        a partition column.
+
+        ``among`` limits the merge to the target rows where it is true; all
+        others stay as they are and match nothing.  ``materialize`` stores the
+        updates once first.  ``marks`` are committed together with the new
+        version (table scope).  The metrics count rows inserted, updated and
+        deleted, whatever the scope.
         """
+        scratch = []
         if materialize:
-            updates = _materialized(updates)
-        given_keys = kwargs.get("keys")
-        if self._scoped(scope):
-            if aligned:
-                done = self._merge_aligned(updates, condition, **kwargs)
+            updates, path = self._stored(updates)
+            scratch.append(path)
+        try:
+            if self._scoped(scope):
+                return self._merge_partitions(updates, condition, aligned, insert, among, operation + " PARTITIONS", scratch, **kwargs)
+            target = self.read()
+            marked, inserted = changes.merge_parts(target if among is None else target.filter(_true(among)), updates, condition,
+                                                   **kwargs)
+            marked, seen = _observation(marked, "merge", num_updated_rows=F.sum(F.col(changes.UPDATED).cast("long")),
+                                        num_deleted_rows=F.sum(F.col(changes.DELETED).cast("long")))
+            content, observations = marked.filter(~F.col(changes.DELETED)).drop(changes.DELETED, changes.UPDATED), [seen]
+            if insert:
+                inserted, new = _observation(inserted, "insert", num_inserted_rows=F.count(F.lit(1)))
+                content, observations = content.unionByName(inserted), [seen, new]
+            if among is not None:
+                content = content.unionByName(target.filter(~_true(among)))
+            return self._commit(content, operation, *observations, marks=marks)
+        finally:
+            for path in scratch:
+                store.delete(self.spark, path)
+
+    def _merge_partitions(self, updates: DataFrame, condition: str | Column | None, aligned: bool, insert: bool,
+                          among: str | Column | None, operation: str, scratch: list[str], **kwargs) -> WriteResult:
+        parts, names = self.partition_columns, self.schema.names
+        target = self._located()
+        if among is not None:
+            target = target.filter(_true(among))
+        if aligned:
+            if {p.lower() for p in parts} & {k.lower() for k in kwargs.get("update_set") or {}}:
+                raise TableError("an aligned merge cannot update partition columns; use aligned=False")
+            target = prune_target(target, updates, parts)
+            if condition is None:
+                kwargs["keys"] = list(kwargs.get("keys") or []) + [p for p in parts if p not in (kwargs.get("keys") or [])]
             else:
-                parts = self.partition_columns
-                marked, inserted = changes.merge_parts(self.read(), updates, condition, carry=parts, **kwargs)
-                new_rows = _ordered(marked.filter(F.col(changes.UPDATED)), self.schema.names).unionByName(inserted)
-                changed = F.col(changes.DELETED) | F.col(changes.UPDATED)
-                # group by where each row is now, not where an update sends it
-                done = self._rewrite_partitions(changed, new_rows, "MERGE PARTITIONS", marked,
-                                                [f"{changes.ORIGINAL}{p}" for p in parts])
-            if done is not None:
-                return done
-            kwargs["keys"] = given_keys
-        return self._commit(changes.merge(self.read(), updates, condition, **kwargs), "MERGE")
-
-    def _merge_aligned(self, updates: DataFrame, condition: str | Column | None, **kwargs) -> WriteResult | None:
-        parts = self.partition_columns
-        update_set = kwargs.get("update_set") or {}
-        if any(p.lower() in {k.lower() for k in update_set} for p in parts):
-            raise TableError("an aligned merge cannot update partition columns; use aligned=False")
-        if condition is None:
-            # partition equality joins the key equality; inserts still use distinct keys
-            kwargs["keys"] = list(kwargs.get("keys") or []) + [p for p in parts if p not in (kwargs.get("keys") or [])]
-            cond = None
-        else:
-            cond = F.expr(condition) if isinstance(condition, str) else condition
-            for p in parts:
-                cond = cond & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
-        affected = prune_target(self.read(), updates, parts)
-        if kwargs.get("delete_when") is None:
-            # no row can leave a partition: the merged rows replace the pruned partitions
-            return self._insert(changes.merge(affected, updates, cond, **kwargs), overwrite=True, operation="MERGE PARTITIONS")
-        marked, inserted = changes.merge_parts(affected, updates, cond, **kwargs)
-        changed = F.col(changes.DELETED) | F.col(changes.UPDATED)
-        new_rows = _ordered(marked.filter(F.col(changes.UPDATED)), self.schema.names).unionByName(inserted)
-        return self._rewrite_partitions(changed, new_rows, "MERGE PARTITIONS", marked)
+                condition = _expr(condition)
+                for p in parts:
+                    condition = condition & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
+        marked, inserted = changes.merge_parts(target, updates, condition, places=[DIR, FILE, ROW], **kwargs)
+        hits, path = self._stored(marked.filter(F.col(changes.DELETED) | F.col(changes.UPDATED)))
+        scratch.append(path)
+        new_rows = _ordered(hits.filter(F.col(changes.UPDATED)), names)
+        counts = hits.agg(F.sum(F.col(changes.UPDATED).cast("long")), F.sum(F.col(changes.DELETED).cast("long"))).first()
+        metrics = {"num_updated_rows": str(counts[0] or 0), "num_deleted_rows": str(counts[1] or 0)}
+        if insert:
+            inserted, path = self._stored(inserted)
+            scratch.append(path)
+            metrics["num_inserted_rows"] = str(inserted.count())
+            new_rows = new_rows.unionByName(inserted)
+        gone = hits.groupBy(DIR).agg(F.count(F.lit(1)).alias("gone")).withColumnRenamed(DIR, "__tw_at")
+        every = self._located().groupBy(DIR, *[f"`{p}`" for p in parts]).agg(F.count(F.lit(1)).alias("total"))
+        per_dir = every.join(gone, every[DIR] == gone["__tw_at"], "left").drop("__tw_at").fillna(0, ["gone"])
+        places = hits.select(F.col(FILE).alias("__tw_f"), F.col(ROW).alias("__tw_r"))
+        return self._rewrite(
+            per_dir, new_rows,
+            lambda rows: rows.join(places, (F.col(FILE) == F.col("__tw_f")) & (F.col(ROW) == F.col("__tw_r")), "left_anti"),
+            operation, metrics)
 
     def update(self, condition: str | Column, set_values: Mapping[str, str | Column], scope: str = "table") -> WriteResult:
         """M2.  ``scope="partitions"`` rewrites in place only the partitions
         holding an updated row or receiving one (an update may set a
         partition column); otherwise a new version."""
         if self._scoped(scope):
-            cond = F.coalesce(F.expr(condition) if isinstance(condition, str) else condition, F.lit(False))
-            current = self.read()
-            new_rows = changes.update_rows(current.filter(cond), cond, set_values)
-            # every updated row comes from a touched partition: rebuild them from those only
-            done = self._rewrite_partitions(
-                cond, new_rows, "UPDATE PARTITIONS",
-                new_rows_in=lambda touched: changes.update_rows(current.filter(touched & cond), cond, set_values),
-            )
-            if done is not None:
-                return done
+            cond = _true(condition)
+            per_dir = self._per_dir(cond)
+            holding = [r[DIR] for r in per_dir.filter("gone > 0").select(DIR).collect()]  # one row per touched partition
+            new, scratch = self._stored(changes.update_rows(self._rows_in(holding).filter(cond), cond, set_values)
+                                        .select(*self.schema.names))
+            try:
+                return self._rewrite(per_dir, new, lambda rows: rows.filter(~cond), "UPDATE PARTITIONS")
+            finally:
+                store.delete(self.spark, scratch)
         return self._commit(changes.update_rows(self.read(), condition, set_values), "UPDATE")
 
     def _scoped(self, scope: str) -> bool:
@@ -511,113 +547,140 @@ class VersionedTable:
 
     def delete(self, condition: str | Column, scope: str = "table") -> WriteResult:
         """M3.  ``scope="partitions"`` rewrites in place only the partitions
-        holding a deleted row and empties those where every row goes."""
+        holding a deleted row and removes those where every row goes."""
         if self._scoped(scope):
-            cond = F.expr(condition) if isinstance(condition, str) else condition
-            done = self._rewrite_partitions(F.coalesce(cond, F.lit(False)), None, "DELETE PARTITIONS")
-            if done is not None:
-                return done
+            cond = _true(condition)
+            return self._rewrite(self._per_dir(cond), None, lambda rows: rows.filter(~cond), "DELETE PARTITIONS")
         return self._commit(changes.delete_rows(self.read(), condition), "DELETE")
 
-    def _rewrite_partitions(self, removed: Column, new_rows: DataFrame | None, operation: str,
-                            current: DataFrame | None = None, located_by: Sequence[str] | None = None,
-                            new_rows_in=None) -> WriteResult | None:
-        """Remove old rows where ``removed`` (never NULL) and add ``new_rows``,
-        rewriting in place only the partitions that change.
-
-        1. One job summarises the change per partition: an aggregate over the
-           current rows (partial before the shuffle) marks partitions with any /
-           only removed rows, the distinct partitions of the new rows are added,
-           and the result (one row per touched partition: metadata) is
-           collected.
-        2. The touched partitions become a literal partition predicate, so the
-           rewrite job prunes the scan of kept rows at planning time; kept rows
-           plus the new rows replace those partitions by dynamic overwrite.
-        3. Partitions left with no rows are emptied by a static overwrite from
-           an empty source.
-        Returns None, so the caller rewrites the whole table (exact), when more
-        than ``MAX_TOUCHED_PARTITIONS`` partitions change or more than
-        ``MAX_EMPTIED_PARTITIONS`` would have to be emptied.
-
-        ``current`` may carry helper columns for ``removed``; ``located_by``
-        names its columns holding each row's present partition values when
-        the partition columns themselves already show changed values.
-        ``new_rows_in(predicate)``, when given, rebuilds the new rows for the
-        rewrite from the touched partitions only (for changes whose new rows
-        come from rows of touched partitions).
+    # ------------------------------------------------- partition-scoped rewrites
+    def _with_places(self, rows: DataFrame) -> DataFrame:
+        path = F.col("_metadata.file_path")
+        return rows.select("*", F.regexp_replace(path, "/[^/]*$", "").alias(DIR), path.alias(FILE),
+                           F.col("_metadata.row_index").alias(ROW))
+
+    def _located(self) -> DataFrame:
+        """Current rows with their partition directory, file and row number."""
+        return self._with_places(self.read())
+
+    def _rows_in(self, directories: Sequence[str]) -> DataFrame:
+        """Located rows of some partition directories: nothing else is listed or read."""
+        if not directories:
+            return self._located().limit(0)
+        location = self.location()
+        rows = self.spark.read.schema(self.schema).option("basePath", location).parquet(*[unquote(d) for d in directories])
+        return self._with_places(rows)
+
+    def _per_dir(self, removed: Column) -> DataFrame:
+        """Per partition: directory, partition values, rows in ``total`` and rows ``gone``.
+
+        One narrow pass (the condition's columns), aggregated before the shuffle.
         """
-        parts = self.partition_columns
-        names = self.schema.names
-        current = self.read() if current is None else current
-        where = list(located_by) if located_by else parts
-        key_names = [f"__tw_p{i}" for i in range(len(parts))]
-        flag = removed.cast("int")
-        old = (
-            current.groupBy(*[F.col(f"`{w}`").alias(k) for w, k in zip(where, key_names)])
-            .agg(F.max(flag).alias("__tw_any"), F.min(flag).alias("__tw_all"))
-            .filter("__tw_any = 1")
-            .select(*key_names, F.col("__tw_all"), F.lit(0).alias("__tw_new"))
-        )
-        if new_rows is not None:
-            arriving = new_rows.select(*[F.col(f"`{p}`").alias(k) for p, k in zip(parts, key_names)]).distinct()
-            old = old.unionByName(arriving.select(*key_names, F.lit(0).alias("__tw_all"), F.lit(1).alias("__tw_new")))
-        summary = old.groupBy(*key_names).agg(F.max("__tw_all").alias("__tw_all"), F.max("__tw_new").alias("__tw_new"))
-        touched = summary.limit(MAX_TOUCHED_PARTITIONS + 1).collect()  # one row per touched partition
-        if len(touched) > MAX_TOUCHED_PARTITIONS:
-            return None
-        emptied = [[r[k] for k in key_names] for r in touched if r["__tw_all"] == 1 and r["__tw_new"] == 0]
-        if len(emptied) > MAX_EMPTIED_PARTITIONS:
-            return None
-        in_touched = _partition_predicate(where, [[r[k] for k in key_names] for r in touched])
-        kept = _ordered(current.filter(in_touched & ~removed), names)
-        if new_rows_in is not None:
-            new_rows = new_rows_in(in_touched)
-        content = kept.unionByName(new_rows) if new_rows is not None else kept
-        result = self._insert(content, overwrite=True, operation=operation)
-        self._empty_partitions(emptied)
-        return result
-
-    def _empty_partitions(self, specs: Sequence[Sequence[object]]) -> None:
-        """Delete the files of each partition (static overwrite from an empty
-        source), then drop the partition entries from the catalog."""
-        if not specs:
-            return
-        parts = self.partition_columns
-        data_cols = [f for f in self.schema.fields if f.name not in parts]
-        view = f"__tw_empty_{abs(hash(self.name))}"
-        self.spark.createDataFrame([], StructType(data_cols)).createOrReplaceTempView(view)
-        cols = ", ".join(f"`{f.name}`" for f in data_cols)
-        clauses = []
-        for values in specs:
-            spec = ", ".join(f"`{p}` = {_sql_literal(v)}" for p, v in zip(parts, values))
-            self.spark.sql(f"INSERT OVERWRITE TABLE {_ident(self.name)} PARTITION ({spec}) SELECT {cols} FROM {view}")
-            clauses.append(f"PARTITION ({spec})")
-        self.spark.sql(f"ALTER TABLE {_ident(self.name)} DROP IF EXISTS {', '.join(clauses)}")
-        self.spark.catalog.dropTempView(view)
-        self.spark.catalog.refreshTable(self.name)
+        located = self._located()
+        return located.groupBy(DIR, *[f"`{p}`" for p in self.partition_columns]).agg(
+            F.count(F.lit(1)).alias("total"), F.sum(removed.cast("long")).alias("gone"))
+
+    def _rewrite(self, per_dir: DataFrame, new_rows: DataFrame | None, keep: Callable[[DataFrame], DataFrame], operation: str,
+                 metrics: Mapping[str, str] | None = None) -> WriteResult:
+        """Replace the partitions that lose or receive rows: rows that ``keep`` leaves of them, plus ``new_rows``.
+
+        The driver gets one row per touched partition, its directory; no
+        partition value passes through Python.  Kept rows are read by these
+        directories, so the rewrite reads nothing else, and partitions that end
+        without rows are deleted as directories.  It behaves alike for any
+        number of partitions.
+        """
+        parts, names = self.partition_columns, self.schema.names
+        if new_rows is None:
+            touched = per_dir.filter("gone > 0").withColumn("arrives", F.lit(False))
+        else:
+            arriving = new_rows.select(*[F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)]).distinct()
+            same = F.lit(True)
+            for i, p in enumerate(parts):
+                same = same & F.col(f"`{p}`").eqNullSafe(F.col(f"__tw_p{i}"))
+            touched = (per_dir.join(arriving.withColumn("arrives", F.lit(True)), same, "left")
+                       .withColumn("arrives", F.coalesce("arrives", F.lit(False))).filter("gone > 0 OR arrives"))
+        rows = touched.select(DIR, (~F.col("arrives") & (F.col("gone") == F.col("total"))).alias("emptied")).collect()
+        content = _ordered(keep(self._rows_in([r[DIR] for r in rows])), names)
+        content = content if new_rows is None else content.unionByName(_ordered(new_rows, names))
+        written = self._write_in_place(content, overwrite=True)
+        for r in rows:
+            if r["emptied"]:
+                store.delete(self.spark, unquote(r[DIR]))
+        return self._noted(operation, written | dict(metrics or {}))
 
     def scd2(self, updates: DataFrame, key: str, compare: Sequence[str], load_date: str | Column,
-             materialize: bool = True, **kwargs) -> WriteResult:
+             materialize: bool = True, scope: str = "table", current_flag: str = "is_current", **kwargs) -> WriteResult:
         """M4: close changed current rows and add new current rows (see
-        :func:`tablewright.operators.changes.scd2_changes`)."""
+        :func:`tablewright.operators.changes.scd2_changes`).
+
+        Only current rows are joined; closed history passes through
+        (``scope="table"``) or, in partitions without a changed row, is not
+        even rewritten (``scope="partitions"``)."""
+        scratch = []
         if materialize:
-            updates = _materialized(updates)
-        return self._commit(changes.scd2_changes(self.read(), updates, key, compare, load_date=load_date, **kwargs), "MERGE SCD2")
+            updates, path = self._stored(updates)
+            scratch.append(path)
+        try:
+            stage = changes.scd2_stage(self.read(), updates, key, compare, current_flag=current_flag, load_date=load_date, **kwargs)
+            staged, path = self._stored(stage.staged)
+            scratch.append(path)
+            return self.merge(staged, stage.condition, scope=scope, materialize=False, among=F.col(f"`{current_flag}`"),
+                              operation="MERGE SCD2", **stage.clauses)
+        finally:
+            for path in scratch:
+                store.delete(self.spark, path)
 
     # ------------------------------------------------------- in-place writes
-    def _insert(self, df: DataFrame, overwrite: bool, operation: str) -> WriteResult:
-        data = self._conformed(df)
-        if self.properties().get(PROP_REBALANCE, "true") == "true":
-            data = _clustered(data, self.partition_columns)
-        with _session_conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            metrics = _observed_write(data, lambda d: d.write.insertInto(self.name, overwrite=overwrite))
-        self._set_props({PROP_OPERATION: operation, PROP_METRICS: json.dumps(metrics, sort_keys=True)})
-        self.spark.catalog.refreshTable(self.name)
-        return WriteResult(self.name, self.version, operation, metrics)
+    def _write_in_place(self, df: DataFrame, overwrite: bool) -> dict[str, str]:
+        """Add files to the current version, or replace the partitions present in ``df``.
+
+        Written by path, with the overwrite mode as an option of this one
+        write, so writers never change each other's session settings.
+        """
+        data, obs = _observation(self._conformed(df), "write", num_output_rows=F.count(F.lit(1)))
+        parts, location, bucket = self.partition_columns, self.location(), self.bucket_by
+        if self._layout()["rebalance"]:
+            data = _clustered(data, parts)
+        if bucket and overwrite:
+            _write_bucketed(self.name, data, location, parts, bucket, "dynamic")
+        elif bucket:
+            data.write.insertInto(self.name, overwrite=False)
+        else:
+            mode = "overwrite" if overwrite else "append"
+            data.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(location)
+        return _observed(obs)
 
     def append(self, df: DataFrame) -> WriteResult:
         """Append rows (partitioned or not) to the current version."""
-        return self._insert(df, overwrite=False, operation="APPEND")
+        return self._noted("APPEND", self._write_in_place(df, overwrite=False))
+
+    def append_once(self, df: DataFrame, token: str) -> WriteResult:
+        """Append ``df`` exactly once per ``token``, however often the call is repeated after failures.
+
+        The rows are first written to a staging folder named by the token; a
+        complete staging folder is never written again.  Its files then move
+        into the table under their own unique names, and a file that an
+        earlier attempt moved is kept.  Use a token once: the caller records
+        that a token is done, as the stream sink does.
+        """
+        if self.bucket_by:
+            raise TableError("append_once does not support bucketed tables")
+        staged = f"{self.root}/_append-{token}"
+        if "_SUCCESS" not in store.names(self.spark, staged):
+            data = self._conformed(df)
+            if self._layout()["rebalance"]:
+                data = _clustered(data, self.partition_columns)
+            (data.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").partitionBy(*self.partition_columns).parquet(staged))
+        location = self.location()
+        for name in store.files_below(self.spark, staged):
+            store.move_new(self.spark, f"{staged}/{name}", f"{location}/{name}")
+        return self._noted("APPEND", {})
+
+    def finish_append(self, token: str) -> None:
+        """Delete what is left of the token's staging folder, once its append is recorded as done."""
+        store.delete(self.spark, f"{self.root}/_append-{token}")
 
     def overwrite_partitions(self, df: DataFrame) -> WriteResult:
         """Replace exactly the partitions present in ``df`` (dynamic overwrite).
@@ -627,38 +690,55 @@ class VersionedTable:
         """
         if not self.partition_columns:
             raise TableError(f"{self.name} is not partitioned")
-        return self._insert(df, overwrite=True, operation="OVERWRITE PARTITIONS")
+        return self._noted("OVERWRITE PARTITIONS", self._write_in_place(df, overwrite=True))
 
     def write_static_partition(self, df: DataFrame, values: Mapping[str, object]) -> WriteResult:
-        """W4 + P8: set the partition columns to literals and replace that partition."""
+        """W4 + P8: set the partition columns to literals and replace that partition; no rows leave it empty."""
         parts = self.partition_columns
         if sorted(values) != sorted(parts):
             raise TableError(f"static partition needs values for exactly {parts}")
-        result = self._insert(with_literals(df, dict(values)), overwrite=True, operation="OVERWRITE STATIC PARTITION")
-        if result.metrics.get("num_output_rows") == "0":
-            # nothing was written, so dynamic overwrite left the partition as it was
-            self._empty_partitions([[values[p] for p in parts]])
-        return result
+        rows = self._conformed(with_literals(df, dict(values)))
+        if rows.isEmpty():
+            here = F.lit(True)
+            typed = {f.name: f.dataType for f in self.schema.fields}
+            for p in parts:
+                here = here & F.col(f"`{p}`").eqNullSafe(F.lit(values[p]).cast(typed[p]))
+            for r in self._located().filter(here).select(DIR).distinct().collect():  # one partition
+                store.delete(self.spark, unquote(r[DIR]))
+            return self._noted("OVERWRITE STATIC PARTITION", {"num_output_rows": "0"})
+        return self._noted("OVERWRITE STATIC PARTITION", self._write_in_place(rows, overwrite=True))
 
     def delete_then_write(self, df: DataFrame, keys: Sequence[str], scope: str = "table") -> WriteResult:
         """Drop every old row whose ``keys`` tuple occurs in ``df``, then add ``df``.
 
         Keys that are exactly the partition columns make this a dynamic
-        partition overwrite in place.  Other keys mark old rows by a join with
-        the distinct incoming keys (NULL keys match nothing): with
-        ``scope="partitions"`` only the partitions holding a marked or a new row
-        are rewritten in place, otherwise a new version is written.
+        partition overwrite in place.  Other keys mark old rows by a semi-join
+        with the distinct incoming keys: with ``scope="partitions"`` only the
+        partitions holding a marked or a new row are rewritten in place,
+        otherwise a new version is written.  In every case a NULL key matches
+        NULL keys.
         """
         keys = list(keys)
-        if keys and sorted(keys) == sorted(self.partition_columns):
-            return self._insert(df, overwrite=True, operation="DELETE THEN WRITE")
-        incoming = df.select(*[F.col(f"`{k}`") for k in keys]).distinct()
-        if self._scoped(scope):
-            marked = self.read().join(incoming.withColumn("__tw_hit", F.lit(True)), on=keys, how="left")
-            done = self._rewrite_partitions(F.col("__tw_hit").isNotNull(), self._conformed(df), "DELETE THEN WRITE PARTITIONS", marked)
-            if done is not None:
-                return done
-        kept = self.read().join(incoming, on=keys, how="left_anti")
+        if keys and sorted(k.lower() for k in keys) == sorted(p.lower() for p in self.partition_columns):
+            return self._noted("DELETE THEN WRITE", self._write_in_place(df, overwrite=True))
+        scratch = None
+        scoped = self._scoped(scope)
+        if scoped:
+            df, scratch = self._stored(self._conformed(df))
+        incoming = df.select(*[F.col(f"`{k}`").alias(f"__tw_k{i}") for i, k in enumerate(keys)]).distinct()
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__tw_k{i}"))
+        if scoped:
+            try:
+                marked = self._located().join(incoming, same, "left_semi").groupBy(F.col(DIR).alias("__tw_at")).agg(
+                    F.count(F.lit(1)).alias("gone"))
+                every = self._located().groupBy(DIR, *[f"`{p}`" for p in self.partition_columns]).agg(F.count(F.lit(1)).alias("total"))
+                per_dir = every.join(marked, every[DIR] == marked["__tw_at"], "left").drop("__tw_at").fillna(0, ["gone"])
+                return self._rewrite(per_dir, df, lambda rows: rows.join(incoming, same, "left_anti"), "DELETE THEN WRITE PARTITIONS")
+            finally:
+                store.delete(self.spark, scratch)
+        kept = self.read().join(incoming, same, "left_anti")
         return self._commit(kept.unionByName(self._conformed(df)), "DELETE THEN WRITE")
 
 
@@ -678,12 +758,18 @@ def create_like(
     return VersionedTable.create(spark, name, shaped, root=root, partition_by=[p.lower() for p in partition_by])
 
 
+def write_to_location(df: DataFrame, location: str, mode: str, partition_by: Sequence[str] = ()) -> None:
+    """W1 / W2 on a plain location: append to, or replace, the parquet files under ``location``.
+
+    No catalog entry and no versions: an overwrite replaces the files.
+    """
+    df.write.mode({"append": "append", "overwrite": "overwrite"}[write_mode(mode)]).option(
+        "partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(location)
+
+
 def write_mode(mode: str | None) -> str:
-    """Mode option → ``append`` (any case) or ``overwrite`` (anything else / none);
-    ``merge`` and ``replacewhere`` are kept for the callers that support them."""
-    if mode is None:
-        return "overwrite"
-    m = mode.strip().lower()
-    if m in ("append", "merge", "replacewhere"):
-        return m
-    return "overwrite"
+    """Mode option in any case → ``append``, ``overwrite`` (also none), ``merge`` or ``replacewhere``; anything else is an error."""
+    m = (mode or "overwrite").strip().lower()
+    if m not in ("append", "overwrite", "merge", "replacewhere"):
+        raise ValueError(f"unknown write mode {mode!r}")
+    return m

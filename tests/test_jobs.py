@@ -82,9 +82,9 @@ def test_retries_logged(spark, sf_dir):
     md.add_entity(spark, db, "e1", "dwy", "missing_target", {"format": "parquet"})
     md.log_operation(spark, db, "op-r", "e1", None, {"path": "/orders.parquet"})
     with pytest.raises(Exception):
-        jobs.load_from_metadata(spark, db, "op-r", max_attempts=10)
+        jobs.load_from_metadata(spark, db, "op-r", max_attempts=6)
     errors = spark.table(f"`{db}`.`{md.OPERATIONS}`").filter("status = 'Error'").collect()
-    assert sorted(r.details["retry_count"] for r in errors) == ["0", "1", "2", "3"]
+    assert sorted(r.details["retry_count"] for r in errors) == ["0", "1", "2", "3", "4", "5"]
 
 
 def test_external_format_spec(spark):
