@@ -210,6 +210,30 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+ORACLES["stream_upsert_partitions"] = (
+    "SELECT event_id, ts, user_id, CASE WHEN event_type = 'purchase' THEN 'refund' ELSE event_type END AS event_type, value, props "
+    "FROM events"
+)
+ORACLES["delete_partitions_timestamp"] = (
+    "SELECT *, date_trunc('hour', ts) AS event_hour FROM events "
+    "WHERE NOT (hour(ts) = 3 OR (event_type = 'error' AND hour(ts) = 5))"
+)
+ORACLES["merge_extra_condition"] = (
+    f"WITH t AS {_T}, u AS {_U} "
+    "SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custkey FROM u) "
+    "UNION ALL SELECT * FROM u WHERE c_custkey IN (SELECT c_custkey FROM t)"
+)
+ORACLES["scd2_partitions"] = ORACLES["scd2_merge"]
+ORACLES["merge_stats"] = (
+    f"WITH t AS {_T}, u AS {_U}, m AS (SELECT c_acctbal < 0 AS gone, c_custkey IN (SELECT c_custkey FROM t) AS old FROM u), "
+    "c AS (SELECT 'num_inserted_rows' AS stat_name, count(*) FILTER (WHERE NOT old) AS n FROM m "
+    "UNION ALL SELECT 'num_updated_rows', count(*) FILTER (WHERE old AND NOT gone) FROM m "
+    "UNION ALL SELECT 'num_deleted_rows', count(*) FILTER (WHERE old AND gone) FROM m) "
+    "SELECT s.stat_id, c.stat_name, CAST(c.n AS VARCHAR) AS stat_value FROM c, (VALUES ('table'), ('partitions')) s(stat_id)"
+)
+ORACLES["load_job_replace_where"] = (
+    "SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN lower(n_name) ELSE n_name END AS n_name, n_regionkey FROM nation"
+)
 ORACLES["stream_upsert"] = (
     "SELECT event_id, ts, user_id, event_type, "
     "CASE WHEN event_type = 'purchase' THEN value * 2 ELSE value END AS value, props FROM events"

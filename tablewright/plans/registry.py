@@ -629,3 +629,97 @@ def q_stream_upsert(spark, d):
 
 
 QUERIES["stream_upsert"] = q_stream_upsert
+
+
+def q_stream_upsert_partitions(spark, d):
+    """The same stream into a table partitioned by event type, matched on the key
+    alone: each batch rewrites only the partitions it reaches."""
+    from tablewright.streaming import run_available
+
+    events = table(spark, d, "events")
+    landing = scratch_path(spark, "landing")
+    name = unique_table_name("stream_parts")
+    t = VersionedTable.create(spark, name, events.limit(0), root=scratch_path(spark, "stream_parts"), partition_by=["event_type"])
+    checkpoint = scratch_path(spark, "stream_ckpt")
+
+    def run():
+        src = spark.readStream.schema(events.schema).parquet(landing)
+        run_available(src, name, f"s_{name}", mode="merge", merge_keys=["event_id"], checkpoint=checkpoint)
+
+    events.write.mode("append").parquet(landing)
+    run()
+    # corrected purchases become refunds, so their rows move to another partition
+    corrections = events.filter("event_type = 'purchase'").withColumn("event_type", F.lit("refund"))
+    corrections.write.mode("append").parquet(landing)
+    run()
+    return t.read().select(*events.columns)
+
+
+QUERIES["stream_upsert_partitions"] = q_stream_upsert_partitions
+
+
+# ------------------------------------------------- more table and load changes
+def q_delete_partitions_timestamp(spark, d):
+    """Partitions by hour (a timestamp): whole hours go, others lose their errors."""
+    events = table(spark, d, "events").withColumn("event_hour", F.date_trunc("hour", "ts"))
+    t = VersionedTable.create(spark, unique_table_name("by_hour"), events, root=scratch_path(spark, "by_hour"),
+                              partition_by=["event_hour"])
+    t.delete("hour(event_hour) = 3 OR (event_type = 'error' AND hour(event_hour) = 5)", scope="partitions")
+    return t.read().select(*events.columns)
+
+
+def q_merge_extra_condition(spark, d):
+    """Two updates for each key, of which the condition lets one match: no conflict."""
+    target, updates = _merge_inputs(spark, d)
+    t = VersionedTable.create(spark, unique_table_name("merge_extra"), target, root=scratch_path(spark, "merge_extra"))
+    both = updates.withColumn("live", F.lit(True)).unionByName(
+        updates.withColumn("live", F.lit(False)).withColumn("c_acctbal", F.lit(0.0)))
+    t.merge(both, "target.c_custkey = updates.c_custkey AND updates.live", keys=["c_custkey"], insert=False)
+    return t.read()
+
+
+def q_scd2_partitions(spark, d):
+    """SCD2 in place on a table partitioned by segment."""
+    current = _scd2_current(spark, d)
+    t = VersionedTable.create(spark, unique_table_name("scd2_parts"), current, root=scratch_path(spark, "scd2_parts"),
+                              partition_by=["c_mktsegment"])
+    t.scd2(_scd2_updates(spark, d), key="c_custkey", compare=["c_name", "c_acctbal", "c_mktsegment"],
+           load_date=F.lit("2024-02-01").cast(DateType()), scope="partitions")
+    return t.read().select(*current.columns)
+
+
+def q_merge_stats(spark, d):
+    """Rows inserted, updated and deleted by the same merge in either scope."""
+    target, updates = _merge_inputs(spark, d)
+    rows = []
+    for scope in ("table", "partitions"):
+        t = VersionedTable.create(spark, unique_table_name("merge_stats"), target, root=scratch_path(spark, "merge_stats"),
+                                  partition_by=["c_mktsegment"])
+        done = t.merge(updates, None, keys=["c_custkey"], delete_when="updates.c_acctbal < 0", scope=scope)
+        wanted = {k: v for k, v in done.metrics.items() if k != "num_output_rows"}
+        rows.append(runlog.stats_rows(spark, scope, wanted).drop("updated_at"))
+    return rows[0].unionByName(rows[1])
+
+
+def q_load_job_replace_where(spark, d):
+    """A metadata load with replaceWhere on an unpartitioned target replaces those rows only."""
+    src = scratch_path(spark, "src")
+    nation = table(spark, d, "nation")
+    nation.write.parquet(f"{src}/all")
+    nation.filter("n_regionkey = 1").withColumn("n_name", F.lower("n_name")).write.parquet(f"{src}/one")
+    db, target_db = _metadata(spark, src)
+    md.add_entity(spark, db, "e1", target_db, "nation_reload", {"format": "parquet"})
+    md.log_operation(spark, db, "op-1", "e1", None, {"path": "/all"})
+    jobs.load_from_metadata(spark, db, "op-1", conform=False)
+    md.log_operation(spark, db, "op-2", "e1", None, {"path": "/one", "replaceWhere": "n_regionkey = 1"})
+    jobs.load_from_metadata(spark, db, "op-2", conform=False)
+    return spark.table(f"`{target_db}`.nation_reload")
+
+
+QUERIES |= {
+    "delete_partitions_timestamp": q_delete_partitions_timestamp,
+    "merge_extra_condition": q_merge_extra_condition,
+    "scd2_partitions": q_scd2_partitions,
+    "merge_stats": q_merge_stats,
+    "load_job_replace_where": q_load_job_replace_where,
+}
