@@ -94,7 +94,7 @@ def _letterless() -> Column:
 DEFAULT_RULES = (
     Rule("symbols", lambda: 10 * F.col("n_symbols") > F.col("n_words")),
     Rule("word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 12 * F.col("n_words"))),
-    Rule("duplicate_lines", lambda: 10 * F.col("n_dup_lines") > 3 * F.size("_lines")),
+    Rule("duplicate_lines", lambda: 2 * F.col("n_dup_lines") > F.size("_lines")),
     Rule("exclamation", lambda: 5 * F.regexp_count("_joined", F.lit("!")) > F.col("n_words")),
     Rule("digits", lambda: 5 * F.regexp_count("_joined", F.lit("[0-9]")) > F.col("word_chars")),
     Rule("shouting", _shouting),
@@ -181,7 +181,7 @@ w AS (
 ), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words
-            OR 10 * n_dup_lines > 3 * len(l)
+            OR 2 * n_dup_lines > len(l)
             OR 5 * length(regexp_replace(text, '[^!]', '', 'g')) > n_words
             OR 5 * length(regexp_replace(text, '[^0-9]', '', 'g')) > word_chars
             OR 10 * length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) > 3 * length(regexp_replace(text, '[^\p{L}]', '', 'g'))

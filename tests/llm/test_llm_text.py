@@ -38,7 +38,7 @@ def brute_kept(text):
     held = [x for x in text.split("\n") if words(x)]
     letters, capitals = sum(c.isalpha() for c in text), sum(c.isupper() for c in text)
     return False, not (
-        10 * symbols > n or chars < 2 * n or chars > 12 * n or 10 * dup > 3 * len(held) or 5 * text.count("!") > n
+        10 * symbols > n or chars < 2 * n or chars > 12 * n or 2 * dup > len(held) or 5 * text.count("!") > n
         or 5 * sum(c in "0123456789" for c in text) > chars or 10 * capitals > 3 * letters
         or 5 * sum(not any(c.isalpha() for c in x) for x in w) > n or 10 * sum(a == b for a, b in zip(w, w[1:])) > n
         or 10 * sum(bool(re.match("[ \t]*[-*•]", x)) for x in held) > 9 * len(held)
