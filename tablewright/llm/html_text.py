@@ -39,6 +39,7 @@ navbar navigation newsletter notice notices notification overlay pagination page
 promos related recommended recommendations replies reply respond responses search share sharing sidebar signup skip social sponsor
 sponsored subscribe subscription tagcloud teaser toolbar topbar warning widget widgets alert announcement complementary""".split())
 ARTICLE = frozenset({"article", "main"})
+HEADERS = frozenset({"header", "masthead"})
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
@@ -56,11 +57,12 @@ class Weights:
     tag: float = -0.25
 
 
-def is_marked(attributes: str) -> bool:
-    """Whether class, id or role names something that is not the article."""
+def is_marked(attributes: str, article: bool) -> bool:
+    """Whether class, id or role names something that is not the article; inside one, a header is its title."""
     for m in _ATTRIBUTE.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
-        if any(word.lower() in MARKS for word in _NAME.findall(value)):
+        found = {word.lower() for word in _NAME.findall(value)} & MARKS
+        if found - HEADERS if article else found:
             return True
     return False
 
@@ -73,14 +75,18 @@ class Token:
     inside: bool = False  # in an element marked as the article
 
 
-def tokens(page: str) -> list[Token]:
+def tokens(page: str, spared: frozenset[int] = frozenset()) -> list[Token]:
     """Tags and texts of ``page`` without the elements that are cut out.
 
     End tags without a start are ignored; a missing end tag ends with an
-    enclosing element that ends.
+    enclosing element that ends.  When the only article stands in elements cut
+    for their class, id or role (a wrapper named ``has-sidebar``, say), those
+    are ``spared``, known by where their start tags begin.
     """
     out: list[Token] = []
     stack: list[tuple[str, bool]] = []  # open elements, and whether each starts a cut
+    begun: list[int] = []  # where each open element that is cut for its marks begins, -1 for other cuts
+    wrappers: frozenset[int] = frozenset()
     cut = 0
     at = 0
 
@@ -96,6 +102,8 @@ def tokens(page: str) -> list[Token]:
             name, starts = stack.pop()
             if not cut:
                 out.append(Token("close", name, "", any(n in ARTICLE for n, _ in stack) or name in ARTICLE))
+            if starts:
+                begun.pop()
             cut -= starts
 
     while at < len(page):
@@ -127,7 +135,10 @@ def tokens(page: str) -> list[Token]:
             if found is not None and not {n for n, _ in stack[found + 1:]} & (BLOCK | CUT):
                 close(found)
         article = any(n in ARTICLE for n, _ in stack)
-        starts = name in CUT or (name == "header" and not article) or (name not in ("html", "body") and is_marked(m[4] or ""))
+        by_kind = name in CUT or (name == "header" and not article)
+        starts = by_kind or (name not in ("html", "body") and m.start() not in spared and is_marked(m[4] or "", article))
+        if name in ARTICLE and not starts and cut and not wrappers and -1 not in begun:
+            wrappers = frozenset(begun)
         if not cut and not starts:
             out.append(Token("open", name, "", article or name in ARTICLE))
         if name in VOID or (m[4] or "").endswith("/"):
@@ -137,7 +148,11 @@ def tokens(page: str) -> list[Token]:
             at = end.end() if end else len(page)
             continue
         stack.append((name, starts))
+        if starts:
+            begun.append(-1 if by_kind else m.start())
         cut += starts
+    if wrappers and not any(t.name in ARTICLE for t in out if t.kind != "text"):
+        return tokens(page, spared | wrappers)
     return out
 
 

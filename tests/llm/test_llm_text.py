@@ -157,6 +157,10 @@ def test_main_text():
     assert html_text.main_text(None, html_text.Weights()) == ""
     assert html_text.main_text("<p", html_text.Weights()) == ""
     assert html_text.main_text("only words <b>here</b>", html_text.Weights()) == "only words here"
+    wrapped = '<body><div class="has-sidebar"><div id=page><article class="post"><div class="entry-header"><h1>T</h1></div><p>a b c</p>'
+    assert html_text.main_text(wrapped + '<div class="comments"><article>no</article></div></article>', html_text.Weights()) == "T\n\na b c"
+    only_comments = '<p>a b c d e</p><section class="comments"><article class="comment"><p>no no</p></article></section>'
+    assert html_text.main_text(only_comments, html_text.Weights()) == "a b c d e"
     deep = "<div>" * 2000 + "<p>" + "word " * 20_000 + "</p>"
     assert len(html_text.main_text(deep, html_text.Weights()).split()) == 20_000
 
