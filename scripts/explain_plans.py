@@ -37,6 +37,10 @@ def main() -> None:
     t = VersionedTable.create(spark, unique_table_name("plans"), o, root=scratch_path(spark, "plans"), partition_by=["o_orderstatus"])
     upd = r._orders_partition_updates(spark, d)
     scoped_cond = F.expr("target.o_orderkey = updates.o_orderkey") & (F.col("target.o_orderstatus") == F.col("updates.o_orderstatus"))
+    # the write paths store the updates, and the matched rows, before they are used
+    stored, _ = t._stored(upd)
+    places = ["__tw_dir", "__tw_file", "__tw_row"]
+    stored_hits, _ = t._stored(t._located().filter("o_orderstatus = 'P'").select(F.col("__tw_file").alias("f"), F.col("__tw_row").alias("r")))
     cases = [
         ("Conform to a target schema (P2-P5): one projection over the scan, only needed columns read",
          columns.sync_with_table(r.table(spark, d, "customer"), r._sync_target(spark), r.SYNC_ADD, r.SYNC_RENAME, r.SYNC_DROP).processed),
@@ -44,16 +48,24 @@ def main() -> None:
          hashing.hash_columns(r.table(spark, d, "customer"), "h", 256, "c_custkey", "c_name").select("c_custkey", "h")),
         ("Merge, table scope (M1): LEFT OUTER join + LEFT ANTI join on target keys only",
          changes.merge(target, updates, "target.c_custkey = updates.c_custkey", check_unique=False)),
+        ("Merge, partition scope, step 1: matched rows with their new values and places, computed once and stored",
+         changes.merge_parts(t._located(), stored, None, keys=["o_orderkey"], places=places, check_unique=False).marked
+         .filter(F.col(changes.UPDATED) | F.col(changes.DELETED))),
+        ("Merge, partition scope, step 2: inserts, found against the target's distinct keys and stored",
+         changes.merge_parts(t._located(), stored, None, keys=["o_orderkey"], places=places, check_unique=False).inserted),
+        ("Merge, partition scope, step 3: rows per partition, from partition and file columns only",
+         t._located().groupBy("__tw_dir", "o_orderstatus").agg(F.count(F.lit(1)).alias("total"))),
+        ("Merge, partition scope, step 4: the rewrite reads the touched directories only and leaves matched rows out by place",
+         t._rows_in([f"{t.location()}/o_orderstatus=P"]).join(
+             stored_hits, (F.col("__tw_file") == F.col("f")) & (F.col("__tw_row") == F.col("r")), "left_anti")),
         ("Merge, aligned partition scope: target pruned to the partitions present in the updates (J5 + partition filters)",
-         changes.merge(keys.prune_target(t.read(), upd, ["o_orderstatus"]), upd, scoped_cond, check_unique=False)),
-        ("Merge, exact partition scope: the marking pass reads only key / partition columns and aggregates before the shuffle",
-         changes.merge_parts(t.read(), upd, None, keys=["o_orderkey"], carry=["o_orderstatus"], check_unique=False).marked
-         .groupBy(F.col(f"{changes.ORIGINAL}o_orderstatus")).agg(F.max(F.col(changes.UPDATED).cast("int")).alias("any_changed"))),
+         changes.merge_parts(keys.prune_target(t._located(), stored, ["o_orderstatus"]), stored, scoped_cond, places=places,
+                             check_unique=False).marked),
         ("Partitioned write: rebalance hint (AQE splits hot partition values)",
          _clustered(o, ["o_orderstatus"])),
         ("Target pruning (J5): per-key semi joins against pre-aggregated distinct values",
          keys.prune_target(o, o.filter("o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '5-LOW')"), ["o_orderstatus", "o_orderpriority"])),
-        ("Latest row per key (A4): partial max_by before the shuffle (skew-safe)",
+        ("Latest row per key (A4): hash aggregates of the order columns, then max_by over the few rows left",
          runlog.latest_per_key(r.table(spark, d, "events"), ["user_id"], ["ts", "event_id"])),
         ("Delete-then-write on row keys (W10): LEFT ANTI against distinct incoming keys",
          o.join(o.filter("o_orderpriority = '1-URGENT'").select("o_custkey").distinct(), "o_custkey", "left_anti")),
