@@ -38,11 +38,12 @@ from tablewright.llm.components import connected_components
 from tablewright.llm.vectors import U64, mix, shingle_sets
 
 FLUSH_TOKENS = 1_500_000   # tokens a task holds before it emits them
+FLUSH_DOCS = 60_000        # documents likewise; their numbers in a flush take two bytes
 PART_TOKENS = 2_000_000    # tokens of one counting group, about
 PAIR_DF = 32               # class 2 from this document frequency on
 HEAVY_SHARE = 0.01         # class 3 from this share of the documents on
 BLOCK = 512                # sets of one side in a block comparison
-_NEVER = np.iinfo(np.int32).max
+HEAVY_DF = 65_535          # stands for the frequency of class 3; counted frequencies stop below it
 
 
 def _i64(x: np.ndarray) -> np.ndarray:
@@ -87,117 +88,105 @@ def _describe_sets(size: int):
 
 
 # ------------------------------------------------------------- document frequencies
-_BLOB = "part int, forward boolean, nodes binary, sizes binary, counts binary, tokens binary, dfs binary"
+# Tokens travel in packed rows.  A flush is a run of documents of one task; its id is a hash of
+# their keys, so a task that runs again emits the same rows.  Kinds of row:
+TOKENS, HEAVY, DOCUMENTS = 0, 1, 2
+# TOKENS: 2 bytes document number in the flush and 6 bytes token each; HEAVY: the same with
+# 8-byte tokens; DOCUMENTS: key and set size of the flush's documents.
+_ROW = "kind int, part int, flush long, documents binary, tokens binary, dfs binary"
+_LOW = (1 << 48) - 1
 
 
-def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.bool_()] + [pa.binary()] * 5
-    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
-                           names=["part", "forward", "nodes", "sizes", "counts", "tokens", "dfs"])
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, kinds)],
+                           names=["kind", "part", "flush", "documents", "tokens", "dfs"])
 
 
-def _pack(part: np.ndarray, node: np.ndarray, size: np.ndarray, tok: np.ndarray, df: np.ndarray | None,
-          forward: bool) -> list[tuple]:
-    """One row per part; inside a part the tokens stand node by node."""
-    order = np.lexsort((node, part))
-    part, node, size, tok = part[order], node[order], size[order], tok[order]
-    df = df[order] if df is not None else None
-    cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, int)
-    rows = []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        first = np.flatnonzero(np.concatenate([[True], node[a + 1:b] != node[a:b - 1]]))
-        counts = np.diff(np.append(first, b - a)).astype(np.int32)
-        rows.append((int(part[a]), forward, node[a:b][first].tobytes(), size[a:b][first].tobytes(), counts.tobytes(),
-                     tok[a:b].tobytes(), df[a:b].tobytes() if df is not None else b""))
-    return rows
+def _six(tokens: np.ndarray) -> bytes:
+    """The low 48 bits of each token."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
 
-def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``node, set size, token, df`` of every entry of packed rows (df 0 where not given)."""
-    def joined(name: str, kind) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    counts, nodes = joined("counts", np.int32), joined("nodes", np.int64)
-    tok, df = joined("tokens", U64), joined("dfs", np.int32)
-    return (np.repeat(nodes, counts), np.repeat(joined("sizes", np.int32), counts), tok,
-            df if len(df) == len(tok) else np.zeros(len(tok), np.int32))
+def _from_six(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
 
 
-def _once(node: np.ndarray, size: np.ndarray, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries without those that a repeated row sent again."""
-    order = np.lexsort((tok, node))
-    node, size, tok = node[order], size[order], tok[order]
-    new = np.concatenate([[True], (node[1:] != node[:-1]) | (tok[1:] != tok[:-1])])
-    return node[new], size[new], tok[new]
+def _identity(part: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """A token again as 64 bits, from its part and its low 48 bits."""
+    return mix(mix(part + U64(1)) + low)
 
 
-def _repeats(table: pa.Table) -> bool:
-    nodes = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.int64)
-    return len(np.unique(nodes)) < len(nodes)
+def _cuts(sorted_values: np.ndarray) -> np.ndarray:
+    """Bounds of the runs of equal values."""
+    if not len(sorted_values):
+        return np.zeros(1, int)
+    return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1], [True]]))
 
 
 def _emit_tokens(size: int, parts: int, heavy: np.ndarray):
-    """Tokens of every node, packed by token part; heavy tokens travel apart and are not counted again."""
+    """Tokens of every document, packed by token part; heavy tokens and the documents' keys pass by the counting."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toks: list[np.ndarray] = []
-        nodes: list[int] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            n = np.array([len(t) for t in toks], np.int32)
-            tok = np.concatenate(toks)
-            node, sizes = np.repeat(np.array(nodes, np.int64), n), np.repeat(n, n)
-            is_heavy = np.isin(tok, heavy)
-            part = (mix(tok) % U64(parts)).astype(np.int32)
-            light = ~is_heavy
-            rows = _pack(part[light], node[light], sizes[light], tok[light], None, False)
-            if is_heavy.any():
-                spread = (mix(node.view(U64) + U64(3)) % U64(parts)).astype(np.int32)
-                rows += _pack(spread[is_heavy], node[is_heavy], sizes[is_heavy], tok[is_heavy],
-                              np.full(int(is_heavy.sum()), _NEVER, np.int32), True)
-            if rows:
-                yield _blob_batch(rows)
-
-        total, seen = 0, set()
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            n = np.array([len(t) for t in held], np.int32)
+            node = mix(np.array([np.add.reduce(t, dtype=U64) for t in held], U64))
+            name = int(_i64(mix(np.add.reduce(mix(node + np.arange(len(node), dtype=U64)), dtype=U64, keepdims=True)))[0])
+            tok, doc = np.concatenate(held), np.repeat(np.arange(len(held), dtype=np.uint16), n)
+            part = mix(tok) % U64(parts)
+            spread = name % parts
+            rows = [(DOCUMENTS, spread, name, node.tobytes(), n.tobytes(), b"")]
+            hot = np.isin(tok, heavy)
+            if hot.any():
+                rows.append((HEAVY, spread, name, doc[hot].tobytes(), _identity(part[hot], tok[hot] & U64(_LOW)).tobytes(), b""))
+                tok, doc, part = tok[~hot], doc[~hot], part[~hot]
+            order = np.argsort(part, kind="stable")
+            tok, doc, part = tok[order], doc[order], part[order]
+            cuts = _cuts(part)
+            rows += [(TOKENS, int(part[a]), name, doc[a:b].tobytes(), _six(tok[a:b]), b"") for a, b in zip(cuts[:-1], cuts[1:])]
+            return _rows(rows)
+
+        total = 0
         for batch in batches:
-            wanted = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, t in shingle_sets(batch.column(1), size):
-                node = int(wanted[row])
-                if len(t) and node not in seen and _i64(mix(np.add.reduce(t, dtype=U64, keepdims=True)))[0] == node:
-                    toks.append(t)
-                    nodes.append(node)
-                    seen.add(node)
+            for _, t in shingle_sets(batch.column(0), size):
+                if len(t):
+                    held.append(t)
                     total += len(t)
-                if total >= FLUSH_TOKENS:
-                    yield from flush()
-                    toks, nodes, total = [], [], 0
-                    seen.clear()
-        if toks:
-            yield from flush()
+                if total >= FLUSH_TOKENS or len(held) == FLUSH_DOCS:
+                    yield flush()
+                    held.clear()
+                    total = 0
+        if held:
+            yield flush()
     return run
 
 
-def _count_tokens(chunks: int):
-    """Frequency of every token of one part; entries of tokens that several nodes share go to the nodes' chunks."""
-    def run(table: pa.Table) -> pa.Table:
-        forward = table.column("forward").to_numpy()
-        rows = []
-        for sent in (False, True):
-            some = table.filter(pa.array(forward == sent))
-            if not some.num_rows:
-                continue
-            node, size, tok, df = _unpack(some)
-            if not sent:
-                if _repeats(some):
-                    node, size, tok = _once(node, size, tok)
-                _, inverse, count = np.unique(tok, return_inverse=True, return_counts=True)
-                df = np.minimum(count, _NEVER - 1).astype(np.int32)[inverse]
-                shared = df > 1
-                node, size, tok, df = node[shared], size[shared], tok[shared], df[shared]
-            chunk = (mix(node.view(U64)) % U64(chunks)).astype(np.int32)
-            rows += _pack(chunk, node, size, tok, df, True)
-        if not rows:
-            return pa.Table.from_batches([], schema=_blob_batch([(0, True) + (b"",) * 5]).schema)
-        return pa.Table.from_batches([_blob_batch(rows)])
-    return run
+def _count_tokens(table: pa.Table) -> pa.Table:
+    """Frequency of every token of one part; entries of tokens that several documents share go back to their flushes."""
+    kinds = table.column("kind").to_numpy()
+    rows = [tuple(r.values()) for r in table.filter(pa.array(kinds != TOKENS)).to_pylist()]
+    sent = table.filter(pa.array(kinds == TOKENS))
+    if sent.num_rows:
+        part = U64(sent.column("part")[0].as_py())
+        tok = _from_six(b"".join(sent.column("tokens").to_pylist()))
+        doc = np.frombuffer(b"".join(sent.column("documents").to_pylist()), np.uint16)
+        width = np.array([len(x) // 2 for x in sent.column("documents").to_pylist()])
+        flush = np.repeat(sent.column("flush").to_numpy(), width)
+        order = np.argsort(tok, kind="stable")
+        cuts = _cuts(tok[order])
+        df = np.empty(len(tok), np.int64)
+        df[order] = np.repeat(np.diff(cuts), np.diff(cuts))
+        shared = np.flatnonzero(df > 1)
+        shared = shared[np.argsort(flush[shared], kind="stable")]
+        cuts = _cuts(flush[shared])
+        ids, dfs = _identity(np.full(1, part, U64), tok), np.minimum(df, HEAVY_DF - 1).astype(np.uint16)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            at = shared[a:b]
+            rows.append((TOKENS, 0, int(flush[at[0]]), doc[at].tobytes(), ids[at].tobytes(), dfs[at].tobytes()))
+    return pa.Table.from_batches([_rows(rows)])
 
 
 # ------------------------------------------------------------- prefixes and combinations
@@ -215,7 +204,7 @@ def combination_keys(tok: np.ndarray, df: np.ndarray, n: int, threshold: float)
     allowed = errors_allowed(n, threshold)
     order = np.lexsort((tok, df))
     tok, df = tok[order], df[order]
-    kinds = np.where(df == _NEVER, 3, np.where(df >= PAIR_DF, 2, 1))
+    kinds = np.where(df == HEAVY_DF, 3, np.where(df >= PAIR_DF, 2, 1))
     smallest = max(1, math.ceil(threshold * n - 1e-9))
     keys: list[np.ndarray] = []
     for level in range(smallest.bit_length() - 1, n.bit_length()):
@@ -249,20 +238,26 @@ _SET = "node long, n int, score double, tokens array<long>, keys array<long>"
 
 
 def _index_sets(threshold: float):
-    """Sets that can have a partner, with their shared tokens and index keys."""
+    """Sets of one flush that can have a partner, with their shared tokens and index keys."""
     def run(table: pa.Table) -> pa.Table:
-        node, size, tok, df = _unpack(table)
-        order = np.argsort(node, kind="stable")
-        node, size, tok, df = node[order], size[order], tok[order], df[order]
-        cuts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]])) if len(node) else np.zeros(1, int)
-        rows = []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            n = int(size[a])
-            toks, at = np.unique(tok[a:b], return_index=True)
-            if len(toks) >= n - errors_allowed(n, threshold):
-                dfs = df[a:b][at]
-                keys = combination_keys(toks, dfs, n, threshold)
-                rows.append((int(node[a]), n, float(np.minimum(dfs, 1_000_000).sum() / n), _i64(toks), keys))
+        rows, nodes, sizes, docs, toks, dfs = [], None, None, [], [], []
+        for r in table.to_pylist():
+            if r["kind"] == DOCUMENTS:
+                nodes, sizes = np.frombuffer(r["documents"], np.int64), np.frombuffer(r["tokens"], np.int32)
+            else:
+                docs.append(np.frombuffer(r["documents"], np.uint16))
+                toks.append(np.frombuffer(r["tokens"], U64))
+                dfs.append(np.frombuffer(r["dfs"], np.uint16) if r["kind"] == TOKENS else np.full(len(toks[-1]), HEAVY_DF, np.uint16))
+        if docs:
+            doc, tok, df = np.concatenate(docs), np.concatenate(toks), np.concatenate(dfs)
+            order = np.argsort(doc, kind="stable")
+            doc, tok, df = doc[order], tok[order], df[order]
+            cuts = _cuts(doc)
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                n = int(sizes[doc[a]])
+                if b - a >= n - errors_allowed(n, threshold):
+                    keys = combination_keys(tok[a:b], df[a:b], n, threshold)
+                    rows.append((int(nodes[doc[a]]), n, float(df[a:b].sum(dtype=np.int64) / n), _i64(np.sort(tok[a:b])), keys))
         kinds = [pa.int64(), pa.int32(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         columns = list(zip(*rows)) if rows else [[]] * 5
         return pa.table([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["node", "n", "score", "tokens", "keys"])
@@ -367,10 +362,19 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     heavy = (described.where("df IS NOT NULL").groupBy("k1").agg(F.sum("df").alias("df"))
              .where(F.col("df") >= max(PAIR_DF, HEAVY_SHARE * n_rows)).select("k1").toArrow().column(0).to_numpy())
     parts = max(4 * width, math.ceil(tokens / PART_TOKENS))
-    one = texts.join(nodes.select("id", F.col("k1").alias("node")), "id").select("node", "text")
-    blobs = one.mapInArrow(_emit_tokens(shingle, parts, np.sort(heavy.view(U64))), _BLOB)
-    counted = blobs.groupBy("part").applyInArrow(_count_tokens(parts), _BLOB)
-    sets = parquet_table(counted.groupBy("part").applyInArrow(_index_sets(threshold), _SET), "index")
+    # one row of every set: without the copies of another row's set, and one of rows that repeat an id and its text
+    copies = rows.where("n > 0").join(nodes.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("id").alias("_id")),
+                                      (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")) & (F.col("id") != F.col("_id")))
+    repeats = parquet_table(rows.where("n > 0 AND id IS NOT NULL").groupBy("id", "th").agg(F.count(F.lit(1)).alias("rows"))
+                            .where("rows > 1").select("id", "th"), "repeats")
+    left_out = parquet_table(copies.select("id", "th").union(repeats).distinct(), "left-out")
+    one = texts.where("id IS NOT NULL").join(left_out, ["id", "th"], "left_anti").select("text")
+    if not repeats.isEmpty():
+        firsts = repeats.join(copies.select("id", "th"), ["id", "th"], "left_anti")
+        one = one.unionByName(texts.join(firsts, ["id", "th"], "left_semi").dropDuplicates(["id", "th"]).select("text"))
+    sent = one.mapInArrow(_emit_tokens(shingle, parts, np.sort(heavy.view(U64))), _ROW)
+    counted = sent.groupBy("part").applyInArrow(_count_tokens, _ROW)
+    sets = parquet_table(counted.groupBy("flush").applyInArrow(_index_sets(threshold), _SET), "index")
 
     keyed = sets.select("node", "score", F.explode("keys").alias("key"))
     best = (keyed.groupBy("key").agg(F.max(F.struct("score", "node")).alias("best"), F.count(F.lit(1)).alias("rows"))

@@ -102,7 +102,7 @@ def test_linked_sets_share_a_combination(seed, n, change):
     """Any two sets at the threshold share an index key, whatever classes their tokens are in."""
     rng = np.random.default_rng(seed)
     pool = rng.integers(1, 2**63, 400, dtype=np.uint64)
-    df = dict(zip(pool.tolist(), rng.choice([2, 3, 40, 500, jaccard._NEVER], 400)))
+    df = dict(zip(pool.tolist(), rng.choice([2, 3, 40, 500, jaccard.HEAVY_DF], 400)))
     a = rng.choice(pool, n, replace=False)
     keep = rng.random(n) >= change * rng.random()
     fresh = rng.choice(np.setdiff1d(pool, a), int(rng.integers(0, max(1, n // 4))), replace=False)
