@@ -29,7 +29,7 @@ MOST = 2.0               # passes over a source, at most
 BLOCK_WORDS = 64         # words of a block; a source has 256 blocks at least, so small sources have shorter ones
 LEAST_BLOCKS = 256
 SHARD_SLOTS = 200_000    # slots of one output shard, about
-CHUNK_DOCS = 20_000      # documents of one numbering chunk, about
+CHUNK_DOCS = 5_000       # documents of one numbering chunk, about
 _ROUNDS = 6
 
 
@@ -168,12 +168,15 @@ def _taken_ranges(sizes: DataFrame, targets: DataFrame, most: float, block_words
            .withColumn("words", F.round("target").cast("long"))
            .withColumn("slots", F.least(F.ceil(F.col("words") / F.col("block_words")),
                                         F.floor(F.lit(float(most)) * F.col("blocks")).cast("long"))))
+    width = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = cut.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     shards = max(1, math.ceil(total / SHARD_SLOTS))
     plan = (cut.where("slots > 0").select("source", "block_words", "blocks", "words", "slots",
                                           F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-            .repartition("source", "shard"))
-    slots = plan.mapInPandas(_draw_slots(shards, seed), "source string, shard long, pass long, block long, words long")
+            .repartition(max(width, shards), "source", "shard"))
+    # stored, so that the join below knows how many there are and doesn't take them for a small side
+    slots = parquet_table(plan.mapInPandas(_draw_slots(shards, seed),
+                                           "source string, shard long, pass long, block long, words long"), "mix-slots")
     numbered = _numbered(sizes, sizes.count()).where("size > 0")
     numbered = numbered.join(cut.select(F.col("source").alias("_c"), "block_words"), _same("source", "_c"))
     b, start, end = F.col("block_words"), F.col("start"), F.col("start") + F.col("size")
