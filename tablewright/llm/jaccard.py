@@ -37,12 +37,13 @@ from tablewright.llm.common import parquet_table
 from tablewright.llm.components import connected_components
 from tablewright.llm.vectors import U64, mix, shingle_sets
 
-FLUSH_TOKENS = 1_500_000   # tokens a task holds before it emits them
+FLUSH_TOKENS = 1_000_000   # tokens a task holds before it emits them
 FLUSH_DOCS = 60_000        # documents likewise; their numbers in a flush take two bytes
 PART_TOKENS = 2_000_000    # tokens of one counting group, about
 PAIR_DF = 32               # class 2 from this document frequency on
 HEAVY_SHARE = 0.01         # class 3 from this share of the documents on
 BLOCK = 512                # sets of one side in a block comparison
+MEETINGS = 1_000_000       # equal tokens of two sides that are counted at a time
 HEAVY_DF = 65_535          # stands for the frequency of class 3; counted frequencies stop below it
 
 
@@ -286,14 +287,19 @@ def _compare_blocks(threshold: float):
         index, index_owner = tok[mine][order], slot[owner[mine]][order]
         theirs, theirs_owner = tok[~mine], slot[owner[~mine]]
         lo, hi = np.searchsorted(index, theirs, "left"), np.searchsorted(index, theirs, "right")
-        shared = np.zeros(len(seek) * len(other), np.int32)
-        for s in range(0, len(theirs), 200_000):
-            reps = hi[s:s + 200_000] - lo[s:s + 200_000]
-            starts = np.repeat(lo[s:s + 200_000] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps)
+        shared = np.zeros(len(seek) * len(other), np.int64)
+        meetings = hi - lo
+        ends = np.cumsum(meetings)
+        s = 0
+        while s < len(theirs):  # a bounded number of meetings at a time
+            e = max(s + 1, int(np.searchsorted(ends, (ends[s - 1] if s else 0) + MEETINGS, "right")))
+            reps = meetings[s:e]
+            starts = np.repeat(lo[s:e] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps)
             hit = index_owner[starts + np.arange(reps.sum())]
-            np.add.at(shared, np.repeat(theirs_owner[s:s + 200_000], reps) * len(seek) + hit, 1)
+            shared += np.bincount(np.repeat(theirs_owner[s:e], reps) * len(seek) + hit, minlength=len(shared))
+            s = e
         shared = shared.reshape(len(other), len(seek))
-        ok = (_linked(shared.astype(np.int64), n[other][:, None], n[seek][None, :], threshold) & (shared > 0)
+        ok = (_linked(shared, n[other].astype(np.int64)[:, None], n[seek][None, :], threshold) & (shared > 0)
               & (comp[other][:, None] != comp[seek][None, :]))
         pairs, seen = [], set()
         for o, s in zip(*np.nonzero(ok)):
