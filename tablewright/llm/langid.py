@@ -69,20 +69,30 @@ class LanguageModel:
         x *= self.idf
         return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
 
-    def probabilities(self, x: np.ndarray, temperature: float | None = None) -> np.ndarray:
-        z = (x @ self.weights + self.bias) / (temperature or self.temperature)
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        z = (x @ self.weights + self.bias) / self.temperature
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
 
-def fit_ftrl(x: np.ndarray, y: np.ndarray, classes: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.002,
+Sparse = list[tuple[np.ndarray, np.ndarray]]  # index and value of each row's non-zeros
+
+
+def dense(rows: Sparse, columns: np.ndarray | None = None) -> np.ndarray:
+    """Rows as a matrix over ``columns`` (sorted; all buckets when None)."""
+    out = np.zeros((len(rows), BUCKETS if columns is None else len(columns)))
+    for k, (index, value) in enumerate(rows):
+        out[k, index if columns is None else np.searchsorted(columns, index)] = value
+    return out
+
+
+def fit_ftrl(rows: Sparse, y: np.ndarray, classes: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.002,
              l2: float = 0.001, epochs: int = 6, batch: int = 16, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and bias by FTRL-proximal with an elastic-net penalty (the bias is not penalised)."""
     rng = np.random.default_rng(seed)
-    x = np.hstack([x, np.ones((len(x), 1))])
-    z = np.zeros((x.shape[1], classes))
+    z = np.zeros((BUCKETS + 1, classes))  # the last row is the bias
     n = np.zeros_like(z)
-    penalty = np.full((x.shape[1], 1), l1)
+    penalty = np.full((BUCKETS + 1, 1), l1)
     penalty[-1] = 0
 
     def weights(z: np.ndarray, n: np.ndarray, penalty: np.ndarray) -> np.ndarray:
@@ -90,12 +100,13 @@ def fit_ftrl(x: np.ndarray, y: np.ndarray, classes: int, alpha: float = 1.0, bet
         return -shrunk / ((beta + np.sqrt(n)) / alpha + l2)
 
     for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for a in range(0, len(x), batch):
+        order = rng.permutation(len(rows))
+        for a in range(0, len(rows), batch):
             picks = order[a:a + batch]
-            xs = x[picks]
-            on = np.flatnonzero(xs.any(axis=0))
-            xs = xs[:, on]
+            some = [rows[i] for i in picks]
+            on = np.unique(np.concatenate([i for i, _ in some]))
+            xs = np.hstack([dense(some, on), np.ones((len(picks), 1))])
+            on = np.append(on, BUCKETS)
             w = weights(z[on], n[on], penalty[on])
             logits = xs @ w
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -152,20 +163,25 @@ def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = [(lang, i.values.to_numpy(), c.values.to_numpy()) for lang, i, c in
             zip(langs, found.column("index"), found.column("count"))]
     rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
-    counts = np.zeros((len(rows), BUCKETS), np.float32)
-    for k, (_, i, c) in enumerate(rows):
-        counts[k, i] = c
     y = np.array([names.index(r[0]) for r in rows])
-    model = LanguageModel(names, np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1, np.zeros((BUCKETS, len(names))),
-                          np.zeros(len(names)), 1.0)
-    x = model.vectors(counts)
+    holding = np.bincount(np.concatenate([r[1] for r in rows]), minlength=BUCKETS)
+    model = LanguageModel(names, np.log((1 + len(rows)) / (1 + holding)) + 1, np.zeros((BUCKETS, len(names))), np.zeros(len(names)), 1.0)
+    sparse: Sparse = []
+    for _, index, count in rows:  # the rows stay sparse: the driver holds their non-zeros only
+        value = (1 + np.log(count)) * model.idf[index]
+        sparse.append((index.astype(np.int64), value / np.sqrt(value @ value)))
     check = np.random.default_rng(3).random(len(rows)) < check_share
     if check.all() or not check.any():
         check[:] = False
-    model.weights, model.bias = fit_ftrl(x[~check], y[~check], len(names))
+    model.weights, model.bias = fit_ftrl([r for r, c in zip(sparse, check) if not c], y[~check], len(names))
     if check.any():
+        seen = [r for r, c in zip(sparse, check) if c]
+        logits = np.concatenate([dense(seen[a:a + STEP_ROWS]) @ model.weights + model.bias for a in range(0, len(seen), STEP_ROWS)])
+
         def loss(t: float) -> float:
-            return -np.log(model.probabilities(x[check], t)[np.arange(check.sum()), y[check]] + 1e-12).mean()
+            z = logits / t
+            z = z - z.max(axis=1, keepdims=True)
+            return float((np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), y[check]]).mean())
         model.temperature = float(min(np.geomspace(0.05, 5, 60), key=loss))
     return model
 
