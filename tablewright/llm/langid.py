@@ -149,9 +149,15 @@ def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with the smallest hashes of their ids; ``check_share`` of them only fit the
     temperature.  Rows without language or letters don't count.
     """
-    first = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
+    # a language with most of the rows is ranked by many tasks first; only each one's best rows meet
+    order = [F.xxhash64(F.col(id_col).cast("string")), F.col(id_col)]
+    salts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = Window.partitionBy(lang_col, "_salt").orderBy(*order)
+    first = Window.partitionBy(lang_col).orderBy(*order)
     able = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col) & F.col(text_col).isNotNull()).select(id_col, lang_col)
-    picked = (able.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= rows_per_language)
+    able = able.withColumn("_salt", F.pmod(F.xxhash64(F.lit(1), F.col(id_col).cast("string")), F.lit(salts)))
+    best = able.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= rows_per_language).drop("_rank")
+    picked = (best.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= rows_per_language)
               .select(F.col(id_col).alias("_id")).distinct())
     sample = docs.join(F.broadcast(picked), F.col(id_col) == F.col("_id")).where(
         F.col(lang_col).isNotNull() & _has_letter(F.col(text_col)))
