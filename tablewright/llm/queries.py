@@ -48,7 +48,7 @@ def op8_packing(spark, d):
 
 
 def op9_fingerprints(spark, d):
-    return fingerprints.fingerprint_documents(table(spark, d, "documents").select("doc_id", "text"))
+    return fingerprints.fingerprint_documents(table(spark, d, "documents").select("doc_id", "text"), fallback=True)
 
 
 def op10_quality_rules(spark, d):

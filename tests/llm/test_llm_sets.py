@@ -10,7 +10,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tablewright.llm import chat, fingerprints, jaccard, lines
+from tablewright.llm import chat, fingerprints, jaccard, lines, queries
 from tablewright.llm.vectors import U64
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
@@ -246,3 +246,19 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint_documents(df.limit(0)).collect() == []
     alone = fingerprints.fingerprint_documents(spark.createDataFrame([(4, "abcd"), (4, "abcd")], "doc_id long, text string")).collect()
     assert [r.edited_sha256 for r in alone] == [hashlib.sha256(b"abab").hexdigest()] * 2
+
+
+def test_different_short_texts_are_not_alike(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n)) for n in range(1, 16) for _ in range(30)]
+    missed = [t for t in texts if len(t.split()) >= fingerprints.K and not brute_starts(t)[1]]
+    assert {len(t.split()) for t in missed} >= {8, 9, 10, 11}
+    docs = [*enumerate(texts), (1000, None), (1001, " \n"), (1002, missed[0]), (1003, missed[0].upper()), (1004, texts[0] + "x")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op9_fingerprints(spark, str(tmp_path)).collect()}
+    marks = [got[k].fingerprint for k, _ in enumerate(texts)]
+    assert all(marks) and len(set(marks)) == len(marks)
+    assert all(len(marks[texts.index(t)]) == 8 for t in missed)
+    assert got[1000].fingerprint == got[1001].fingerprint == ""
+    assert {k: r.near_next for k, r in got.items() if r.near_next} == {1000: 1.0, 1002: 1.0}
+    assert not [k for k, r in got.items() if r.near_edited == 1.0 and texts.count(dict(docs)[k]) and dict(docs)[k] in missed]
