@@ -1,8 +1,9 @@
 """HTML extraction by maximum-scoring subsequence.
 
 A page becomes a sequence of words and tags.  Elements that never belong to an
-article (scripts, forms, navigation, and elements whose class, id or role says
-so) are cut out first.  Words score by the element they stand in, tags score
+article (scripts, navigation) are cut out first, and so are forms and elements
+whose class, id or role says so, unless they hold what is left of the page
+(see ``judge``).  Words score by the element they stand in, tags score
 negative, and one linear scan finds the contiguous region with the highest
 total.  The weights are log-odds learned from labelled pages: pages whose
 author marked the article (``article`` or ``main``), words inside against words
@@ -73,37 +74,113 @@ class Token:
     name: str            # tag, or the block element around a text
     text: str = ""
     inside: bool = False  # in an element marked as the article
+    against: bool = False  # in an article whose class names something else, beside a larger one
 
 
-def tokens(page: str, spared: frozenset[int] = frozenset()) -> list[Token]:
+@dataclass
+class Part:
+    """A form, an element marked as boilerplate, or an outermost article."""
+
+    parent: int          # the part around it, -1 for none
+    article: bool
+    marked: bool
+    words: int = 0
+
+    @property
+    def soft(self) -> bool:
+        return self.marked and not self.article
+
+
+def judge(parts: list[Part], outside: int) -> tuple[set[int], set[int]]:
+    """The parts that are cut, and those whose words score negative; ``words`` of each part are its own before.
+
+    ``outside`` are the words in no part.  An article is not cut for its own
+    class, but its words count against it beside an unmarked article as large.
+    Other parts are cut, except those around an unmarked article larger than
+    every article that isn't in such a part, and those with more than half of
+    the page's words, and more than four times as many as the largest article
+    that stays without them.
+    """
+    def around(i: int) -> Iterator[int]:
+        while (i := parts[i].parent) >= 0:
+            yield i
+
+    words = [p.words for p in parts]
+    for i in range(len(parts) - 1, -1, -1):
+        if parts[i].parent >= 0:
+            words[parts[i].parent] += words[i]
+    total = outside + sum(n for n, p in zip(words, parts) if p.parent < 0)
+    spared: set[int] = set()
+
+    def cuts() -> set[int]:
+        out: set[int] = set()
+        for i, p in enumerate(parts):
+            if p.parent in out or (p.soft and i not in spared):
+                out.add(i)
+        return out
+
+    articles = [i for i, p in enumerate(parts) if p.article]
+    cut = cuts()
+    hidden = [i for i in articles if i in cut and not parts[i].marked]
+    if hidden:
+        largest = max(hidden, key=lambda i: words[i])
+        if all(words[largest] > words[i] for i in articles if i not in cut):
+            spared |= {i for i in around(largest) if parts[i].soft}
+            cut = cuts()
+    for i, p in enumerate(parts):  # parts with more than half of the words stand in each other, the outer ones first
+        if i in cut and p.soft and 2 * words[i] > total:
+            left = [q.words for q in parts]
+            for j in range(len(parts) - 1, -1, -1):
+                if parts[j].parent >= 0 and j not in cut:
+                    left[parts[j].parent] += left[j]
+            if words[i] <= 4 * max((left[j] for j in articles if j not in cut), default=0):
+                break
+            spared.add(i)
+            cut = cuts()
+    plain = sorted((i for i in articles if i not in cut and not parts[i].marked), key=lambda i: -words[i])
+    against: set[int] = set()
+    for i, p in enumerate(parts):
+        if p.parent in against:
+            against.add(i)
+        elif p.article and p.marked and i not in cut:
+            mine = {i, *around(i)}
+            other = next((j for j in plain if j not in mine and i not in around(j)), None)
+            if other is not None and words[other] >= words[i]:
+                against.add(i)
+    return cut, against
+
+
+def tokens(page: str) -> list[Token]:
     """Tags and texts of ``page`` without the elements that are cut out.
 
     End tags without a start are ignored; a missing end tag ends with an
-    enclosing element that ends.  When the only article stands in elements cut
-    for their class, id or role (a wrapper named ``has-sidebar``, say), those
-    are ``spared``, known by where their start tags begin.
+    enclosing element that ends.  Forms and elements marked by class, id or
+    role are judged when the whole page is read.
     """
     out: list[Token] = []
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each starts a cut
-    begun: list[int] = []  # where each open element that is cut for its marks begins, -1 for other cuts
-    wrappers: frozenset[int] = frozenset()
+    place: list[int] = []  # the innermost part around each token, -1 for none
+    parts: list[Part] = []
+    stack: list[tuple[str, bool, int]] = []  # open elements, whether each starts a cut, and its innermost part
     cut = 0
     at = 0
 
+    def add(token: Token) -> None:
+        out.append(token)
+        place.append(stack[-1][2] if stack else -1)
+
     def text(raw: str) -> None:
         if cut or not raw:
             return
-        around = next((n for n, _ in reversed(stack) if n in BLOCK), "body")
-        out.append(Token("text", around, html.unescape(raw), any(n in ARTICLE for n, _ in stack)))
+        around = next((n for n, _, _ in reversed(stack) if n in BLOCK), "body")
+        add(Token("text", around, html.unescape(raw), any(n in ARTICLE for n, _, _ in stack)))
 
     def close(upto: int) -> None:
         nonlocal cut
         while len(stack) > upto:
-            name, starts = stack.pop()
+            name, starts, _ = stack[-1]
             if not cut:
-                out.append(Token("close", name, "", any(n in ARTICLE for n, _ in stack) or name in ARTICLE))
-            if starts:
-                begun.pop()
+                add(Token("close", name, "", any(n in ARTICLE for n, _, _ in stack)))
+            stack.pop()
             cut -= starts
 
     while at < len(page):
@@ -127,33 +204,49 @@ def tokens(page: str, spared: frozenset[int] = frozenset()) -> list[Token]:
             # an element of the same list, or a paragraph, ends where the next begins
             ends = CLOSES.get(name, {"p"})
             found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ends), None)
-            between = {n for n, _ in stack[found + 1:]} if found is not None else set()
+            between = {n for n, _, _ in stack[found + 1:]} if found is not None else set()
             if found is not None and not between & (BLOCK | CUT):
                 close(found)
         elif name in BLOCK:
             found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if found is not None and not {n for n, _ in stack[found + 1:]} & (BLOCK | CUT):
+            if found is not None and not {n for n, _, _ in stack[found + 1:]} & (BLOCK | CUT):
                 close(found)
-        article = any(n in ARTICLE for n, _ in stack)
-        by_kind = name in CUT or (name == "header" and not article)
-        starts = by_kind or (name not in ("html", "body") and m.start() not in spared and is_marked(m[4] or "", article))
-        if name in ARTICLE and not starts and cut and not wrappers and -1 not in begun:
-            wrappers = frozenset(begun)
-        if not cut and not starts:
+        article = any(n in ARTICLE for n, _, _ in stack)
+        form = name == "form"
+        starts = (name in CUT and not form) or (name == "header" and not article)
+        marked = form or (name not in ("html", "body") and is_marked(m[4] or "", article))
+        alone = name in VOID or (m[4] or "").endswith("/")
+        outermost = name in ARTICLE and not any(n == "article" or n == name for n, _, _ in stack)
+        part = stack[-1][2] if stack else -1
+        if not cut and not starts and not alone and (marked or outermost):
+            parts.append(Part(part, outermost, marked))
+            part = len(parts) - 1
+        if not cut and not starts and not (alone and marked):
             out.append(Token("open", name, "", article or name in ARTICLE))
-        if name in VOID or (m[4] or "").endswith("/"):
+            place.append(part)
+        if alone:
             continue
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        stack.append((name, starts))
-        if starts:
-            begun.append(-1 if by_kind else m.start())
+        stack.append((name, starts, part))
         cut += starts
-    if wrappers and not any(t.name in ARTICLE for t in out if t.kind != "text"):
-        return tokens(page, spared | wrappers)
-    return out
+    if not any(p.marked for p in parts):
+        return out
+    outside = 0
+    for t, i in zip(out, place):
+        if t.kind == "text":
+            n = len(t.text.split())
+            if i >= 0:
+                parts[i].words += n
+            else:
+                outside += n
+    gone, against = judge(parts, outside)
+    for t, i in zip(out, place):
+        if i in against:
+            t.inside, t.against = False, True
+    return [t for t, i in zip(out, place) if i not in gone]
 
 
 def best_region(found: list[Token], weights: Weights) -> tuple[int, int]:
@@ -162,7 +255,8 @@ def best_region(found: list[Token], weights: Weights) -> tuple[int, int]:
     for i, t in enumerate(found):
         if t.kind == "text":
             n = len(t.text.split())
-            total += n * weights.words.get(t.name, weights.word)
+            score = weights.words.get(t.name, weights.word)
+            total += n * (min(score, -1.0) if t.against else score)
         else:
             total += weights.tags.get(t.name, weights.tag)
         if total <= 0:

@@ -165,6 +165,35 @@ def test_main_text():
     assert len(html_text.main_text(deep, html_text.Weights()).split()) == 20_000
 
 
+def test_marks_do_not_cut_the_article():
+    text = lambda page: html_text.main_text(f"<body>{page}</body>", html_text.Weights()).split()
+    said = lambda name, n: f"<p>{' '.join([name] * n)}</p>"
+    article = said("a", 60)
+    for name in ("post hentry category-social-media tag-privacy", "post comments-open"):  # an article's own class
+        assert text(f'<article class="{name}">{article}</article>') == ["a"] * 60
+        assert text(f'<main class="no-sidebar"><article class="{name}">{article}</article></main>') == ["a"] * 60
+        assert text(f'<div class="has-sidebar"><article class="{name}">{article}</article></div>') == ["a"] * 60
+        small = f'<div class="teasers"><article>{said("t", 3)}</article></div>'
+        assert text(f'<article class="{name}">{article}</article>{small}').count("a") == 60
+    for name in ("content has-sidebar", "page no-sidebar"):  # pages without article
+        page = f'<div class="{name}">{article}<div class="sidebar">{said("s", 9)}</div></div><div class="promo">{said("p", 20)}</div>'
+        assert text(page) == ["a"] * 60
+        assert text(f'<div class="{name}"><div class="{name}">{article}</div></div>') == ["a"] * 60
+        assert text(f'<article><h1>t</h1><div class="{name}">{article}</div></article>') == ["t"] + ["a"] * 60
+    teaser = f"<article>{said('t', 5)}</article>"  # a wrapper beside another article
+    assert text(f'<div class="has-sidebar"><article>{article}</article></div>{teaser}').count("a") == 60
+    assert text(f'{teaser}<div class="has-sidebar">{article}</div>').count("a") == 60
+    for inner in (article, f"<article>{article}</article>", f'<article class="comments-open">{article}</article>'):  # a whole-page form
+        assert text(f'<form id="aspnetForm"><input name=v><select><option>o</select>{inner}</form>') == ["a"] * 60
+    # what is not the article stays out, also when it is long
+    assert text(f'<article>{article}</article><section class="comments">{said("c", 200)}</section>') == ["a"] * 60
+    assert text(f'<article>{article}<section class="comments">{said("c", 200)}</section></article>') == ["a"] * 60
+    assert text(f'<article>{article}</article>' + f'<article class="comment">{said("c", 50)}</article>' * 3) == ["a"] * 60
+    wrapped = f'<article>{article}</article><section class="comments">{said("c", 90)}</section>'
+    assert text(f'<div class="has-sidebar">{wrapped}</div>') == ["a"] * 60
+    assert text(f'<article>{article}<form>{said("f", 20)}</form></article>') == ["a"] * 60
+
+
 def test_best_region_is_the_maximum():
     rng = random.Random(2)
     weights = html_text.Weights({"p": 1.5, "li": -1.0}, {"p": -2.0, "a": -0.5})
