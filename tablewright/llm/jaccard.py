@@ -349,9 +349,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     its component (null without words) and ``component_id`` the smallest id
     reachable by links, itself included.  Rows without words have no shingle
     and are linked with nothing.  Rows that repeat an id are nodes of their own
-    text.  Rows with a null id share the component of equal sets that have an
-    id; otherwise they are linked with nothing and have a null component.
-    Other columns are ignored; an empty table gives no rows.
+    text.  Rows with a null id are linked like others; a component in which
+    no row has an id is null.  Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -378,6 +377,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not repeats.isEmpty():
         firsts = repeats.join(copies.select("id", "th"), ["id", "th"], "left_anti")
         one = one.unionByName(texts.join(firsts, ["id", "th"], "left_semi").dropDuplicates(["id", "th"]).select("text"))
+    no_id = nodes.where("id IS NULL")
+    if not no_id.isEmpty():  # sets that only rows without an id have
+        firsts = (rows.where("n > 0 AND id IS NULL").join(no_id.select("k1", "k2"), ["k1", "k2"], "left_semi")
+                  .groupBy("k1", "k2").agg(F.min("th").alias("th")).select("th"))
+        one = one.unionByName(texts.where("id IS NULL").dropDuplicates(["th"]).join(firsts, "th", "left_semi").select("text"))
     sent = one.mapInArrow(_emit_tokens(shingle, parts, np.sort(heavy.view(U64))), _ROW)
     counted = sent.groupBy("part").applyInArrow(_count_tokens, _ROW)
     sets = parquet_table(counted.groupBy("flush").applyInArrow(_index_sets(threshold), _SET), "index")

@@ -115,6 +115,38 @@ def test_linked_sets_share_a_combination(seed, n, change):
     assert keys[0] & keys[1]
 
 
+@pytest.mark.parametrize("threshold", [0.1, 0.2, 0.3, 0.37, 0.5, 0.75, 0.9])
+def test_linked_sets_share_a_combination_at_any_threshold(threshold):
+    rng = np.random.default_rng(3)
+    for _ in range(150):
+        n = int(rng.integers(1, 50))
+        pool = rng.integers(1, 2**63, 130, dtype=np.uint64)
+        df = dict(zip(pool.tolist(), rng.choice([[2, 40, jaccard.HEAVY_DF], [40, 500, jaccard.HEAVY_DF]][int(rng.integers(2))], 130)))
+        a = pool[:n]
+        both = int(rng.integers(1, n + 1))
+        most = int(both / threshold) - n  # of the partner's own tokens
+        if most < 0:
+            continue
+        b = np.concatenate([rng.permutation(a)[:both], pool[n:n + min(most, 60)]])
+        assert both >= threshold * (n + len(b) - both) - 1e-9
+        keys = [set(jaccard.combination_keys(np.sort(x), np.array([df[int(t)] for t in np.sort(x)], np.int32), len(x), threshold))
+                for x in (a, b)]
+        assert keys[0] & keys[1]
+
+
+def test_jaccard_links_rows_without_id(spark):
+    base = [f"v{k}" for k in range(60)]
+    near = lambda word: " ".join([*base, word])
+    other = " ".join(f"u{k}" for k in range(60))
+    rows = [(7, near("a")), (None, near("b")), (None, near("b").upper()), (None, near("c")), (None, near("c")),
+            (None, other + " x"), (None, other + " y"), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in jaccard.jaccard_components(df).collect()), key=str)
+    assert got == sorted([(7, 57, 7)] + [(None, 57, 7)] * 4 + [(None, 57, None)] * 2 + [(None, 1, None)], key=str)
+    kept = jaccard.one_of_each_group(df).collect()
+    assert sorted(r.text.split()[0] for r in kept) == ["alone", "u0", "v0"] and [r.doc_id for r in kept if r.doc_id] == [7]
+
+
 # ------------------------------------------------------------- line dedup
 def within_one(a, b):
     if len(a) == len(b):
