@@ -182,15 +182,19 @@ def _pass(schema: StructType, dim: int, centroids: np.ndarray, drift: np.ndarray
 
 def _totals(state: DataFrame, k: int, dim: int):
     """Sums by cluster of all tasks, added by Spark: ``clusters x components`` numbers reach the driver."""
-    n, radius, scanned, inertia = np.zeros(k, object), np.zeros(k), 0, [0] * k
+    n, radius, scanned, inertia = [0] * k, np.zeros(k), 0, [0] * k
     sums = np.zeros((k, dim), object)
-    exact = [F.sum(F.get("sums", F.lit(p)).cast("decimal(38,0)")).alias(f"s{p}") for p in range(dim)]
-    for r in state.where("n is not null").groupBy("cluster").agg(
-            F.sum("n").alias("n"), F.max("upper").alias("radius"), F.sum("scanned").alias("scanned"),
-            F.sum("inertia").alias("inertia"), *exact).collect():
-        n[r["cluster"]], radius[r["cluster"]], inertia[r["cluster"]] = r["n"], r["radius"], r["inertia"]
-        sums[r["cluster"]] = [int(r[f"s{p}"]) for p in range(dim)]
-        scanned += r["scanned"]
+    parts = state.where("n is not null").select("cluster", "upper", F.posexplode(
+        F.concat("sums", F.array("n", "scanned", "inertia"))).alias("p", "x"))
+    for c, p, total, far in parts.groupBy("cluster", "p").agg(F.sum(F.col("x").cast("decimal(38,0)")), F.max("upper")).collect():
+        if p < dim:
+            sums[c, p] = int(total)
+        elif p == dim:
+            n[c], radius[c] = int(total), far
+        elif p == dim + 1:
+            scanned += int(total)
+        else:
+            inertia[c] = int(total)
     return n, radius, scanned, inertia, sums
 
 
