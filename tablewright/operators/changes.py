@@ -273,6 +273,9 @@ def scd2_stage(
     load_date: str | Column,
 ) -> Scd2Stage:
     """M4 up to its merge: every update keyed by its merge key, plus the changed ones without key (they insert)."""
+    repeated = updates.groupBy(F.col(f"`{key}`")).count().where((F.col("count") > 1) & F.col(f"`{key}`").isNotNull())
+    if not repeated.isEmpty():
+        raise MergeConflict(f"several updates of one {key} in a load; stitch_history takes them with the moment each holds from")
     load = _expr(load_date)
     differs = None
     for c in compare:
@@ -300,7 +303,8 @@ def scd2_changes(current: DataFrame, updates: DataFrame, key: str, compare: Sequ
     A key whose current row differs in any ``compare`` column gets that row
     closed (flag false, ``valid_to`` = load date) and a new current row; a new
     key gets a current row; unchanged keys are left as they are.  Only current
-    rows are joined.
+    rows are joined.  One load holds one update of a key; for several changes,
+    or late ones, see :func:`tablewright.operators.history.stitch_history`.
     """
     stage = scd2_stage(current, updates, key, compare, current_flag=current_flag, **kwargs)
     is_current = _when_true(F.col(f"`{current_flag}`"))

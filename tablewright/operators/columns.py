@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
+from tablewright.operators.nested import conform_value, holds_struct
+
 # Fixed values that must equal the reference behaviour:
 #   list separator of colMapping / targetCols: ","
 #   entry separator of add / rename / drop specs: "|", pair separator "="
@@ -106,6 +108,8 @@ def add_columns(df: DataFrame, spec: str | Sequence[tuple[str, str]], target_sch
         lookup = name.replace(PARSED_MARKER, "").lower()
         dtype = types.get(lookup, StringType())
         col = F.lit(None) if value.strip() == NULL_LITERAL else F.expr(value)
+        if holds_struct(dtype):  # by field name: the walk needs the expression's own type
+            col = conform_value(col, df.select(col.alias("c")).schema["c"].dataType, dtype)
         df = df.withColumn(name.lower(), col.try_cast(dtype))
     return df
 
@@ -137,12 +141,14 @@ def conform(df: DataFrame, target_schema: StructType) -> DataFrame:
 
     Extra input columns are dropped; a missing one fails analysis.  Casts use
     ``try_cast`` so malformed text becomes NULL instead of failing the job.
+    Nested types are conformed field by field, by name (see
+    :func:`~tablewright.operators.nested.conform_value`).
     """
-    present = {c.lower() for c in df.columns}  # names resolve case-insensitively (Spark's default)
+    present = {f.name.lower(): f.dataType for f in df.schema.fields}  # names resolve case-insensitively (Spark's default)
     missing = [f.name for f in target_schema.fields if f.name.lower() not in present]
     if missing:
         raise ProcessorError(f"input lacks target columns {missing}")
-    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in target_schema.fields])
+    return df.select(*[conform_value(F.col(f"`{f.name}`"), present[f.name.lower()], f.dataType).alias(f.name) for f in target_schema.fields])
 
 
 def sync_with_table(
