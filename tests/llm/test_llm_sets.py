@@ -192,13 +192,31 @@ def line_corpus(seed):
     return docs
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_lines_match_brute_force(spark, seed):
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for k, y in enumerate(b):
+            last, row[k + 1] = row[k + 1], min(row[k + 1] + 1, row[k] + 1, last + (x != y))
+    return row[-1]
+
+
+LINE_NAMES = ("_id _th _kid _kth _kept _parts _blank _text _rest _pos _raw _line _n _h _k1 _k2 _f _half _j _short _long _m _cid _cth _at _c _w _o _p "
+              "_mine _theirs c0 c1 v h1 h2 kind rows any whole deleted")
+
+
+@pytest.mark.parametrize("seed,edits", [(3, 1), (4, 1), (5, 0), (6, 2)])
+def test_lines_match_brute_force(spark, seed, edits, monkeypatch):
     docs = line_corpus(seed)
-    df = spark.createDataFrame([(i, t, "mine", "kept", "t") for i, t in docs], DOCS)
-    got = lines.dedup_lines(df.drop("_th"))
-    assert got.columns == ["doc_id", "text", "score", "n_lines", "n_removed"]
-    assert sorted(tuple(r) for r in got.drop("score").collect()) == brute_lines(docs)
+    names = LINE_NAMES.split()
+    df = spark.createDataFrame([(i, t, *names) for i, t in docs], "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    got = lines.dedup_lines(df, edits=edits)
+    assert got.columns == ["doc_id", "text", *names, "n_lines", "n_removed"]
+    if edits != 1:
+        monkeypatch.setitem(globals(), "within_one", lambda a, b: edits > 0 and edit_distance(a, b) <= edits)
+    rows = got.collect()
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in rows) == brute_lines(docs)
+    assert all(tuple(r)[2:-2] == tuple(names) for r in rows)
 
 
 def test_lines_edge_rows(spark):
