@@ -40,11 +40,16 @@ navbar navigation newsletter notice notices notification overlay pagination page
 promos related recommended recommendations replies reply respond responses search share sharing sidebar signup skip social sponsor
 sponsored subscribe subscription tagcloud teaser toolbar topbar warning widget widgets alert announcement complementary""".split())
 ARTICLE = frozenset({"article", "main"})
-HEADERS = frozenset({"header", "masthead"})
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# Of those, what an article itself is left without.
+ARTICLE_MARKS = frozenset("""ad ads adv advert adverts advertisement advertising adbox adslot breadcrumb breadcrumbs comment comments
+commentlist cookie cookies disqus menu nav navbar navigation newsletter pager pagination promo promotion promotions promos recommended related
+share sharing sidebar signup sponsor sponsored subscribe subscription widget widgets""".split())
+
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+# a name, with a value in quotes or one without (in which a quote is a character like others)
+_ATTRIBUTE = re.compile(r"[\s/]*(?:([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]*)))?|=)")
+_TAG_END = re.compile(r"[\s/]*(?:>|\Z)")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -58,14 +63,20 @@ class Weights:
     tag: float = -0.25
 
 
-def is_marked(attributes: str, article: bool) -> bool:
-    """Whether class, id or role names something that is not the article; inside one, a header is its title."""
-    for m in _ATTRIBUTE.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        found = {word.lower() for word in _NAME.findall(value)} & MARKS
-        if found - HEADERS if article else found:
-            return True
-    return False
+def attributes(page: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """Class, id and role of the tag whose name ends at ``at``, whether it ends with a slash, and where it ends."""
+    found: dict[str, str] = {}
+    while (end := _TAG_END.match(page, at)) is None:
+        m = _ATTRIBUTE.match(page, at)
+        if m[1] and (name := m[1].lower()) in ("class", "id", "role") and name not in found:
+            found[name] = m[2] or m[3] or m[4] or ""
+        at = m.end()
+    return found, "/" in end[0], end.end()
+
+
+def is_marked(values: dict[str, str], article: bool) -> bool:
+    """Whether class, id or role names something that is not the article (inside one: that an article is left without)."""
+    return any(word.lower() in (ARTICLE_MARKS if article else MARKS) for value in values.values() for word in _NAME.findall(value))
 
 
 @dataclass
@@ -101,53 +112,67 @@ def judge(parts: list[Part], outside: int) -> tuple[set[int], set[int]]:
     the page's words, and more than four times as many as the largest article
     that stays without them.
     """
-    def around(i: int) -> Iterator[int]:
-        while (i := parts[i].parent) >= 0:
-            yield i
-
-    words = [p.words for p in parts]
-    for i in range(len(parts) - 1, -1, -1):
+    n = len(parts)
+    words, below = [p.words for p in parts], [p.words for p in parts]
+    for i in range(n - 1, -1, -1):  # a part stands before those in it
         if parts[i].parent >= 0:
             words[parts[i].parent] += words[i]
-    total = outside + sum(n for n, p in zip(words, parts) if p.parent < 0)
+    total = outside + sum(w for w, p in zip(words, parts) if p.parent < 0)
     spared: set[int] = set()
 
-    def cuts() -> set[int]:
-        out: set[int] = set()
+    def cuts() -> list[bool]:
+        out: list[bool] = []
         for i, p in enumerate(parts):
-            if p.parent in out or (p.soft and i not in spared):
-                out.add(i)
+            out.append((p.parent >= 0 and out[p.parent]) or (p.soft and i not in spared))
         return out
 
     articles = [i for i, p in enumerate(parts) if p.article]
     cut = cuts()
-    hidden = [i for i in articles if i in cut and not parts[i].marked]
+    hidden = [i for i in articles if cut[i] and not parts[i].marked]
     if hidden:
         largest = max(hidden, key=lambda i: words[i])
-        if all(words[largest] > words[i] for i in articles if i not in cut):
-            spared |= {i for i in around(largest) if parts[i].soft}
+        if all(words[largest] > words[i] for i in articles if not cut[i]):
+            i = largest
+            while (i := parts[i].parent) >= 0:
+                if parts[i].soft:
+                    spared.add(i)
             cut = cuts()
+    # words that stay in each part, and the largest article that stays in it, when the parts cut inside it go
+    most = [0] * n
+    for i in range(n - 1, -1, -1):
+        if parts[i].article:
+            most[i] = max(most[i], below[i])
+        up = parts[i].parent
+        if up >= 0 and not (parts[i].soft and i not in spared):
+            below[up] += below[i]
+            most[up] = max(most[up], most[i])
+    stays = max((m for m, p, i in zip(most, parts, range(n)) if p.parent < 0 and not (p.soft and i not in spared)), default=0)
     for i, p in enumerate(parts):  # parts with more than half of the words stand in each other, the outer ones first
-        if i in cut and p.soft and 2 * words[i] > total:
-            left = [q.words for q in parts]
-            for j in range(len(parts) - 1, -1, -1):
-                if parts[j].parent >= 0 and j not in cut:
-                    left[parts[j].parent] += left[j]
-            if words[i] <= 4 * max((left[j] for j in articles if j not in cut), default=0):
+        if p.soft and i not in spared and 2 * words[i] > total and (p.parent < 0 or p.parent in spared or not cut[p.parent]):
+            if words[i] <= 4 * stays:
                 break
             spared.add(i)
-            cut = cuts()
-    plain = sorted((i for i in articles if i not in cut and not parts[i].marked), key=lambda i: -words[i])
+            cut[i] = False
+            stays = max(stays, most[i])
+    if spared:
+        cut = cuts()
+    # marked articles beside an unmarked one as large, which neither holds them nor stands in them
+    plain = [i for i in articles if not cut[i] and not parts[i].marked]
+    top = sorted(plain, key=lambda i: -words[i])
+    ends = list(range(1, n + 1))  # the part after the last one inside each
+    for i in range(n - 1, -1, -1):
+        if parts[i].parent >= 0:
+            ends[parts[i].parent] = max(ends[parts[i].parent], ends[i])
     against: set[int] = set()
     for i, p in enumerate(parts):
         if p.parent in against:
             against.add(i)
-        elif p.article and p.marked and i not in cut:
-            mine = {i, *around(i)}
-            other = next((j for j in plain if j not in mine and i not in around(j)), None)
+        elif p.article and p.marked and not cut[i]:
+            # articles that stand in this one or hold it come first at most once each on the way
+            other = next((j for j in top if not (i <= j < ends[i] or j <= i < ends[j])), None)
             if other is not None and words[other] >= words[i]:
                 against.add(i)
-    return cut, against
+    return {i for i in range(n) if cut[i]}, against
 
 
 def tokens(page: str) -> list[Token]:
@@ -155,33 +180,43 @@ def tokens(page: str) -> list[Token]:
 
     End tags without a start are ignored; a missing end tag ends with an
     enclosing element that ends.  Forms and elements marked by class, id or
-    role are judged when the whole page is read.
+    role are judged when the whole page is read; a footer inside an article
+    that has its end tag belongs to it.  Each tag costs the same however deep
+    it stands.
     """
     out: list[Token] = []
     place: list[int] = []  # the innermost part around each token, -1 for none
     parts: list[Part] = []
-    stack: list[tuple[str, bool, int]] = []  # open elements, whether each starts a cut, and its innermost part
-    cut = 0
-    at = 0
+    stack: list[tuple[str, bool, int, str]] = []  # open elements, whether each starts a cut, its innermost part and block
+    opened: dict[str, list[int]] = {}  # places in the stack of each name
+    solid: list[int] = []  # and of blocks and elements that are cut
+    footers: list[tuple[int, int]] = []  # footers of open articles: place in the stack, part
+    cut = depth = at = 0
 
     def add(token: Token) -> None:
         out.append(token)
         place.append(stack[-1][2] if stack else -1)
 
     def text(raw: str) -> None:
-        if cut or not raw:
-            return
-        around = next((n for n, _, _ in reversed(stack) if n in BLOCK), "body")
-        add(Token("text", around, html.unescape(raw), any(n in ARTICLE for n, _, _ in stack)))
+        if not cut and raw:
+            add(Token("text", stack[-1][3] if stack else "body", html.unescape(raw), depth > 0))
 
     def close(upto: int) -> None:
-        nonlocal cut
+        nonlocal cut, depth
         while len(stack) > upto:
-            name, starts, _ = stack[-1]
+            name, starts, _, _ = stack[-1]
             if not cut:
-                add(Token("close", name, "", any(n in ARTICLE for n, _, _ in stack)))
+                add(Token("close", name, "", depth > 0))
             stack.pop()
+            opened[name].pop()
+            if solid and solid[-1] == len(stack):
+                solid.pop()
             cut -= starts
+            depth -= name in ARTICLE
+
+    def last(name: str) -> int:
+        places = opened.get(name)
+        return places[-1] if places else -1
 
     while at < len(page):
         m = _TOKEN.search(page, at)
@@ -195,43 +230,52 @@ def tokens(page: str) -> list[Token]:
             text(html.escape(m[1], False))
         if not name:
             continue
+        values, slash, at = attributes(page, at)
         if m[2]:
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if found is not None:
+            found = last(name)
+            if found >= 0:
+                if name in ARTICLE:
+                    while footers and footers[-1][0] > found:
+                        parts[footers.pop()[1]].marked = False
                 close(found)
             continue
         if name in CLOSES or name == "p":
             # an element of the same list, or a paragraph, ends where the next begins
-            ends = CLOSES.get(name, {"p"})
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ends), None)
-            between = {n for n, _, _ in stack[found + 1:]} if found is not None else set()
-            if found is not None and not between & (BLOCK | CUT):
+            found = max(last(n) for n in CLOSES.get(name, {"p"}))
+            if found >= 0 and not (solid and solid[-1] > found):
                 close(found)
         elif name in BLOCK:
-            found = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if found is not None and not {n for n, _, _ in stack[found + 1:]} & (BLOCK | CUT):
+            found = last("p")
+            if found >= 0 and not (solid and solid[-1] > found):
                 close(found)
-        article = any(n in ARTICLE for n, _, _ in stack)
+        article = depth > 0
         form = name == "form"
-        starts = (name in CUT and not form) or (name == "header" and not article)
-        marked = form or (name not in ("html", "body") and is_marked(m[4] or "", article))
-        alone = name in VOID or (m[4] or "").endswith("/")
-        outermost = name in ARTICLE and not any(n == "article" or n == name for n, _, _ in stack)
+        own_footer = name == "footer" and article
+        starts = (name in CUT and not form and not own_footer) or (name == "header" and not article)
+        marked = form or own_footer or (name not in ("html", "body") and is_marked(values, article))
+        alone = name in VOID or slash
+        outermost = name in ARTICLE and last("article") < 0 and last(name) < 0
         part = stack[-1][2] if stack else -1
         if not cut and not starts and not alone and (marked or outermost):
             parts.append(Part(part, outermost, marked))
             part = len(parts) - 1
+            if own_footer:
+                footers.append((len(stack), part))
         if not cut and not starts and not (alone and marked):
             out.append(Token("open", name, "", article or name in ARTICLE))
             place.append(part)
         if alone:
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        stack.append((name, starts, part))
+        opened.setdefault(name, []).append(len(stack))
+        if name in BLOCK or name in CUT:
+            solid.append(len(stack))
+        stack.append((name, starts, part, name if name in BLOCK else stack[-1][3] if stack else "body"))
         cut += starts
+        depth += name in ARTICLE
     if not any(p.marked for p in parts):
         return out
     outside = 0
@@ -327,14 +371,16 @@ def weights_from(rows: list[tuple[str, str, bool, int]], least_share: float = 1e
     return out
 
 
-def train_weights(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", fit_pages: int = 2000) -> Weights:
-    """Weights from at most ``fit_pages`` pages, those with the smallest hashes of their ids."""
+def train_weights(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", fit_pages: int = 2000,
+                  fit_names: int = 2000) -> Weights:
+    """Weights from at most ``fit_pages`` pages, those with the smallest hashes of their ids, and their ``fit_names`` most
+    frequent counts (pages can make up tag names; those left out score as unseen ones)."""
     picked = (pages.where(F.col(html_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
               .orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").limit(fit_pages))
     counts = (pages.join(F.broadcast(picked), F.col(id_col) == F.col("_id")).select(html_col)
               .mapInArrow(_count_pages, "kind string, name string, inside boolean, n long")
               .groupBy("kind", "name", "inside").agg(F.sum("n").alias("n"))
-              .orderBy(F.desc("n"), "kind", "name", "inside").limit(2000).collect())
+              .orderBy(F.desc("n"), "kind", "name", "inside").limit(fit_names).collect())
     return weights_from([tuple(r) for r in counts])
 
 
@@ -343,6 +389,8 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", id_col: str = "p
     """All columns of ``pages`` but ``html_col``, plus ``text`` and ``n_chars`` (input columns of those names are replaced).
 
     A null or empty page, or one without a positive region, has an empty text.
+    Repeated rows give repeated rows, also in the fitted counts; rows with a
+    null id are extracted but not fitted on; an empty table gives no rows.
     """
     weights = weights or train_weights(pages, html_col, id_col)
     pages = pages.drop("text", "n_chars")

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -194,6 +195,34 @@ def test_marks_do_not_cut_the_article():
     assert text(f'<article>{article}<form>{said("f", 20)}</form></article>') == ["a"] * 60
 
 
+def test_words_of_an_article_stay():
+    said = "<p>" + " ".join(["a"] * 40) + "</p>"
+    for inner in ('<div class="warning">k k</div>', '<div class="search-results-explained">k k</div>', '<blockquote class="social-quote">k k</blockquote>',
+                  '<div class="privacy">k k</div>', "<footer>k k</footer>", '<div role="alert">k <b id=notice>k</b></div>'):
+        for page in (f"<article>{said}{inner}{said}</article>", f"<main>{said}{inner}</main>"):
+            assert html_text.main_text(f"<body>{page}<footer>us</footer></body>", html_text.Weights()).split().count("k") == 2, inner
+    # without its end tag an article doesn't own the page's footer
+    assert html_text.main_text(f"<body><article>{said}<footer>us</footer></body>", html_text.Weights()).split() == ["a"] * 40
+
+
+def test_attributes_of_tags():
+    text = lambda page: html_text.main_text(page, html_text.Weights()).split()
+    assert text("<p>one two three</p><p data-x=it's>hello there</p><p>more</p>") == "one two three hello there more".split()
+    assert text("<article><p>one <a href=x title=don't>two</a> three</p><p>four</p></article>") == "one two three four".split()
+    assert text("<p>a<b title='>' x=\"'>\">b</b>c<br/>d<img alt=y/>e</p><p class = ad >no</p>") == ["abc", "de"]
+    assert html_text.attributes("x = 1 CLASS=a'b id = \"c d\" role='e' class=z/>rest", 0) == ({"class": "a'b", "id": "c d", "role": "e"}, False, 49)
+    assert html_text.attributes(" / >", 0) == ({}, True, 4) and html_text.attributes(" a=\"b", 0) == ({}, False, 5)
+
+
+def test_deep_pages_take_linear_time():
+    pages = ["<div>" * 16_000 + "word " * 50, '<div class="widget">' * 16_000 + "word " * 50, "<article>" * 8000 + "w " * 9,
+             '<article class="ad">x</article>' * 5000, '<div class="ad"><article>w w</article></div>' * 5000, "<" * 50_000, "<p " + "a=" * 40_000]
+    for page in pages:
+        began = time.process_time()
+        html_text.main_text(page, html_text.Weights())
+        assert time.process_time() - began < 3, page[:30]  # a quarter of a second here; quadratic work takes half a minute
+
+
 def test_best_region_is_the_maximum():
     rng = random.Random(2)
     weights = html_text.Weights({"p": 1.5, "li": -1.0}, {"p": -2.0, "a": -0.5})
