@@ -210,7 +210,8 @@ def test_attributes_of_tags():
     assert text("<p>one two three</p><p data-x=it's>hello there</p><p>more</p>") == "one two three hello there more".split()
     assert text("<article><p>one <a href=x title=don't>two</a> three</p><p>four</p></article>") == "one two three four".split()
     assert text("<p>a<b title='>' x=\"'>\">b</b>c<br/>d<img alt=y/>e</p><p class = ad >no</p>") == ["abc", "de"]
-    assert html_text.attributes("x = 1 CLASS=a'b id = \"c d\" role='e' class=z/>rest", 0) == ({"class": "a'b", "id": "c d", "role": "e"}, False, 49)
+    tag = "x = 1 CLASS=a'b id = \"c d\" role='e' class=z/>"
+    assert html_text.attributes(tag + "rest>", 0) == ({"class": "a'b", "id": "c d", "role": "e"}, False, len(tag))
     assert html_text.attributes(" / >", 0) == ({}, True, 4) and html_text.attributes(" a=\"b", 0) == ({}, False, 5)
 
 
@@ -301,6 +302,45 @@ def test_mix(spark):
         taken[r.doc_id] += len(got)
     assert taken == Counter({r.id: r.taken for r in rows if r.taken})
     assert mixing.mix_sources(df.limit(0)).collect() == [] and mixing.mixed_documents(df.limit(0)).collect() == []
+    # the blocks as drawn: shards of a set size, every slot once, and the same words
+    blocks = mixing.mixed_blocks(df, shard_slots=100).collect()
+    assert Counter({r.id: r.taken for r in rows if r.taken}) == sum((Counter({r.doc_id: r.n_words}) for r in blocks), Counter())
+    assert all(len(words(r.text)) == r.n_words for r in blocks)
+    held = defaultdict(dict)
+    for r in blocks:
+        held[r.shard].setdefault(r.slot, set()).add(r.source)
+    last = max(held)
+    assert set(held) == set(range(last + 1)) and all(len(one) == 1 for slots in held.values() for one in slots.values())
+    assert all(set(slots) <= set(range(100)) and (len(slots) > 95 or shard == last) for shard, slots in held.items())
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = "_th _i _t _s _ranges _words _all _row _id _source id th source_size pass shard slot size c0 c1 block".split()
+    rows = [(i, f"w{i} x y z " * 9, None if i % 3 else "s", *names) for i in range(20)]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in names))
+    got = mixing.mixed_documents(df)
+    assert got.columns == df.columns
+    assert all(tuple(r)[3:] == tuple(names) for r in got.collect())
+    assert mixing.mix_sources(df).count() == 20
+
+
+def test_shard_counts_are_multinomial():
+    slots, size = np.array([5000, 2500, 0, 500]), 100
+    draws = [mixing.draw_counts(slots, size, 0, 80, seed) for seed in range(60)]
+    for before, counts in draws:
+        assert not before.any() and (counts.sum(axis=0) == slots).all() and (counts.sum(axis=1) == size).all()
+    every = np.concatenate([c for _, c in draws])
+    share = slots / slots.sum()
+    plain = np.random.default_rng(1).multinomial(size, share, 4800)
+    assert np.allclose(every.mean(axis=0), plain.mean(axis=0), atol=.5)
+    # totals are held, so a count varies by 1 - size / slots less than a plain multinomial one
+    assert np.allclose(every.std(axis=0), plain.std(axis=0), rtol=.06, atol=.05)
+    assert np.corrcoef(every[:, 0], every[:, 1])[0, 1] == pytest.approx(np.corrcoef(plain[:, 0], plain[:, 1])[0, 1], abs=.06)
+    for a in (0, 17, 79):  # any range of shards can be drawn alone
+        before, counts = mixing.draw_counts(slots, size, a, a + 1, 5)
+        assert (before == draws[5][1][:a].sum(axis=0)).all() and (counts[0] == draws[5][1][a]).all()
+    before, counts = mixing.draw_counts(np.array([6 * 10**10, 3 * 10**10 + 5]), 10**10, 9, 10, 3)  # beyond exact draws
+    assert counts.sum() == 5 and (before + counts[0] == [6 * 10**10, 3 * 10**10 + 5]).all()
 
 
 def test_permutations_and_counts():
