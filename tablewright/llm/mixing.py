@@ -186,26 +186,36 @@ def draw_counts(slots: np.ndarray, shard_slots: int, first: int, last: int, seed
 def _draw_slots(sources: list[tuple[str | None, int, int, int, int]], shard_slots: int, seed: int):
     """One row per slot of the shards given: shard, slot, source, pass, block index and the words taken of it."""
     slots = np.array([s[1] for s in sources], np.int64)
-    keys = [source_key(s[0], seed) for s in sources]
+    keys = np.array([source_key(s[0], seed) for s in sources], U64)
+    names = np.array([s[0] for s in sources], object)
+    numbers = [np.array([s[k] for s in sources], np.int64) for k in (2, 1, 3, 4)]  # blocks, slots, words, words of a block
+
+    def of_shard(shard: int, before: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        held = np.flatnonzero(counts)
+        n = counts[held]
+        which = np.repeat(held, n)
+        # the n-th slots of each source, counted through all shards
+        j = before[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        blocks, total, words, block = (col[which] for col in numbers)
+        passes = j // blocks
+        key = mix(keys[which] + (passes + 1).astype(U64) * U64(0xD1342543DE82EF95))
+        order = U64(source_key(None, seed + 1)) + mix(np.array([shard], U64))[0]
+        return pd.DataFrame({
+            "shard": np.int64(shard), "slot": permute(np.arange(len(j)), np.full(len(j), len(j), np.int64), np.full(len(j), order, U64)),
+            "source": names[which], "pass": passes, "block": permute(j % blocks, blocks, key),
+            # the source's last slot is cut to the words left of the target
+            "words": np.where(j == total - 1, words - (total - 1) * block, block)})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for shard in frame["shard"].tolist():
-                before, counts = draw_counts(slots, shard_slots, shard, shard + 1, seed)
-                size, at = int(counts[0].sum()), 0
-                order = U64(source_key(None, seed + 1)) + mix(np.array([shard], U64))[0]
-                for s in np.flatnonzero(counts[0]).tolist():
-                    name, total, blocks, words, block = sources[s]
-                    n = int(counts[0, s])
-                    j = np.arange(before[s], before[s] + n, dtype=np.int64)
-                    passes = mix(U64(keys[s] & (2**64 - 1)) + (j // blocks + 1).astype(U64) * U64(0xD1342543DE82EF95))
-                    places = permute(np.arange(at, at + n), np.full(n, size, np.int64), np.full(n, order, U64))
-                    at += n
-                    yield pd.DataFrame({
-                        "shard": np.int64(shard), "slot": places, "source": [name] * n, "pass": j // blocks,
-                        "block": permute(j % blocks, np.full(n, blocks, np.int64), passes),
-                        # the source's last slot is cut to the words left of the target
-                        "words": np.where(j == total - 1, words - (total - 1) * block, block)})
+            shards = np.sort(frame["shard"].to_numpy())
+            for together in np.split(shards, np.flatnonzero(np.diff(shards) > 1) + 1):  # one draw for neighbours
+                for a in range(0, len(together), 64):
+                    some = together[a:a + 64]
+                    before, counts = draw_counts(slots, shard_slots, int(some[0]), int(some[-1]) + 1, seed)
+                    for shard, row in zip(some.tolist(), counts):
+                        yield of_shard(shard, before, row)
+                        before = before + row
     return run
 
 
