@@ -21,6 +21,7 @@ from tablewright.plans import metadata as md
 from tablewright.sinks.versioned import TableError, VersionedTable, WriteResult, write_mode
 from tablewright.sources.csv_layout import csv_read_plan
 from tablewright.sources.files import FORMATS, read_files
+from tablewright.sources.json_once import read_json_once
 from tablewright.sources.jdbc import read_external
 
 # Fixed values that must equal the reference behaviour: detail keys of an
@@ -49,6 +50,7 @@ class LoadSpec:
     merge_keys: list[str] = field(default_factory=list)
     external_table: str | None = None
     external_query: str | None = None
+    one_pass_json: bool = False  # take the columns of ``reader_schema`` from each JSON line, without inferring
 
 
 def chain(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
@@ -59,6 +61,8 @@ def chain(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
 def read_source(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     """File formats read ``source_path``; any other format name is a connector
     given ``reader_options`` and a table or query (S8)."""
+    if spec.source_format == "json" and spec.one_pass_json and spec.reader_schema is not None:
+        return read_json_once(spark, spec.source_path, spec.reader_schema, keep_unknown=False, keep_corrupt=False)
     if spec.source_format in FORMATS or spec.external_table is None and spec.external_query is None:
         return read_files(spark, spec.source_format, spec.source_path, spec.reader_options, spec.reader_schema)
     return read_external(spark, spec.source_format, spec.reader_options, spec.external_table, spec.external_query)
@@ -116,15 +120,23 @@ def spec_from_request(spark: SparkSession, req: md.LoadRequest, conform: bool =
     options: dict[str, str] = {}
     schema = None
     ext_table = ext_query = None
-    if fmt == "csv":
+    declared = {k[len("option."):]: v for k, v in {**d, **od}.items() if k.startswith("option.")}
+    one_pass = False
+    if fmt in ("json", "orc", "parquet"):
+        options = declared
+        if d.get("schema"):
+            schema = StructType.fromDDL(d["schema"])
+        elif fmt == "json" and conform and target_schema is not None and not declared and not any(
+                d.get(k) for k in ("add_columns", "rename_columns", "drop_columns", "targetCols")):
+            schema, one_pass = target_schema, True  # only the target's columns are wanted, under their own names
+    elif fmt == "csv":
         options, schema = csv_read_plan(spark, d, od, target_schema, req.source_mount)
     elif fmt not in FORMATS:
         merged = {**d, **od}
         ext_query = next((merged[k] for k in EXTERNAL_QUERY_KEYS if merged.get(k)), None)
         ext_table = next((merged[k] for k in EXTERNAL_TABLE_KEYS if merged.get(k)), None)
         if ext_query or ext_table:
-            options = {k: v for k, v in merged.items() if k.startswith("option.")}
-            options = {k[len("option."):]: v for k, v in options.items()}
+            options = declared
         else:
             fmt = "parquet"  # unknown format without a table or query: default reader
     steps: list[Step] = []
@@ -151,6 +163,7 @@ def spec_from_request(spark: SparkSession, req: md.LoadRequest, conform: bool =
         merge_condition=d.get("merge_condition"),
         external_table=ext_table,
         external_query=ext_query,
+        one_pass_json=one_pass,
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.operators import columns, history, ranges, rejects
+from tablewright.operators import colstats, columns, history, keyfilter, ranges, rejects
 from tablewright.session import scratch_path, unique_table_name
 from tablewright.sinks.versioned import VersionedTable
 from tablewright.sources.json_once import CORRUPT, UNKNOWN, read_json_once
@@ -177,7 +177,55 @@ LOAD_JSON_ONCE = (
     "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, event_id FROM events WHERE event_type = 'signup' AND value < 5"
 )
 
+# ------------------------------------------------------------------ key filter
+def q_prune_by_key_filter(spark, d):
+    """Upsert of orders: only rows that the updates' key filter lets through are joined."""
+    o = table(spark, d, "orders")
+    urgent = o.where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    fresh = urgent.withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    t = VersionedTable.create(spark, unique_table_name("key_filter"), o, root=scratch_path(spark, "key_filter"))
+    t.overwrite(keyfilter.merge_with_key_filter(t.read(), urgent.unionByName(fresh), ["o_orderkey"], delete_when="updates.o_totalprice < 50000"))
+    return t.read()
+
+
+PRUNE_BY_KEY_FILTER = (
+    "WITH u AS (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') "
+    "SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM u) UNION ALL SELECT * FROM u WHERE o_totalprice >= 50000 "
+    "UNION ALL SELECT * REPLACE (-1 - o_orderkey AS o_orderkey) FROM u"
+)
+
+
+# ------------------------------------------------------------------ column statistics
+def q_column_stats(spark, d):
+    """Statistics of a table written in three loads, gathered by the writes and merged; distinct counts held to an exact recount."""
+    li = table(spark, d, "lineitem").withColumn("l_linestatus", F.expr("nullif(l_linestatus, 'F')"))
+    t, stats = None, None
+    for flag in ("A", "N", "R"):
+        def write(part):
+            nonlocal t
+            if t is None:
+                t = VersionedTable.create(spark, unique_table_name("column_stats"), part, root=scratch_path(spark, "column_stats"))
+            else:
+                t.append(part)
+        one = colstats.write_with_stats(li.where(F.col("l_returnflag") == flag), write, f"load-{flag}")
+        stats = one if stats is None else stats.unionByName(one)
+    path = scratch_path(spark, "column_stats_rows")
+    stats.write.parquet(path)
+    merged = colstats.merge_stats(spark.read.parquet(path), li.schema)
+    exact = t.read().agg(*[(F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).alias(c) for c in li.columns])
+    recount = exact.unpivot([], li.columns, "column_name", "exact")
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.08 * F.col("exact"))  # five standard errors
+    return merged.join(recount, "column_name").select("column_name", "n_rows", "n_nulls", "min_value", "max_value", near.alias("distinct_near"))
+
+
+_LINEITEM = ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate").split()
+COLUMN_STATS = "WITH l AS (SELECT * REPLACE (nullif(l_linestatus, 'F') AS l_linestatus) FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, CAST(min({c}) AS VARCHAR) AS min_value, "
+    f"CAST(max({c}) AS VARCHAR) AS max_value, true AS distinct_near FROM l" for c in _LINEITEM)
+
 QUERIES = {
+    "prune_by_key_filter": q_prune_by_key_filter,
+    "column_stats": q_column_stats,
     "sync_nested": q_sync_nested,
     "scd2_changes_per_key": q_scd2_changes_per_key,
     "scd4_apply": q_scd4_apply,
@@ -186,6 +234,8 @@ QUERIES = {
     "load_json_once": q_load_json_once,
 }
 ORACLES = {
+    "prune_by_key_filter": PRUNE_BY_KEY_FILTER,
+    "column_stats": COLUMN_STATS,
     "sync_nested": SYNC_NESTED,
     "scd2_changes_per_key": SCD2_CHANGES_PER_KEY,
     "scd4_apply": SCD4_APPLY,

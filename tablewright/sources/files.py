@@ -23,9 +23,12 @@ class SourceUnavailable(RuntimeError):
     """The data source needs a connector that is not on the classpath."""
 
 
-def read_parquet(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
+                 options: Mapping[str, str] | None = None) -> DataFrame:
     """S1."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    reader = spark.read.options(**dict(options or {}))
+    if schema is not None:
+        reader = reader.schema(schema)
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
@@ -37,9 +40,12 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = None,
     return reader.json(path)
 
 
-def read_orc(spark: SparkSession, path: str) -> DataFrame:
+def read_orc(spark: SparkSession, path: str, schema: StructType | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
     """S3."""
-    return spark.read.orc(path)
+    reader = spark.read.options(**dict(options or {}))
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.orc(path)
 
 
 def read_avro(spark: SparkSession, path: str) -> DataFrame:
@@ -92,9 +98,9 @@ def read_files(
     if f == "csv":
         return read_csv(spark, path, options, schema)
     if f == "orc":
-        return read_orc(spark, path)
+        return read_orc(spark, path, schema, options)
     if f == "json":
         return read_json(spark, path, schema, options)
     if f == "avro":
         return read_avro(spark, path)
-    return read_parquet(spark, path, schema)
+    return read_parquet(spark, path, schema, options)
