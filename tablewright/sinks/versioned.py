@@ -51,8 +51,7 @@ PROP_REBALANCE = "tablewright.rebalance_writes"
 VERSION_DIR = "version-{}-{}"
 MANIFEST = "_tablewright.json"
 
-# Helper columns of located rows: partition directory, file and row number in it.
-DIR, FILE, ROW = "__tw_dir", "__tw_file", "__tw_row"
+DIR = "__tw_dir"  # helper column of located rows: their partition directory
 
 
 class TableError(RuntimeError):
@@ -443,11 +442,11 @@ class VersionedTable:
 
         ``scope="table"`` (default) writes the merged content as a new version.
         ``scope="partitions"`` (partitioned tables) gives the same rows but
-        rewrites in place only the partitions that change: the matched rows,
-        with their new values and their place (file and row number), and the
-        inserts are computed once and stored; then the touched partitions are
-        read by their directories, the matched rows left out by place, and the
-        new rows added.  Rows may move between partitions.
+        rewrites in place only the partitions that change: the new values of
+        matched rows and the inserts are computed once and stored; then the
+        rows of the touched partitions that the updates leave alone (the same
+        join again, pruned to these partitions) and the new rows replace them.
+        Rows may move between partitions.  The clauses must be deterministic.
 
         ``aligned=True`` (with ``scope="partitions"``) is for callers whose keys
         never change partition: matches are limited to the same partition and
@@ -500,7 +499,7 @@ class VersionedTable:
                 condition = _expr(condition)
                 for p in parts:
                     condition = condition & (F.col(f"target.`{p}`") == F.col(f"updates.`{p}`"))
-        marked, inserted = changes.merge_parts(target, updates, condition, places=[DIR, FILE, ROW], **kwargs)
+        marked, inserted = changes.merge_parts(target, updates, condition, places=[DIR], **kwargs)
         hits, path = self._stored(marked.filter(F.col(changes.DELETED) | F.col(changes.UPDATED)))
         scratch.append(path)
         new_rows = _ordered(hits.filter(F.col(changes.UPDATED)), names)
@@ -514,11 +513,15 @@ class VersionedTable:
         gone = hits.groupBy(DIR).agg(F.count(F.lit(1)).alias("gone")).withColumnRenamed(DIR, "__tw_at")
         every = self._located().groupBy(DIR, *[f"`{p}`" for p in parts]).agg(F.count(F.lit(1)).alias("total"))
         per_dir = every.join(gone, every[DIR] == gone["__tw_at"], "left").drop("__tw_at").fillna(0, ["gone"])
-        places = hits.select(F.col(FILE).alias("__tw_f"), F.col(ROW).alias("__tw_r"))
-        return self._rewrite(
-            per_dir, new_rows,
-            lambda rows: rows.join(places, (F.col(FILE) == F.col("__tw_f")) & (F.col(ROW) == F.col("__tw_r")), "left_anti"),
-            operation, metrics)
+        again = dict(kwargs, check_unique=False)
+
+        def unchanged(rows: DataFrame) -> DataFrame:
+            merged = rows if among is None else rows.filter(_true(among))
+            left = changes.merge_parts(merged, updates, condition, **again).marked
+            left = left.filter(~(F.col(changes.DELETED) | F.col(changes.UPDATED))).drop(changes.DELETED, changes.UPDATED)
+            return left if among is None else left.unionByName(rows.filter(~_true(among)))
+
+        return self._rewrite(per_dir, new_rows, unchanged, operation, metrics)
 
     def update(self, condition: str | Column, set_values: Mapping[str, str | Column], scope: str = "table") -> WriteResult:
         """M2.  ``scope="partitions"`` rewrites in place only the partitions
@@ -526,14 +529,13 @@ class VersionedTable:
         partition column); otherwise a new version."""
         if self._scoped(scope):
             cond = _true(condition)
-            per_dir = self._per_dir(cond)
-            holding = [r[DIR] for r in per_dir.filter("gone > 0").select(DIR).collect()]  # one row per touched partition
-            new, scratch = self._stored(changes.update_rows(self._rows_in(holding).filter(cond), cond, set_values)
-                                        .select(*self.schema.names))
+            per_dir, counted = self._stored(self._per_dir(cond))
+            new, scratch = self._stored(changes.update_rows(self._rows_in(per_dir.filter("gone > 0")).filter(cond), cond, set_values))
             try:
                 return self._rewrite(per_dir, new, lambda rows: rows.filter(~cond), "UPDATE PARTITIONS")
             finally:
-                store.delete(self.spark, scratch)
+                for path in (scratch, counted):
+                    store.delete(self.spark, path)
         return self._commit(changes.update_rows(self.read(), condition, set_values), "UPDATE")
 
     def _scoped(self, scope: str) -> bool:
@@ -554,22 +556,27 @@ class VersionedTable:
         return self._commit(changes.delete_rows(self.read(), condition), "DELETE")
 
     # ------------------------------------------------- partition-scoped rewrites
-    def _with_places(self, rows: DataFrame) -> DataFrame:
-        path = F.col("_metadata.file_path")
-        return rows.select("*", F.regexp_replace(path, "/[^/]*$", "").alias(DIR), path.alias(FILE),
-                           F.col("_metadata.row_index").alias(ROW))
-
     def _located(self) -> DataFrame:
-        """Current rows with their partition directory, file and row number."""
-        return self._with_places(self.read())
+        """Current rows with their partition directory."""
+        return self.read().select("*", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(DIR))
 
-    def _rows_in(self, directories: Sequence[str]) -> DataFrame:
-        """Located rows of some partition directories: nothing else is listed or read."""
-        if not directories:
-            return self._located().limit(0)
-        location = self.location()
-        rows = self.spark.read.schema(self.schema).option("basePath", location).parquet(*[unquote(d) for d in directories])
-        return self._with_places(rows)
+    def _rows_in(self, partitions: DataFrame) -> DataFrame:
+        """Current rows of the partitions whose values ``partitions`` holds.
+
+        A semi-join on the partition columns: while the list is small enough to
+        be broadcast, Spark's dynamic partition pruning reads these partitions
+        only (the list needs a comparison as its filter for that).  NULL values,
+        which an equality can't match, are looked up apart.
+        """
+        rows, parts = self.read(), self.partition_columns
+        at = partitions.select(*[F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)])
+        equal = same = F.lit(True)
+        null = F.lit(False)
+        for i, p in enumerate(parts):
+            equal = equal & (F.col(f"`{p}`") == F.col(f"__tw_p{i}"))
+            same = same & F.col(f"`{p}`").eqNullSafe(F.col(f"__tw_p{i}"))
+            null = null | F.col(f"`{p}`").isNull()
+        return rows.join(at, equal, "left_semi").unionByName(rows.filter(null).join(at, same, "left_semi"))
 
     def _per_dir(self, removed: Column) -> DataFrame:
         """Per partition: directory, partition values, rows in ``total`` and rows ``gone``.
@@ -584,29 +591,31 @@ class VersionedTable:
                  metrics: Mapping[str, str] | None = None) -> WriteResult:
         """Replace the partitions that lose or receive rows: rows that ``keep`` leaves of them, plus ``new_rows``.
 
-        The driver gets one row per touched partition, its directory; no
-        partition value passes through Python.  Kept rows are read by these
-        directories, so the rewrite reads nothing else, and partitions that end
-        without rows are deleted as directories.  It behaves alike for any
-        number of partitions.
+        The touched partitions are stored as a small table, joined with the
+        target, and replaced by Spark's dynamic overwrite.  A partition that
+        ends without rows is not written by any task; only the directories of
+        these go to the driver, which deletes them.
         """
         parts, names = self.partition_columns, self.schema.names
         if new_rows is None:
-            touched = per_dir.filter("gone > 0").withColumn("arrives", F.lit(False))
+            counted = per_dir.withColumn("arriving", F.lit(0).cast("long"))
         else:
-            arriving = new_rows.select(*[F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)]).distinct()
+            arriving = new_rows.groupBy(*[F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)]).agg(
+                F.count(F.lit(1)).alias("arriving"))
             same = F.lit(True)
             for i, p in enumerate(parts):
                 same = same & F.col(f"`{p}`").eqNullSafe(F.col(f"__tw_p{i}"))
-            touched = (per_dir.join(arriving.withColumn("arrives", F.lit(True)), same, "left")
-                       .withColumn("arrives", F.coalesce("arrives", F.lit(False))).filter("gone > 0 OR arrives"))
-        rows = touched.select(DIR, (~F.col("arrives") & (F.col("gone") == F.col("total"))).alias("emptied")).collect()
-        content = _ordered(keep(self._rows_in([r[DIR] for r in rows])), names)
-        content = content if new_rows is None else content.unionByName(_ordered(new_rows, names))
-        written = self._write_in_place(content, overwrite=True)
-        for r in rows:
-            if r["emptied"]:
+            counted = per_dir.join(arriving, same, "left").fillna(0, ["arriving"])
+        is_touched = "gone > 0 OR arriving > 0"
+        touched, scratch = self._stored(counted.filter(is_touched).select(DIR, *[f"`{p}`" for p in parts], "total", "gone", "arriving"))
+        try:
+            content = _ordered(keep(self._rows_in(touched.filter(is_touched))), names)
+            content = content if new_rows is None else content.unionByName(_ordered(new_rows, names))
+            written = self._write_in_place(content, overwrite=True)
+            for r in touched.filter("arriving = 0 AND gone = total").select(DIR).collect():
                 store.delete(self.spark, unquote(r[DIR]))
+        finally:
+            store.delete(self.spark, scratch)
         return self._noted(operation, written | dict(metrics or {}))
 
     def scd2(self, updates: DataFrame, key: str, compare: Sequence[str], load_date: str | Column,

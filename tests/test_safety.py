@@ -290,7 +290,18 @@ def test_null_keys_match_null_keys(spark):
 def test_rewrite_reads_only_touched_partitions(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     t = _new(spark, orders, ["o_orderstatus"])
-    location = t.location()
-    rows = t._rows_in([f"{location}/o_orderstatus=P"])
+    touched, path = t._stored(t._per_dir(F.col("o_orderstatus") == "P"))
+    rows = t._rows_in(touched.filter("gone > 0"))
     assert rows.count() == orders.filter("o_orderstatus = 'P'").count()
-    assert len(rows.inputFiles()) < len(t.read().inputFiles())
+    assert "dynamicpruningexpression" in rows._jdf.queryExecution().executedPlan().toString()
+    store.delete(spark, path)
+
+
+def test_null_partitions_are_rewritten(spark):
+    rows = spark.createDataFrame([(1, None, 1), (2, "a", None), (3, None, None), (4, "a", 1)], "id int, p string, q int")
+    t = _new(spark, rows, ["p", "q"])
+    t.update("id IN (1, 2, 3)", {"id": "id + 10"}, scope="partitions")
+    t.merge(rows.filter("id = 4").withColumn("q", F.lit(None).cast("int")), None, keys=["id"], scope="partitions")
+    assert sorted((r.id, r.p, r.q) for r in t.read().collect()) == [(4, "a", None), (11, None, 1), (12, "a", None), (13, None, None)]
+    t.delete("id = 13", scope="partitions")
+    assert sorted(r.id for r in t.read().collect()) == [4, 11, 12] and t.version == 0
