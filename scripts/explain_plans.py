@@ -40,7 +40,7 @@ def main() -> None:
     # the write paths store the updates, and the matched rows, before they are used
     stored, _ = t._stored(upd)
     places = ["__tw_dir"]
-    touched, _ = t._stored(t._per_dir(F.col("o_orderstatus") == "P"))
+    touched, _ = t._stored(t._per_dir(t.read(), F.col("o_orderstatus") == "P"))
     cases = [
         ("Conform to a target schema (P2-P5): one projection over the scan, only needed columns read",
          columns.sync_with_table(r.table(spark, d, "customer"), r._sync_target(spark), r.SYNC_ADD, r.SYNC_RENAME, r.SYNC_DROP).processed),
@@ -49,17 +49,17 @@ def main() -> None:
         ("Merge, table scope (M1): LEFT OUTER join + LEFT ANTI join on target keys only",
          changes.merge(target, updates, "target.c_custkey = updates.c_custkey", check_unique=False)),
         ("Merge, partition scope, step 1: matched rows with their new values and partition, computed once and stored",
-         changes.merge_parts(t._located(), stored, None, keys=["o_orderkey"], places=places, check_unique=False).marked
+         changes.merge_parts(t._located(t.read()), stored, None, keys=["o_orderkey"], places=places, check_unique=False).marked
          .filter(F.col(changes.UPDATED) | F.col(changes.DELETED))),
         ("Merge, partition scope, step 2: inserts, found against the target's distinct keys and stored",
-         changes.merge_parts(t._located(), stored, None, keys=["o_orderkey"], places=places, check_unique=False).inserted),
+         changes.merge_parts(t._located(t.read()), stored, None, keys=["o_orderkey"], places=places, check_unique=False).inserted),
         ("Merge, partition scope, step 3: rows per partition, from partition columns only",
-         t._located().groupBy("__tw_dir", "o_orderstatus").agg(F.count(F.lit(1)).alias("total"))),
+         t._located(t.read()).groupBy("__tw_dir", "o_orderstatus").agg(F.count(F.lit(1)).alias("total"))),
         ("Merge, partition scope, step 4: rows that the updates leave alone, read from the touched partitions (dynamic partition pruning)",
-         changes.merge_parts(t._rows_in(touched.filter("gone > 0")), stored, None, keys=["o_orderkey"], check_unique=False).marked
+         changes.merge_parts(t._rows_in(t.read(), touched.filter("gone > 0")), stored, None, keys=["o_orderkey"], check_unique=False).marked
          .filter(~(F.col(changes.UPDATED) | F.col(changes.DELETED)))),
         ("Merge, aligned partition scope: target pruned to the partitions present in the updates (J5 + partition filters)",
-         changes.merge_parts(keys.prune_target(t._located(), stored, ["o_orderstatus"]), stored, scoped_cond, places=places,
+         changes.merge_parts(keys.prune_target(t._located(t.read()), stored, ["o_orderstatus"]), stored, scoped_cond, places=places,
                              check_unique=False).marked),
         ("Partitioned write: rebalance hint (AQE splits hot partition values)",
          _clustered(o, ["o_orderstatus"])),

@@ -149,7 +149,8 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.name = name
-        self._fixed: dict | None = None  # layout fixed at creation, so cached per handle
+        self._fixed: dict | None = None  # layout and schema fixed at creation, so cached per handle
+        self._schema: StructType | None = None
         if not spark.catalog.tableExists(name):
             raise TableError(f"table {name} does not exist")
 
@@ -300,7 +301,9 @@ class VersionedTable:
 
     @property
     def schema(self) -> StructType:
-        return self.spark.table(self.name).schema
+        if self._schema is None:
+            self._schema = self.spark.table(self.name).schema
+        return self._schema
 
     @property
     def partition_columns(self) -> list[str]:
@@ -334,9 +337,10 @@ class VersionedTable:
         """Current content, or S11 time travel to ``version`` (read by path with
         the stored schema so partition values keep their declared types)."""
         if version is None:
-            # another session (e.g. a stream's foreachBatch) may have written it
-            self.spark.catalog.refreshTable(self.name)
-            return self.spark.table(self.name)
+            # listed anew: another session (e.g. a stream's foreachBatch) may have written it
+            if self.bucket_by:
+                self.spark.catalog.refreshTable(self.name)
+                return self.spark.table(self.name)
         path = self.location(version)
         return self.spark.read.schema(self.schema).option("basePath", path).parquet(path)
 
@@ -430,7 +434,8 @@ class VersionedTable:
         if self._scoped(scope):
             new, scratch = self._stored(checked)
             try:
-                return self._rewrite(self._per_dir(holds), new, lambda rows: rows.filter(~holds), "REPLACE WHERE PARTITIONS")
+                rows = self.read()
+                return self._rewrite(rows, self._per_dir(rows, holds), new, lambda r: r.filter(~holds), "REPLACE WHERE PARTITIONS")
             finally:
                 store.delete(self.spark, scratch)
         return self._commit(self.read().filter(~holds).unionByName(checked), "REPLACE WHERE")
@@ -486,7 +491,8 @@ class VersionedTable:
     def _merge_partitions(self, updates: DataFrame, condition: str | Column | None, aligned: bool, insert: bool,
                           among: str | Column | None, operation: str, scratch: list[str], **kwargs) -> WriteResult:
         parts, names = self.partition_columns, self.schema.names
-        target = self._located()
+        rows = self.read()
+        target = self._located(rows)
         if among is not None:
             target = target.filter(_true(among))
         if aligned:
@@ -511,28 +517,28 @@ class VersionedTable:
             metrics["num_inserted_rows"] = str(inserted.count())
             new_rows = new_rows.unionByName(inserted)
         gone = hits.groupBy(DIR).agg(F.count(F.lit(1)).alias("gone")).withColumnRenamed(DIR, "__tw_at")
-        every = self._located().groupBy(DIR, *[f"`{p}`" for p in parts]).agg(F.count(F.lit(1)).alias("total"))
+        every = self._located(rows).groupBy(DIR, *[f"`{p}`" for p in parts]).agg(F.count(F.lit(1)).alias("total"))
         per_dir = every.join(gone, every[DIR] == gone["__tw_at"], "left").drop("__tw_at").fillna(0, ["gone"])
         again = dict(kwargs, check_unique=False)
 
-        def unchanged(rows: DataFrame) -> DataFrame:
-            merged = rows if among is None else rows.filter(_true(among))
+        def unchanged(old: DataFrame) -> DataFrame:
+            merged = old if among is None else old.filter(_true(among))
             left = changes.merge_parts(merged, updates, condition, **again).marked
             left = left.filter(~(F.col(changes.DELETED) | F.col(changes.UPDATED))).drop(changes.DELETED, changes.UPDATED)
-            return left if among is None else left.unionByName(rows.filter(~_true(among)))
+            return left if among is None else left.unionByName(old.filter(~_true(among)))
 
-        return self._rewrite(per_dir, new_rows, unchanged, operation, metrics)
+        return self._rewrite(rows, per_dir, new_rows, unchanged, operation, metrics)
 
     def update(self, condition: str | Column, set_values: Mapping[str, str | Column], scope: str = "table") -> WriteResult:
         """M2.  ``scope="partitions"`` rewrites in place only the partitions
         holding an updated row or receiving one (an update may set a
         partition column); otherwise a new version."""
         if self._scoped(scope):
-            cond = _true(condition)
-            per_dir, counted = self._stored(self._per_dir(cond))
-            new, scratch = self._stored(changes.update_rows(self._rows_in(per_dir.filter("gone > 0")).filter(cond), cond, set_values))
+            cond, rows = _true(condition), self.read()
+            per_dir, counted = self._stored(self._per_dir(rows, cond))
+            new, scratch = self._stored(changes.update_rows(self._rows_in(rows, per_dir.filter("gone > 0")).filter(cond), cond, set_values))
             try:
-                return self._rewrite(per_dir, new, lambda rows: rows.filter(~cond), "UPDATE PARTITIONS")
+                return self._rewrite(rows, per_dir, new, lambda r: r.filter(~cond), "UPDATE PARTITIONS")
             finally:
                 for path in (scratch, counted):
                     store.delete(self.spark, path)
@@ -551,24 +557,24 @@ class VersionedTable:
         """M3.  ``scope="partitions"`` rewrites in place only the partitions
         holding a deleted row and removes those where every row goes."""
         if self._scoped(scope):
-            cond = _true(condition)
-            return self._rewrite(self._per_dir(cond), None, lambda rows: rows.filter(~cond), "DELETE PARTITIONS")
+            cond, rows = _true(condition), self.read()
+            return self._rewrite(rows, self._per_dir(rows, cond), None, lambda r: r.filter(~cond), "DELETE PARTITIONS")
         return self._commit(changes.delete_rows(self.read(), condition), "DELETE")
 
     # ------------------------------------------------- partition-scoped rewrites
-    def _located(self) -> DataFrame:
-        """Current rows with their partition directory."""
-        return self.read().select("*", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(DIR))
+    def _located(self, rows: DataFrame) -> DataFrame:
+        """``rows``, the table as :meth:`read` gives it (its files are listed once for a change), with their partition directory."""
+        return rows.select("*", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias(DIR))
 
-    def _rows_in(self, partitions: DataFrame) -> DataFrame:
-        """Current rows of the partitions whose values ``partitions`` holds.
+    def _rows_in(self, rows: DataFrame, partitions: DataFrame) -> DataFrame:
+        """Those of ``rows`` in the partitions whose values ``partitions`` holds.
 
         A semi-join on the partition columns: while the list is small enough to
         be broadcast, Spark's dynamic partition pruning reads these partitions
         only (the list needs a comparison as its filter for that).  NULL values,
         which an equality can't match, are looked up apart.
         """
-        rows, parts = self.read(), self.partition_columns
+        parts = self.partition_columns
         at = partitions.select(*[F.col(f"`{p}`").alias(f"__tw_p{i}") for i, p in enumerate(parts)])
         equal = same = F.lit(True)
         null = F.lit(False)
@@ -578,16 +584,15 @@ class VersionedTable:
             null = null | F.col(f"`{p}`").isNull()
         return rows.join(at, equal, "left_semi").unionByName(rows.filter(null).join(at, same, "left_semi"))
 
-    def _per_dir(self, removed: Column) -> DataFrame:
+    def _per_dir(self, rows: DataFrame, removed: Column) -> DataFrame:
         """Per partition: directory, partition values, rows in ``total`` and rows ``gone``.
 
         One narrow pass (the condition's columns), aggregated before the shuffle.
         """
-        located = self._located()
-        return located.groupBy(DIR, *[f"`{p}`" for p in self.partition_columns]).agg(
+        return self._located(rows).groupBy(DIR, *[f"`{p}`" for p in self.partition_columns]).agg(
             F.count(F.lit(1)).alias("total"), F.sum(removed.cast("long")).alias("gone"))
 
-    def _rewrite(self, per_dir: DataFrame, new_rows: DataFrame | None, keep: Callable[[DataFrame], DataFrame], operation: str,
+    def _rewrite(self, rows: DataFrame, per_dir: DataFrame, new_rows: DataFrame | None, keep: Callable[[DataFrame], DataFrame], operation: str,
                  metrics: Mapping[str, str] | None = None) -> WriteResult:
         """Replace the partitions that lose or receive rows: rows that ``keep`` leaves of them, plus ``new_rows``.
 
@@ -609,7 +614,7 @@ class VersionedTable:
         is_touched = "gone > 0 OR arriving > 0"
         touched, scratch = self._stored(counted.filter(is_touched).select(DIR, *[f"`{p}`" for p in parts], "total", "gone", "arriving"))
         try:
-            content = _ordered(keep(self._rows_in(touched.filter(is_touched))), names)
+            content = _ordered(keep(self._rows_in(rows, touched.filter(is_touched))), names)
             content = content if new_rows is None else content.unionByName(_ordered(new_rows, names))
             written = self._write_in_place(content, overwrite=True)
             for r in touched.filter("arriving = 0 AND gone = total").select(DIR).collect():
@@ -712,7 +717,7 @@ class VersionedTable:
             typed = {f.name: f.dataType for f in self.schema.fields}
             for p in parts:
                 here = here & F.col(f"`{p}`").eqNullSafe(F.lit(values[p]).cast(typed[p]))
-            for r in self._located().filter(here).select(DIR).distinct().collect():  # one partition
+            for r in self._located(self.read()).filter(here).select(DIR).distinct().collect():  # one partition
                 store.delete(self.spark, unquote(r[DIR]))
             return self._noted("OVERWRITE STATIC PARTITION", {"num_output_rows": "0"})
         return self._noted("OVERWRITE STATIC PARTITION", self._write_in_place(rows, overwrite=True))
@@ -740,11 +745,12 @@ class VersionedTable:
             same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__tw_k{i}"))
         if scoped:
             try:
-                marked = self._located().join(incoming, same, "left_semi").groupBy(F.col(DIR).alias("__tw_at")).agg(
+                located = self._located(self.read())
+                marked = located.join(incoming, same, "left_semi").groupBy(F.col(DIR).alias("__tw_at")).agg(
                     F.count(F.lit(1)).alias("gone"))
-                every = self._located().groupBy(DIR, *[f"`{p}`" for p in self.partition_columns]).agg(F.count(F.lit(1)).alias("total"))
+                every = located.groupBy(DIR, *[f"`{p}`" for p in self.partition_columns]).agg(F.count(F.lit(1)).alias("total"))
                 per_dir = every.join(marked, every[DIR] == marked["__tw_at"], "left").drop("__tw_at").fillna(0, ["gone"])
-                return self._rewrite(per_dir, df, lambda rows: rows.join(incoming, same, "left_anti"), "DELETE THEN WRITE PARTITIONS")
+                return self._rewrite(located.drop(DIR), per_dir, df, lambda r: r.join(incoming, same, "left_anti"), "DELETE THEN WRITE PARTITIONS")
             finally:
                 store.delete(self.spark, scratch)
         kept = self.read().join(incoming, same, "left_anti")

@@ -290,8 +290,8 @@ def test_null_keys_match_null_keys(spark):
 def test_rewrite_reads_only_touched_partitions(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     t = _new(spark, orders, ["o_orderstatus"])
-    touched, path = t._stored(t._per_dir(F.col("o_orderstatus") == "P"))
-    rows = t._rows_in(touched.filter("gone > 0"))
+    touched, path = t._stored(t._per_dir(t.read(), F.col("o_orderstatus") == "P"))
+    rows = t._rows_in(t.read(), touched.filter("gone > 0"))
     assert rows.count() == orders.filter("o_orderstatus = 'P'").count()
     assert "dynamicpruningexpression" in rows._jdf.queryExecution().executedPlan().toString()
     store.delete(spark, path)
