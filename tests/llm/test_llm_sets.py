@@ -2,8 +2,10 @@
 
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -247,6 +249,31 @@ def test_chats_collapse_snapshots(spark):
     assert chat.format_chats(df.limit(0)).collect() == []
 
 
+def test_turns_without_conversation_stand_alone(spark):
+    rows = [(None, 0, "user", "hi"), (None, 0, "user", "hi"), (None, 3, "user", "hi"),   # a repeated row, and a copy
+            (None, 1, "assistant", "b"), (None, 0, "user", "a"), (None, None, None, None), (None, 2, "user", "z"),
+            (8, 0, "user", "a"), (8, 1, "assistant", "b"), (9, 4, "user", "z")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted((str(r.conv_id), r.n_turns, r.n_copies, r.text.count("<|im_start|>"), r.trained_chars) for r in chat.format_chats(df).collect())
+    # ("a" opens conversation 8; conversation 9 stands for the lone "z")
+    assert got == [("8", 2, 1, 2, 1), ("9", 1, 2, 1, 0), ("None", 1, 1, 1, 0), ("None", 1, 1, 1, 1), ("None", 1, 2, 1, 0)]
+
+
+def test_chats_match_sql(spark):
+    rng = random.Random(6)
+    log = []
+    for c in range(60):
+        log += [(None if c % 7 == 0 else c, t, rng.choice(["user", "assistant", None]), rng.choice(["a", "b", None])) for t in range(rng.randint(1, 5))]
+    log += [(None, 0, "user", text) for text in ("own", "own too", "own")]
+    log += [(500, t, "user", f"turn {t} " + "x" * 50) for t in range(3000)] + [(501, t, "user", f"turn {t} " + "x" * 50) for t in range(2999)]
+    df = spark.createDataFrame(log, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", df.toArrow())
+    want = con.sql(chat.ORACLE).fetchall()
+    got = [tuple(r) for r in chat.format_chats(df).select("conv_id", "n_turns", "n_copies", "text", "trained_chars").collect()]
+    assert Counter(got) == Counter(want) and sum(r[0] is None for r in got) > 1
+
+
 # ------------------------------------------------------------- fingerprints
 def signed(x):
     return x - 2**64 if x >= 2**63 else x
