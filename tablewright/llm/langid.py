@@ -27,8 +27,8 @@ UNKNOWN = "und"
 _GAPS = re.compile(r"[\W\d_]+")
 
 
-def gram_counts(texts: list[str]) -> Iterator[np.ndarray]:
-    """Dense counts (rows x BUCKETS) of the hashed n-grams of runs of texts."""
+def gram_counts(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashed n-grams of runs of texts: number of texts, then row, bucket and count of each n-gram they hold, by row and bucket."""
     row = 0
     while row < len(texts):
         end, chars = row, 0
@@ -38,8 +38,8 @@ def gram_counts(texts: list[str]) -> Iterator[np.ndarray]:
         some = [" " + _GAPS.sub(" ", t.lower()).strip() + " " for t in texts[row:end]]
         sizes = np.array([len(t) for t in some])
         points = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        owner = np.repeat(np.arange(len(some)), sizes)
-        counts = np.zeros((len(some), BUCKETS), np.int64)
+        owner = np.repeat(np.arange(len(some)) * BUCKETS, sizes)
+        cells = np.zeros(len(some) * BUCKETS, np.int64)
         key = np.zeros(len(points), np.int64)
         for n in range(1, max(ORDERS) + 1):
             m = len(points) - n + 1
@@ -49,8 +49,9 @@ def gram_counts(texts: list[str]) -> Iterator[np.ndarray]:
             if n in ORDERS:
                 whole = owner[:m] == owner[n - 1:]
                 bucket = ((key * 0x9E3779B1 + n * 7919) >> 13) % BUCKETS
-                counts += np.bincount((owner[:m] * BUCKETS + bucket)[whole], minlength=len(some) * BUCKETS).reshape(counts.shape)
-        yield counts
+                cells += np.bincount((owner[:m] + bucket)[whole], minlength=len(cells))
+        on = np.flatnonzero(cells)
+        yield len(some), on // BUCKETS, on % BUCKETS, cells[on]
         row = end
 
 
@@ -62,15 +63,12 @@ class LanguageModel:
     bias: np.ndarray        # languages
     temperature: float
 
-    def vectors(self, counts: np.ndarray) -> np.ndarray:
-        x = np.zeros(counts.shape)
-        seen = counts > 0
-        x[seen] = 1 + np.log(counts[seen])
-        x *= self.idf
-        return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
-
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
-        z = (x @ self.weights + self.bias) / self.temperature
+    def probabilities(self, rows: int, row: np.ndarray, index: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Probability of each language (columns) for each of ``rows`` texts, from the counts of :func:`gram_counts`."""
+        value = (1 + np.log(count)) * self.idf[index]
+        norm = np.maximum(np.sqrt(np.bincount(row, value * value, rows)), 1e-9)
+        z = np.stack([np.bincount(row, value * w[index], rows) / norm for w in self.weights.T], axis=1)
+        z = (z + self.bias) / self.temperature
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
@@ -132,11 +130,10 @@ def _has_letter(text: Column) -> Column:
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         index, count = [], []
-        for counts in gram_counts(batch.column(0).to_pylist()):
-            for c in counts:
-                on = np.flatnonzero(c)
-                index.append(on.astype(np.int16))
-                count.append(c[on].astype(np.int32))
+        for rows, row, bucket, found in gram_counts(batch.column(0).to_pylist()):
+            ends = np.searchsorted(row, np.arange(1, rows))
+            index += np.split(bucket.astype(np.int16), ends)
+            count += np.split(found.astype(np.int32), ends)
         yield pa.record_batch([batch.column(1), pa.array(index, pa.list_(pa.int16())), pa.array(count, pa.list_(pa.int32()))],
                               names=["lang", "index", "count"])
 
@@ -147,21 +144,25 @@ def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Fitted on at most ``rows_per_language`` documents of each language, those
     with the smallest hashes of their ids; ``check_share`` of them only fit the
-    temperature.  Rows without language or letters don't count.
+    temperature.  Rows without language, letters or id don't count; rows that
+    repeat an id and language count once, by their smallest text.  Other
+    columns are ignored.  Without any row left the model knows ``und`` alone.
+
+    A language is ranked among the ids below a hash bound that lets about
+    ``4 * rows_per_language`` of its ids through, whatever their number, so no
+    task gets more of a language that most documents are in.
     """
-    # a language with most of the rows is ranked by many tasks first; only each one's best rows meet
-    order = [F.xxhash64(F.col(id_col).cast("string")), F.col(id_col)]
-    salts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = Window.partitionBy(lang_col, "_salt").orderBy(*order)
-    first = Window.partitionBy(lang_col).orderBy(*order)
-    able = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col) & F.col(text_col).isNotNull()).select(id_col, lang_col)
-    able = able.withColumn("_salt", F.pmod(F.xxhash64(F.lit(1), F.col(id_col).cast("string")), F.lit(salts)))
-    best = able.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= rows_per_language).drop("_rank")
-    picked = (best.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= rows_per_language)
-              .select(F.col(id_col).alias("_id")).distinct())
-    sample = docs.join(F.broadcast(picked), F.col(id_col) == F.col("_id")).where(
-        F.col(lang_col).isNotNull() & _has_letter(F.col(text_col)))
-    found = sample.select(text_col, lang_col).mapInArrow(_count_rows, "lang string, index array<smallint>, count array<int>").toArrow()
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("id"))
+    hashed = rows.select("id", "lang", F.xxhash64(F.col("id").cast("string")).alias("hash"))
+    ids = hashed.groupBy("lang").agg(F.approx_count_distinct("id").alias("ids"))  # a row for each language, as the model has
+    below = F.col("hash").cast("double") <= F.lit(2.0 ** 64) * F.least(F.lit(1.0), 4.0 * rows_per_language / F.col("ids")) - 2.0 ** 63
+    able = hashed.join(F.broadcast(ids), "lang").where(below).select("id", "lang", "hash").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "id"))
+    picked = able.withColumn("rank", rank).where(F.col("rank") <= rows_per_language).select("id", "lang")
+    sample = (rows.join(F.broadcast(picked), ["id", "lang"]).groupBy("id", "lang").agg(F.min("text").alias("text"))
+              .where(_has_letter(F.col("text"))))
+    found = sample.select("text", "lang").mapInArrow(_count_rows, "lang string, index array<smallint>, count array<int>").toArrow()
     langs = found.column("lang").to_pylist()
     names = sorted(set(langs))
     if not names:
@@ -195,30 +196,31 @@ def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def identify_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` plus ``lang_pred`` and ``score`` (input columns of those names are replaced).
 
-    A null text or a text without a letter is ``und`` with score 0.
+    A null text or a text without a letter is ``und`` with score 0; languages
+    that tie go to the smaller name.  Rows are scored one by one, whatever
+    their ids, repeats and other columns; an empty table gives no rows.
     """
-    docs = docs.drop("lang_pred", "score").withColumn("_able", _has_letter(F.col(text_col)))
-    plain = docs.drop("_able")
-    fields = StructType([*plain.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    plain = docs.drop("lang_pred", "score")
+    at = plain.columns.index(text_col)
+    fields = StructType([StructField("row", plain.schema), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            able = batch.column(names.index("_able")).to_numpy(zero_copy_only=False).astype(bool)
-            texts = batch.column(names.index(text_col)).filter(pa.array(able)).to_pylist()
+            able = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            texts = batch.column(0).flatten()[at].filter(pa.array(able)).to_pylist()
             found = np.full(batch.num_rows, UNKNOWN, object)
             score = np.zeros(batch.num_rows)
             rows = np.flatnonzero(able)
             a = 0
-            for counts in gram_counts(texts):
-                p = model.probabilities(model.vectors(counts))
+            for n, *grams in gram_counts(texts):
+                p = model.probabilities(n, *grams)
                 best = p.argmax(axis=1)
-                at = rows[a:a + len(counts)]
-                found[at] = [model.languages[b] for b in best]
-                score[at] = p[np.arange(len(p)), best]
-                a += len(counts)
-            keep = [c for n, c in zip(names, batch.columns) if n != "_able"]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(found.tolist(), pa.string()), pa.array(score)],
-                                             names=[*(n for n in names if n != "_able"), "lang_pred", "score"])
-
-    return docs.mapInArrow(run, fields)
+                here = rows[a:a + n]
+                found[here] = [model.languages[b] for b in best]
+                score[here] = p[np.arange(n), best]
+                a += n
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.tolist(), pa.string()), pa.array(score)],
+                                             names=["row", "lang_pred", "score"])
+
+    folded = plain.select(F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("row"), _has_letter(F.col(f"`{text_col}`")).alias("able"))
+    return folded.mapInArrow(run, fields).select("row.*", "lang_pred", "score")

@@ -1,5 +1,6 @@
 """Quality rules, quality classifier, HTML extraction, language id, mixing and packing."""
 
+import math
 import random
 import re
 import time
@@ -11,6 +12,7 @@ import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.llm import html_text, langid, mixing, packing, quality, rules
 
@@ -151,6 +153,80 @@ def test_languages_on_held_out_rows(spark, sf_dir):
     assert {r.lang_pred for r in langid.identify_languages(odd, none).collect()} == {"und"}
 
 
+def _plain_grams(text):
+    """Counts of the hashed n-grams of a text, one n-gram at a time."""
+    t = " " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " "
+    found = Counter()
+    for n in langid.ORDERS:
+        for i in range(len(t) - n + 1):
+            key = 0
+            for c in t[i:i + n]:
+                key = key * 1_000_003 + ord(c)
+            found[(((key & 0x7FFFFFFFFFFF) * 0x9E3779B1 + n * 7919) >> 13) % langid.BUCKETS] += 1
+    return found
+
+
+def test_languages_match_brute_force(spark):
+    """Sample, idf and scores, one document and n-gram at a time; a hot language and names that clash."""
+    words = {"aa": "der die und nicht ein haus", "bb": "the of and not a house", "cc": "le la et pas une maison"}
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(words[lang].split(), k=rng.randint(1, 30))) + rng.choice(["", " 7", "!", " Ää"]), lang)
+            for i in range(900) for lang in ["cc" if i % 40 == 0 else "bb" if i % 9 == 0 else "aa"]]
+    rows += rows[:5] + [(2000, None, "aa"), (2001, "12", "bb"), (None, "haus", "aa"), (2003, "x", None), (2004, "\U0001d49c" * 3, "cc")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs = docs.select("*", *[F.lit("k").alias(c) for c in ("id", "hash", "ids", "rank", "row", "able", "index", "count", "a.b")])
+    per = 40
+    model = langid.train_languages(docs, rows_per_language=per)
+    hashes = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).collect()}
+    able = {(i, lang, t) for i, t, lang in rows if i is not None and t is not None and lang and zlib.crc32(str(i).encode()) % 4 != 2}
+    sample = []
+    for lang in words:
+        sample += [t for _, _, t in sorted((hashes[i], i, t) for i, at, t in able if at == lang)[:per] if re.search("[^\\W\\d_]", t)]
+    holding = Counter(g for t in sample for g in _plain_grams(t))
+    idf = [math.log((1 + len(sample)) / (1 + holding[g])) + 1 for g in range(langid.BUCKETS)]
+    assert model.languages == sorted(words) and np.allclose(model.idf, idf)
+    got = langid.identify_languages(docs, model)
+    assert got.columns == [*docs.columns, "lang_pred", "score"]
+    for r in got.collect():
+        assert r.rank == r.able == r["a.b"] == "k"
+        if r.text is None or not re.search("[^\\W\\d_]", r.text):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        value = {g: (1 + math.log(n)) * idf[g] for g, n in _plain_grams(r.text).items()}
+        norm = math.sqrt(sum(v * v for v in value.values()))
+        z = [(sum(v * model.weights[g][k] for g, v in value.items()) / norm + model.bias[k]) / model.temperature for k in range(3)]
+        e = [math.exp(x - max(z)) for x in z]
+        assert r.lang_pred == model.languages[z.index(max(z))] and abs(r.score - max(e) / sum(e)) < 1e-9
+
+
+def test_fit_follows_the_regularised_leader():
+    """Batched, sparse steps give the weights of the textbook update, a coordinate at a time."""
+    rng = np.random.default_rng(1)
+    rows = [(np.sort(rng.choice(langid.BUCKETS, 6, replace=False) % 12), rng.random(6)) for _ in range(8)]
+    rows = [(np.unique(i), v[:len(np.unique(i))]) for i, v in rows]
+    y = rng.integers(0, 2, 8)
+    weights, bias = langid.fit_ftrl(rows, y, 2, epochs=2, batch=1, seed=5)
+    order, z, n = np.random.default_rng(5), Counter(), Counter()
+
+    def weight(f, c):
+        l1 = 0 if f == -1 else 0.002
+        return 0.0 if abs(z[f, c]) <= l1 else -(z[f, c] - math.copysign(l1, z[f, c])) / ((1 + math.sqrt(n[f, c])) / 1 + 0.001)
+
+    for _ in range(2):
+        for k in order.permutation(8):
+            x = dict(zip(rows[k][0].tolist(), rows[k][1])) | {-1: 1.0}
+            logit = [sum(v * weight(f, c) for f, v in x.items()) for c in range(2)]
+            total = sum(math.exp(v) for v in logit)
+            old = {(f, c): weight(f, c) for f in x for c in range(2)}
+            for (f, c), w in old.items():
+                g = (math.exp(logit[c]) / total - (y[k] == c)) * x[f]
+                step = math.sqrt(n[f, c] + g * g) - math.sqrt(n[f, c])
+                n[f, c] += g * g
+                z[f, c] += g - step * w
+    assert np.allclose(bias, [weight(-1, c) for c in range(2)])
+    assert np.allclose(weights[:12], [[weight(f, c) for c in range(2)] for f in range(12)])
+
+
 # ------------------------------------------------------------- pages
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a = "</p><p>no";</script></head><body>
 <header class="site-header"><a href=/>Home</a></header><nav><ul><li><a>Menu</a></li></ul></nav>
