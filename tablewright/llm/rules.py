@@ -143,7 +143,8 @@ def measure_rules(docs: DataFrame, id_col: str, text_col: str, rules: tuple[Rule
     one_of = max(1, docs.count() // sample_rows)
     picked = docs.select(F.col(f"`{id_col}`").alias("_row"), F.col(f"`{text_col}`").alias("_sampled")).where(
         F.pmod(F.xxhash64("_row", F.substring("_sampled", 1, 64)), F.lit(one_of)) == 0)
-    # stored before it is repeated and filtered, so that the counts are made once a row
+    # stored before it is counted, so that no other row's words are; then again, so that the counts are made once a row
+    picked = parquet_table(picked, "rule-rows")
     counted = parquet_table(with_counts(picked, "_row", "_sampled").where(~base_failed()).limit(4 * sample_rows).coalesce(1), "rule-sample")
     flags = [F.coalesce(r.fails(), F.lit(False)) for r in rules]
     fails = [list(r) for r in counted.select(*[f.alias(f"f{i}") for i, f in enumerate(flags)]).collect()]
