@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType, TimestampType
 
+from tablewright.operators.logsnap import LatestLog
 from tablewright.operators.runlog import latest_per_key, stats_rows
 
 # Fixed values that must equal the reference behaviour: table names and columns.
@@ -26,6 +27,8 @@ ENTITY = "entity"
 OPERATIONS = "entity_operation_details"
 STATS = "entity_operation_stats"
 
+_SNAPSHOTS = "_snapshots"  # ends the name of a folder beside the log's
+
 _DDL = {
     MOUNTS: "dbName STRING, source_mount STRING, target_mount STRING",
     ENTITY: (
@@ -101,10 +104,22 @@ def log_operation(spark: SparkSession, db: str, op_id: str, entity_id: str, stat
     df.write.insertInto(_t(db, OPERATIONS))
 
 
+def _operation_log(spark: SparkSession, db: str) -> LatestLog:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_t(db, OPERATIONS)}").collect()  # catalog metadata
+    log = [r["data_type"] for r in rows if r["col_name"] == "Location"][-1].rstrip("/")
+    return LatestLog(spark, log, f"{log}{_SNAPSHOTS}", OPERATION_SCHEMA, ["op_id"], ["updated_at", _status_rank()])
+
+
 def operations_current(spark: SparkSession, db: str) -> DataFrame:
-    """Latest row per ``op_id`` of the append-only operation log."""
-    ops = spark.table(_t(db, OPERATIONS)).withColumn("__tw_rank", _status_rank())
-    return latest_per_key(ops, ["op_id"], ["updated_at", "__tw_rank"]).drop("__tw_rank")
+    """Latest row per ``op_id`` of the append-only operation log: from the newest snapshot and
+    the files after it, or from the whole log while none was taken."""
+    return _operation_log(spark, db).current()
+
+
+def snapshot_operations(spark: SparkSession, db: str, grace: float = 3600.0) -> str:
+    """A4: store the latest row per ``op_id``, so that :func:`operations_current` reads only that and
+    files from ``grace`` seconds before the log's newest file on.  The log itself stays as it is."""
+    return _operation_log(spark, db).take(grace)
 
 
 def _status_rank():

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import colstats, columns, history, keyfilter, ranges, rejects
+from tablewright.operators.logsnap import LatestLog
 from tablewright.session import scratch_path, unique_table_name
 from tablewright.sinks.versioned import VersionedTable
 from tablewright.sources.json_once import CORRUPT, UNKNOWN, read_json_once
@@ -223,7 +224,25 @@ COLUMN_STATS = "WITH l AS (SELECT * REPLACE (nullif(l_linestatus, 'F') AS l_line
     f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, CAST(min({c}) AS VARCHAR) AS min_value, "
     f"CAST(max({c}) AS VARCHAR) AS max_value, true AS distinct_near FROM l" for c in _LINEITEM)
 
+
+def q_latest_from_snapshot(spark, d):
+    """Newest event of each user while the log grows: a snapshot after each of two drops, and the drops after it."""
+    events = spark.read.parquet(f"{d}/events.parquet").select("user_id", F.col("event_type").alias("status"), "ts", "event_id")
+    log = LatestLog(spark, scratch_path(spark, "log"), scratch_path(spark, "log-snapshots"), events.schema, ["user_id"], ["ts", "event_id"])
+    drop = F.pmod(F.xxhash64("event_id"), F.lit(3))  # rows of any time in any drop, so late ones too
+    for i in range(3):
+        events.where(drop == i).write.mode("append").parquet(log.log)
+        if i < 2:
+            log.take(grace=0)
+    return log.current()
+
+
+LATEST_FROM_SNAPSHOT = (
+    "SELECT user_id, status, ts, event_id FROM (SELECT user_id, event_type AS status, ts, event_id, "
+    "row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
+
 QUERIES = {
+    "latest_from_snapshot": q_latest_from_snapshot,
     "prune_by_key_filter": q_prune_by_key_filter,
     "column_stats": q_column_stats,
     "sync_nested": q_sync_nested,
@@ -234,6 +253,7 @@ QUERIES = {
     "load_json_once": q_load_json_once,
 }
 ORACLES = {
+    "latest_from_snapshot": LATEST_FROM_SNAPSHOT,
     "prune_by_key_filter": PRUNE_BY_KEY_FILTER,
     "column_stats": COLUMN_STATS,
     "sync_nested": SYNC_NESTED,
