@@ -382,6 +382,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         firsts = (rows.where("n > 0 AND id IS NULL").join(no_id.select("k1", "k2"), ["k1", "k2"], "left_semi")
                   .groupBy("k1", "k2").agg(F.min("th").alias("th")).select("th"))
         one = one.unionByName(texts.where("id IS NULL").dropDuplicates(["th"]).join(firsts, "th", "left_semi").select("text"))
+    # a flush is named by its documents in their order, so a task that runs again needs the same order, also behind a shuffle
+    one = one.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")).sortWithinPartitions("th").select("text")
     sent = one.mapInArrow(_emit_tokens(shingle, parts, np.sort(heavy.view(U64))), _ROW)
     counted = sent.groupBy("part").applyInArrow(_count_tokens, _ROW)
     sets = parquet_table(counted.groupBy("flush").applyInArrow(_index_sets(threshold), _SET), "index")
