@@ -20,6 +20,14 @@ returned.
   checked against the bucket's centre (the set whose tokens are most common)
   and linked sets form components.  Only members of a centre's cell that ended
   in different components are compared again, in blocks, which loses no link.
+* In a cell of many members that stay unlinked (pages of one template) that
+  would be all pairs, so they meet by prefixes once more, in the order of
+  token frequencies inside the cell: what makes them a cell is frequent there
+  and comes last.  Of two linked sets the larger one's first
+  ``n - ceil(t * n) + 1`` tokens and the smaller one's first
+  ``n - ceil(2 * t / (1 + t) * n) + 1`` share one.  Sets of equal size with
+  6/7 of their tokens in common are linked (at 0.75), so a template either
+  links its pages or leaves their index prefixes.
 """
 
 from __future__ import annotations
@@ -43,6 +51,7 @@ PART_TOKENS = 2_000_000    # tokens of one counting group, about
 PAIR_DF = 32               # class 2 from this document frequency on
 HEAVY_SHARE = 0.01         # class 3 from this share of the documents on
 BLOCK = 512                # sets of one side in a block comparison
+LARGE_CELL = 4 * BLOCK ** 2  # comparisons of a cell beyond which its members meet by prefixes inside it
 MEETINGS = 1_000_000       # equal tokens of two sides that are counted at a time
 HEAVY_DF = 65_535          # stands for the frequency of class 3; counted frequencies stop below it
 
@@ -317,14 +326,60 @@ def _late_links(cells: DataFrame, sets: DataFrame, components: DataFrame, thresh
               .select("centre", "node", F.coalesce("component", "node").alias("comp")))
     centres = components.select(F.col("node").alias("_c"), F.col("component").alias("main"))
     placed = (placed.join(centres, placed["centre"] == F.col("_c"), "left")
-              .select("centre", "node", "comp", F.coalesce("main", "centre").alias("main")))
+              .select("centre", "node", "comp", (F.col("comp") != F.coalesce("main", "centre")).alias("seeks")))
     # members outside the centre's component seek a partner among all members
-    sizes = placed.groupBy("centre").agg(
-        F.count(F.lit(1)).alias("members"), F.sum((F.col("comp") != F.col("main")).cast("int")).alias("seekers"))
-    sizes = sizes.where("seekers > 0 AND members > 1").select(
-        F.col("centre").alias("_c"), F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
-        F.ceil(F.col("seekers") / BLOCK).cast("int").alias("seek_blocks"))
-    placed = placed.join(sizes, placed["centre"] == F.col("_c")).drop("_c")
+    sizes = placed.groupBy(F.col("centre").alias("_c")).agg(F.count(F.lit(1)).alias("members"), F.count_if("seeks").alias("seekers"))
+    sizes = sizes.where("seekers > 0 AND members > 1").select("_c", (F.col("members") * F.col("seekers") > LARGE_CELL).alias("large"))
+    placed = parquet_table(placed.join(sizes, placed["centre"] == F.col("_c")).drop("_c"), "placed")
+    small, large = placed.where("NOT large").withColumnRenamed("centre", "cell"), placed.where("large")
+    seekers, members = small.where("seeks").select("cell", "node", "comp"), small.select("cell", "node", "comp")
+    if not large.isEmpty():
+        inner_seekers, inner_members = _inner_cells(large, sets, threshold)
+        seekers, members = seekers.unionByName(inner_seekers), members.unionByName(inner_members)
+    return _block_links(seekers, members, sets, threshold)
+
+
+def _inner_cells(large: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Seekers and members of the cells that single tokens make inside large cells.
+
+    A linked pair is in a cell of some token: one of the two has it in its
+    index prefix, the other, not smaller, in its probe prefix, which is the
+    index prefix and more.  Either may be the seeker, so a token makes two cells.
+    """
+    each = large.join(sets.select("node", "n", "tokens"), "node").select(
+        "centre", "node", "comp", "seeks", "n", F.size("tokens").alias("held"), F.explode("tokens").alias("token"))
+    local = each.groupBy(F.col("centre").alias("_c"), F.col("token").alias("_t")).agg(F.count(F.lit(1)).alias("local"))
+    ordered = (each.join(local, (F.col("centre") == F.col("_c")) & (F.col("token") == F.col("_t")))
+               .groupBy("centre", "node", "comp", "seeks", "n", "held")
+               .agg(F.array_sort(F.collect_list(F.struct("local", "token"))).alias("tokens")))
+
+    def prefix(share: float):
+        """Length of the prefix without the tokens that no other set has, which stand first."""
+        whole = F.col("n") - F.ceil(F.lit(share) * F.col("n") - F.lit(1e-6)) + 1
+        return F.greatest(F.lit(0), whole - (F.col("n") - F.col("held"))).cast("int")
+
+    entries = ordered.select("centre", "node", "comp", "seeks", prefix(2 * threshold / (1 + threshold)).alias("index"),
+                             F.posexplode(F.slice("tokens", F.lit(1), prefix(threshold))).alias("at", "entry"))
+    entries = parquet_table(entries.where("entry.local > 1").select(
+        "centre", "node", "comp", "seeks", F.col("entry.token").alias("token"), (F.col("at") < F.col("index")).alias("indexed")), "inner")
+
+    def cells(rows: DataFrame, role: int) -> DataFrame:
+        return rows.select(F.xxhash64("centre", "token", F.lit(role)).alias("cell"), "node", "comp")
+
+    indexed = entries.where("indexed")
+    return (cells(indexed.where("seeks"), 0).unionByName(cells(entries.where("seeks"), 1)),
+            cells(entries, 0).unionByName(cells(indexed, 1)))
+
+
+def _block_links(seekers: DataFrame, members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between the seekers and the members of every cell, compared in pairs of blocks."""
+    rows = seekers.withColumn("seeks", F.lit(True)).unionByName(members.withColumn("seeks", F.lit(False)))
+    sizes = rows.groupBy(F.col("cell").alias("_c")).agg(
+        F.count_if("seeks").alias("seekers"), F.count_if(~F.col("seeks")).alias("members"),
+        F.min("node").alias("least"), F.max("node").alias("most"))
+    sizes = sizes.where("seekers > 0 AND members > 0 AND least < most").select(
+        "_c", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("seekers") / BLOCK).cast("int").alias("seek_blocks"))
+    placed = rows.join(sizes, rows["cell"] == F.col("_c")).drop("_c")
 
     def block(n: str):
         return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -332,15 +387,19 @@ def _late_links(cells: DataFrame, sets: DataFrame, components: DataFrame, thresh
     def every(n: str):
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    seekers = placed.where("comp <> main").select("centre", "node", "comp", F.lit(True).alias("seeks"),
-                                                  block("seek_blocks").alias("sb"), every("blocks").alias("mb"))
-    members = placed.select("centre", "node", "comp", F.lit(False).alias("seeks"),
-                            block("blocks").alias("mb"), every("seek_blocks").alias("sb"))
-    both = seekers.unionByName(members).join(sets.select("node", "n", "tokens"), "node")
-    return both.groupBy("centre", "sb", "mb").applyInArrow(_compare_blocks(threshold), "a long, b long")
+    left = placed.where("seeks").select("cell", "node", "comp", "seeks", block("seek_blocks").alias("sb"), every("blocks").alias("mb"))
+    right = placed.where("NOT seeks").select("cell", "node", "comp", "seeks", block("blocks").alias("mb"), every("seek_blocks").alias("sb"))
+    both = left.unionByName(right).join(sets.select("node", "n", "tokens"), "node")
+    return both.groupBy("cell", "sb", "mb").applyInArrow(_compare_blocks(threshold), "a long, b long")
 
 
 # ------------------------------------------------------------- the join
+def _in_set_order(texts: DataFrame) -> DataFrame:
+    """``text`` ordered by its hash in every task: a flush is named by its documents in their
+    order, so a task that runs again behind a shuffle needs the order it had."""
+    return texts.select("text", F.xxhash64("text").alias("th")).sortWithinPartitions("th").select("text")
+
+
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.75,
                    shingle: int = 5) -> DataFrame:
     """``id, th, n, grp, component_id`` for every row of ``docs``.
@@ -382,9 +441,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         firsts = (rows.where("n > 0 AND id IS NULL").join(no_id.select("k1", "k2"), ["k1", "k2"], "left_semi")
                   .groupBy("k1", "k2").agg(F.min("th").alias("th")).select("th"))
         one = one.unionByName(texts.where("id IS NULL").dropDuplicates(["th"]).join(firsts, "th", "left_semi").select("text"))
-    # a flush is named by its documents in their order, so a task that runs again needs the same order, also behind a shuffle
-    one = one.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")).sortWithinPartitions("th").select("text")
-    sent = one.mapInArrow(_emit_tokens(shingle, parts, np.sort(heavy.view(U64))), _ROW)
+    sent = _in_set_order(one).mapInArrow(_emit_tokens(shingle, parts, np.sort(heavy.view(U64))), _ROW)
     counted = sent.groupBy("part").applyInArrow(_count_tokens, _ROW)
     sets = parquet_table(counted.groupBy("flush").applyInArrow(_index_sets(threshold), _SET), "index")
 

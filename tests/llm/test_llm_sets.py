@@ -89,6 +89,48 @@ def test_jaccard_matches_brute_force(spark, seed, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_jaccard_large_cells_match_brute_force(spark, seed, monkeypatch):
+    """Every cell with unlinked members goes the way of large ones; pages of one template are among them."""
+    monkeypatch.setattr(jaccard, "PAIR_DF", 4)
+    monkeypatch.setattr(jaccard, "LARGE_CELL", 0)
+    rng = random.Random(seed)
+    docs = corpus(seed)
+    template = [f"t{k}" for k in range(60)]
+    pages = [template + [f"p{seed}x{i}y{k}" for k in range(rng.randrange(12, 30))] for i in range(40)]
+    pages += [p + ["tail"] * rng.randrange(1, 4) for p in pages[::5]]
+    start = max(i for i, _ in docs) + 1
+    docs += [(start + i, " ".join(p)) for i, p in enumerate(pages)]
+    seen = []
+    real = jaccard._inner_cells
+    monkeypatch.setattr(jaccard, "_inner_cells", lambda large, *a: seen.append(large.count()) or real(large, *a))
+    got = jaccard.jaccard_components(spark.createDataFrame([(i, t, "x", "y", "z") for i, t in docs], DOCS))
+    assert {tuple(r) for r in got.collect()} == brute_components(docs)
+    assert seen and seen[0] > 40
+
+
+def test_jaccard_template_pages_do_not_meet(spark):
+    """Unlinked pages of a template are in one cell, yet no two meet inside it; linked ones do."""
+    template = list(range(1, 76))
+    # 100 tokens each: 75 of the template, the rest of the page alone, but for 13 that pages 299 and 300 share
+    both = list(range(1001, 1014))
+    sets = spark.createDataFrame([(i, 100, template + (both if i >= 299 else [])) for i in range(1, 301)],
+                                 "node long, n int, tokens array<long>")
+    cells = spark.createDataFrame([(0, i) for i in range(1, 301)], "centre long, node long")
+    seekers, members = jaccard._inner_cells(cells.selectExpr("centre", "node", "node AS comp", "true AS seeks"), sets, 0.75)
+    met = seekers.alias("s").join(members.alias("m"), "cell").where("s.node < m.node").selectExpr("s.node AS a", "m.node AS b").distinct()
+    assert [tuple(r) for r in met.collect()] == [(299, 300)]
+    assert {tuple(sorted(r)) for r in jaccard._block_links(seekers, members, sets, 0.75).collect()} == {(299, 300)}
+
+
+def test_jaccard_documents_are_numbered_in_a_set_order(spark):
+    """A task that runs again may get its rows in another order; a flush must keep its documents and its name."""
+    texts = [(t or "",) for _, t in corpus(5)]
+    got = [[r.text for r in jaccard._in_set_order(spark.createDataFrame(rows, "text string").coalesce(1)).collect()]
+           for rows in (texts, texts[::-1], sorted(texts))]
+    assert got[0] == got[1] == got[2] and sorted(got[0]) == sorted(t for (t,) in texts)
+
+
 def test_jaccard_edge_rows(spark):
     assert jaccard.jaccard_components(spark.createDataFrame([], DOCS)).collect() == []
     long = " ".join(f"v{k}" for k in range(30_000))
