@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import gc
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.session import scratch_path
+from tablewright.sinks import store
 
 # ASCII white space splits words everywhere in this package.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -32,6 +34,17 @@ def parquet_table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(*steps: DataFrame) -> None:
+    """Delete the files of step tables (:func:`parquet_table`) that no frame reads any more: what
+    was made from them is stored.  An empty table without files is left."""
+    for step in steps:
+        for file in step.inputFiles()[:1]:
+            folder = unquote(file).rsplit("/", 1)[0]
+            if not folder.rsplit("/", 1)[1].startswith("llm-"):
+                raise ValueError(f"{folder} is no step table")
+            store.delete(step.sparkSession, folder)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import parquet_table
+from tablewright.llm.common import drop_tables, parquet_table
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,7 +13,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Each round every node takes the smallest label among its neighbours and
     then the label of that label, so long chains shrink by doubling.  Minima
-    are partial aggregates; labels are stored between rounds.
+    are partial aggregates; labels are stored between rounds, and those of the
+    round before deleted.
     """
     both = parquet_table(edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
                          .unionByName(edges.select(F.col(b).alias("src"), F.col(a).alias("dst"))).distinct(), "edges")
@@ -26,6 +27,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         jump = labels.select(F.col("node").alias("at"), F.col("label").alias("jump"))
         stepped = parquet_table(lower.join(jump, lower["label"] == jump["at"], "left").select(
             "node", "old", F.least("label", F.coalesce("jump", "label")).alias("label")), "labels")
-        if not stepped.where("old <> label").limit(1).count():
+        done = not stepped.where("old <> label").limit(1).count()
+        drop_tables(labels)
+        if done:
+            drop_tables(both)
             return stepped.select("node", F.col("label").alias("component"))
         labels = stepped.select("node", "label")

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import parquet_table
+from tablewright.llm.common import drop_tables, parquet_table
 from tablewright.llm.components import connected_components
 from tablewright.llm.vectors import U64, mix, shingle_sets
 
@@ -333,18 +333,21 @@ def _late_links(cells: DataFrame, sets: DataFrame, components: DataFrame, thresh
     placed = parquet_table(placed.join(sizes, placed["centre"] == F.col("_c")).drop("_c"), "placed")
     small, large = placed.where("NOT large").withColumnRenamed("centre", "cell"), placed.where("large")
     seekers, members = small.where("seeks").select("cell", "node", "comp"), small.select("cell", "node", "comp")
+    steps = [placed]
     if not large.isEmpty():
-        inner_seekers, inner_members = _inner_cells(large, sets, threshold)
+        entries = _inner_entries(large, sets, threshold)
+        steps.append(entries)
+        inner_seekers, inner_members = _inner_cells(entries)
         seekers, members = seekers.unionByName(inner_seekers), members.unionByName(inner_members)
-    return _block_links(seekers, members, sets, threshold)
+    links = parquet_table(_block_links(seekers, members, sets, threshold), "late-links")
+    drop_tables(*steps)
+    return links
 
 
-def _inner_cells(large: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Seekers and members of the cells that single tokens make inside large cells.
+def _inner_entries(large: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Tokens in the probe prefix of each member of a large cell, in the cell's own order, and whether its index prefix has them.
 
-    A linked pair is in a cell of some token: one of the two has it in its
-    index prefix, the other, not smaller, in its probe prefix, which is the
-    index prefix and more.  Either may be the seeker, so a token makes two cells.
+    Tokens that no other member of the cell has are left out.
     """
     each = large.join(sets.select("node", "n", "tokens"), "node").select(
         "centre", "node", "comp", "seeks", "n", F.size("tokens").alias("held"), F.explode("tokens").alias("token"))
@@ -360,9 +363,17 @@ def _inner_cells(large: DataFrame, sets: DataFrame, threshold: float) -> tuple[D
 
     entries = ordered.select("centre", "node", "comp", "seeks", prefix(2 * threshold / (1 + threshold)).alias("index"),
                              F.posexplode(F.slice("tokens", F.lit(1), prefix(threshold))).alias("at", "entry"))
-    entries = parquet_table(entries.where("entry.local > 1").select(
+    return parquet_table(entries.where("entry.local > 1").select(
         "centre", "node", "comp", "seeks", F.col("entry.token").alias("token"), (F.col("at") < F.col("index")).alias("indexed")), "inner")
 
+
+def _inner_cells(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Seekers and members of the cells that single tokens make inside large cells.
+
+    A linked pair is in a cell of some token: one of the two has it in its
+    index prefix, the other, not smaller, in its probe prefix, which is the
+    index prefix and more.  Either may be the seeker, so a token makes two cells.
+    """
     def cells(rows: DataFrame, role: int) -> DataFrame:
         return rows.select(F.xxhash64("centre", "token", F.lit(role)).alias("cell"), "node", "comp")
 
@@ -457,8 +468,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cells = parquet_table(near.select("centre", "node", _linked(inter.cast("long"), F.col("n"), F.col("cn"), threshold).alias("linked")),
                           "cells")
     links = cells.where("linked").select(F.col("centre").alias("a"), F.col("node").alias("b"))
-    late = parquet_table(_late_links(cells, sets, connected_components(links), threshold), "late-links")
+    first = connected_components(links)
+    late = _late_links(cells, sets, first, threshold)
     found = connected_components(links.unionByName(late))
+    drop_tables(first, late, cells, sets, left_out, repeats)
 
     named = nodes.join(found.withColumnRenamed("node", "_n"), nodes["k1"] == F.col("_n"), "left").select(
         "k1", "k2", "id", F.coalesce("component", "k1").alias("grp"))

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import SPACE, let, parquet_table
+from tablewright.llm.common import SPACE, drop_tables, let, parquet_table
 
 DOC = ["_id", "_th"]
 _LONGS = "array<bigint>"
@@ -159,7 +159,9 @@ def near_removed(own: DataFrame) -> DataFrame:
     mine = own.select("_o", "_k1", "_k2", F.col("_w").alias("_mine"))
     theirs = own.select(F.col("_o").alias("_p"), F.col("_w").alias("_theirs"))
     pairs = near.join(mine, "_o").join(theirs, "_p")
-    return pairs.where(within_one_word(F.col("_mine"), F.col("_theirs"))).select("_k1", "_k2")
+    removed = parquet_table(pairs.where(within_one_word(F.col("_mine"), F.col("_theirs"))).select("_k1", "_k2"), "near-lines")
+    drop_tables(variants)
+    return removed
 
 
 def near_removed_within(own: DataFrame, min_words: int, edits: int) -> DataFrame:
@@ -194,7 +196,9 @@ def near_removed_within(own: DataFrame, min_words: int, edits: int) -> DataFrame
     for x in range(edits + 1):
         other = F.when(room == x, F.when(F.col("n") >= min_words, F.col(f"f{x}_0")).otherwise(F.col(f"f{x}_1"))).otherwise(other)
     near = variants.join(met, ["h1", "h2", "r"]).where(other < F.col("_o")).select("_o").distinct()
-    return own.join(near, "_o", "left_semi").select("_k1", "_k2")
+    near = parquet_table(own.join(near, "_o", "left_semi").select("_k1", "_k2"), "near-lines")
+    drop_tables(variants)
+    return near
 
 
 def within_one_word(a: Column, b: Column) -> Column:
@@ -252,8 +256,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if edits:
         candidates = _candidates(distinct, min_words) if edits == 1 else distinct.where(F.col("_n") >= min_words - edits).select(
             "_k1", "_k2", *DOC, "_pos", F.lit(0).alias("_m"))
-        own = parquet_table(_candidate_lines(keyed, parquet_table(candidates, "candidates")), "candidate-lines")
-        near = parquet_table(near_removed(own) if edits == 1 else near_removed_within(own, min_words, edits), "near-lines")
+        candidates = parquet_table(candidates, "candidates")
+        own = parquet_table(_candidate_lines(keyed, candidates), "candidate-lines")
+        near = near_removed(own) if edits == 1 else near_removed_within(own, min_words, edits)
+        drop_tables(candidates, own)
         last = distinct.join(near, ["_k1", "_k2"], "left_anti")
     kept = (last.groupBy(*DOC).agg(F.collect_list("_pos").alias("_kept"))
             .withColumnsRenamed({"_id": "_kid", "_th": "_kth"}))

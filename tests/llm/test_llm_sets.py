@@ -13,7 +13,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tablewright.llm import chat, fingerprints, jaccard, lines, queries
+from tablewright.llm.common import drop_tables
 from tablewright.llm.vectors import U64
+from tablewright.session import scratch_path, work_root
+from tablewright.sinks import store
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, n_lines string, score string, _th string"
@@ -102,8 +105,8 @@ def test_jaccard_large_cells_match_brute_force(spark, seed, monkeypatch):
     start = max(i for i, _ in docs) + 1
     docs += [(start + i, " ".join(p)) for i, p in enumerate(pages)]
     seen = []
-    real = jaccard._inner_cells
-    monkeypatch.setattr(jaccard, "_inner_cells", lambda large, *a: seen.append(large.count()) or real(large, *a))
+    real = jaccard._inner_entries
+    monkeypatch.setattr(jaccard, "_inner_entries", lambda large, *a: seen.append(large.count()) or real(large, *a))
     got = jaccard.jaccard_components(spark.createDataFrame([(i, t, "x", "y", "z") for i, t in docs], DOCS))
     assert {tuple(r) for r in got.collect()} == brute_components(docs)
     assert seen and seen[0] > 40
@@ -117,12 +120,32 @@ def test_jaccard_template_pages_do_not_meet(spark):
     sets = spark.createDataFrame([(i, 100, template + (both if i >= 299 else [])) for i in range(1, 301)],
                                  "node long, n int, tokens array<long>")
     cells = spark.createDataFrame([(0, i) for i in range(1, 301)], "centre long, node long")
-    seekers, members = jaccard._inner_cells(cells.selectExpr("centre", "node", "node AS comp", "true AS seeks"), sets, 0.75)
+    seekers, members = jaccard._inner_cells(
+        jaccard._inner_entries(cells.selectExpr("centre", "node", "node AS comp", "true AS seeks"), sets, 0.75))
     met = seekers.alias("s").join(members.alias("m"), "cell").where("s.node < m.node").selectExpr("s.node AS a", "m.node AS b").distinct()
     assert [tuple(r) for r in met.collect()] == [(299, 300)]
     assert {tuple(sorted(r)) for r in jaccard._block_links(seekers, members, sets, 0.75).collect()} == {(299, 300)}
 
 
+def test_step_tables_that_nothing_reads_are_deleted(spark):
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in corpus(6)], DOCS)
+
+    def left():
+        return Counter(n.rsplit("-", 1)[0] for n in store.names(spark, work_root(spark)) if n.startswith("llm-"))
+
+    before = left()
+    jaccard.jaccard_components(df).collect()
+    lines.dedup_lines(df).collect()
+    with_files = {n for n, k in (left() - before).items() if k}
+    # those that the results, which are made when they are read, still use; tables without rows may stay
+    assert with_files >= {"llm-sets", "llm-nodes", "llm-labels", "llm-distinct-lines", "llm-near-lines"}
+    assert not with_files & {"llm-index", "llm-cells", "llm-line-variants", "llm-candidate-lines", "llm-edges"}
+    with pytest.raises(ValueError):
+        path = scratch_path(spark, "other")
+        df.write.parquet(path)
+        drop_tables(spark.read.parquet(path))
+
+
 def test_jaccard_documents_are_numbered_in_a_set_order(spark):
     """A task that runs again may get its rows in another order; a flush must keep its documents and its name."""
     texts = [(t or "",) for _, t in corpus(5)]
