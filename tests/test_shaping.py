@@ -174,6 +174,39 @@ def test_range_join_matches_all_pairs(spark, monkeypatch):
         ranges.point_in_interval_join(p.withColumn("at", F.lit("x")), s, "at", "a", "z")
 
 
+def test_range_join_compares_few_pairs_that_do_not_match(spark, monkeypatch):
+    rng = random.Random(9)
+    inf = float("inf")
+    points = [(n, rng.choice([rng.random(), rng.random() ** 6]) * 1000) for n in range(2000)] + [(-1, inf), (-2, -inf), (-3, -0.0), (-4, 0.0)]
+    spans = [(n, a, a + rng.choice([0.1, 0.5, 2.0])) for n in range(2000) for a in [rng.random() * 1000]]
+    spans += [(-1, -inf, 3.0), (-2, 990.0, inf), (-3, -inf, inf), (-4, 0.0, 0.5), (-5, -0.0, 0.0), (-6, 100.0, 900.0), (-7, 2000.0, 3000.0), (-8, -9.0, -8.0)]
+    want = sorted((x[0], y[0]) for x in points for y in spans if y[1] <= x[1] <= y[2])
+    p, s = spark.createDataFrame(points, "n int, at double"), spark.createDataFrame(spans, "n int, a double, z double")
+    asked = []
+    cells = ranges._cells
+    monkeypatch.setattr(ranges, "_cells", lambda sizes, *rest: (asked.append(sizes), cells(sizes, *rest))[1])
+    monkeypatch.setattr(ranges, "LEAF_ROWS", 16)
+    for rows, most in ((10**6, 1 << 24), (100, 200)):  # without and with nodes cut by rows and pairs
+        monkeypatch.setattr(ranges, "PART_ROWS", rows)
+        monkeypatch.setattr(ranges, "PART_PAIRS", most)
+        out = ranges.point_in_interval_join(p, s, "at", "a", "z", groups=8)
+        assert sorted((r.p.n, r.i.n) for r in out.collect()) == want
+        assert sum(a * b for _, a, b in asked[-1]) <= len(want) + 16 * len(spans)  # 64 bins alone: more than 30 a span
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("SortMergeJoin") == 1  # pairs are made cell by cell, not where a side is read
+
+
+def test_range_join_cuts_cells_of_many_pairs(monkeypatch):
+    monkeypatch.setattr(ranges, "PART_PAIRS", 100)
+    made = ranges._cells([(0, 50, 40), (1, 5, 4), (2, 3, 200), (20, 7, 7)], 4, 2, 4)
+    share = max(100, (2000 + 20 + 600 + 49) / ranges.SHARES)
+    first = 0
+    for (node, a, b), (same, start, x, y) in zip([(0, 50, 40), (1, 5, 4), (2, 3, 200), (20, 7, 7)], made):
+        assert (same, start) == (node, first) and a * b / (x * y) <= share
+        first += x * y
+    assert made[1][2:] == (1, 1) and made[3][2:] == (1, 1)
+
+
 def test_overlap_join_matches_all_pairs(spark):
     rng = random.Random(8)
     made = lambda n: [(i, a, a + rng.choice([-2, 0, 1, 9, 80])) for i in range(n) for a in [rng.randrange(100)]]
