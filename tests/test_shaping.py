@@ -1,7 +1,9 @@
 """Nested conforming, history stitching, range joins, rejects and one-pass JSON."""
 
+import itertools
 import os
 import random
+import re
 import subprocess
 import sys
 from datetime import datetime
@@ -207,6 +209,26 @@ def test_range_join_cuts_cells_of_many_pairs(monkeypatch):
     assert made[1][2:] == (1, 1) and made[3][2:] == (1, 1)
 
 
+def test_range_join_makes_the_pairs_of_a_large_node_block_by_block(spark, monkeypatch):
+    rng = random.Random(12)
+    points = [(n, n % 2, rng.random() * 100) for n in range(200)]
+    spans = [(n, n % 3, a, a + w) for n in range(300) for a, w in [rng.choice([(-1.0, 200.0), (30.0, 40.0), (rng.random() * 100, 3.0)])]] + [(-1, 0, -2.0, 300.0)] * 90
+    p, s = spark.createDataFrame(points, "n int, k int, at double"), spark.createDataFrame(spans, "n int, k int, a double, z double")
+    monkeypatch.setattr(ranges, "BLOCK", 16)
+    for most in (20_000, 2_000):  # nodes whole, and cut as well
+        monkeypatch.setattr(ranges, "PART_PAIRS", most)
+        for keys in ([], ["k"]):
+            out = ranges.point_in_interval_join(p, s, "at", "a", "z", keys, groups=4)
+            got = [(r.p.n, r.i.n) for r in out.collect()]
+            assert sorted(got) == sorted((x[0], y[0]) for x in points for y in spans if y[2] <= x[2] <= y[3] and (not keys or x[1] == y[1]))
+            if not keys and most == 20_000:
+                assert max(len(list(run)) for _, run in itertools.groupby(got, lambda pair: pair[0])) <= 2 * 16
+                met = [len({i for _, i in got[k:k + 128]}) for k in range(0, len(got) - 128, 128)]
+                assert sum(met) / len(met) <= 48  # point by point: 76
+            plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert len(re.findall(r"(?<!Broadcast)Exchange (?=hash|shuffle|range|Round|Single)", plan)) == 2  # points are not copied for the blocks before a shuffle
+
+
 def test_overlap_join_matches_all_pairs(spark):
     rng = random.Random(8)
     made = lambda n: [(i, a, a + rng.choice([-2, 0, 1, 9, 80])) for i in range(n) for a in [rng.randrange(100)]]
